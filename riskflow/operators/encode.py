@@ -74,9 +74,18 @@ def as_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Append `<column>_<level>` indicators for the given levels."""
-    return df.withColumns(
-        {f"{c}_{level}": indicator(F.col(quoted(c)), level) for c, known in levels.items() for level in known}
+    """Append `<column>_<level>` indicators for the given levels.
+
+    Levels that differ only in case give two columns; naming one of them then
+    needs `spark.sql.caseSensitive`.
+    """
+    return df.select(
+        "*",
+        *[
+            indicator(F.col(quoted(c)), level).alias(f"{c}_{level}")
+            for c, known in levels.items()
+            for level in known
+        ],
     )
 
 

@@ -58,6 +58,18 @@ def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: st
     return estimator.setWeightCol(weight) if weight else estimator
 
 
+def spread_small(df: DataFrame, limit: int = 64 << 20) -> DataFrame:
+    """Give all cores a share of an input that fits in a few file blocks.
+
+    Only frames whose estimated size is below `limit` are moved; larger ones
+    already have a task per block.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > limit:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
 def fit_forest(
     train: DataFrame,
     params: ForestParams = ForestParams(),
@@ -66,7 +78,7 @@ def fit_forest(
     handle_invalid: str = "error",
 ) -> PipelineModel:
     """Assembler and forest, fitted with balanced class weights."""
-    weighted = with_class_weights(train, label, WEIGHT)
+    weighted = with_class_weights(spread_small(train), label, WEIGHT)
     stages = [assembler(features, VECTOR, handle_invalid), forest(params, label)]
     return Pipeline(stages=stages).fit(weighted)
 

@@ -122,6 +122,22 @@ def curve_metrics(
     )
 
 
+def score_counts(
+    df: DataFrame,
+    label: str = "label",
+    prediction: str = "prediction",
+    score: str = "p1",
+    by: Sequence[str] = (),
+    rows: str = "rows",
+) -> DataFrame:
+    """Rows per distinct (label, prediction, score): all that the metrics need.
+
+    Write the result out when the score is costly, as a model's is: the metrics
+    read their input more than once.
+    """
+    return df.groupBy(*by, label, prediction, score).agg(F.count(F.lit(1)).alias(rows))
+
+
 def evaluate(
     df: DataFrame,
     label: str = "label",

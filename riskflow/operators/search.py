@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators.encode import assembler
 from riskflow.operators.forest import VECTOR, WEIGHT, ForestParams, class_probability, fit_forest, forest
-from riskflow.operators.metrics import evaluate
+from riskflow.operators.metrics import evaluate, score_counts
 from riskflow.operators.ranking import best_candidate, fold_summary, rank_candidates, top_candidates
 from riskflow.operators.split import balanced_weight, with_folds
 from riskflow.schemas import FEATURES, LABEL
@@ -109,18 +109,13 @@ def grid_search(
         started = time.monotonic()
         model = forest(candidates[candidate], label).fit(part)
         fitted = time.monotonic()
-        scores = (
-            model.transform(data)
-            .select(
-                F.when(F.col("fold") == fold, "test").otherwise("train").alias("split"),
-                F.col(label).cast("int").alias("label"),
-                F.col("prediction").cast("int").alias("prediction"),
-                class_probability(1).alias("p1"),
-            )
-            .groupBy("split", "label", "prediction", "p1")
-            .agg(F.count(F.lit(1)).alias("rows"))
+        scores = model.transform(data).select(
+            F.when(F.col("fold") == fold, "test").otherwise("train").alias("split"),
+            F.col(label).cast("int").alias("label"),
+            F.col("prediction").cast("int").alias("prediction"),
+            class_probability(1).alias("p1"),
         )
-        scores.write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
+        score_counts(scores, by=["split"]).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
         scored = time.monotonic()
         times = spark.createDataFrame([(fitted - started, scored - fitted)], "fit_time double, score_time double")
         times.coalesce(1).write.mode("overwrite").parquet(f"{work_dir}/times/{place}")

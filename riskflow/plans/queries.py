@@ -38,7 +38,7 @@ from riskflow.schemas import (
 from riskflow.sources.runs import RunLog, scan_metrics
 from riskflow.sources.streams import open_stream, publish
 from riskflow.sources.tables import create_table, read_csv, read_table, refresh_table
-from riskflow.storage import scratch_dir
+from riskflow.storage import scratch_dir, written
 from riskflow.streaming.scoring import start_scoring
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -586,8 +586,9 @@ def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = split.split(_labelled(spark, sf_dir), KEY)
     model = fit_forest(train)
     scorer = model_scorer(model, signature_of(train))
-    scored = scorer(test)
-    return metrics.evaluate(scored, LABEL, "resultado", "probabilidade_Sim")
+    outcome = (LABEL, "resultado", "probabilidade_Sim")
+    scores = written(metrics.score_counts(scorer(test), *outcome), "scores")
+    return metrics.evaluate(scores, *outcome, weight="rows")
 
 
 @query

@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from riskflow.operators.encode import as_categories, decode_strict, one_hot_learned, rename_by_position
 from riskflow.operators.forest import ForestParams, fit_forest, score
-from riskflow.operators.metrics import curve_metrics
+from riskflow.operators.metrics import curve_metrics, score_counts
 from riskflow.operators.registry import Registry
 from riskflow.operators.split import split
 from riskflow.schemas import FEATURES, LABEL, TRAINING_CODES, TRAINING_NAMES, signature_of
 from riskflow.sources.runs import RunLog
+from riskflow.storage import written
 
 ROW_KEY = "row_key"
 
@@ -53,8 +54,8 @@ def train_model(
     """Split, fit, measure the held-out AUC, log, register and promote."""
     train, test = split(frame, key)
     model = fit_forest(train, params)
-    scored = score(test, model)
-    auc = curve_metrics(scored, LABEL, "probabilidade_Sim").first()["roc_auc"]
+    scores = written(score_counts(score(test, model), LABEL, "resultado", "probabilidade_Sim"), "auc")
+    auc = curve_metrics(scores, LABEL, "probabilidade_Sim", weight="rows").first()["roc_auc"]
     signature = signature_of(train, FEATURES)
     if runs is not None:
         runs.log_params(run_id, params.as_row())

@@ -7,7 +7,7 @@ import uuid
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterable, TypeVar
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 Item = TypeVar("Item")
 _LOCAL_ROOTS: dict[str, str] = {}
@@ -33,6 +33,13 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def written(df: DataFrame, label: str) -> DataFrame:
+    """The frame as a table in the shared folder: computed once, safe from lost executors."""
+    place = scratch_dir(df.sparkSession, label)
+    df.write.parquet(place)
+    return df.sparkSession.read.schema(df.schema).parquet(place)
+
+
 class Files:
     """Hadoop file system calls, so that any storage Spark can write to works."""
 
