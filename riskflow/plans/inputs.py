@@ -84,7 +84,10 @@ def logistic_model(weights: tuple[float, ...] = LOGIT_WEIGHTS, bias: float = LOG
 
     class Logistic:
         def predict_proba(self, frame: Any) -> Any:
-            z = frame.to_numpy(dtype=float) @ np.array(weights) + bias
+            # Column by column, so that a row's score does not depend on its batch.
+            z = bias + np.zeros(len(frame))
+            for column, weight in zip(frame.columns, weights):
+                z = z + weight * frame[column].to_numpy(dtype=float)
             positive = 1.0 / (1.0 + np.exp(-z))
             return np.column_stack([1.0 - positive, positive])
 
