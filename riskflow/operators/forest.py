@@ -3,10 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import asdict, dataclass
-from typing import Sequence
+from typing import Any, Sequence
 
 from pyspark.ml import Model, Pipeline, PipelineModel
-from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.classification import (
+    DecisionTreeClassificationModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,14 +38,31 @@ class ForestParams:
         return {k: str(v) for k, v in asdict(self).items()}
 
 
-def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: str | None = WEIGHT) -> RandomForestClassifier:
+class ForestModel(RandomForestClassificationModel):
+    """The library's model, with trees wrapped for Python only when asked for.
+
+    The parent wraps every tree as soon as it is created, which on a small
+    training set takes as long as the fit and holds the interpreter lock.
+    """
+
+    @property
+    def trees(self) -> list[DecisionTreeClassificationModel]:
+        return [DecisionTreeClassificationModel(tree) for tree in self._call_java("trees")]
+
+
+class Forest(RandomForestClassifier):
+    def _create_model(self, java_model: Any) -> ForestModel:
+        return ForestModel(java_model)
+
+
+def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: str | None = WEIGHT) -> Forest:
     """A gini forest with bootstrap samples and per-node feature subsets.
 
     Node ids are cached and checkpointed: on deep trees that replaces a walk from
     the root for every row and level. 512 MB of split statistics per pass lets
     many nodes be split in each scan of the data.
     """
-    estimator = RandomForestClassifier(
+    estimator = Forest(
         featuresCol=VECTOR,
         labelCol=label,
         numTrees=params.trees,

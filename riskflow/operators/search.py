@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import json
 import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
@@ -30,6 +31,7 @@ GRID = {
 }
 # Spark's forest has no minimum split size.
 FOREST_FIELDS = {"n_estimators": "trees", "min_samples_leaf": "min_leaf", "max_depth": "depth"}
+TIMES = "fit_time double, score_time double, candidate int, fold int"
 
 
 def param_grid(levels: Mapping[str, Sequence[Any]] = GRID) -> list[dict[str, Any]]:
@@ -99,7 +101,8 @@ def grid_search(
     def run(job: tuple[int, int]) -> None:
         candidate, fold = job
         place = f"candidate={candidate}/fold={fold}"
-        if files.exists(f"{work_dir}/times/{place}/_SUCCESS"):
+        finished = f"{work_dir}/times/{place}/times.json"
+        if files.exists(finished):
             return
         counts: dict[Any, int] = {}
         for row in sizes:
@@ -116,9 +119,9 @@ def grid_search(
             class_probability(1).alias("p1"),
         )
         score_counts(scores, by=["split"]).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
-        scored = time.monotonic()
-        times = spark.createDataFrame([(fitted - started, scored - fitted)], "fit_time double, score_time double")
-        times.coalesce(1).write.mode("overwrite").parquet(f"{work_dir}/times/{place}")
+        times = {"fit_time": fitted - started, "score_time": time.monotonic() - fitted}
+        files.make_dir(f"{work_dir}/times/{place}")
+        files.write_text(finished, json.dumps(times))
 
     jobs = list(itertools.product(range(len(candidates)), range(folds)))
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
@@ -139,7 +142,7 @@ def _fold_metrics(spark: SparkSession, work_dir: str) -> DataFrame:
     by = ("candidate", "fold", "split")
     scores = spark.read.parquet(f"{work_dir}/scores")
     quality = evaluate(scores, by=by, weight="rows")
-    times = spark.read.parquet(f"{work_dir}/times").withColumn("split", F.lit("test"))
+    times = spark.read.schema(TIMES).json(f"{work_dir}/times").withColumn("split", F.lit("test"))
     long_times = times.unpivot(list(by), ["fit_time", "score_time"], "metric", "value")
     quality.unionByName(long_times).write.mode("overwrite").parquet(f"{work_dir}/metrics")
     return spark.read.parquet(f"{work_dir}/metrics")

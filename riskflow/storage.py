@@ -67,7 +67,8 @@ class Files:
 
     def write_text(self, path: str, text: str) -> None:
         """Write whole, then rename, so that the file is there entirely or not at all."""
-        draft = f"{path}.{uuid.uuid4().hex}.tmp"
+        folder, _, _ = path.rpartition("/")
+        draft = f"{folder}/_draft-{uuid.uuid4().hex}"  # readers skip names starting with "_"
         stream = self._fs.create(self._path(draft), True)
         try:
             stream.write(bytearray(text.encode("utf-8")))
