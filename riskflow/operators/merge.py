@@ -158,26 +158,33 @@ class KeyedTable:
             return None
         rows = sum(r["rows"] for r in touched)
         key_bytes = sum(r["bytes"] for r in touched) + 32 * rows
-        stored = self._stored().where(F.col(BUCKET).isin([r[BUCKET] for r in touched]))
-        present = {r[BUCKET]: r for r in self._match(stored, batch, key_bytes).collect()}
+        known = set(files.names(self.path))
+        old = [r[BUCKET] for r in touched if f"{BUCKET}={r[BUCKET]}" in known]
+        present = {r[BUCKET]: r for r in self._match(old, batch, key_bytes).collect()} if old else {}
         rewrite = sorted(b for b, r in present.items() if r["matched"] > 0 or r["files"] >= self.max_files)
         append = sorted({r[BUCKET] for r in touched} - set(rewrite))
         if rewrite:
-            chosen = F.col(BUCKET).isin(rewrite)
+            tasks = self._tasks(len(rewrite))
             merged = merge(
-                stored.where(chosen).repartition(self.buckets, self.key),
-                batch.where(chosen).repartition(self.buckets, self.key),
+                self._stored(rewrite).repartition(tasks, self.key),
+                batch.where(F.col(BUCKET).isin(rewrite)).repartition(tasks, self.key),
                 self.key,
                 self.refreshed,
             )
             self._write(merged, f"{stage}/rewrite")
         if append:
             chosen = batch.where(F.col(BUCKET).isin(append))
-            self._write(chosen.repartition(self.buckets, self.key), f"{stage}/append")
+            self._write(chosen.repartition(self._tasks(len(append)), self.key), f"{stage}/append")
         counts = {"rows": rows, "rewritten": len(rewrite), "appended": len(append)}
         return {"rewrite": rewrite, "append": append, "counts": counts}
 
-    def _match(self, stored: DataFrame, batch: DataFrame, key_bytes: int) -> DataFrame:
+    def _tasks(self, chosen: int) -> int:
+        """Tasks for writing some of the buckets: a divisor of the bucket count, so that
+        a bucket never spans tasks, and large enough that few tasks get several."""
+        enough = min(self.buckets, 4 * chosen)
+        return next(n for n in range(enough, self.buckets + 1) if self.buckets % n == 0)
+
+    def _match(self, buckets: Sequence[int], batch: DataFrame, key_bytes: int) -> DataFrame:
         """Per stored bucket, how many batch keys it holds and how many files it has.
 
         Reads the key column only. The batch's keys are broadcast when their
@@ -186,7 +193,7 @@ class KeyedTable:
         keys = batch.select(F.col(self.key).alias("_key"), F.lit(1).alias("_hit"))
         if key_bytes <= self.broadcast_bytes:
             keys = F.broadcast(keys)
-        current = stored.select(BUCKET, self.key, F.col("_metadata.file_path").alias("_file"))
+        current = self._stored(buckets).select(BUCKET, self.key, F.col("_metadata.file_path").alias("_file"))
         per_file = (
             current.join(keys, current[self.key] == keys["_key"], "left_outer")
             .groupBy(BUCKET, "_file")
@@ -224,9 +231,13 @@ class KeyedTable:
                     self._publish(files, stage, json.loads(files.read_text(f"{stage}/plan.json")))
                 files.delete(stage)
 
-    def _stored(self) -> DataFrame:
+    def _stored(self, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Stored rows with their bucket; given buckets, only their folders are listed."""
         layout = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        return self.spark.read.schema(layout).parquet(self.path)
+        reader = self.spark.read.schema(layout)
+        if buckets is None:
+            return reader.parquet(self.path)
+        return reader.option("basePath", self.path).parquet(*[f"{self.path}/{BUCKET}={b}" for b in buckets])
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.partitionBy(BUCKET).parquet(path)

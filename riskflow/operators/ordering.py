@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 4096
 _RANGE = "_range"
+_GROUP = "_group"
 
 
 def cut_points(
@@ -43,15 +44,21 @@ def cut_points(
     return sorted(chosen)
 
 
-def in_ranges(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
-    """Append the range number of a value; the search over the cuts runs in the JVM."""
+def in_ranges(df: DataFrame, value: str, cuts: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """Append the range number of a value, and the group as one never-NULL struct.
+
+    The search over the cuts runs in the JVM; a NULL value comes below all ranges.
+    With keys that are never NULL, windows and joins on them share one exchange.
+    """
     finder = Bucketizer(
         splits=[float("-inf"), *cuts, float("inf")],
         inputCol=value,
-        outputCol=_RANGE,
+        outputCol="_found",
         handleInvalid="keep",
     )
-    return finder.transform(df)
+    group = F.struct(*by) if by else F.lit(0)
+    found = F.when(F.col(value).isNull(), -1).otherwise(F.coalesce(F.col("_found").cast("int"), F.lit(-1)))
+    return finder.transform(df).withColumns({_RANGE: found, _GROUP: group}).drop("_found")
 
 
 def descending_totals(
@@ -69,11 +76,11 @@ def descending_totals(
     if not cuts:
         window = Window.partitionBy(*by).orderBy(descending).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({new: F.sum(c).over(window) for new, c in sums.items()})
-    ranged = in_ranges(df, value, cuts)
-    local = Window.partitionBy(*by, _RANGE).orderBy(descending).rowsBetween(Window.unboundedPreceding, 0)
+    ranged = in_ranges(df, value, cuts, by)
+    local = Window.partitionBy(_GROUP, _RANGE).orderBy(descending).rowsBetween(Window.unboundedPreceding, 0)
     running = ranged.withColumns({new: F.sum(c).over(local) for new, c in sums.items()})
-    higher = _totals_above(ranged, {new: F.sum(c) for new, c in sums.items()}, by)
-    joined = _join_above(running, higher, by)
+    higher = _totals_above(ranged, {new: F.sum(c) for new, c in sums.items()})
+    joined = _join_above(running, higher)
     return joined.select(
         *df.columns,
         *[(running[new] + F.coalesce(higher[f"_above_{new}"], F.lit(0))).alias(new) for new in sums],
@@ -91,34 +98,33 @@ def descending_rank(
     descending = F.col(value).desc_nulls_last()
     if not cuts:
         return df.withColumn(rank, F.rank().over(Window.partitionBy(*by).orderBy(descending)))
-    ranged = in_ranges(df, value, cuts)
-    local = Window.partitionBy(*by, _RANGE).orderBy(descending)
+    ranged = in_ranges(df, value, cuts, by)
+    local = Window.partitionBy(_GROUP, _RANGE).orderBy(descending)
     ranked = ranged.withColumn(rank, F.rank().over(local))
-    higher = _totals_above(ranged, {rank: F.count(F.lit(1))}, by)
-    joined = _join_above(ranked, higher, by)
+    higher = _totals_above(ranged, {rank: F.count(F.lit(1))})
+    joined = _join_above(ranked, higher)
     shifted = ranked[rank] + F.coalesce(higher[f"_above_{rank}"], F.lit(0))
     return joined.select(*[ranked[c] for c in df.columns], shifted.cast("int").alias(rank))
 
 
-def _totals_above(ranged: DataFrame, totals: Mapping[str, Column], by: Sequence[str]) -> DataFrame:
+def _totals_above(ranged: DataFrame, totals: Mapping[str, Column]) -> DataFrame:
     """Per group and range, the totals of all higher ranges: groups * ranges rows at most."""
-    names = {c: f"_of_{c}" for c in (*by, _RANGE)}
-    grouped = ranged.groupBy(*[F.col(c).alias(n) for c, n in names.items()]).agg(
-        *[total.alias(f"_sum_{new}") for new, total in totals.items()]
-    )
+    keys = [F.col(c).alias(f"_of{c}") for c in (_GROUP, _RANGE)]
+    grouped = ranged.groupBy(*keys).agg(*[total.alias(f"_sum_{new}") for new, total in totals.items()])
     above = (
-        Window.partitionBy(*[names[c] for c in by])
-        .orderBy(F.col(names[_RANGE]).desc_nulls_last())
+        Window.partitionBy(f"_of{_GROUP}")
+        .orderBy(F.col(f"_of{_RANGE}").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return grouped.select(
-        *names.values(),
+        f"_of{_GROUP}",
+        f"_of{_RANGE}",
         *[F.sum(f"_sum_{new}").over(above).alias(f"_above_{new}") for new in totals],
     )
 
 
-def _join_above(local: DataFrame, higher: DataFrame, by: Sequence[str]) -> DataFrame:
-    condition = local[_RANGE].eqNullSafe(higher[f"_of_{_RANGE}"])
-    for c in by:
-        condition = condition & local[c].eqNullSafe(higher[f"_of_{c}"])
-    return local.join(higher, condition)
+def _join_above(local: DataFrame, higher: DataFrame) -> DataFrame:
+    return local.join(
+        higher,
+        (local[_GROUP] == higher[f"_of{_GROUP}"]) & (local[_RANGE] == higher[f"_of{_RANGE}"]),
+    )

@@ -21,7 +21,7 @@ def split(df: DataFrame, key: str, percent: int = 20, seed: int = 10) -> tuple[D
     return df.where(~test), df.where(test)
 
 
-def class_counts(df: DataFrame, label: str, max_classes: int = 10_000) -> dict[Any, int] | None:
+def class_counts(df: DataFrame, label: str, max_classes: int = 1000) -> dict[Any, int] | None:
     """Rows per class, or None when there are more classes than `max_classes`."""
     rows = df.where(F.col(label).isNotNull()).groupBy(label).count().limit(max_classes + 1).collect()
     if len(rows) > max_classes:
@@ -36,7 +36,7 @@ def balanced_weight(label: Column, counts: dict[Any, int]) -> Column:
     return F.create_map(*entries)[label]
 
 
-def with_class_weights(df: DataFrame, label: str, weight: str = "weight", max_classes: int = 10_000) -> DataFrame:
+def with_class_weights(df: DataFrame, label: str, weight: str = "weight", max_classes: int = 1000) -> DataFrame:
     """Append balanced class weights.
 
     With few classes the counts become literals and the rows are never moved, so
@@ -71,22 +71,22 @@ def with_folds(
     the class's row count in earlier slices; a single dominant class is spread
     over all slices. The slice totals are at most classes * ranges rows.
     """
-    hashed = df.withColumn("_hash", key_hash(F.col(key), seed))
+    hashed = df.withColumns({"_hash": key_hash(F.col(key), seed), "_class": F.struct(label)})
     sliced = hashed.withColumn("_slice", hash_range(F.col("_hash"), ranges))
-    within = Window.partitionBy(label, "_slice").orderBy("_hash", key)
-    earlier = Window.partitionBy("_label").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("_class", "_slice").orderBy("_hash", key)
     numbered = sliced.withColumn("_number", F.row_number().over(within))
-    totals = sliced.groupBy(F.col(label).alias("_label"), F.col("_slice").alias("_of")).agg(
+    totals = sliced.groupBy(F.col("_class").alias("_of_class"), F.col("_slice").alias("_of_slice")).agg(
         F.count(F.lit(1)).alias("_rows")
     )
+    earlier = Window.partitionBy("_of_class").orderBy("_of_slice").rowsBetween(Window.unboundedPreceding, -1)
     shifts = totals.select(
-        "_label",
-        "_of",
+        "_of_class",
+        "_of_slice",
         F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_shift"),
     )
     joined = numbered.join(
         shifts,
-        numbered[label].eqNullSafe(shifts["_label"]) & (numbered["_slice"] == shifts["_of"]),
+        (numbered["_class"] == shifts["_of_class"]) & (numbered["_slice"] == shifts["_of_slice"]),
     )
     position = F.col("_shift") + F.col("_number") - 1
     return joined.select(*df.columns, (position % folds).cast("int").alias(fold))

@@ -30,6 +30,7 @@ EXAM = {
 SQL_TYPES = {"integer": "INT", "double": "DOUBLE"}
 BY_EVENT = "'e' || CAST(event_id AS STRING)"
 BY_USER = "'u' || CAST(user_id AS STRING)"
+BY_USER_TYPE = f"{BY_USER} || '-' || event_type"
 
 # 1 for records with the codes and values that raise the risk, blurred by noise.
 TARGET = f"""CASE WHEN

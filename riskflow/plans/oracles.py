@@ -5,6 +5,7 @@ from __future__ import annotations
 from riskflow.plans.inputs import (
     BY_EVENT,
     BY_USER,
+    BY_USER_TYPE,
     EVALUATED,
     LOGIT_BIAS,
     LOGIT_WEIGHTS,
@@ -77,17 +78,17 @@ LOGIT = " + ".join([str(LOGIT_BIAS), *[f"{w} * {c}" for w, c in zip(LOGIT_WEIGHT
 
 
 def scored(key: str) -> str:
-    """CTEs ending in `scored`: raw record, event_id, user_id and p1 for positive ages."""
+    """CTEs ending in `scored`: raw record, event_id, value and p1 for positive ages."""
     return f"""
-    raw AS ({exams(key, "event_id", "user_id")}),
-    inputs AS (SELECT "pacienteId", event_id, user_id, {INPUTS} FROM raw WHERE age > 0),
+    raw AS ({exams(key, "event_id", "value")}),
+    inputs AS (SELECT "pacienteId", event_id, {INPUTS} FROM raw WHERE age > 0),
     points AS (SELECT event_id, 1 / (1 + exp(-({LOGIT}))) AS p1 FROM inputs),
     scored AS (SELECT raw.*, p1 FROM raw JOIN points USING (event_id))"""
 
 
-def merged(first: str, second: str, first_date: str, second_date: str) -> str:
+def merged(key: str, first: str, second: str, first_date: str, second_date: str) -> str:
     """Two batches, one after the other: features of the first, scores of the last."""
-    return f"""WITH {scored(BY_USER)},
+    return f"""WITH {scored(key)},
     a AS (SELECT * FROM scored WHERE {first}
         QUALIFY row_number() OVER (PARTITION BY "pacienteId" ORDER BY event_id DESC) = 1),
     b AS (SELECT * FROM scored WHERE {second}
@@ -322,13 +323,13 @@ ORACLES = {
     "score_messages": f"""WITH {scored(BY_EVENT)} SELECT "pacienteId", {RAW},
         CAST(CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS INT) AS resultado, round(1 - p1, 6) AS "probabilidade_Nao",
         round(p1, 6) AS "probabilidade_Sim", '2024-01-02' AS data FROM scored""",
-    "stream_upsert": merged("event_id % 2 = 0", "event_id % 2 = 1", "2024-01-02", "2024-01-02"),
-    "score_upsert": merged("event_id % 2 = 0", "event_id % 2 = 1 AND user_id % 3 <> 0", "2024-01-01", "2024-01-02"),
+    "stream_upsert": merged(BY_USER, "event_id % 2 = 0", "event_id % 2 = 1", "2024-01-02", "2024-01-02"),
+    "score_upsert": merged(BY_USER_TYPE, "value < 150", "value >= 150", "2024-01-01", "2024-01-02"),
 }
 
-MERGED_ORDERS = """WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey % 3 <> 0),
-    s AS (SELECT o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1000 AS o_totalprice FROM orders
-        WHERE o_orderkey % 2 = 0)
+MERGED_ORDERS = """WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders),
+    s AS (SELECT o_orderkey + 1000 AS o_orderkey, o_custkey, 'X' AS o_orderstatus, o_totalprice + 1000 AS o_totalprice
+        FROM orders)
     SELECT coalesce(t.o_orderkey, s.o_orderkey) AS o_orderkey,
         CASE WHEN t.o_orderkey IS NULL THEN s.o_custkey ELSE t.o_custkey END AS o_custkey,
         CASE WHEN t.o_orderkey IS NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,

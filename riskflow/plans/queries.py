@@ -16,6 +16,7 @@ from riskflow.operators.pymodel import score_with
 from riskflow.plans.inputs import (
     BY_EVENT,
     BY_USER,
+    BY_USER_TYPE,
     TARGET,
     evaluated_events,
     exam_messages,
@@ -270,10 +271,14 @@ ORDER_SCHEMA = (
 
 
 def _order_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    orders = table(spark, sf_dir, "orders").select(*ORDER_SCHEMA.names)
-    target = orders.where(F.col("o_orderkey") % 3 != 0)
-    source = orders.where(F.col("o_orderkey") % 2 == 0).withColumns(
-        {"o_totalprice": F.col("o_totalprice") + 1000, "o_orderstatus": F.lit("X")}
+    """All orders, and changes to them whose keys lie 1000 higher: most match, the top ones are new."""
+    target = table(spark, sf_dir, "orders").select(*ORDER_SCHEMA.names)
+    source = target.withColumns(
+        {
+            "o_orderkey": F.col("o_orderkey") + 1000,
+            "o_totalprice": F.col("o_totalprice") + 1000,
+            "o_orderstatus": F.lit("X"),
+        }
     )
     return target, source
 
@@ -622,17 +627,18 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The batch form: latest record per patient, scored and merged into an older table."""
-    records = exam_records(spark, sf_dir, BY_USER, "event_id", "user_id")
+    """The batch form: small events scored first, large ones merged in later, by patient and type."""
+    records = exam_records(spark, sf_dir, BY_USER_TYPE, "event_id", "value")
     scorer = python_scorer(logistic_model())
 
-    def scored(half: Column, as_of: str) -> DataFrame:
-        rows = score_records(records.where(half), scorer, as_of, keep=["event_id"])
+    def scored(part: Column, as_of: str) -> DataFrame:
+        rows = score_records(records.where(part), scorer, as_of, keep=["event_id"])
         return merge.latest_per_key(rows, KEY, ["event_id"]).drop("event_id")
 
-    even = F.col("event_id") % 2 == 0
-    merged = merge.merge(scored(even, "2024-01-01"), scored(~even & (F.col("user_id") % 3 != 0), AS_OF))
-    return rounded(merged, "probabilidade_Nao", "probabilidade_Sim")
+    large = F.col("value") >= 150
+    return rounded(
+        merge.merge(scored(~large, "2024-01-01"), scored(large, AS_OF)), "probabilidade_Nao", "probabilidade_Sim"
+    )
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,12 +20,12 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
-            "spark.checkpoint.dir": str(place / "checkpoints"),
             "spark.sql.warehouse.dir": str(place / "warehouse"),
         },
     )
     session.sparkContext.setLogLevel("ERROR")
-    session.sparkContext.setCheckpointDir(str(place / "checkpoints"))
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.sparkContext.setCheckpointDir(str(place / "checkpoints"))
     yield session
     session.stop()
 

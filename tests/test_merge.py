@@ -116,6 +116,15 @@ def test_rewritten_buckets_are_one_file_each(spark, place):
     assert files_per_bucket(table) == {f"bucket={b}": 1 for b in range(8)}
 
 
+def test_tasks_hold_whole_buckets(spark, place):
+    table = keyed(spark, place, buckets=60)
+    assert [table._tasks(n) for n in (1, 2, 3, 4, 15, 60)] == [4, 10, 12, 20, 60, 60]
+    many = [{KEY: f"k{i}"} for i in range(300)]
+    table.upsert(rows(spark, *many))
+    table.upsert(rows(spark, *many[:3]))
+    assert set(files_per_bucket(table).values()) == {1} and table.read().count() == 300
+
+
 def test_untouched_buckets_keep_their_files(spark, place):
     table = keyed(spark, place, buckets=8)
     table.upsert(rows(spark, *[{KEY: f"k{i}"} for i in range(100)]))
