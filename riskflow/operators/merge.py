@@ -111,7 +111,7 @@ class KeyedTable:
 
     def read(self) -> DataFrame:
         """All rows, in table column order, without the bucket."""
-        return self._stored().select(*self.schema.names)
+        return self._rows(self.path).select(*self.schema.names)
 
     def upsert(
         self,
@@ -136,64 +136,65 @@ class KeyedTable:
             return plan["counts"]
         self._settle(files)
         batch = latest_per_key(source, self.key, order_by, on_duplicate)
-        batch = batch.select(*self.schema.names).withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-        batch.persist()
-        try:
-            plan = self._prepare(files, batch, stage)
-        finally:
-            batch.unpersist()
+        typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
+        plan = self._prepare(files, typed, stage)
         if plan is None:
+            files.delete(stage)
             return {"rows": 0, "rewritten": 0, "appended": 0}
         files.write_text(plan_file, json.dumps(plan))
         self._publish(files, stage, plan)
         return plan["counts"]
 
     def _prepare(self, files: Files, batch: DataFrame, stage: str) -> dict[str, Any] | None:
-        """Write the new files into the stage; None for a batch without rows."""
-        touched = batch.groupBy(BUCKET).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.octet_length(F.col(self.key).cast("string"))).alias("bytes"),
-        ).collect()
+        """Write the new files into the stage; None for a batch without rows.
+
+        The batch is written first, in the table's layout: it is computed once, is
+        safe from lost executors, and where no key is stored yet its files are final.
+        """
+        staged = f"{stage}/batch"
+        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        bucketed = batch.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
+        self._write(bucketed.repartition(self._tasks(width), self.key), staged)
+        touched = [int(n.partition("=")[2]) for n in files.names(staged) if n.startswith(f"{BUCKET}=")]
         if not touched:
             return None
-        rows = sum(r["rows"] for r in touched)
-        key_bytes = sum(r["bytes"] for r in touched) + 32 * rows
+        size = self._rows(staged).agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.sum(F.octet_length(F.col(self.key).cast("string")) + 32).alias("key_bytes"),
+        ).first()
         known = set(files.names(self.path))
-        old = [r[BUCKET] for r in touched if f"{BUCKET}={r[BUCKET]}" in known]
-        present = {r[BUCKET]: r for r in self._match(old, batch, key_bytes).collect()} if old else {}
-        rewrite = sorted(b for b, r in present.items() if r["matched"] > 0 or r["files"] >= self.max_files)
-        append = sorted({r[BUCKET] for r in touched} - set(rewrite))
+        old = [b for b in touched if f"{BUCKET}={b}" in known]
+        found = self._match(old, staged, size["key_bytes"]).collect() if old else []
+        rewrite = sorted(r[BUCKET] for r in found if r["matched"] > 0 or r["files"] >= self.max_files)
+        append = sorted(set(touched) - set(rewrite))
         if rewrite:
-            tasks = self._tasks(len(rewrite))
+            tasks = self._tasks(4 * len(rewrite))
             merged = merge(
-                self._stored(rewrite).repartition(tasks, self.key),
-                batch.where(F.col(BUCKET).isin(rewrite)).repartition(tasks, self.key),
+                self._rows(self.path, rewrite).repartition(tasks, self.key),
+                self._rows(staged, rewrite).repartition(tasks, self.key),
                 self.key,
                 self.refreshed,
             )
             self._write(merged, f"{stage}/rewrite")
-        if append:
-            chosen = batch.where(F.col(BUCKET).isin(append))
-            self._write(chosen.repartition(self._tasks(len(append)), self.key), f"{stage}/append")
-        counts = {"rows": rows, "rewritten": len(rewrite), "appended": len(append)}
+        counts = {"rows": size["rows"], "rewritten": len(rewrite), "appended": len(append)}
         return {"rewrite": rewrite, "append": append, "counts": counts}
 
-    def _tasks(self, chosen: int) -> int:
-        """Tasks for writing some of the buckets: a divisor of the bucket count, so that
-        a bucket never spans tasks, and large enough that few tasks get several."""
-        enough = min(self.buckets, 4 * chosen)
-        return next(n for n in range(enough, self.buckets + 1) if self.buckets % n == 0)
+    def _tasks(self, wanted: int) -> int:
+        """At least `wanted` tasks, if there are as many buckets: a divisor of the bucket
+        count, so that no bucket spans tasks and each gets one file."""
+        return next(n for n in range(min(self.buckets, wanted), self.buckets + 1) if self.buckets % n == 0)
 
-    def _match(self, buckets: Sequence[int], batch: DataFrame, key_bytes: int) -> DataFrame:
+    def _match(self, buckets: Sequence[int], staged: str, key_bytes: int) -> DataFrame:
         """Per stored bucket, how many batch keys it holds and how many files it has.
 
         Reads the key column only. The batch's keys are broadcast when their
         measured size allows it, else the join shuffles.
         """
+        batch = self._rows(staged, buckets)
         keys = batch.select(F.col(self.key).alias("_key"), F.lit(1).alias("_hit"))
         if key_bytes <= self.broadcast_bytes:
             keys = F.broadcast(keys)
-        current = self._stored(buckets).select(BUCKET, self.key, F.col("_metadata.file_path").alias("_file"))
+        current = self._rows(self.path, buckets).select(BUCKET, self.key, F.col("_metadata.file_path").alias("_file"))
         per_file = (
             current.join(keys, current[self.key] == keys["_key"], "left_outer")
             .groupBy(BUCKET, "_file")
@@ -209,7 +210,7 @@ class KeyedTable:
                 files.move(source, target)
 
         def add(bucket: int) -> None:
-            source, target = f"{stage}/append/{BUCKET}={bucket}", f"{self.path}/{BUCKET}={bucket}"
+            source, target = f"{stage}/batch/{BUCKET}={bucket}", f"{self.path}/{BUCKET}={bucket}"
             names = files.names(source)
             if names:
                 files.make_dir(target)
@@ -231,13 +232,13 @@ class KeyedTable:
                     self._publish(files, stage, json.loads(files.read_text(f"{stage}/plan.json")))
                 files.delete(stage)
 
-    def _stored(self, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Stored rows with their bucket; given buckets, only their folders are listed."""
+    def _rows(self, path: str, buckets: Sequence[int] | None = None) -> DataFrame:
+        """Rows under a path with their bucket; given buckets, only their folders are listed."""
         layout = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
         reader = self.spark.read.schema(layout)
         if buckets is None:
-            return reader.parquet(self.path)
-        return reader.option("basePath", self.path).parquet(*[f"{self.path}/{BUCKET}={b}" for b in buckets])
+            return reader.parquet(path)
+        return reader.option("basePath", path).parquet(*[f"{path}/{BUCKET}={b}" for b in buckets])
 
     def _write(self, df: DataFrame, path: str) -> None:
         df.write.partitionBy(BUCKET).parquet(path)

@@ -128,7 +128,7 @@ def test_replayed_batch_after_a_crash(stream, monkeypatch):
     real, moved = Files.move, []
 
     def move(self, source, target):
-        if "/append/" in source:
+        if "/batch/" in source:
             moved.append(source)
             if len(moved) > 1:
                 raise OSError("lost")
