@@ -8,18 +8,19 @@ from typing import Any, Callable, Iterator, Sequence
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskflow.schemas import OUTPUTS, quoted
 
 MAX_BROADCAST = 512 << 20
+SCORES = T.StructType([T.StructField(name, kind) for name, kind in zip(OUTPUTS, (T.IntegerType(), T.DoubleType(), T.DoubleType()))])
 
 
 def score_with(
     df: DataFrame,
     model: Any,
     features: Sequence[str],
-    keep: Sequence[str],
     max_bytes: int = MAX_BROADCAST,
 ) -> DataFrame:
     """Append class and probabilities of a pickled model sent to each executor once.
@@ -30,41 +31,27 @@ def score_with(
     if len(pickled) > max_bytes:
         raise ValueError(f"model of {len(pickled)} bytes is too large to broadcast: use score_from")
     shared = df.sparkSession.sparkContext.broadcast(pickled)
-    return _score(df, lambda: pickle.loads(shared.value), features, keep)
+    return _score(df, lambda: pickle.loads(shared.value), features)
 
 
-def score_from(
-    df: DataFrame,
-    load: Callable[[], Any],
-    features: Sequence[str],
-    keep: Sequence[str],
-) -> DataFrame:
+def score_from(df: DataFrame, load: Callable[[], Any], features: Sequence[str]) -> DataFrame:
     """Append class and probabilities of a model each task loads once, from a shared path."""
-    return _score(df, load, features, keep)
+    return _score(df, load, features)
 
 
-def _score(df: DataFrame, get: Callable[[], Any], features: Sequence[str], keep: Sequence[str]) -> DataFrame:
-    inputs, kept = list(features), list(keep)
+def _score(df: DataFrame, get: Callable[[], Any], features: Sequence[str]) -> DataFrame:
+    """Only the inputs go to Python, in Arrow batches; all other columns stay in the JVM."""
     outcome, negative, positive = OUTPUTS
-    columns = list(dict.fromkeys([*kept, *inputs]))
+    kept = [quoted(c) for c in df.columns if c not in OUTPUTS]
 
+    @F.pandas_udf(SCORES)
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = get()
-        for batch in batches:
-            scored = batch[kept].copy()
-            both = model.predict_proba(batch[inputs])
-            scored[outcome] = model.predict(batch[inputs])
-            scored[negative] = both[:, 0]
-            scored[positive] = both[:, 1]
-            yield scored
-
-    fields = {f.name: f for f in df.schema}
-    schema = T.StructType(
-        [T.StructField(c, fields[c].dataType) for c in kept]
-        + [
-            T.StructField(outcome, T.IntegerType()),
-            T.StructField(negative, T.DoubleType()),
-            T.StructField(positive, T.DoubleType()),
-        ]
-    )
-    return df.select(*[quoted(c) for c in columns]).mapInPandas(run, schema)
+        for inputs in batches:
+            both = model.predict_proba(inputs)
+            yield pd.DataFrame(
+                {outcome: model.predict(inputs), negative: both[:, 0], positive: both[:, 1]}
+            )
+
+    inputs = F.struct(*[quoted(c) for c in features])
+    return df.select(*kept, run(inputs).alias("_scores")).select(*kept, "_scores.*")

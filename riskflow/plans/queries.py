@@ -31,6 +31,7 @@ from riskflow.schemas import (
     FEATURES,
     KEY,
     LABEL,
+    OUTPUTS,
     TRAINING_NAMES,
     CodeTable,
     quoted,
@@ -574,7 +575,7 @@ def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def udf_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A Python model as a table function."""
     features = encode.exam_features(exam_records(spark, sf_dir))
-    scored = score_with(features, logistic_model(), FEATURES, [KEY])
+    scored = score_with(features, logistic_model(), FEATURES).select(KEY, *OUTPUTS)
     return rounded(scored, "probabilidade_Nao", "probabilidade_Sim")
 
 

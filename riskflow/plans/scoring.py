@@ -13,7 +13,7 @@ from riskflow.functions.bodies import expand_bodies
 from riskflow.operators.encode import positive, with_indicators, with_load_date, with_placeholders
 from riskflow.operators.forest import score
 from riskflow.operators.pymodel import score_with
-from riskflow.schemas import EVENT_SCHEMA, FEATURES, KEY, OUTPUTS, check_signature
+from riskflow.schemas import EVENT_SCHEMA, FEATURES, KEY, check_signature
 
 Scorer = Callable[[DataFrame], DataFrame]
 
@@ -30,13 +30,8 @@ def model_scorer(model: Model, signature: T.StructType | None = None) -> Scorer:
 
 
 def python_scorer(model: object, features: Sequence[str] = FEATURES) -> Scorer:
-    """Score with any Python model, keeping the frame's other columns."""
-
-    def run(frame: DataFrame) -> DataFrame:
-        kept = [c for c in frame.columns if c not in OUTPUTS]
-        return score_with(frame, model, features, kept)
-
-    return run
+    """Score with any Python model."""
+    return lambda frame: score_with(frame, model, features)
 
 
 def score_records(

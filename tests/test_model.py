@@ -99,11 +99,16 @@ def test_load_date_defaults_to_today(spark, model):
 
 
 def test_python_model_from_broadcast_and_from_path(spark, features):
-    shared = score_with(features, logistic_model(), FEATURES, [KEY])
-    loaded = score_from(features, logistic_model, FEATURES, [KEY])
+    shared = score_with(features, logistic_model(), FEATURES)
+    loaded = score_from(features, logistic_model, FEATURES)
     assert sorted(shared.collect()) == sorted(loaded.collect())
     with pytest.raises(ValueError, match="score_from"):
-        score_with(features, logistic_model(), FEATURES, [KEY], max_bytes=10)
+        score_with(features, logistic_model(), FEATURES, max_bytes=10)
+
+
+def test_python_model_is_called_once_per_row(features):
+    plan = score_with(features, logistic_model(), FEATURES)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("run(") == 1 and "Exchange" not in plan
 
 
 def test_python_model_values(spark, features):
