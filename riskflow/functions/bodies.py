@@ -17,9 +17,13 @@ def parse_body(body: Column, schema: T.StructType) -> Column:
 
 
 def expand_bodies(df: DataFrame, schema: T.StructType, body: str = "body") -> DataFrame:
-    """Replace the body by its fields; other columns, such as offsets, stay."""
+    """Replace the body by its fields; other columns, such as offsets, stay.
+
+    The struct is expanded by `inline`, not by `select("body.*")`: filters on the
+    fields are not pushed below it, where each would parse the message again.
+    """
     others = [c for c in df.columns if c != body]
-    return df.select(*others, parse_body(F.col(body), schema).alias(body)).select(*others, f"{body}.*")
+    return df.select(*others, F.inline(F.array(parse_body(F.col(body), schema))))
 
 
 def as_body(df: DataFrame, body: str = "body") -> DataFrame:

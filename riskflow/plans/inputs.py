@@ -67,11 +67,11 @@ def exam_records(spark: SparkSession, sf_dir: str, key: str = BY_EVENT, *extra:
     return table(spark, sf_dir, "events").selectExpr(f"{key} AS {KEY}", *exam_columns(), *extra)
 
 
-def exam_messages(spark: SparkSession, sf_dir: str, key: str = BY_USER) -> DataFrame:
-    """(event_id, body): every event as a binary JSON message."""
-    records = exam_records(spark, sf_dir, key, "event_id")
-    fields = F.struct(*[c for c in records.columns if c != "event_id"])
-    return records.select("event_id", F.to_json(fields).cast("binary").alias("body"))
+def exam_messages(spark: SparkSession, sf_dir: str, key: str = BY_USER, *extra: str) -> DataFrame:
+    """(event_id, body): every event as a binary JSON message, with further event columns."""
+    records = exam_records(spark, sf_dir, key, "event_id", *extra)
+    fields = F.struct(KEY, *[name for name, _ in EXAM_COLUMNS])
+    return records.select("event_id", *extra, F.to_json(fields).cast("binary").alias("body"))
 
 
 def evaluated_events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:

@@ -323,7 +323,7 @@ ORACLES = {
     "score_messages": f"""WITH {scored(BY_EVENT)} SELECT "pacienteId", {RAW},
         CAST(CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS INT) AS resultado, round(1 - p1, 6) AS "probabilidade_Nao",
         round(p1, 6) AS "probabilidade_Sim", '2024-01-02' AS data FROM scored""",
-    "stream_upsert": merged(BY_USER, "event_id % 2 = 0", "event_id % 2 = 1", "2024-01-02", "2024-01-02"),
+    "stream_upsert": merged(BY_USER, "value < 50", "value >= 50", "2024-01-02", "2024-01-02"),
     "score_upsert": merged(BY_USER_TYPE, "value < 150", "value >= 150", "2024-01-01", "2024-01-02"),
 }
 

@@ -609,20 +609,20 @@ def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Messages in two files, streamed one file per batch into the result table."""
+    """Messages streamed into the result table: small events, then, after a restart, large ones."""
     place = scratch_dir(spark, "stream")
-    messages = exam_messages(spark, sf_dir)
-    for half in (0, 1):
-        part = messages.where(F.col("event_id") % 2 == half)
-        part.coalesce(1).write.mode("append").parquet(f"{place}/in")
+    messages = exam_messages(spark, sf_dir, BY_USER, "value")
     stored = merge.KeyedTable(spark, f"{place}/table", 8).create()
-    stream = open_stream(
-        spark, "parquet", {"maxFilesPerTrigger": "1"}, f"{place}/in", keep=["event_id"], schema=messages.schema
-    )
-    running = start_scoring(
-        stream, stored, python_scorer(logistic_model()), f"{place}/checkpoint", AS_OF, availableNow=True
-    )
-    running.awaitTermination()
+    large = F.col("value") >= 50
+    for part in (~large, large):
+        messages.where(part).drop("value").write.mode("append").parquet(f"{place}/in")
+        stream = open_stream(
+            spark, "parquet", {}, f"{place}/in", keep=["event_id"], schema=messages.drop("value").schema
+        )
+        running = start_scoring(
+            stream, stored, python_scorer(logistic_model()), f"{place}/checkpoint", AS_OF, availableNow=True
+        )
+        running.awaitTermination()
     return rounded(stored.read(), "probabilidade_Nao", "probabilidade_Sim")
 
 

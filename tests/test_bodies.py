@@ -32,6 +32,14 @@ def test_accepted_conversions(spark):
     assert row[KEY] == "7" and row["st_depression"] == 3.0 and "other" not in row
 
 
+def test_messages_are_parsed_once(spark, place):
+    messages(spark, [body()]).write.parquet(f"{place}/in")
+    rows = expand_bodies(spark.read.parquet(f"{place}/in"), EVENT_SCHEMA)
+    kept = rows.where((F.col("age") > 0) & F.col(KEY).isNotNull())
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1
+
+
 def test_null_fields_are_left_out(spark):
     text = as_body(spark.createDataFrame([(1, None)], "a int, b string")).first()["body"]
     assert json.loads(text) == {"a": 1}
