@@ -7,6 +7,7 @@ its own task, and the totals of the ranges before it are added.
 
 from __future__ import annotations
 
+import math
 from typing import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -41,7 +42,7 @@ def cut_points(
         return []
     cuts = found["cuts"]
     chosen = {cuts[min(len(cuts), round(i * max_ranges / ranges)) - 1] for i in range(1, ranges)}
-    return sorted(chosen)
+    return sorted(c for c in chosen if math.isfinite(c))
 
 
 def in_ranges(df: DataFrame, value: str, cuts: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
