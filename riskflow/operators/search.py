@@ -20,6 +20,7 @@ from riskflow.operators.metrics import evaluate, score_counts
 from riskflow.operators.ranking import best_candidate, fold_summary, rank_candidates, top_candidates
 from riskflow.operators.split import balanced_weight, with_folds
 from riskflow.schemas import FEATURES, LABEL
+from riskflow.sources.runs import RunLog
 from riskflow.storage import Files
 
 # The levels searched.
@@ -137,6 +138,33 @@ def grid_search(
     return SearchResult(list(candidates), fold_metrics, summary, ranks, best["candidate"], best["mean"], model)
 
 
+def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1", children: int = 5) -> None:
+    """Log the best parameters and score, and the top candidates as child runs `<run_id>/<candidate>`."""
+    runs.log_params(run_id, found.best_params().as_row())
+    runs.log_metrics(run_id, {"best score": found.best_score})
+    top = [r["candidate"] for r in found.top(metric, children).collect()]
+    for candidate in top:
+        runs.log_params(f"{run_id}/{candidate}", {**found.candidates[candidate].as_row(), "parent": run_id})
+    child = F.concat(F.lit(f"{run_id}/"), F.col("candidate").cast("string")).alias("run_id")
+    is_time = F.col("metric").endswith("_time")
+    name = F.when(is_time, F.col("metric")).otherwise(F.concat_ws("_", "split", "metric"))
+    chosen = F.col("candidate").isin(top)
+    values = found.summary.where(chosen).select(
+        child,
+        F.explode(
+            F.create_map(
+                F.concat(F.lit("mean_"), name), F.col("mean"), F.concat(F.lit("std_"), name), F.col("std")
+            )
+        ).alias("metric", "value"),
+    )
+    ranks = found.ranks.where(chosen & ~is_time).select(
+        child, F.concat(F.lit("rank_test_"), "metric").alias("metric"), F.col("rank").cast("double").alias("value")
+    )
+    now = F.lit(int(time.time() * 1000))
+    rows = values.unionByName(ranks).withColumns({"ts": now, "step": F.lit(0).cast("long")})
+    runs.append_metrics(rows)
+
+
 def _fold_metrics(spark: SparkSession, work_dir: str) -> DataFrame:
     """Long table (candidate, fold, split, metric, value), written once."""
     by = ("candidate", "fold", "split")

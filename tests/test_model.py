@@ -178,6 +178,16 @@ def test_search_resumes_and_refits(spark, features, place, monkeypatch):
     assert found.best_params() == grid[found.best]
     assert found.top("f1", 2).count() == 2
     assert {r["split"] for r in found.summary.select("split").distinct().collect()} == {"train", "test"}
+    runs = RunLog(spark, f"{place}/runs")
+    search.log_search(found, runs, "s", children=2)
+    params = {(r["run_id"], r["param"]): r["value"] for r in runs.params().collect()}
+    assert params["s", "trees"] == str(found.best_params().trees)
+    assert params[f"s/{found.best}", "parent"] == "s"
+    logged = {(r["run_id"], r["metric"]): r["value"] for r in runs.metrics().collect()}
+    assert logged["s", "best score"] == logged[f"s/{found.best}", "mean_test_f1"] == found.best_score
+    assert logged[f"s/{found.best}", "rank_test_f1"] == 1.0
+    assert len({run for run, _ in logged}) == 3
+    assert {"std_train_roc_auc", "mean_fit_time", "rank_test_neg_log_loss"} <= {m for _, m in logged}
     # A second start on the same folder fits nothing but the refit.
     fits = []
     real = search.forest
