@@ -6,17 +6,38 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import simhash_dedup
+from riskflow.llm import decontamination, language_id, piece_sampling, pieces, secret_scan, simhash_dedup
 from riskflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return secret_scan.scan(docs, secret_scan.train(docs))
+
+
+def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_sampling.encode(table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
 REGISTERED: dict[str, Query] = {
+    "op1_decontamination": op1_decontamination,
+    "op3_language_id": op3_language_id,
+    "op5_secret_scan": op5_secret_scan,
+    "op8_piece_sampling": op8_piece_sampling,
     "op9_simhash": op9_simhash,
 }
 ORACLES: dict[str, str] = {}
