@@ -1,4 +1,9 @@
-"""A corpus pipeline: each stage is written as Parquet and reread as the next one's input."""
+"""A corpus pipeline: each stage is written as Parquet and reread as the next one's input.
+
+language ID drops documents in no known language, near-duplicate search keeps one
+document of each group, decontamination drops those that hold a benchmark item, secrets
+are masked, and what is left is cut into pieces.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +13,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import stored, table
+from riskflow.llm.decontamination import without_leaks
+from riskflow.llm.language_id import UNKNOWN, identified
+from riskflow.llm.piece_sampling import encode
+from riskflow.llm.secret_scan import redact, train
 from riskflow.llm.simhash_dedup import near_duplicates
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+LEAST_SCORE = 0.25  # of a document's match with the nearest language profile
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter and those far from every language's profile."""
+    found = identified(docs.select(*COLUMNS))
+    return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
+
+
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document whose id names its group; one row of those that repeat it.
 
@@ -26,8 +42,29 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return kept.select(*COLUMNS).union(docs.where("doc_id IS NULL").select(*COLUMNS))
 
 
+def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents in which a benchmark item occurs."""
+    return without_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
+
+
+def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Mask secrets; n_chars follows the text."""
+    masked = redact(docs.select(*COLUMNS), train(docs))
+    size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.withColumn("n_chars", size)
+
+
+def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id and piece_ids, from which the text can be decoded without loss."""
+    return encode(docs)
+
+
 STAGES: list[tuple[str, Stage]] = [
+    ("language_id", in_known_language),
     ("simhash_dedup", one_of_each_group),
+    ("decontamination", without_benchmarks),
+    ("secret_scan", without_secrets),
+    ("piece_sampling", in_pieces),
 ]
 ORACLE_SQL = None
 

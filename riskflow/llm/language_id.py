@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.llm.common import Batches, map_rows, remainder
 
@@ -143,23 +144,24 @@ def train(labelled: DataFrame, lang: str = "lang", text: str = "text", top: int
     return Profiles({k: [g for _, g in sorted(v)] for k, v in found.items()}, top)
 
 
-def predict(docs: DataFrame, profiles: Profiles, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns `key`, lang_pred and score for every row, from the text alone.
+def predict(docs: DataFrame, profiles: Profiles, text: str = "text", lang_pred: str = "lang_pred", score: str = "score") -> DataFrame:
+    """All rows and columns of `docs` with lang_pred and score, from the text alone;
+    columns that had these names are replaced.
 
     NULL texts and those without a letter get "und" with score 0, as all texts do when
     no language was learned. The profiles (a few kB a language) go to every task.
     """
+    kept = [c for c in docs.columns if c not in (lang_pred, score)]
+    plain, place = docs.select(*kept), kept.index(text)
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [profiles.predict(t.as_py()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
-                ["key", "lang_pred", "score"],
-            )
+            found = [profiles.predict(t.as_py()) for t in batch.column(place)]
+            added = [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *added], [*kept, lang_pred, score])
 
-    kind = docs.schema[key].dataType.simpleString()
-    return map_rows(docs.select(key, text), rows, f"key {kind}, lang_pred string, score double").withColumnRenamed("key", key)
+    schema = T.StructType([*plain.schema.fields, T.StructField(lang_pred, T.StringType()), T.StructField(score, T.DoubleType())])
+    return map_rows(plain, rows, schema)
 
 
 def held_out(key: Column, folds: int = 3, fold: int = 1) -> Column:
@@ -167,10 +169,16 @@ def held_out(key: Column, folds: int = 3, fold: int = 1) -> Column:
     return F.coalesce(remainder(key, folds) == fold, F.lit(False))
 
 
+def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
+    """All rows and columns with lang_pred and score: learned from the rows that are not
+    held out and have a language, predicted for all rows."""
+    return predict(docs, train(docs.where(~held_out(F.col(key))), lang, text), text)
+
+
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Columns doc_id, held_out, lang_pred, score: learned from the rows that are not
-    held out and have a language, predicted for all rows. Repeated rows count and are
-    predicted one by one; other columns are ignored."""
-    profiles = train(docs.where(~held_out(F.col(key))), lang, text)
-    found = predict(docs, profiles, key, text)
-    return found.select(F.col(key).alias("doc_id"), held_out(F.col(key)).alias("held_out"), "lang_pred", "score")
+    """Columns doc_id, held_out, lang_pred, score, a row per row of `docs`. Repeated rows
+    count and are predicted one by one; other columns are ignored."""
+    plain = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    profiles = train(plain.where(~held_out(F.col("doc_id"))))
+    found = predict(plain.select("doc_id", "text"), profiles)
+    return found.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")

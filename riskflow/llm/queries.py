@@ -6,7 +6,18 @@ from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from riskflow.llm import decontamination, language_id, piece_sampling, pieces, secret_scan, simhash_dedup
+from riskflow.llm import (
+    decontamination,
+    language_id,
+    lattice_lm,
+    line_dedup,
+    piece_sampling,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    url_filter,
+    warc_salvage,
+)
 from riskflow.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,15 +27,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """There is no table of listed URLs: the pages' own keys on certain hosts are the list."""
+    pages = table(spark, sf_dir, "pages")
+    return url_filter.judge(pages, url_filter.keys_of_names(pages))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_rules.judge(docs, quality_rules.plan(docs))
+
+
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.train(docs))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(table(spark, sf_dir, "documents"))
+
+
+def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_sampling.encode(table(spark, sf_dir, "documents"))
 
@@ -33,11 +63,141 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_salvage.round_trip(table(spark, sf_dir, "pages"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
+    "op2_url_filter": op2_url_filter,
     "op3_language_id": op3_language_id,
+    "op4_quality_rules": op4_quality_rules,
     "op5_secret_scan": op5_secret_scan,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_lattice_lm": op7_lattice_lm,
     "op8_piece_sampling": op8_piece_sampling,
     "op9_simhash": op9_simhash,
+    "op10_warc": op10_warc,
 }
+
 ORACLES: dict[str, str] = {}
+
+ORACLES["op2_url_filter"] = """
+WITH parted AS (
+    SELECT page_id,
+           translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path
+    FROM pages
+),
+judged AS (
+    SELECT *,
+           CASE WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/en/1%' THEN 'example.org/en/1'
+                WHEN (host = 'example.org' OR host LIKE '%.example.org') AND path LIKE '/es/%' THEN 'example.org/es/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/fr/%' THEN 'com/fr/'
+                WHEN (host = 'com' OR host LIKE '%.com') AND path LIKE '/de/%' THEN 'com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND path LIKE '/%' THEN 'org/' END AS rule,
+           list_has_any(string_split(host, '.'),
+                        ['adult-x', 'ads-track', 'casino-win', 'cheap-pills', 'free-bets', 'spam-farm']) AS listed
+    FROM parted
+)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('org/', 'com/fr/') THEN 'allow'
+            WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict,
+       listed
+FROM judged
+"""
+
+ORACLES["op4_quality_rules"] = r"""
+WITH listed AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM documents),
+words AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS place FROM listed),
+windows AS (
+    SELECT doc_id, place,
+           [word, lead(word) OVER by_place, lead(word, 2) OVER by_place] AS three,
+           lead(word, 2) OVER by_place IS NOT NULL AS whole
+    FROM words WINDOW by_place AS (PARTITION BY doc_id ORDER BY place)
+),
+repeated AS (
+    SELECT doc_id, count(DISTINCT place + d) AS n_repeat_words
+    FROM (SELECT doc_id, place, count(*) OVER (PARTITION BY doc_id, three) AS n FROM windows WHERE whole),
+         (VALUES (0), (1), (2)) AS shift(d)
+    WHERE n > 1 GROUP BY doc_id
+),
+per_word AS (
+    SELECT doc_id, count(*) AS n_words, sum(length(word)) AS word_chars,
+           count(*) FILTER (regexp_matches(word, '[A-Za-z]|[^\x00-\x7F]')) AS n_letter_words
+    FROM words GROUP BY doc_id
+),
+lines AS (
+    SELECT doc_id, count(*) AS n_lines, count(*) - count(DISTINCT line) AS n_dup_lines
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)
+    WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY doc_id
+),
+per_text AS (
+    SELECT doc_id,
+           length(coalesce(text, '')) - length(translate(coalesce(text, ''), '#*$%&|<>', '')) AS n_symbols,
+           length(regexp_replace(coalesce(text, ''), '[^A-Z]', '', 'g')) AS n_capitals,
+           length(regexp_replace(coalesce(text, ''), '[^a-z]', '', 'g')) AS n_small
+    FROM documents
+),
+figures AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars, n_symbols,
+           coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+           coalesce(n_lines, 0) AS n_lines, coalesce(n_letter_words, 0) AS n_letter_words, n_capitals, n_small
+    FROM per_text LEFT JOIN per_word USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+),
+based AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM figures)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+       n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+       NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 15 * n_words OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 3 * n_lines OR 10 * n_letter_words < 8 * n_words OR n_capitals > n_small
+            OR 10 * n_repeat_words > 3 * n_words) AS kept
+FROM based
+"""
+
+ORACLES["op6_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+units AS (
+    SELECT doc_id, unnest(lines) AS unit, unnest(range(len(lines))) AS place FROM split
+),
+placed AS (
+    SELECT *, place + coalesce(sum(length(unit)) OVER (
+                  PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+           trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~',
+                                         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS form
+    FROM units
+),
+ranked AS (
+    SELECT *, len(string_split(form, ' ')) >= 5
+              AND row_number() OVER (PARTITION BY form ORDER BY doc_id, place) > 1 AS gone
+    FROM placed
+)
+SELECT doc_id,
+       coalesce(string_agg(unit, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text,
+       CASE WHEN first(d.text) = '' THEN 0 ELSE count(*) END AS n_units,
+       count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(start::BIGINT || '-' || (start + length(unit))::BIGINT, ',' ORDER BY place) FILTER (gone), '')
+           AS removed_spans
+FROM ranked JOIN (SELECT doc_id, text FROM documents) AS d USING (doc_id)
+GROUP BY doc_id
+"""
+
+ORACLES["op10_warc"] = """
+WITH plain AS (
+    SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hexed FROM pages
+),
+coded AS (
+    SELECT page_id, payload_bytes,
+           array_to_string(list_transform(range(32), lambda i:
+               substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                      (((('0x' || substr(hexed, 10 * (i // 8) + 1, 10))::BIGINT >> (35 - 5 * (i % 8))) & 31) + 1)::INT, 1)), '')
+               AS payload_digest
+    FROM plain
+),
+held AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS holder FROM coded)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
+       CASE WHEN page_id < holder THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < holder THEN holder END AS refers_to
+FROM held
+"""
