@@ -26,6 +26,7 @@ from riskflow.storage import scratch_dir
 VERSION = "WARC/1.1"
 END = "\r\n\r\n"
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
+MANDATORY = ("warc-type", "warc-record-id", "content-length")
 MAGIC = b"\x1f\x8b\x08"
 EMPTY_MEMBER = bytes.fromhex("1f8b080000000000000303000000000000000000")
 BASE32, DIGITS32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"
@@ -149,6 +150,8 @@ def parse_record(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
         if not colon:
             raise Damaged("header line")
         headers[name.decode("latin-1").strip().lower()] = value.decode("utf-8", "replace").strip()
+    if any(name not in headers for name in MANDATORY):
+        raise Damaged("header lacks a field")
     if not headers.get("content-length", "").isascii() or not headers.get("content-length", "").isdigit():
         raise Damaged("length")
     first = stop + 4

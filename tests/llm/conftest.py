@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import pytest
+
+DOCUMENT = "doc_id long, text string, lang string, source string, n_chars long"
+CLASHES = ("key", "row", "word", "fp", "hash", "seed", "score", "lang_pred", "component_id", "digest", "place", "kept", "spans", "host", "listed", "digest_")
+LONG = " ".join(f"word{i % 977} and{i % 13}\n" for i in range(40_000))
+
+
+def odd_rows() -> list[tuple]:
+    """NULLs everywhere, empty and very long texts, ties, repeated rows, odd characters."""
+    return [
+        (1, "the quick brown fox jumps over the lazy dog", "en", "a", 43),
+        (1, "the quick brown fox jumps over the lazy dog", "en", "a", 43),
+        (2, "the quick brown fox jumps over the lazy dog", "en", None, 43),
+        (3, None, "en", "a", None),
+        (4, "", "en", "a", 0),
+        (5, " \t\n\r ", None, "a", 5),
+        (6, LONG, "en", "a", len(LONG)),
+        (7, "▁ ▁x  İstanbul ΑΣ \x00 \U0001f600   \u0085e", "tr", "a", 3),
+        (None, "der schnelle braune fuchs springt", "de", "b", 33),
+        (None, None, None, None, None),
+        (8, "x" * 50_000, "en", "a", 50_000),
+        (9, "12345 67890", None, "a", 11),
+    ]
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """Such rows as documents, with more columns whose names operators use inside."""
+    from pyspark.sql import functions as F
+
+    docs = spark.createDataFrame(odd_rows(), DOCUMENT)
+    return docs.withColumns({name: F.lit("clash") for name in CLASHES})
+
+
+@pytest.fixture(scope="session")
+def none(spark):
+    return spark.createDataFrame([], DOCUMENT)
+
+
+def rows(df, *names: str) -> list[tuple]:
+    """Rows as tuples, NULLs first."""
+    found = df.select(*names) if names else df
+    return sorted((tuple(r) for r in found.collect()), key=lambda r: [(x is not None, x if x is not None else 0) for x in r])

@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from riskflow.llm import decontamination as op
+from tests.llm.conftest import DOCUMENT, rows
+
+ITEM = "What is the capital of the country that lies to the north of the great lake?"
+ITEMS = "item_id long, text string"
+
+
+def plain_distance(pattern: str, text: str, anchored: bool = False) -> tuple[int, int]:
+    """Least distance of the pattern to a substring and its first end, by the full table."""
+    column = list(range(len(pattern) + 1))
+    best = (len(pattern), 0)
+    for j, c in enumerate(text, 1):
+        new = [j if anchored else 0]
+        for i, p in enumerate(pattern, 1):
+            new.append(min(new[i - 1] + 1, column[i] + 1, column[i - 1] + (p != c)))
+        column = new
+        best = min(best, (column[-1], j))
+    return best
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text("abc", min_size=1, max_size=70), st.text("abcd", max_size=120), st.booleans())
+def test_alignment(pattern, text, anchored):
+    assert op.align(op.masks_of(pattern), len(pattern), text, anchored) == plain_distance(pattern, text, anchored)
+
+
+def edited(text: str, edits: int, rng: random.Random) -> str:
+    for _ in range(edits):
+        at = rng.randrange(len(text))
+        text = rng.choice([text[:at] + text[at + 1 :], text[:at] + "q" + text[at:], text[:at] + "q" + text[at + 1 :]])
+    return text
+
+
+def test_every_budget_is_found():
+    """Up to the budget an edited item is found wherever it stands; its span is close."""
+    rng = random.Random(5)
+    items = op.Items([(7, ITEM)])
+    budget = items.budget[0]
+    assert budget == 6
+    for edits in range(budget + 1):
+        for _ in range(20):
+            inside = edited(ITEM, edits, rng).upper().replace(" ", "  \n")
+            text = "Before it, something. " + inside + " And after."
+            (match,) = items.matches(text)
+            wanted = plain_distance(op.normal(ITEM), op.normal(text))[0]
+            assert (match.item, match.distance) == (7, wanted) and wanted <= edits
+            assert abs(match.start - 22) <= 3 * budget and abs(match.end - 22 - len(inside)) <= 3 * budget
+    assert not items.matches("What is the capital of France and how large is the lake to the north of it, please?")
+
+
+def test_offsets_in_the_original():
+    text = "İİ  x\n" + ITEM.upper() + "\ny"
+    (match,) = op.Items([(1, ITEM)]).matches(text)
+    assert text[match.start : match.end] == ITEM.upper() and match.distance == 0
+
+
+def test_short_and_empty_items():
+    assert op.Items([(1, ""), (2, "too short")]).ids == []
+    assert op.Items([]).matches("any text") == []
+
+
+def test_leaks_and_filter(spark):
+    docs = spark.createDataFrame(
+        [(1, f"x {ITEM} y", "en", "s", 1), (2, "clean text", "en", "s", 1), (3, ITEM.lower().replace("great", "grat"), "en", "s", 1), (4, ITEM[:40], "en", "s", 1)],
+        DOCUMENT,
+    )
+    items = spark.createDataFrame([(10, ITEM), (11, ITEM), (12, None), (13, ITEM[::-1])], ITEMS)
+    expected = [(1, 10, 0, 2, 2 + len(ITEM)), (3, 10, 1, 0, len(ITEM) - 1)]
+    assert rows(op.leaks(docs, items)) == expected  # equal items come under the smaller id
+    assert rows(op.leaks(docs, items, block_bytes=20)) == expected  # in several passes
+    for size in (20, 1 << 20):
+        kept = op.without_leaks(docs, items, block_bytes=size)
+        assert kept.schema == docs.schema and [r[0] for r in rows(kept)] == [2, 4]
+
+
+def test_query_against_brute_force(spark):
+    """Every (document, item) pair of the smallest tables by the full distance table, where
+    a common run of letters makes one possible; all other pairs share too little."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    found = {(r.doc_id, r.item_id): r.distance for r in op.leaks(docs, items).collect()}
+    texts = [(r.doc_id, op.normal(r.text)) for r in docs.collect()]
+    expected = {}
+    for item in items.collect():
+        form = op.normal(item.text)
+        budget = int(op.ERROR_RATE * len(form))
+        step = len(form) // (budget + 1)
+        for doc_id, text in texts:
+            if any(form[i : i + step] in text for i in range(len(form) - step + 1)):
+                distance = op.align(op.masks_of(form), len(form), text)[0]
+                if distance <= budget:
+                    expected[doc_id, item.item_id] = distance
+    assert found == expected and len(found) > 0
+
+
+def test_odd_rows(spark, odd, none):
+    items = spark.createDataFrame([(None, ITEM), (1, "")], ITEMS)
+    assert rows(op.leaks(odd, items)) == []
+    assert op.without_leaks(odd, items).count() == odd.count()
+    assert op.leaks(none, items).count() == op.leaks(odd, spark.createDataFrame([], ITEMS)).count() == 0

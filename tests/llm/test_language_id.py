@@ -1,0 +1,97 @@
+from __future__ import annotations
+
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from riskflow.llm import language_id as op
+from tests.llm.conftest import DOCUMENT, rows
+
+
+def plain_grams(text: str) -> Counter:
+    """The same n-grams, one character at a time."""
+    padded = " " + "".join(c if c.isalpha() else " " for c in text.lower()) + " "
+    while "  " in padded:
+        padded = padded.replace("  ", " ")
+    found = Counter(c for c in padded if c != " ")
+    if not found:
+        return Counter()
+    found.update(padded[i : i + 2] for i in range(len(padded) - 1))
+    found.update(x for i in range(len(padded) - 2) if (x := padded[i : i + 3])[1] != " ")
+    return found
+
+
+def code(gram: str) -> int:
+    value = 0
+    for c in gram:
+        value = value << 21 | ord(c)
+    return value
+
+
+def plain_rank(counts: Counter) -> list[int]:
+    return [c for _, c in sorted((-n, code(g)) for g, n in counts.items())][: op.TOP]
+
+
+def test_grams_and_ranks():
+    for text in ("Hello, World! hello", "Straße 12 ñandú", "a", "  x--y  ", "\U0001f600 日本語", "İx"):
+        assert op.ranked(op.grams(text)).tolist() == plain_rank(plain_grams(text))
+    assert not len(op.grams("123 !?")) and not len(op.grams("")) and not len(op.grams(None))
+
+
+def test_against_brute_force(spark):
+    """Counts, profiles and distances on the smallest table, worked out in plain Python."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    found = {r.doc_id: r for r in op.identify(docs).collect()}
+    held = {r.doc_id: r.h for r in docs.select("doc_id", op.held_out(F.col("doc_id")).alias("h")).collect()}
+    counts: dict[str, Counter] = {}
+    texts = docs.select("doc_id", "text", "lang").collect()
+    for r in texts:
+        if not held[r.doc_id] and r.lang is not None:
+            counts.setdefault(r.lang, Counter()).update(plain_grams(r.text))
+    profiles = {lang: {g: i for i, g in enumerate(plain_rank(c))} for lang, c in counts.items()}
+    right = 0
+    for r in texts:
+        mine = plain_rank(plain_grams(r.text))
+        away = {lang: sum(abs(i - p[g]) if g in p else op.TOP for i, g in enumerate(mine)) for lang, p in profiles.items()}
+        best = min(sorted(away), key=away.get)
+        assert (found[r.doc_id].lang_pred, found[r.doc_id].held_out) == (best, held[r.doc_id])
+        assert abs(found[r.doc_id].score - (1 - away[best] / (op.TOP * len(mine)))) < 1e-12
+        right += held[r.doc_id] and best == r.lang
+    assert right >= 0.95 * sum(held.values())
+
+
+def test_held_out_fold(spark):
+    import zlib
+
+    found = spark.range(50).select("id", op.held_out(F.col("id")).alias("h")).collect()
+    assert all(r.h == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in found)
+
+
+def test_labels_are_no_input(spark, odd):
+    changed = odd.withColumn("lang", F.when(op.held_out(F.col("doc_id")), F.lit("xx")).otherwise(F.col("lang")))
+    assert rows(op.identify(odd)) == rows(op.identify(changed))
+
+
+def test_odd_rows(spark, odd, none):
+    found = rows(op.identify(odd), "doc_id", "lang_pred", "score")
+    assert len(found) == odd.count()
+    assert {(d, p, s) for d, p, s in found if d in (3, 4, 5, 9)} == {(d, "und", 0.0) for d in (3, 4, 5, 9)}
+    assert all(0 <= s <= 1 for _, _, s in found)
+    assert op.identify(none).count() == 0
+    unlabelled = spark.createDataFrame([(1, "some text", None, None, None)], DOCUMENT)
+    assert rows(op.identify(unlabelled), "lang_pred", "score") == [("und", 0.0)]
+
+
+def test_training_in_pieces(monkeypatch, spark, odd):
+    """Counts do not depend on how much a task holds."""
+    whole = rows(op.gram_counts(odd))
+    monkeypatch.setattr(op, "CHUNK", 10)
+    monkeypatch.setattr(op, "FLUSH", 20)
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pydict({"lang": [r.lang for r in odd.collect() if r.lang], "text": [r.text for r in odd.collect() if r.lang]})
+    totals: Counter = Counter()
+    for part in op._counted([batch]):
+        for lang, gram, n in zip(*(c.to_pylist() for c in part.columns)):
+            totals[lang, gram] += n
+    assert sorted((*k, n) for k, n in totals.items()) == whole

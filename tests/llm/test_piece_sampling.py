@@ -1,0 +1,72 @@
+from __future__ import annotations
+
+import math
+from collections import Counter
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from riskflow.llm import piece_sampling as op
+from riskflow.llm import pieces
+from tests.llm.conftest import DOCUMENT, rows
+from tests.llm.test_lattice_lm import segmentations, table_of
+
+VOCABULARY = pieces.load()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.characters(exclude_categories=["Cs"]) | st.sampled_from(" \n▁aé"), max_size=40), max_size=6), st.integers(0, 2**63))
+def test_round_trip(texts, seed):
+    sampler = op.Sampler(VOCABULARY)
+    seeds = np.arange(len(texts), dtype=np.uint64) + np.uint64(seed)
+    ids, sizes = op.encode_batch(sampler, texts, seeds)
+    ends = np.cumsum(sizes)
+    assert [op.decode(ids[e - n : e].tolist(), VOCABULARY) for e, n in zip(ends, sizes)] == texts
+    again, _ = op.encode_batch(op.Sampler(VOCABULARY), texts, seeds)
+    assert again.tolist() == ids.tolist()
+
+
+@pytest.mark.parametrize("word", [" retition", " ñandú", "\n", "  x"])
+def test_draws_follow_the_weights(word):
+    """Frequencies of whole segmentations against their share of the total weight."""
+    n = 20_000
+    sampler = op.Sampler(op.tempered(VOCABULARY, 1.5))
+    ids, steps = sampler.sample([word] * n, np.full(n, 5, np.uint64), np.arange(n))
+    ends = np.cumsum(steps)
+    seen = Counter(tuple(ids[e - k : e].tolist()) for e, k in zip(ends, steps))
+    every = list(segmentations(word, table_of(VOCABULARY), VOCABULARY))
+    weights = {s: math.exp(sum(VOCABULARY.logs[list(s)]) / 1.5) for s in every}
+    total = sum(weights.values())
+    assert set(seen) <= set(weights)
+    for s, w in weights.items():
+        p = w / total
+        assert abs(seen[s] / n - p) < 5 * math.sqrt(p * (1 - p) / n) + 1e-3
+
+
+def test_grouping_does_not_matter(monkeypatch):
+    texts = ["some words and more words " * 20, "", "others\n\n here"] * 3
+    seeds = np.arange(len(texts), dtype=np.uint64)
+    whole = op.encode_batch(op.Sampler(VOCABULARY), texts, seeds)
+    monkeypatch.setattr(op, "GROUP", 64)
+    monkeypatch.setattr(op, "HELD", 50)
+    parts = op.encode_batch(op.Sampler(VOCABULARY), texts, seeds)
+    assert all(a.tolist() == b.tolist() for a, b in zip(whole, parts))
+
+
+def test_query_round_trip(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    encoded = op.encode(docs)
+    assert rows(op.decoded(encoded)) == rows(docs, "doc_id", "text")
+    assert rows(encoded) == rows(op.encode(docs.repartition(7)))
+    assert rows(encoded) != rows(op.encode(docs, seed=op.SEED + 1))
+
+
+def test_odd_rows(spark, odd, none):
+    encoded = op.encode(odd)
+    assert rows(op.decoded(encoded)) == rows(odd, "doc_id", "text")
+    first, second = encoded.where("doc_id = 1").collect()
+    assert first == second and encoded.where("doc_id = 2").first().piece_ids != []
+    assert encoded.where("piece_ids IS NULL").count() == 2 and encoded.where("doc_id = 4").first().piece_ids == []
+    assert op.encode(none).count() == op.decoded(op.encode(none)).count() == 0

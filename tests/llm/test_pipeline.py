@@ -1,0 +1,77 @@
+from __future__ import annotations
+
+import pytest
+
+import corpus_pipeline
+from riskflow.llm import decontamination, language_id, piece_sampling, pieces, secret_scan, simhash_dedup
+from riskflow.llm.common import stored
+from tests.llm.conftest import rows
+
+SF_DIR = "/root/testdata/sf0.01"
+
+
+def test_stages():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_dedup", "decontamination", "secret_scan", "piece_sampling"]
+
+
+@pytest.fixture(scope="module")
+def outputs(spark):
+    """Documents before and after each stage."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    found = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        found.append(stored(stage(spark, found[-1], SF_DIR), name))
+    return found
+
+
+def test_every_stage_against_brute_force(spark, outputs):
+    docs, known, single, clean, masked, cut = outputs
+    for frame in (known, single, clean, masked):
+        assert tuple(frame.columns) == corpus_pipeline.COLUMNS
+    kept = {r.doc_id for r in language_id.identify(docs).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+    assert {r.doc_id for r in known.collect()} == kept
+
+    texts = {r.doc_id: r.text for r in known.collect()}
+    prints = {i: simhash_dedup.fingerprint(t) for i, t in texts.items()}
+    least: dict[int, int] = {i: i for i in texts}
+    moved = True
+    while moved:
+        moved = False
+        for a in texts:
+            for b in texts:
+                if (prints[a] ^ prints[b]).bit_count() <= 3 and least[b] > least[a]:
+                    least[b] = least[a]
+                    moved = True
+    assert sorted(r.doc_id for r in single.collect()) == sorted(i for i, c in least.items() if i == c)
+
+    items = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
+    search = decontamination.Items(items)
+    assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in single.collect() if not search.matches(r.text)}
+    assert clean.count() < single.count()
+
+    model = secret_scan.train(clean)
+    assert {r.doc_id: r.text for r in masked.collect()} == {r.doc_id: secret_scan.redacted(r.text, model) for r in clean.collect()}
+    assert all(r.n_chars == len(r.text) and "token = \"" + "0" not in r.text for r in masked.collect())
+
+    vocabulary = pieces.load()
+    assert {r.doc_id: piece_sampling.decode(r.piece_ids, vocabulary) for r in cut.collect()} == {r.doc_id: r.text for r in masked.collect()}
+
+
+def test_run_is_the_stages(spark, outputs):
+    assert rows(corpus_pipeline.run(spark, SF_DIR)) == rows(outputs[-1])
+
+
+def test_odd_rows(spark, odd, none):
+    """Each stage on its own; what has no text or no letter goes first."""
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, none, SF_DIR).count() == 0
+        found = stage(spark, odd, SF_DIR)
+        if name != "piece_sampling":
+            assert tuple(found.columns) == corpus_pipeline.COLUMNS
+        kept = sorted((i for (i,) in rows(found, "doc_id") if i is not None))
+        if name == "language_id":
+            assert not {3, 4, 5, 9} & set(kept)
+        elif name == "simhash_dedup":
+            assert kept == [1, 3, 6, 7, 8, 9] and found.where("doc_id IS NULL").count() == 2
+        else:
+            assert found.count() == odd.count()

@@ -1,0 +1,119 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from riskflow.llm import simhash_dedup as op
+from riskflow.llm.common import stored
+from riskflow.llm.components import components
+from tests.llm.conftest import DOCUMENT, rows
+
+
+def grouped(pairs, nodes):
+    parent = {n: n for n in nodes}
+
+    def root(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in pairs:
+        a, b = sorted((root(a), root(b)))
+        parent[b] = a
+    return {n: root(n) for n in nodes}
+
+
+def test_fingerprint_by_hand():
+    import xxhash
+
+    words = "a b c d e".split()
+    hashes = [xxhash.xxh64_intdigest(" ".join(words[i : i + 3]).encode(), 42) for i in range(3)]
+    expected = sum(1 << bit for bit in range(64) if sum(h >> bit & 1 for h in hashes) * 2 > 3)
+    assert op.fingerprint("A b\nC  d E") == expected
+    assert op.fingerprint("One two") == xxhash.xxh64_intdigest(b"one two", 42)
+    assert op.fingerprint(None) == op.fingerprint(" \n") == 0
+
+
+@pytest.mark.parametrize("order", [3, 4, 5])
+def test_anchors_cover(order):
+    """Words that differ in one bit or none share an anchor; there are at most 2^(order - 1)."""
+    size = (1 << order) - 1
+    rng = np.random.default_rng(order)
+    values = rng.integers(0, 1 << size, 200, dtype=np.uint64)
+    row, word = op.covering(values, order)
+    sets = [set(word[row == i].tolist()) for i in range(len(values))]
+    assert all(1 <= len(s) <= 1 << (order - 1) for s in sets)
+    assert all(int(w ^ v).bit_count() <= 2 for v, s in zip(values.tolist(), sets) for w in s)
+    for bit in range(size):
+        row, word = op.covering(values ^ np.uint64(1 << bit), order)
+        assert all(sets[i] & set(word[row == i].tolist()) for i in range(len(values)))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.integers(0, 2**32), st.booleans())
+def test_group_links(seed, dense):
+    """Links inside groups connect what brute force connects, whatever the group's size."""
+    rng = np.random.default_rng(seed)
+    base = rng.integers(0, 2**63, 4, dtype=np.uint64)
+    flips = np.array([sum(1 << int(b) for b in rng.integers(0, 64, rng.integers(0, 5))) & (2**64 - 1) for _ in range(300)], np.uint64)
+    fp = np.unique(base[rng.integers(0, 4, 300)] ^ flips)
+    anchor = np.zeros(len(fp), np.int64)
+    before, op.DENSE = op.DENSE, 64 if dense else op.DENSE
+    try:
+        # within one anchor's group all members agree in half 0 up to few bits
+        same = np.bitwise_count((fp ^ fp[0]) & np.uint64(0xFFFFFFFF)) == 0
+        fp, anchor = (fp[same], anchor[same]) if dense else (fp, anchor)
+        found = op.group_links(anchor, fp)
+    finally:
+        op.DENSE = before
+    pairs = [(a, b) for x, y in found for a, b in zip(x.tolist(), y.tolist())]
+    assert all(int(a ^ b).bit_count() <= 3 for a, b in pairs)
+    wanted = [(a, b) for i, a in enumerate(fp.tolist()) for b in fp.tolist()[i + 1 :] if (a ^ b).bit_count() <= 3]
+    assert grouped(pairs, fp.tolist()) == grouped(wanted, fp.tolist())
+
+
+def test_near_links_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 300, dtype=np.uint64)
+    near = base ^ np.array([sum(1 << int(b) for b in rng.choice(64, rng.integers(1, 5), False)) & (2**64 - 1) for _ in base], np.uint64)
+    fp = np.unique(np.concatenate([base, near])).view(np.int64)
+    links = op.near_links(spark.createDataFrame([(int(x),) for x in fp], "fp long")).collect()
+    pairs = {(r.a & (2**64 - 1), r.b & (2**64 - 1)) for r in links}
+    plain = [x & (2**64 - 1) for x in fp.tolist()]
+    wanted = [(a, b) for i, a in enumerate(plain) for b in plain[i + 1 :] if (a ^ b).bit_count() <= 3]
+    assert grouped(pairs, plain) == grouped(wanted, plain) and len(wanted) > 100
+
+
+def test_components_of_a_long_chain_and_a_hub(spark):
+    chain = [(i, i + 1) for i in range(100, 160)] + [(7, x) for x in range(200, 260)] + [(5, 5)]
+    found = {r.a: r.b for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert found == {**{i: 100 for i in range(101, 161)}, **{x: 7 for x in range(200, 260)}}
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_documents_against_brute_force(spark):
+    words = [f"w{i}" for i in range(120)]
+    texts = [" ".join(words), " ".join(words[:-1]), " ".join(words[1:]), "other text altogether here", "other text altogether here", ""]
+    docs = stored(spark.createDataFrame([(i + 1, t, None, None, None) for i, t in enumerate(texts)], DOCUMENT), "docs")
+    found = {r.doc_id: (r.fingerprint, r.component_id) for r in op.near_duplicates(docs).collect()}
+    prints = {i + 1: op.fingerprint(t) for i, t in enumerate(texts)}
+    pairs = [(a, b) for a in prints for b in prints if (prints[a] ^ prints[b]).bit_count() <= 3]
+    roots = grouped(pairs, list(prints))
+    assert found == {i: (f"{prints[i]:016x}", roots[i]) for i in prints}
+
+
+def test_odd_rows(spark, odd, none):
+    found = rows(op.near_duplicates(odd))
+    assert len(found) == odd.count()
+    by_id = {}
+    for doc_id, fingerprint, component in found:
+        by_id.setdefault(doc_id, []).append((fingerprint, component))
+    assert by_id[1] == [by_id[1][0]] * 2 and by_id[2] == by_id[1][:1] and by_id[1][0][1] == 1
+    assert by_id[3] == by_id[4] == by_id[5] == [("0" * 16, 3)]  # no words: fingerprint zero
+    assert ("0" * 16, 3) in by_id[None]  # a NULL id belongs to a group but never names it
+    assert any(component is None for _, component in by_id[None])
+    assert op.near_duplicates(none).count() == 0
+    with pytest.raises(ValueError):
+        op.near_links(none, distance=4)
