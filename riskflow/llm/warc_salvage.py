@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import Batches, map_rows
+from riskflow.llm.common import Batches, map_rows, stored
 from riskflow.storage import scratch_dir
 
 # Fixed values of the formats.
@@ -70,6 +70,8 @@ def records(pages: DataFrame, least_bytes: int = 0, key: str = "page_id", url: s
         .where("n > 1")
         .drop("n")
     )
+    # a table of its own: a join right above an aggregate could not be split where it is skewed
+    shared = stored(shared, "payload_holders")
     refers = F.when(F.col("page_id").isNull() | (F.col("page_id") < F.col("holder")), F.col("holder"))
     return plain.join(shared, ["digest", "payload_bytes"], "left").select(*plain.columns, refers.alias("refers_to"))
 
