@@ -113,8 +113,10 @@ def dedup(
     units = stored(found, "units")
 
     rank = F.struct(F.col("key").isNull().alias("last"), "key", "hash", "place")
-    earliest = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = units.join(earliest.select("digest", "first"), "digest").where(rank != F.col("first"))
+    repeated = units.groupBy("digest").agg(F.min(rank).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # a table of its own: a join right above an aggregate could not be split where it is skewed
+    earliest = stored(repeated.select("digest", "first"), "earliest_units")
+    later = units.join(earliest, "digest").where(rank != F.col("first"))
     removed = later.groupBy(F.col("key").alias("of"), F.col("hash").alias("of_hash")).agg(F.collect_set("place").alias("removed"))
 
     same = keyed["key"].eqNullSafe(removed["of"]) & (keyed["hash"] == removed["of_hash"])
