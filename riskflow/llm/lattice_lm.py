@@ -33,11 +33,12 @@ COMMON = 200_000  # words whose counts every task gets: at most 200,000 x 64 byt
 COMMON_BYTES = 64
 FLUSH = 1 << 18  # distinct words a task holds
 TOGETHER = 1 << 15  # words whose lattices are built at once
-GROUP = 1 << 21  # characters scored together
+NAMES = ["row", "key", "word", "n", "n_tokens", "n_known", "base", "score"]
 
 
 def _counted(batches: Batches) -> Iterator[pa.RecordBatch]:
-    """Counts of words, combined within the task up to FLUSH words at a time."""
+    """Counts of words in training texts (0: in others only), combined within the task
+    up to FLUSH words at a time."""
     counts: Counter[bytes] = Counter()
 
     def out() -> pa.RecordBatch:
@@ -47,17 +48,19 @@ def _counted(batches: Batches) -> Iterator[pa.RecordBatch]:
         return batch
 
     for batch in batches:
-        for text in batch.column(0):
-            counts.update(words_of(text.as_py()))
+        for text, learns in zip(batch.column(0), batch.column(1).to_pylist()):
+            words = words_of(text.as_py())
+            counts.update(words if learns else dict.fromkeys(words, 0))
             if len(counts) > FLUSH:
                 yield out()
     if counts:
         yield out()
 
 
-def word_counts(texts: DataFrame, text: str = "text") -> DataFrame:
-    """Columns word, c over all texts."""
-    return map_rows(texts.select(text), _counted, "word string, c long").groupBy("word").agg(F.sum("c").alias("c"))
+def word_counts(docs: DataFrame, learns: Column, text: str = "text") -> DataFrame:
+    """Columns word, c: all words of all texts, counted where `learns`."""
+    partial = map_rows(docs.select(F.col(text), learns.alias("learns")), _counted, "word string, c long")
+    return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _expected(vocabulary: Vocabulary):
@@ -96,8 +99,9 @@ def fit(counts: DataFrame, texts: int, vocabulary: Vocabulary, prior: float = PR
 
     What comes to the driver is one number per piece.
     """
-    total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
-    expected = map_rows(counts.select("word", "c"), _expected(vocabulary), "piece long, n double")
+    known = counts.where("c > 0")
+    total = known.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
+    expected = map_rows(known.select("word", "c"), _expected(vocabulary), "piece long, n double")
     taken = np.exp(vocabulary.logs) * prior
     for row in expected.groupBy("piece").agg(F.sum("n").alias("n")).collect():
         taken[row["piece"]] += row["n"]
@@ -110,64 +114,85 @@ def fit(counts: DataFrame, texts: int, vocabulary: Vocabulary, prior: float = PR
     return Model(vocabulary.weighted(logs), math.log(ends / whole), n, v, texts)
 
 
-class Scorer:
-    """Word log-probabilities (natural), kept up to a bound."""
+def _weighed(vocabulary: Vocabulary):
+    """Words with their count and the log10 of the sum over their segmentations."""
 
-    def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
-        self.known: dict[bytes, float] = {}
+    def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, TOGETHER):
+                part = batch.slice(at, TOGETHER)
+                lattice = Lattice(vocabulary, [f" {w}" for w in part.column(0).to_pylist()])
+                logs = lattice.forward()[lattice.last] / math.log(10)
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(logs)], ["word", "c", "log"])
+
+    return rows
 
-    def learn(self, words: set[bytes]) -> None:
-        if len(self.known) > FLUSH:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for at in range(0, len(new), TOGETHER):
-            part = new[at : at + TOGETHER]
-            lattice = Lattice(self.vocabulary, [f" {w.decode()}" for w in part])
-            self.known.update(zip(part, lattice.forward()[lattice.last].tolist()))
 
+def common_of(words: DataFrame, most: int) -> list:
+    """The rows of the most frequent words, at most `most` and of at most COMMON_BYTES.
 
-def _scored(model: Model, common: dict[bytes, int]):
-    """Per text a row with what the task knows, and a row per word it knows no count of."""
-    common_logs = {w: model.base_log(c) for w, c in common.items()}
+    Words are counted by the logarithm of their count first; what comes to the driver is
+    that short table, and the words from the count on at which they are few enough.
+    """
+    short = words.where((F.col("c") > 0) & (F.octet_length("word") <= COMMON_BYTES))
+    level = F.floor(F.log2("c") * 8)
+    least = None
+    for row in sorted(short.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+        most -= row["count"]
+        if most < 0:
+            break
+        least = row["level"]
+    return [] if least is None else short.where(level >= least).collect()
+
+
+def _scored(model: Model, common: dict[bytes, tuple[float, float]]):
+    """Per text a row with what the common words give, and a row per other word of it."""
     end = model.base_log(model.ends)
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.vocabulary)
+        def texts_of(rows_: list, keys: pa.Array, lines: list[tuple]) -> pa.RecordBatch:
+            # a word has no space, so these are no words; they spread the rows
+            names = pa.array([f" {row}" for row in rows_], pa.string())
+            tokens, known, base, score = zip(*lines)
+            figures = [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
+            return pa.RecordBatch.from_arrays([pa.array(rows_, pa.int64()), keys, names, pa.array(np.zeros(len(rows_), np.int64)), *figures], NAMES)
+
+        def words_of_texts(rows_: list[int], words: list[bytes], counts: list[int], kind: pa.DataType) -> pa.RecordBatch:
+            n = len(words)
+            zero, nothing = pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(rows_, pa.int64()), pa.nulls(n, kind), pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), zero, zero, nothing, nothing],
+                NAMES,
+            )
 
-        def out(ids: list, texts: list[tuple[int, object, Counter]]) -> pa.RecordBatch:
-            scorer.learn({w for _, _, words in texts for w in words})
-            columns: list[list] = [[] for _ in range(8)]
-            for row, key, words in texts:
-                rare, base, known, score = [], end, int(model.ends > 0), model.log_end
+        for batch in batches:
+            numbers = batch.column(0).to_pylist()
+            lines: list[tuple] = []
+            rare_row: list[int] = []
+            rare_word: list[bytes] = []
+            rare_count: list[int] = []
+            for row, text in zip(numbers, batch.column(2)):
+                words = Counter(words_of(text.as_py()))
+                base, known, score = end, int(model.ends > 0), model.log_end / math.log(10)
+                before = len(rare_word)
                 for word, n in words.items():
-                    score += n * scorer.known[word]
-                    found = common_logs.get(word)
+                    found = common.get(word)
                     if found is None:
-                        rare.append((word, n))
+                        rare_word.append(word)
+                        rare_count.append(n)
                     else:
-                        base += n * found
+                        base += n * found[0]
+                        score += n * found[1]
                         known += n
-                # a word has no space, so this one is no word and spreads the rows
-                for line in [(row, key, f" {row}".encode(), 0, words.total() + 1, known, base, score / math.log(10)), *((row, None, w, n, 0, 0, 0.0, 0.0) for w, n in rare)]:
-                    for column, value in zip(columns, line):
-                        column.append(value)
-            kinds = [pa.int64(), ids[0].type, pa.binary(), *[pa.int64()] * 3, *[pa.float64()] * 2]
-            arrays = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            arrays[2] = arrays[2].cast(pa.string())
-            return pa.RecordBatch.from_arrays(arrays, ["row", "key", "word", "n", "n_tokens", "n_known", "base", "score"])
-
-        for batch in batches:
-            texts, chars = [], 0
-            for row, key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
-                value = text.as_py()
-                texts.append((row, key, Counter(words_of(value))))
-                chars += len(value or "")
-                if chars > GROUP:
-                    yield out([batch.column(1)], texts)
-                    texts, chars = [], 0
-            if texts:
-                yield out([batch.column(1)], texts)
+                rare_row.extend([row] * (len(rare_word) - before))
+                lines.append((words.total() + 1, known, base, score))
+                if len(rare_word) > FLUSH:
+                    yield words_of_texts(rare_row, rare_word, rare_count, batch.column(1).type)
+                    rare_row, rare_word, rare_count = [], [], []
+            if rare_word:
+                yield words_of_texts(rare_row, rare_word, rare_count, batch.column(1).type)
+            if numbers:
+                yield texts_of(numbers, batch.column(1), lines)
 
     return rows
 
@@ -185,9 +210,10 @@ def scores(
     row per row of `docs`, learned from the rows where `learns` (by default
     crc32 of the key modulo 7 is not 2; a NULL key is learned from).
 
-    The counts of the most frequent words go to every task, at most `common_words` words
-    of up to 64 bytes; all other words of a text meet their counts in a join. So no word
-    that many texts share is ever moved, and results do not depend on `common_words`.
+    Every distinct word is counted and weighed once. The most frequent ones go to every
+    task, at most `common_words` words of up to 64 bytes; all other words of a text meet
+    theirs in a join. So no word that many texts share is ever moved, and results do not
+    depend on `common_words`.
 
     NULL texts are empty ones: one token, the end. Repeated rows count and are scored one
     by one. Without training rows no token is known. Other columns are ignored.
@@ -195,25 +221,24 @@ def scores(
     vocabulary = vocabulary or load()
     if learns is None:
         learns = F.coalesce(remainder(F.col(key), 7) != 2, F.lit(True))
-    training = docs.where(learns)
-    counts = stored(word_counts(training, text), "word_counts")
-    model = fit(counts, training.count(), vocabulary, prior)
-    short = counts.where(F.octet_length("word") <= COMMON_BYTES)
-    common = {r["word"].encode(): r["c"] for r in short.orderBy(F.desc("c"), "word").limit(common_words).collect()}
+    counts = stored(word_counts(docs, learns, text), "word_counts")
+    model = fit(counts, docs.where(learns).count(), vocabulary, prior)
+    words = stored(map_rows(counts, _weighed(model.vocabulary), "word string, c long, log double"), "words")
+    common = {r["word"].encode(): (model.base_log(r["c"]), r["log"]) for r in common_of(words, common_words)}
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"row long, key {kind}, word string, n long, n_tokens long, n_known long, base double, score double"
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
     parts = map_rows(numbered, _scored(model, common), schema)
-    joined = parts.join(counts, "word", "left")
-    known = F.col("c").isNotNull()
-    seen = F.log10((F.coalesce("c", F.lit(0)) + 1) / F.lit(float(model.tokens + model.distinct + 1)))
+    joined = parts.join(words, "word", "left")
+    seen = F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.distinct + 1)))
+    more = lambda value, nothing: F.when(F.col("n") > 0, F.col("n") * value).otherwise(nothing)
     summed = joined.groupBy("row").agg(
         F.max("key").alias("doc_id"),
         F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(known, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.when(F.col("n") > 0, F.col("n") * seen).otherwise(0.0)).alias("base_score"),
-        F.sum("score").alias("score"),
+        F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
+        F.sum(F.col("base") + more(seen, 0.0)).alias("base_score"),
+        F.sum(F.col("score") + more(F.col("log"), 0.0)).alias("score"),
     )
     held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
     return summed.select(
