@@ -36,6 +36,7 @@ TWICE = (
     "merge_upsert",
     "merge_dedup",
     "table_upsert",
+    "onehot_sparse",
     "hash_split",
     "class_weights",
     "strat_folds_events",

@@ -17,12 +17,3 @@ def key_hash(key: Column, seed: int) -> Column:
 def hash_range(hashed: Column, ranges: int) -> Column:
     """Which of `ranges` equal slices of the hash space a hash falls in."""
     return F.floor(hashed * ranges / HASH_SPACE).cast("int")
-
-
-def bucket_of(key: Column, buckets: int) -> Column:
-    """Storage bucket of a key.
-
-    Murmur3 modulo the bucket count, the rule Spark itself uses to place rows in
-    `repartition(buckets, key)`: after that exchange a task holds one bucket.
-    """
-    return F.pmod(F.hash(key), F.lit(buckets)).cast("int")

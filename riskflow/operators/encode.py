@@ -5,11 +5,13 @@ from __future__ import annotations
 import re
 from typing import Any, Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.functions.hashing import key_hash
+from riskflow.operators.ordering import numbered
 from riskflow.functions.codes import indicator, label_or_code, label_or_default
 from riskflow.schemas import FEATURES, INDICATORS, KEY, SERVING_CODES, CodeTable, quoted
 
@@ -92,11 +94,12 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
 def learn_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> dict[str, list[str]]:
     """Distinct non-NULL levels of each column, integers first, then text.
 
-    The distinct runs on (column, level) pairs, so it is combined map-side and no
-    task ever holds a column's whole level set. Only a bounded list reaches the
-    driver; wider columns are refused here and served by `indicator_rows`.
+    The distinct runs on whole combinations first, combined map-side, so that only
+    those are taken apart into (column, level) pairs. Only a bounded list reaches the
+    driver; wider columns are refused here and served by `one_hot_sparse`.
     """
-    pairs = df.select(
+    combined = df.select(*[quoted(c) for c in columns]).distinct()
+    pairs = combined.select(
         F.explode(
             F.array(
                 *[
@@ -113,10 +116,37 @@ def learn_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000)
         levels[row["column"]].append(row["level"])
     wide = [c for c, known in levels.items() if len(known) > max_levels]
     if wide or len(found) > limit:
-        raise ValueError(f"more than {max_levels} levels in {wide or list(columns)}: use indicator_rows")
+        raise ValueError(f"more than {max_levels} levels in {wide or list(columns)}: use one_hot_sparse")
     return {c: sorted(known, key=_level_order) for c, known in levels.items()}
 
 
+def level_index(df: DataFrame, column: str, seed: int = 10) -> DataFrame:
+    """(level, index): every non-NULL level of a column and its number from 0.
+
+    Numbers follow the levels' hashes, so that they are dealt in parallel; the
+    dictionary is a table and may be as large as it likes.
+    """
+    levels = df.where(F.col(quoted(column)).isNotNull()).select(F.col(quoted(column)).cast("string").alias("level")).distinct()
+    return numbered(levels, key_hash(F.col("level"), seed), ["level"], "index")
+
+
+def one_hot_sparse(df: DataFrame, column: str, vector: str) -> DataFrame:
+    """Append a sparse 0/1 vector with a place for every level of a column, however many.
+
+    Rows meet their level's number in a join, which a skew can split. NULL has a
+    place of its own, the last; nothing but the vector's size reaches the driver.
+    """
+    index = level_index(df, column).withColumnRenamed("level", "_level")
+    size = index.count()
+    joined = df.join(index, F.col(quoted(column)).cast("string") == F.col("_level"), "left")
+    placed = joined.withColumn("_place", F.coalesce(F.col("index"), F.lit(size)).cast("double")).drop("_level", "index")
+    # the encoder takes its size from the column's metadata instead of a pass over the rows
+    values = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+    nominal = placed.withColumn("_place", F.col("_place").alias("_place", metadata=values))
+    encoder = OneHotEncoder(inputCols=["_place"], outputCols=[vector], dropLast=False)
+    return encoder.fit(nominal).transform(nominal).drop("_place")
+
+
 def one_hot_learned(df: DataFrame, columns: Sequence[str], drop_first: bool = True, max_levels: int = 1000) -> DataFrame:
     """One-hot by the levels present, without each column's first level.
 

@@ -5,22 +5,27 @@ from __future__ import annotations
 from dataclasses import asdict, dataclass
 from typing import Any, Sequence
 
-from pyspark.ml import Model, Pipeline, PipelineModel
+from pyspark.ml import Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassificationModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from riskflow.functions.hashing import HASH_SPACE, key_hash
 from riskflow.operators.encode import assembler
 from riskflow.operators.split import with_class_weights
-from riskflow.schemas import FEATURES, LABEL, OUTPUTS
+from riskflow.schemas import FEATURES, LABEL, OUTPUTS, quoted
+from riskflow.storage import Files, scratch_dir, written
 
 VECTOR = "features"
 WEIGHT = "weight"
+ROWS_PER_PARTITION = 10_000
+MAX_PARTITIONS = 512
 
 
 @dataclass(frozen=True)
@@ -33,6 +38,7 @@ class ForestParams:
     seed: int = 7
     subset: str = "sqrt"
     bins: int = 32
+    min_split: int = 2
 
     def as_row(self) -> dict[str, str]:
         return {k: str(v) for k, v in asdict(self).items()}
@@ -79,16 +85,27 @@ def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: st
     return estimator.setWeightCol(weight) if weight else estimator
 
 
-def spread_small(df: DataFrame, limit: int = 64 << 20) -> DataFrame:
-    """Give all cores a share of an input that fits in a few file blocks.
+def fit_partitions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by the hash of their keys into a number of partitions that follows from
+    their count, in key order.
 
-    Only frames whose estimated size is below `limit` are moved; larger ones
-    already have a task per block.
+    Bootstrap samples are drawn per partition, so this makes a forest depend on its rows
+    and seed alone, not on the cluster. The number is bounded because every partition
+    sends the split statistics of a level, up to `maxMemoryInMB`.
     """
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > limit:
+    count = min(MAX_PARTITIONS, 1 + df.count() // ROWS_PER_PARTITION)
+    names = [quoted(k) for k in keys]
+    return df.repartition(count, *names).sortWithinPartitions(*names)
+
+
+def bounded_sample(df: DataFrame, key: str, most_rows: int | None, seed: int = 10) -> DataFrame:
+    """About `most_rows` rows, chosen by the hash of the key; all rows if None or fewer."""
+    if most_rows is None:
+        return df
+    share = most_rows / max(df.count(), 1)
+    if share >= 1:
         return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    return df.where(F.coalesce(key_hash(F.col(quoted(key)), seed) < int(share * HASH_SPACE), F.lit(False)))
 
 
 def fit_forest(
@@ -97,11 +114,51 @@ def fit_forest(
     features: Sequence[str] = FEATURES,
     label: str = LABEL,
     handle_invalid: str = "error",
+    key: str | None = None,
+    most_rows: int | None = None,
 ) -> PipelineModel:
-    """Assembler and forest, fitted with balanced class weights."""
-    weighted = with_class_weights(spread_small(train), label, WEIGHT)
-    stages = [assembler(features, VECTOR, handle_invalid), forest(params, label)]
-    return Pipeline(stages=stages).fit(weighted)
+    """Assembler and forest, fitted with balanced class weights.
+
+    The labelled vectors are written once, so that neither the encoding nor the deal
+    is done again for class counts and passes over the trees. With a `key`, `most_rows`
+    bounds the rows that are fitted (default: all).
+    """
+    chosen = bounded_sample(train, key, most_rows) if key else train
+    order = F.col(quoted(key)) if key else F.xxhash64(*[quoted(c) for c in (*features, label)])
+    vectors = assembler(features, VECTOR, handle_invalid)
+    encoded = written(vectors.transform(chosen).select(quoted(label), VECTOR, order.alias("_order")), "fit")
+    dealt = fit_partitions(encoded, ["_order"])
+    model = fit_vectors(with_class_weights(dealt, label, WEIGHT), params, label)
+    return PipelineModel([vectors, model])
+
+
+def fit_vectors(weighted: DataFrame, params: ForestParams, label: str = LABEL) -> RandomForestClassificationModel:
+    """A forest from vectors and weights; nodes below the minimum split size become leaves."""
+    model = forest(params, label).fit(weighted)
+    return pruned(model, params.min_split) if params.min_split > 2 else model
+
+
+def pruned(model: RandomForestClassificationModel, min_split: int) -> RandomForestClassificationModel:
+    """The forest that a greedy fit with a minimum split size would have grown.
+
+    Trees are grown from the root and a split does not depend on what is below it, so
+    a node with fewer rows (of its tree's sample) than the minimum is made a leaf. The
+    saved node table has those rows; nodes that nothing leads to any more are ignored
+    when it is loaded.
+    """
+    spark = SparkSession.active()
+    whole, cut = scratch_dir(spark, "forest"), scratch_dir(spark, "forest")
+    model.write().save(whole)
+    files = Files(spark, whole)
+    nodes = spark.read.parquet(f"{whole}/data")
+    node = next(f.name for f in nodes.schema if isinstance(f.dataType, T.StructType))
+    leaf = F.col(node).withField("leftChild", F.lit(-1)).withField("rightChild", F.lit(-1)).withField("gain", F.lit(-1.0))
+    small = F.col(f"{node}.rawCount") < min_split
+    nodes.withColumn(node, F.when(small, leaf).otherwise(F.col(node))).select(*nodes.columns).write.parquet(f"{cut}/data")
+    for part in files.names(whole):
+        if part != "data":
+            files.copy(f"{whole}/{part}", f"{cut}/{part}")
+    return RandomForestClassificationModel.load(cut)
 
 
 def class_probability(index: int, column: str = "probability") -> Column:

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from dataclasses import dataclass
-from typing import Any, Sequence
+from typing import Any, NamedTuple, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.hashing import bucket_of
-from riskflow.schemas import KEY, LOAD_DATE, OUTPUTS, RESULT_SCHEMA
-from riskflow.storage import Files, in_parallel
+from riskflow.schemas import KEY, LOAD_DATE, OUTPUTS, RESULT_SCHEMA, quoted
+from riskflow.storage import Files
 
-BUCKET = "bucket"
 REFRESHED = (*OUTPUTS, LOAD_DATE)
 ON_DUPLICATE = ("latest", "error")
+NULL_SALTS = 1024
+FOLDER = re.compile(r"(?P<kind>base|batch)-(?P<number>\d{12})(?:-(?P<batch>\d{12})-(?P<run>.+))?")
 
 
 def join_scores(records: DataFrame, scores: DataFrame, key: str = KEY) -> DataFrame:
@@ -57,14 +58,21 @@ def merge(
     """MERGE as a frame: matched rows take only `refreshed` columns from the source,
     unmatched source rows are inserted whole, other target rows stay.
 
-    Keys must be unique on both sides.
+    Keys must be unique on both sides. A NULL key matches nothing, as in SQL: such rows
+    of both sides stay. They are salted, since a full join cannot split them.
     """
-    old = target.withColumn("_old", F.lit(True)).alias("t")
-    new = source.withColumn("_new", F.lit(True)).alias("s")
-    joined = old.join(new, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
+    old = _salted(target, key).withColumn("_old", F.lit(True)).alias("t")
+    new = _salted(source, key).withColumn("_new", F.lit(True)).alias("s")
+    same = (F.col(f"t.{key}") == F.col(f"s.{key}")) & (F.col("t._salt") == F.col("s._salt"))
+    joined = old.join(new, same, "full_outer")
     return joined.select(*[_merged(c, key, refreshed) for c in target.columns])
 
 
+def _salted(df: DataFrame, key: str) -> DataFrame:
+    """Column _salt: 0 for rows with a key; others are spread by their values."""
+    return df.withColumn("_salt", F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*df.columns), F.lit(NULL_SALTS))).otherwise(0))
+
+
 def _merged(column: str, key: str, refreshed: Sequence[str]) -> Column:
     old, new = F.col(f"t.`{column}`"), F.col(f"s.`{column}`")
     if column == key:
@@ -74,32 +82,40 @@ def _merged(column: str, key: str, refreshed: Sequence[str]) -> Column:
     return F.when(F.col("t._old"), old).otherwise(new).alias(column)
 
 
-@dataclass(frozen=True)
-class KeyedTable:
-    """Parquet table with one row per key, stored in hash buckets of the key.
+class Part(NamedTuple):
+    """A folder of the table: a base or a batch, with its place in the order of writes."""
+
+    kind: str
+    number: int
+    name: str
+    done: bool
+    run: str | None
+    batch: int
 
-    An upsert touches only the buckets its keys fall in. A touched bucket that
-    holds none of the keys yet just gets a new file; one that does is rewritten
-    by a join whose exchange lines up with the buckets, so that joining and
-    writing share one shuffle. Choose `buckets` for 0.5-1 GB of data in each.
 
-    New files are complete in a stage folder before the table changes, and
-    publishing them is moves that can be repeated. Writers must not overlap.
+@dataclass(frozen=True)
+class KeyedTable:
+    """Parquet table with one row per key: a base, and a folder per batch since.
+
+    An upsert writes its own rows only, in a folder of its own; nothing stored is
+    rewritten or moved. A folder counts from the moment its marker file exists, so a
+    reader sees all of a batch or nothing of it, whatever happens to the writer. Reading
+    takes, per key, the stored columns of its first row and the refreshed ones of its
+    last, with one aggregate. `compact` writes what a reader sees as a new base, from
+    which tables are then read as they are; run it now and then. Writers must not
+    overlap.
     """
 
     spark: SparkSession
     path: str
-    buckets: int = 64
     schema: T.StructType = RESULT_SCHEMA
     key: str = KEY
     refreshed: tuple[str, ...] = REFRESHED
-    max_files: int = 16
-    broadcast_bytes: int = 64 << 20
 
     def create(self) -> "KeyedTable":
         """Make the folder, or check that an existing table has the same layout."""
         files, layout = self._files(), f"{self.path}/_layout.json"
-        wanted = {"key": self.key, "buckets": self.buckets, "schema": self.schema.simpleString()}
+        wanted = {"key": self.key, "refreshed": list(self.refreshed), "schema": self.schema.simpleString()}
         if files.exists(layout):
             found = json.loads(files.read_text(layout))
             if found != wanted:
@@ -110,8 +126,8 @@ class KeyedTable:
         return self
 
     def read(self) -> DataFrame:
-        """All rows, in table column order, without the bucket."""
-        return self._rows(self.path).select(*self.schema.names)
+        """All rows as they are now, in table column order."""
+        return self._rows(self._current())
 
     def upsert(
         self,
@@ -120,128 +136,113 @@ class KeyedTable:
         run_id: str | None = None,
         order_by: Sequence[str] = (),
         on_duplicate: str = "latest",
-    ) -> dict[str, int]:
-        """Merge a batch; returns rows taken and buckets rewritten and appended to.
+    ) -> int:
+        """Append a batch, one row per key; returns its rows.
 
-        A streaming batch passes its (run_id, batch_id): running the same pair again
-        finishes the first attempt instead of re-reading a table it already altered.
-        Without `run_id` every call is a change of its own.
+        A streaming batch passes its (run_id, batch_id), numbered upwards: a pair that
+        was written is not written again. Without `run_id` every call is a change of
+        its own.
         """
-        files = self._files()
-        stage = f"{self.path}/_stage/{run_id or uuid.uuid4().hex}/{batch_id}"
-        plan_file = f"{stage}/plan.json"
-        if files.exists(plan_file):
-            plan = json.loads(files.read_text(plan_file))
-            self._publish(files, stage, plan)
-            return plan["counts"]
-        self._settle(files)
+        files, run, parts = self._files(), run_id or uuid.uuid4().hex, self._parts()
+        if self._applied(parts).get(run, -1) >= batch_id:
+            return 0
+        for p in parts:  # what a crashed attempt left
+            if not p.done:
+                files.delete(f"{self.path}/{p.name}")
+        number = max((p.number for p in parts), default=0) + 1
         batch = latest_per_key(source, self.key, order_by, on_duplicate)
-        typed = batch.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.schema])
-        plan = self._prepare(files, typed, stage)
-        if plan is None:
-            files.delete(stage)
-            return {"rows": 0, "rewritten": 0, "appended": 0}
-        files.write_text(plan_file, json.dumps(plan))
-        self._publish(files, stage, plan)
-        return plan["counts"]
-
-    def _prepare(self, files: Files, batch: DataFrame, stage: str) -> dict[str, Any] | None:
-        """Write the new files into the stage; None for a batch without rows.
-
-        The batch is written first, in the table's layout: it is computed once, is
-        safe from lost executors, and where no key is stored yet its files are final.
-        """
-        staged = f"{stage}/batch"
-        width = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        bucketed = batch.withColumn(BUCKET, bucket_of(F.col(self.key), self.buckets))
-        self._write(bucketed.repartition(self._tasks(width), self.key), staged)
-        touched = [int(n.partition("=")[2]) for n in files.names(staged) if n.startswith(f"{BUCKET}=")]
-        if not touched:
-            return None
-        size = self._rows(staged).agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.sum(F.octet_length(F.col(self.key).cast("string")) + 32).alias("key_bytes"),
-        ).first()
-        known = set(files.names(self.path))
-        old = [b for b in touched if f"{BUCKET}={b}" in known]
-        found = self._match(old, staged, size["key_bytes"]).collect() if old else []
-        rewrite = sorted(r[BUCKET] for r in found if r["matched"] > 0 or r["files"] >= self.max_files)
-        append = sorted(set(touched) - set(rewrite))
-        if rewrite:
-            tasks = self._tasks(4 * len(rewrite))
-            merged = merge(
-                self._rows(self.path, rewrite).repartition(tasks, self.key),
-                self._rows(staged, rewrite).repartition(tasks, self.key),
-                self.key,
-                self.refreshed,
-            )
-            self._write(merged, f"{stage}/rewrite")
-        counts = {"rows": size["rows"], "rewritten": len(rewrite), "appended": len(append)}
-        return {"rewrite": rewrite, "append": append, "counts": counts}
-
-    def _tasks(self, wanted: int) -> int:
-        """At least `wanted` tasks, if there are as many buckets: a divisor of the bucket
-        count, so that no bucket spans tasks and each gets one file."""
-        return next(n for n in range(min(self.buckets, wanted), self.buckets + 1) if self.buckets % n == 0)
-
-    def _match(self, buckets: Sequence[int], staged: str, key_bytes: int) -> DataFrame:
-        """Per stored bucket, how many batch keys it holds and how many files it has.
-
-        Reads the key column only. The batch's keys are broadcast when their
-        measured size allows it, else the join shuffles.
-        """
-        batch = self._rows(staged, buckets)
-        keys = batch.select(F.col(self.key).alias("_key"), F.lit(1).alias("_hit"))
-        if key_bytes <= self.broadcast_bytes:
-            keys = F.broadcast(keys)
-        current = self._rows(self.path, buckets).select(BUCKET, self.key, F.col("_metadata.file_path").alias("_file"))
-        per_file = (
-            current.join(keys, current[self.key] == keys["_key"], "left_outer")
-            .groupBy(BUCKET, "_file")
-            .agg(F.count("_hit").alias("matched"))
+        typed = batch.select(*[F.col(quoted(f.name)).cast(f.dataType).alias(f.name) for f in self.schema])
+        folder = f"{self.path}/batch-{number:012d}-{batch_id:012d}-{run}"
+        typed.write.mode("overwrite").parquet(folder)
+        rows = self.spark.read.schema(self.schema).parquet(folder).count()
+        if rows:
+            files.write_text(f"{folder}/_done", "{}")
+        else:
+            files.delete(folder)
+        return rows
+
+    def compact(self) -> str:
+        """Write the table as a new base, seen by readers once it is complete; returns its folder."""
+        parts, files = self._parts(), self._files()
+        current = self._current(parts)
+        if len(current) == 1 and current[0].kind == "base":
+            return f"{self.path}/{current[0].name}"
+        number = max((p.number for p in parts), default=0) + 1
+        folder = f"{self.path}/base-{number:012d}"
+        self._rows(current).write.mode("overwrite").parquet(folder)
+        files.write_text(f"{folder}/_done", json.dumps({"applied": self._applied(parts)}))
+        return folder
+
+    def clean(self) -> None:
+        """Delete what no new reader needs: all before the newest base. Readers that
+        started before that base was complete must have ended."""
+        parts, files = self._parts(), self._files()
+        needed = {p.name for p in self._current(parts)}
+        for p in parts:
+            if p.name not in needed:
+                files.delete(f"{self.path}/{p.name}")
+
+    def sql(self) -> str:
+        """A query of the rows as they are now, for a catalog view; make the view anew
+        (`CREATE OR REPLACE VIEW`) after an upsert."""
+        parts = self._current()
+        names = [quoted(f.name) for f in self.schema]
+        if not parts:
+            nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {quoted(f.name)}" for f in self.schema)
+            return f"SELECT {nothing} WHERE false"
+        rows = " UNION ALL ".join(f"SELECT {', '.join(names)}, {p.number} AS _number FROM parquet.`{self.path}/{p.name}`" for p in parts)
+        if len(parts) == 1:
+            return f"SELECT {', '.join(names)} FROM ({rows})"
+        pick = {True: "max_by", False: "min_by"}
+        columns = [
+            quoted(f.name) if f.name == self.key else f"{pick[f.name in self.refreshed]}({quoted(f.name)}, _number) AS {quoted(f.name)}"
+            for f in self.schema
+        ]
+        return f"SELECT {', '.join(columns)} FROM ({rows}) GROUP BY {quoted(self.key)}"
+
+    def _rows(self, parts: Sequence[Part]) -> DataFrame:
+        if not parts:
+            return self.spark.createDataFrame([], self.schema)
+        found = self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p.name}" for p in parts])
+        if len(parts) == 1:
+            return found
+        number = F.regexp_extract("_metadata.file_path", r"/(?:base|batch)-(\d{12})[^/]*/[^/]*$", 1).cast("long")
+        stored = [quoted(f.name) for f in self.schema if f.name not in (self.key, *self.refreshed)]
+        latest = [quoted(f.name) for f in self.schema if f.name in self.refreshed]
+        sides = [F.min_by(F.struct(*stored), "_number").alias("_stored")] if stored else []
+        sides += [F.max_by(F.struct(*latest), "_number").alias("_latest")] if latest else []
+        per_key = found.withColumn("_number", number).groupBy(quoted(self.key)).agg(*sides)
+        return per_key.select(quoted(self.key), *(["_stored.*"] if stored else []), *(["_latest.*"] if latest else [])).select(
+            *[quoted(f.name) for f in self.schema]
         )
-        return per_file.groupBy(BUCKET).agg(F.sum("matched").alias("matched"), F.count(F.lit(1)).alias("files"))
-
-    def _publish(self, files: Files, stage: str, plan: dict[str, Any]) -> None:
-        def swap(bucket: int) -> None:
-            source, target = f"{stage}/rewrite/{BUCKET}={bucket}", f"{self.path}/{BUCKET}={bucket}"
-            if files.exists(source):
-                files.delete(target)
-                files.move(source, target)
-
-        def add(bucket: int) -> None:
-            source, target = f"{stage}/batch/{BUCKET}={bucket}", f"{self.path}/{BUCKET}={bucket}"
-            names = files.names(source)
-            if names:
-                files.make_dir(target)
-            for name in names:
-                files.move(f"{source}/{name}", f"{target}/{name}")
-
-        in_parallel(swap, plan["rewrite"])
-        in_parallel(add, plan["append"])
-
-    def _settle(self, files: Files) -> None:
-        """Finish what earlier batches prepared but did not publish, then drop their stages.
-
-        Only the newest batch of a stream can be replayed, and it is not among them.
-        """
-        for run in files.names(f"{self.path}/_stage"):
-            for batch in files.names(f"{self.path}/_stage/{run}"):
-                stage = f"{self.path}/_stage/{run}/{batch}"
-                if files.exists(f"{stage}/plan.json"):
-                    self._publish(files, stage, json.loads(files.read_text(f"{stage}/plan.json")))
-                files.delete(stage)
-
-    def _rows(self, path: str, buckets: Sequence[int] | None = None) -> DataFrame:
-        """Rows under a path with their bucket; given buckets, only their folders are listed."""
-        layout = T.StructType([*self.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        reader = self.spark.read.schema(layout)
-        if buckets is None:
-            return reader.parquet(path)
-        return reader.option("basePath", path).parquet(*[f"{path}/{BUCKET}={b}" for b in buckets])
-
-    def _write(self, df: DataFrame, path: str) -> None:
-        df.write.partitionBy(BUCKET).parquet(path)
+
+    def _parts(self) -> list[Part]:
+        files, found = self._files(), []
+        for name in files.names(self.path):
+            match = FOLDER.fullmatch(name)
+            if match:
+                done = files.exists(f"{self.path}/{name}/_done")
+                found.append(Part(match["kind"], int(match["number"]), name, done, match["run"], int(match["batch"] or -1)))
+        return sorted(found, key=lambda p: p.number)
+
+    def _current(self, parts: Sequence[Part] | None = None) -> list[Part]:
+        """The newest complete base and the complete batches after it."""
+        done = [p for p in (self._parts() if parts is None else parts) if p.done]
+        start = max((p.number for p in done if p.kind == "base"), default=0)
+        return [p for p in done if p.number >= start]
+
+    def _applied(self, parts: Sequence[Part]) -> dict[str, int]:
+        """The highest batch of each run that is in the table."""
+        applied: dict[str, int] = {}
+        for p in self._current(parts):
+            if p.kind == "base":
+                applied |= self._marker(p)["applied"]
+            else:
+                applied[p.run] = max(applied.get(p.run, -1), p.batch)
+        return applied
+
+    def _marker(self, part: Part) -> dict[str, Any]:
+        return json.loads(self._files().read_text(f"{self.path}/{part.name}/_done"))
 
     def _files(self) -> Files:
         return Files(self.spark, self.path)

@@ -177,7 +177,8 @@ def class_report(
     by: Sequence[str] = (),
     weight: str | None = None,
 ) -> DataFrame:
-    """Precision, recall, F1 and support per class, with macro and weighted averages.
+    """Precision, recall, F1 and support per class, with their macro and weighted
+    averages, and the accuracy, which stands in all three columns.
 
     The data is read once, down to the confusion matrix; each of its cells counts
     for its actual and for its predicted class, which needs no join.
@@ -226,7 +227,12 @@ def class_report(
         *[ratio(F.sum(F.col(c) * support), F.sum(support)).alias(c) for c in rates],
         F.sum(support).alias("support"),
     )
-    return per_class.unionByName(macro).unionByName(weighted)
+    accuracy = cells.groupBy(*by).agg(
+        F.lit("accuracy").alias("class"),
+        *[ratio(F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("rows")).otherwise(0)), F.sum("rows")).alias(c) for c in rates],
+        F.sum("rows").alias("support"),
+    )
+    return per_class.unionByName(accuracy).unionByName(macro).unionByName(weighted)
 
 
 def training_metrics(
@@ -235,13 +241,14 @@ def training_metrics(
     prediction: str = "prediction",
     score: str = "p1",
     rows_per_range: int = ROWS_PER_RANGE,
+    weight: str | None = None,
 ) -> DataFrame:
     """What a fit logs about its own training rows, as rows (metric, value).
 
     Precision, recall and F1 are averages over the classes, weighted by support.
     """
     averages = (
-        class_report(df, label, prediction)
+        class_report(df, label, prediction, weight=weight)
         .where(F.col("class") == "weighted avg")
         .select(
             F.col("precision").alias("training_precision_score"),
@@ -249,11 +256,11 @@ def training_metrics(
             F.col("f1").alias("training_f1_score"),
         )
     )
-    points = point_metrics(df, label, prediction, score).select(
+    points = point_metrics(df, label, prediction, score, weight=weight).select(
         F.col("accuracy").alias("training_accuracy_score"),
         (-F.col("neg_log_loss")).alias("training_log_loss"),
     )
-    curves = curve_metrics(df, label, score, rows_per_range=rows_per_range).select(
+    curves = curve_metrics(df, label, score, weight=weight, rows_per_range=rows_per_range).select(
         F.col("roc_auc").alias("training_roc_auc_score")
     )
     parts = [part.unpivot([], list(part.columns), "metric", "value") for part in (averages, points, curves)]

@@ -14,6 +14,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from riskflow.functions.hashing import hash_range
+
 ROWS_PER_RANGE = 2_000_000
 MAX_RANGES = 4096
 _RANGE = "_range"
@@ -29,7 +31,7 @@ def cut_points(
     """Values that cut the rows into ranges of about `rows_per_range` rows.
 
     One pass with a mergeable quantile sketch; at most `max_ranges` numbers come
-    back. Empty when the rows fit in one range. Equal values never straddle a cut.
+    back (8e9 distinct values at the defaults; give more ranges beyond that). Empty when the rows fit in one range. Equal values never straddle a cut.
     """
     # One text literal cast to an array: thousands of literal nodes are slow to plan.
     steps = F.split(F.lit(",".join(str(i / max_ranges) for i in range(1, max_ranges))), ",")
@@ -129,3 +131,18 @@ def _join_above(local: DataFrame, higher: DataFrame) -> DataFrame:
         higher,
         (local[_GROUP] == higher[f"_of{_GROUP}"]) & (local[_RANGE] == higher[f"_of{_RANGE}"]),
     )
+
+
+def numbered(df: DataFrame, hashed: Column, ties: Sequence[str], number: str, ranges: int = 4096) -> DataFrame:
+    """Append 0, 1, 2... in the order of a 32-bit hash, then of the `ties` columns.
+
+    Rows are numbered within slices of the hash space and shifted by the rows of the
+    slices before; those totals are at most `ranges` rows.
+    """
+    sliced = df.withColumn("_hash", hashed).withColumn("_slice", hash_range(F.col("_hash"), ranges))
+    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy("_slice").orderBy("_hash", *ties)))
+    totals = sliced.groupBy(F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    joined = local.join(shifts, local["_slice"] == shifts["_of"])
+    return joined.select(*df.columns, (F.col("_shift") + F.col("_local") - 1).alias(number))

@@ -7,7 +7,8 @@ from typing import Any, Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.core.broadcast import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,21 +18,36 @@ MAX_BROADCAST = 512 << 20
 SCORES = T.StructType([T.StructField(name, kind) for name, kind in zip(OUTPUTS, (T.IntegerType(), T.DoubleType(), T.DoubleType()))])
 
 
-def score_with(
-    df: DataFrame,
-    model: Any,
-    features: Sequence[str],
-    max_bytes: int = MAX_BROADCAST,
-) -> DataFrame:
-    """Append class and probabilities of a pickled model sent to each executor once.
+class SharedModel:
+    """A model that is pickled and sent to the executors once, when it is first used.
 
-    The model's size is checked; larger ones go through `score_from`.
+    Its size is checked; larger ones go through `score_from`.
     """
-    pickled = cloudpickle.dumps(model)
-    if len(pickled) > max_bytes:
-        raise ValueError(f"model of {len(pickled)} bytes is too large to broadcast: use score_from")
-    shared = df.sparkSession.sparkContext.broadcast(pickled)
-    return _score(df, lambda: pickle.loads(shared.value), features)
+
+    def __init__(self, model: Any, max_bytes: int = MAX_BROADCAST):
+        self.model, self.max_bytes = model, max_bytes
+        self._sent: Broadcast | None = None
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        if self._sent is None:
+            pickled = cloudpickle.dumps(self.model)
+            if len(pickled) > self.max_bytes:
+                raise ValueError(f"model of {len(pickled)} bytes is too large to broadcast: use score_from")
+            self._sent = spark.sparkContext.broadcast(pickled)
+        return self._sent
+
+    def destroy(self) -> None:
+        """Remove it from the executors and the driver's disk; it can be sent again."""
+        if self._sent is not None:
+            self._sent.destroy()
+            self._sent = None
+
+
+def score_with(df: DataFrame, model: Any, features: Sequence[str], max_bytes: int = MAX_BROADCAST) -> DataFrame:
+    """Append class and probabilities of a model, or of a `SharedModel` that many frames use."""
+    shared = model if isinstance(model, SharedModel) else SharedModel(model, max_bytes)
+    sent = shared.sent(df.sparkSession)
+    return _score(df, lambda: pickle.loads(sent.value), features)
 
 
 def score_from(df: DataFrame, load: Callable[[], Any], features: Sequence[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskflow.schemas import OUTPUT_SIGNATURE
 from riskflow.storage import Files
 
 STAGES = ("None", "Staging", "Production", "Archived")
@@ -59,14 +60,21 @@ class Registry:
             return self.spark.createDataFrame([], LOG_SCHEMA)
         return self.spark.read.schema(LOG_SCHEMA).parquet(path)
 
-    def register(self, name: str, model: PipelineModel, signature: T.StructType | None = None) -> int:
-        """Save a model as a new version and return the version."""
+    def register(
+        self,
+        name: str,
+        model: PipelineModel,
+        signature: T.StructType | None = None,
+        outputs: T.StructType = OUTPUT_SIGNATURE,
+    ) -> int:
+        """Save a model with its input and output signature as a new version; returns the version."""
         last = self.log().where(F.col("name") == name).agg(F.max("version")).first()[0]
         version = (last or 0) + 1
         path = f"{self.root}/models/{name}/{version}"
         model.write().overwrite().save(f"{path}/model")
         if signature is not None:
-            Files(self.spark, self.root).write_text(f"{path}/signature.json", signature.json())
+            both = {"inputs": signature.jsonValue(), "outputs": outputs.jsonValue()}
+            Files(self.spark, self.root).write_text(f"{path}/signature.json", json.dumps(both))
         self._append(name, version, "None", path)
         return version
 
@@ -97,12 +105,13 @@ class Registry:
     def load(self, uri: str) -> PipelineModel:
         return PipelineModel.load(f"{self.resolve(uri)[1]}/model")
 
-    def signature(self, uri: str) -> T.StructType | None:
+    def signature(self, uri: str, side: str = "inputs") -> T.StructType | None:
+        """What a model takes ("inputs") or gives ("outputs")."""
         path = f"{self.resolve(uri)[1]}/signature.json"
         files = Files(self.spark, self.root)
         if not files.exists(path):
             return None
-        return T.StructType.fromJson(json.loads(files.read_text(path)))
+        return T.StructType.fromJson(json.loads(files.read_text(path))[side])
 
     def _append(self, name: str, version: int, stage: str, path: str) -> None:
         row = (name, version, stage, path, dt.datetime.now())

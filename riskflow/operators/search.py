@@ -6,22 +6,32 @@ import itertools
 import json
 import time
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 from typing import Any, Mapping, Sequence
 
-from pyspark import inheritable_thread_target
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskflow.operators.encode import assembler
-from riskflow.operators.forest import VECTOR, WEIGHT, ForestParams, class_probability, fit_forest, forest
-from riskflow.operators.metrics import evaluate, score_counts
+from riskflow.operators.forest import (
+    VECTOR,
+    WEIGHT,
+    ForestParams,
+    class_probability,
+    fit_forest,
+    fit_partitions,
+    forest,
+    pruned,
+    score,
+)
+from riskflow.operators.metrics import CURVE_METRICS, POINT_METRICS, class_report, evaluate, score_counts, training_metrics
 from riskflow.operators.ranking import best_candidate, fold_summary, rank_candidates, top_candidates
 from riskflow.operators.split import balanced_weight, with_folds
-from riskflow.schemas import FEATURES, LABEL
+from riskflow.schemas import FEATURES, LABEL, OUTPUTS, quoted
 from riskflow.sources.runs import RunLog
-from riskflow.storage import Files
+from riskflow.storage import Files, written
 
 # The levels searched.
 GRID = {
@@ -30,8 +40,12 @@ GRID = {
     "min_samples_leaf": (1, 2, 3, 4),
     "max_depth": (5, 10, 15, 20, 25),
 }
-# Spark's forest has no minimum split size.
-FOREST_FIELDS = {"n_estimators": "trees", "min_samples_leaf": "min_leaf", "max_depth": "depth"}
+FOREST_FIELDS = {
+    "n_estimators": "trees",
+    "min_samples_split": "min_split",
+    "min_samples_leaf": "min_leaf",
+    "max_depth": "depth",
+}
 TIMES = "fit_time double, score_time double, candidate int, fold int"
 
 
@@ -41,9 +55,11 @@ def param_grid(levels: Mapping[str, Sequence[Any]] = GRID) -> list[dict[str, Any
 
 
 def forest_grid(levels: Mapping[str, Sequence[Any]] = GRID, base: ForestParams = ForestParams()) -> list[ForestParams]:
-    """The grid's combinations over the settings Spark's forest has."""
-    usable = {n: v for n, v in levels.items() if n in FOREST_FIELDS}
-    return [replace(base, **{FOREST_FIELDS[n]: v for n, v in c.items()}) for c in param_grid(usable)]
+    """The grid's combinations as forest settings; unknown names are refused."""
+    unknown = set(levels) - set(FOREST_FIELDS)
+    if unknown:
+        raise ValueError(f"no such forest settings: {sorted(unknown)}")
+    return [replace(base, **{FOREST_FIELDS[n]: v for n, v in c.items()}) for c in param_grid(levels)]
 
 
 def grid_rows(spark: SparkSession, levels: Mapping[str, Sequence[Any]] = GRID) -> DataFrame:
@@ -61,6 +77,8 @@ class SearchResult:
     best: int
     best_score: float
     model: PipelineModel
+    training: DataFrame
+    report: DataFrame | None
 
     def best_params(self) -> ForestParams:
         return self.candidates[self.best]
@@ -81,29 +99,41 @@ def grid_search(
     refit: str = "f1",
     parallelism: int = 4,
     handle_invalid: str = "error",
+    test: DataFrame | None = None,
 ) -> SearchResult:
     """Fit and score every (candidate, fold); rank on the test folds and refit the best.
 
     The folded vectors are written once and every fit reads them from there, so a
     lost executor costs a re-read of its files, not the encoding. A fit leaves
     behind its scores counted by (split, label, prediction, p1), from which all
-    metrics follow exactly. A search started again on the same folder skips the
-    fits that finished. `parallelism` fits run side by side.
+    metrics follow exactly. Candidates that differ in the minimum split size alone
+    share one fit. A search started again on the same folder skips the fits that
+    finished; one with other settings or other data is refused there. `parallelism`
+    fits run side by side. Rows without a label are left out. The result has the
+    metrics of the refitted model on its training rows and, given `test` rows, their
+    class report.
     """
     spark = train.sparkSession
+    if refit not in (*POINT_METRICS, *CURVE_METRICS):
+        raise ValueError(f"no such metric: {refit}")
     files = Files(spark, work_dir)
+    labelled = train.where(F.col(label).isNotNull())
+    _check_settings(files, work_dir, labelled, candidates, key, features, label, folds, seed, handle_invalid)
     if not files.exists(f"{work_dir}/folds/_SUCCESS"):
-        folded = with_folds(train, label, key, folds, seed)
+        folded = with_folds(labelled, label, key, folds, seed)
         vectors = assembler(features, VECTOR, handle_invalid).transform(folded).select(key, label, "fold", VECTOR)
         vectors.write.mode("overwrite").parquet(f"{work_dir}/folds")
-    data = spark.read.parquet(f"{work_dir}/folds")
+    # dealt once: every fit and every scan below has the same rows in the same partitions
+    data = fit_partitions(spark.read.parquet(f"{work_dir}/folds"), [key]).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = data.groupBy("fold", label).count().collect()
-
-    def run(job: tuple[int, int]) -> None:
-        candidate, fold = job
-        place = f"candidate={candidate}/fold={fold}"
-        finished = f"{work_dir}/times/{place}/times.json"
-        if files.exists(finished):
+    grown: dict[ForestParams, list[int]] = {}
+    for number, params in enumerate(candidates):
+        grown.setdefault(replace(params, min_split=2), []).append(number)
+
+    def run(job: tuple[ForestParams, int]) -> None:
+        params, fold = job
+        missing = [c for c in grown[params] if not files.exists(f"{work_dir}/times/candidate={c}/fold={fold}/times.json")]
+        if not missing:
             return
         counts: dict[Any, int] = {}
         for row in sizes:
@@ -111,43 +141,75 @@ def grid_search(
                 counts[row[label]] = counts.get(row[label], 0) + row["count"]
         part = data.where(F.col("fold") != fold).withColumn(WEIGHT, balanced_weight(F.col(label), counts))
         started = time.monotonic()
-        model = forest(candidates[candidate], label).fit(part)
-        fitted = time.monotonic()
-        scores = model.transform(data).select(
-            F.when(F.col("fold") == fold, "test").otherwise("train").alias("split"),
-            F.col(label).cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"),
-            class_probability(1).alias("p1"),
-        )
-        score_counts(scores, by=["split"]).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
-        times = {"fit_time": fitted - started, "score_time": time.monotonic() - fitted}
-        files.make_dir(f"{work_dir}/times/{place}")
-        files.write_text(finished, json.dumps(times))
-
-    jobs = list(itertools.product(range(len(candidates)), range(folds)))
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        for _ in pool.map(inheritable_thread_target(spark)(run), jobs):
-            pass
+        model = forest(params, label).fit(part)
+        fitted = time.monotonic() - started
+        for candidate in missing:
+            started = time.monotonic()
+            least = candidates[candidate].min_split
+            scores = (pruned(model, least) if least > 2 else model).transform(data).select(
+                F.when(F.col("fold") == fold, "test").otherwise("train").alias("split"),
+                F.col(label).cast("int").alias("label"),
+                F.col("prediction").cast("int").alias("prediction"),
+                class_probability(1).alias("p1"),
+            )
+            place = f"candidate={candidate}/fold={fold}"
+            score_counts(scores, by=["split"]).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
+            files.make_dir(f"{work_dir}/times/{place}")
+            times = {"fit_time": fitted, "score_time": time.monotonic() - started}
+            files.write_text(f"{work_dir}/times/{place}/times.json", json.dumps(times))
+
+    jobs = list(itertools.product(grown, range(folds)))
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            for _ in pool.map(inheritable_thread_target(spark)(run), jobs):
+                pass
+    finally:
+        data.unpersist()
 
     fold_metrics = _fold_metrics(spark, work_dir)
     summary = fold_summary(fold_metrics, ("candidate", "split", "metric"))
     on_test = summary.where(F.col("split") == "test").drop("split")
-    ranks = rank_candidates(on_test)
+    ranks = rank_candidates(on_test.where(~_is_time()))
     best = best_candidate(on_test.where(F.col("metric") == refit)).first()
-    model = fit_forest(train, candidates[best["candidate"]], features, label, handle_invalid)
-    return SearchResult(list(candidates), fold_metrics, summary, ranks, best["candidate"], best["mean"], model)
+    model = fit_forest(labelled, candidates[best["candidate"]], features, label, handle_invalid, key)
+    outcome = (label, OUTPUTS[0], OUTPUTS[2])
+    scored = written(score_counts(score(labelled, model), *outcome), "training_scores")
+    training = training_metrics(scored, *outcome, weight="rows")
+    report = None
+    if test is not None:
+        report = class_report(written(score_counts(score(test, model), *outcome), "test_scores"), *outcome[:2], weight="rows")
+    return SearchResult(list(candidates), fold_metrics, summary, ranks, best["candidate"], best["mean"], model, training, report)
+
+
+def _check_settings(files: Files, work_dir: str, train: DataFrame, candidates: Sequence[ForestParams], *settings: Any) -> None:
+    """The folder belongs to one search: its settings, and the rows it was started on."""
+    inputs = train.select(*[quoted(c) for c in dict.fromkeys((settings[0], *settings[1], settings[2]))])
+    rows = inputs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*inputs.columns).cast("decimal(38,0)")).alias("h")).first()
+    wanted = {"candidates": [asdict(c) for c in candidates], "settings": json.loads(json.dumps(settings)), "rows": [rows["n"], str(rows["h"])]}
+    place = f"{work_dir}/_search.json"
+    if files.exists(place):
+        if json.loads(files.read_text(place)) != wanted:
+            raise ValueError(f"{work_dir} holds a search with other settings or data: use another folder")
+    else:
+        files.make_dir(work_dir)
+        files.write_text(place, json.dumps(wanted))
+
+
+def _is_time() -> Column:
+    return F.col("metric").endswith("_time")
 
 
 def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1", children: int = 5) -> None:
-    """Log the best parameters and score, and the top candidates as child runs `<run_id>/<candidate>`."""
+    """Log the best parameters, score and training metrics, and the top candidates as
+    child runs `<run_id>/<candidate>`."""
     runs.log_params(run_id, found.best_params().as_row())
-    runs.log_metrics(run_id, {"best score": found.best_score})
+    fitted = {r["metric"]: r["value"] for r in found.training.collect() if r["value"] is not None}
+    runs.log_metrics(run_id, {"best score": found.best_score, **fitted})
     top = [r["candidate"] for r in found.top(metric, children).collect()]
     for candidate in top:
         runs.log_params(f"{run_id}/{candidate}", {**found.candidates[candidate].as_row(), "parent": run_id})
     child = F.concat(F.lit(f"{run_id}/"), F.col("candidate").cast("string")).alias("run_id")
-    is_time = F.col("metric").endswith("_time")
-    name = F.when(is_time, F.col("metric")).otherwise(F.concat_ws("_", "split", "metric"))
+    name = F.when(_is_time(), F.col("metric")).otherwise(F.concat_ws("_", "split", "metric"))
     chosen = F.col("candidate").isin(top)
     values = found.summary.where(chosen).select(
         child,
@@ -157,7 +219,7 @@ def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1
             )
         ).alias("metric", "value"),
     )
-    ranks = found.ranks.where(chosen & ~is_time).select(
+    ranks = found.ranks.where(chosen).select(
         child, F.concat(F.lit("rank_test_"), "metric").alias("metric"), F.col("rank").cast("double").alias("value")
     )
     now = F.lit(int(time.time() * 1000))

@@ -11,12 +11,15 @@ from riskflow.functions.hashing import hash_range, key_hash
 
 
 def held_out(key: Column, percent: int = 20, seed: int = 10) -> Column:
-    """True for the test share of the keys. Narrow: depends on the key alone."""
-    return key_hash(key, seed) % 100 < percent
+    """True for the test share of the keys, never NULL: rows without a key train.
+
+    Narrow: depends on the key alone.
+    """
+    return F.coalesce(key_hash(key, seed) % 100 < percent, F.lit(False))
 
 
 def split(df: DataFrame, key: str, percent: int = 20, seed: int = 10) -> tuple[DataFrame, DataFrame]:
-    """Train and test frames. Give the key column unique values."""
+    """Train and test frames, together all rows. Give the key column unique values."""
     test = held_out(F.col(key), percent, seed)
     return df.where(~test), df.where(test)
 
@@ -37,11 +40,11 @@ def balanced_weight(label: Column, counts: dict[Any, int]) -> Column:
 
 
 def with_class_weights(df: DataFrame, label: str, weight: str = "weight", max_classes: int = 1000) -> DataFrame:
-    """Append balanced class weights.
+    """Append balanced class weights; a row without a label has none.
 
     With few classes the counts become literals and the rows are never moved, so
     a class holding most rows costs nothing. Beyond the bound the counts are
-    joined on the label and AQE chooses the strategy.
+    joined on the label, with the same formula, and AQE chooses the strategy.
     """
     counts = class_counts(df, label, max_classes)
     if counts is not None:
@@ -50,7 +53,7 @@ def with_class_weights(df: DataFrame, label: str, weight: str = "weight", max_cl
         return df.withColumn(weight, balanced_weight(F.col(label), counts))
     per_class = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_rows"))
     total = per_class.agg(F.sum("_rows").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    share = per_class.select(label, (F.lit(total["n"] / total["k"]) / F.col("_rows")).alias(weight))
+    share = per_class.select(label, (F.lit(float(total["n"])) / (F.lit(total["k"]) * F.col("_rows"))).alias(weight))
     return df.join(share, [label], "left")
 
 
@@ -69,9 +72,12 @@ def with_folds(
     differ by at most one row per class. The order is cut into `ranges` slices
     of the hash space, numbered in parallel within (label, slice) and shifted by
     the class's row count in earlier slices; a single dominant class is spread
-    over all slices. The slice totals are at most classes * ranges rows.
+    over all slices. The slice totals are at most classes * ranges rows. Rows
+    without a key or a label are dealt out too: the hash of all their values
+    stands for the key, and NULL is a class.
     """
-    hashed = df.withColumns({"_hash": key_hash(F.col(key), seed), "_class": F.struct(label)})
+    hash_ = F.coalesce(key_hash(F.col(key), seed), key_hash(F.xxhash64(*df.columns), seed))
+    hashed = df.withColumns({"_hash": hash_, "_class": F.struct(label)})
     sliced = hashed.withColumn("_slice", hash_range(F.col("_hash"), ranges))
     within = Window.partitionBy("_class", "_slice").orderBy("_hash", key)
     numbered = sliced.withColumn("_number", F.row_number().over(within))

@@ -194,10 +194,11 @@ ORACLES = {
     "json_encode": """SELECT CAST(to_json({'event_id': event_id, 'user_id': user_id, 'event_type': event_type}) AS VARCHAR)
         AS body FROM events""",
     "json_publish": "SELECT c_custkey, c_nationkey, c_mktsegment FROM customer",
-    "json_dirty": """SELECT event_id % 6 AS kind, count(*) AS messages,
-        count(*) FILTER (event_id % 6 IN (0, 1)) AS with_id, count(*) FILTER (event_id % 6 = 0) AS with_age,
-        count(*) FILTER (event_id % 6 = 0) AS with_depression, count(*) FILTER (event_id % 6 = 0) AS kept
-        FROM events GROUP BY kind""",
+    "json_dirty": """SELECT event_id,
+        CASE event_id % 6 WHEN 0 THEN 'p' || event_id WHEN 1 THEN CAST(event_id AS VARCHAR) END AS "pacienteId",
+        CASE WHEN event_id % 6 = 0 THEN 40 END AS age,
+        CASE WHEN event_id % 6 = 0 THEN CAST(3.0 AS DOUBLE) END AS st_depression,
+        CAST(event_id % 6 = 0 AS INT) AS kept FROM events""",
     "json_documents": """SELECT lang, count(*) AS messages,
         count(*) FILTER (CASE WHEN json_valid(text) THEN try_cast(json_extract_string(text, '$.age') AS INT) > 0 END)
         AS kept
@@ -228,11 +229,15 @@ ORACLES = {
         CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS "c_mktsegment_MACHINERY" FROM customer""",
     "onehot_long": """SELECT p_partkey, 'p_brand' AS "column", p_brand AS level FROM part WHERE p_brand IS NOT NULL
         UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_size IS NOT NULL""",
+    "onehot_sparse": f"""SELECT p_partkey, CAST((SELECT count(DISTINCT p_name) + 1 FROM part) AS INT) AS size,
+        CAST(place AS INT) AS position, CAST(1.0 AS DOUBLE) AS value FROM part
+        JOIN (SELECT p_name, row_number() OVER (ORDER BY {hashed('p_name')}, p_name) - 1 AS place
+              FROM (SELECT DISTINCT p_name FROM part)) USING (p_name)""",
     "exam_features": f'SELECT "pacienteId", {INPUTS} FROM ({exams(BY_EVENT)}) WHERE age > 0',
     "training_features": f"""SELECT target, count(*) AS records,
         {", ".join(f'count(*) FILTER ({test}) AS "{name}"' for name, test in TRAINING_INDICATORS.items())}
         FROM ({exams(BY_EVENT, f"{TARGET} AS target")}) GROUP BY target""",
-    "sentinel_union": f'SELECT "pacienteId", age, sex, thalassemia FROM ({exams(BY_EVENT)}) WHERE age > 0',
+    "sentinel_union": f'SELECT "pacienteId", {RAW} FROM ({exams(BY_EVENT)}) WHERE age > 0',
     "assembled_vector": f"""WITH inputs AS (SELECT "pacienteId", {INPUTS} FROM ({exams(BY_EVENT)}) WHERE age > 0)
         {" UNION ALL ".join(
             f'SELECT "pacienteId", {i} AS position, CAST({name} AS DOUBLE) AS value FROM inputs'
@@ -243,10 +248,9 @@ ORACLES = {
     "merge_dedup": """SELECT user_id, ts, event_id, event_type, value FROM events
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1""",
     "table_upsert": "",
+    "table_view": "",
     "table_ddl": "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders",
-    "csv_scan": f"""SELECT age, target, count(*) AS records, CAST(sum(cholesterol) AS BIGINT) AS cholesterol,
-        round(sum(st_depression), 3) AS st_depression
-        FROM ({exams(BY_EVENT, f"{TARGET} AS target")}) GROUP BY age, target""",
+    "csv_scan": f"SELECT {EXAM_COLUMNS}, {TARGET} AS target FROM events",
     "hash_split": f"SELECT event_id, CAST({hashed('event_id')} % 100 < 20 AS INT) AS is_test FROM events",
     "hash_split_frames": f"""SELECT CASE WHEN {hashed('doc_id')} % 100 < 20 THEN 'test' ELSE 'train' END AS side,
         lang, count(*) AS docs FROM documents GROUP BY ALL""",
@@ -257,6 +261,11 @@ ORACLES = {
         (PARTITION BY quality ORDER BY {hashed('doc_id')}, doc_id) - 1) % 10 AS INT) AS fold FROM labels""",
     "strat_folds_events": f"""SELECT event_id, event_type, CAST((row_number() OVER
         (PARTITION BY event_type ORDER BY {hashed('event_id')}, event_id) - 1) % 10 AS INT) AS fold FROM events""",
+    "hash_split_null_keys": f"""SELECT CASE WHEN event_id % 7 <> 0 AND {hashed('event_id')} % 100 < 20 THEN 'test' ELSE 'train' END
+        AS side, count(*) AS events, count(*) FILTER (event_id % 7 = 0) AS without_key FROM events GROUP BY side""",
+    "strat_folds_null_keys": """SELECT event_type, CAST(fold AS INT) AS fold, n // 10 + CAST(fold < n % 10 AS INT) AS events
+        FROM (SELECT event_type, count(*) AS n FROM events GROUP BY event_type), range(10) AS f(fold)
+        WHERE n // 10 + CAST(fold < n % 10 AS INT) > 0""",
     "confusion_prf": f"""WITH c AS (SELECT fold, {counts("label", "prediction")}
         FROM (SELECT {EVALUATED_COLUMNS}, event_id % 10 AS fold FROM events) GROUP BY fold)
         SELECT *, {RATES} FROM c""",
@@ -270,6 +279,7 @@ ORACLES = {
         round(average_precision, 6) AS average_precision FROM curves""",
     "class_report": f"""{MATRIX},
         report AS (SELECT class, precision, recall, f1, support FROM rates
+        UNION ALL SELECT 'accuracy', a, a, a, n FROM (SELECT avg(CAST(label = prediction AS DOUBLE)) AS a, count(*) AS n FROM guessed)
         UNION ALL SELECT 'macro avg', avg(precision), avg(recall), avg(f1), sum(support) FROM rates
         UNION ALL SELECT 'weighted avg', sum(precision * support) / sum(support),
             sum(recall * support) / sum(support), sum(f1 * support) / sum(support), sum(support) FROM rates)
@@ -311,10 +321,12 @@ ORACLES = {
         FROM scores JOIN grid USING (candidate)""",
     "metric_scan": f"""SELECT 'run' || candidate AS run_id, metric, 1700000000000 AS ts,
         round(avg(value), 4) AS value, CAST(0 AS BIGINT) AS step FROM ({RUN_SCORES}) GROUP BY candidate, metric""",
+    "value_scan": """SELECT 'run' || user_id % 20 AS run_id, event_type AS param, CAST(count(*) AS VARCHAR) AS value
+        FROM events GROUP BY ALL""",
     "run_log": """SELECT run_id, metric, ts, value, events FROM (SELECT 'run' || user_id AS run_id,
             event_type AS metric, min(event_id) AS ts, round(avg(value), 6) AS value FROM events GROUP BY ALL)
         JOIN (SELECT 'run' || user_id AS run_id, CAST(count(*) AS VARCHAR) AS events FROM events GROUP BY ALL)
-        USING (run_id) WHERE metric IN ('click', 'view')""",
+        USING (run_id)""",
     "registry_stages": STAGES,
     "registry_resolve": f"""SELECT name, max(version) AS version, arg_max(path, version) AS path
         FROM ({STAGES}) WHERE stage = 'Production' GROUP BY name""",
@@ -324,6 +336,16 @@ ORACLES = {
         CAST(CASE WHEN p1 >= 0.5 THEN 1 ELSE 0 END AS INT) AS resultado, round(1 - p1, 6) AS "probabilidade_Nao",
         round(p1, 6) AS "probabilidade_Sim", '2024-01-02' AS data FROM scored""",
     "stream_upsert": merged(BY_USER, "value < 50", "value >= 50", "2024-01-02", "2024-01-02"),
+    "stream_empty_batch": merged(BY_USER, "value < 50", "value >= 50", "2024-01-02", "2024-01-02"),
+    "forest_exact": f"""WITH inputs AS (SELECT "pacienteId", {INPUTS} FROM ({exams(BY_EVENT)}) WHERE age > 0)
+        SELECT "pacienteId", CAST(sex_male AS INT) AS resultado, CAST(1 - sex_male AS DOUBLE) AS "probabilidade_Nao",
+        CAST(sex_male AS DOUBLE) AS "probabilidade_Sim" FROM inputs""",
+    "search_exact": f"""SELECT CAST(candidate AS INT) AS candidate, metric,
+            CASE WHEN metric IN ('neg_log_loss', 'neg_brier_score') THEN 0.0 ELSE 1.0 END::DOUBLE AS mean,
+            CAST(0.0 AS DOUBLE) AS std, CAST(1 AS INT) AS rank, CAST(0 AS INT) AS best, records
+        FROM range(3) AS c(candidate), (SELECT unnest(['precision', 'recall', 'f1', 'balanced_accuracy', 'accuracy',
+            'neg_log_loss', 'neg_brier_score', 'roc_auc', 'average_precision']) AS metric),
+            (SELECT count(*) AS records FROM ({exams(BY_EVENT)}) WHERE age > 0)""",
     "score_upsert": merged(BY_USER_TYPE, "value < 150", "value >= 150", "2024-01-01", "2024-01-02"),
 }
 
@@ -335,4 +357,4 @@ MERGED_ORDERS = """WITH t AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_tot
         CASE WHEN t.o_orderkey IS NULL THEN s.o_orderstatus ELSE t.o_orderstatus END AS o_orderstatus,
         CASE WHEN s.o_orderkey IS NULL THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice
     FROM t FULL OUTER JOIN s ON t.o_orderkey = s.o_orderkey"""
-ORACLES["merge_upsert"] = ORACLES["table_upsert"] = MERGED_ORDERS
+ORACLES["merge_upsert"] = ORACLES["table_upsert"] = ORACLES["table_view"] = MERGED_ORDERS

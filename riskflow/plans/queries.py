@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import replace
 from typing import Callable
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -27,7 +29,9 @@ from riskflow.plans.inputs import (
 from riskflow.plans.scoring import model_scorer, python_scorer, score_bodies, score_records
 from riskflow.plans.training import training_frame
 from riskflow.schemas import (
+    CSV_SCHEMA,
     EVENT_SCHEMA,
+    EXAM_COLUMNS,
     FEATURES,
     KEY,
     LABEL,
@@ -37,9 +41,9 @@ from riskflow.schemas import (
     quoted,
     signature_of,
 )
-from riskflow.sources.runs import RunLog, scan_metrics
+from riskflow.sources.runs import RunLog, scan_metrics, scan_values
 from riskflow.sources.streams import open_stream, publish
-from riskflow.sources.tables import create_table, read_csv, read_table, refresh_table
+from riskflow.sources.tables import create_table, create_view, read_csv, read_table
 from riskflow.storage import scratch_dir, written
 from riskflow.streaming.scoring import start_scoring
 
@@ -105,13 +109,8 @@ def json_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     bodies = table(spark, sf_dir, "events").select("event_id", body.cast("binary").alias("body"))
     parsed = expand_bodies(bodies, EVENT_SCHEMA)
-    return parsed.groupBy((F.col("event_id") % 6).alias("kind")).agg(
-        F.count(F.lit(1)).alias("messages"),
-        F.count(KEY).alias("with_id"),
-        F.count("age").alias("with_age"),
-        F.count("st_depression").alias("with_depression"),
-        F.count_if(F.col("age") > 0).alias("kept"),
-    )
+    kept = F.coalesce(F.col("age") > 0, F.lit(False))
+    return parsed.select("event_id", KEY, "age", "st_depression", kept.cast("int").alias("kept"))
 
 
 @query
@@ -224,6 +223,18 @@ def onehot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode.indicator_rows(table(spark, sf_dir, "part"), "p_partkey", ["p_brand", "p_size"])
 
 
+@query
+def onehot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A place in a sparse vector for every name, unpacked: the vector's size, the place, the value."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    encoded = encode.one_hot_sparse(parts, "p_name", "names").select("p_partkey", F.unwrap_udt("names").alias("v"))
+    return encoded.select(
+        "p_partkey",
+        F.col("v.size").alias("size"),
+        F.explode(F.arrays_zip("v.indices", "v.values")).alias("entry"),
+    ).select("p_partkey", "size", F.col("entry.indices").alias("position"), F.col("entry.values").alias("value"))
+
+
 @query
 def exam_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Id and the 19 model inputs."""
@@ -246,8 +257,8 @@ def training_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sentinel_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Padding with rows that the filter removes again leaves the data as it was."""
-    records = exam_records(spark, sf_dir).select(KEY, "age", "sex", "thalassemia")
-    extra = [{KEY: str(i), "age": 0, "sex": min(i, 1), "thalassemia": i} for i in range(4)]
+    records = exam_records(spark, sf_dir)
+    extra = [{KEY: str(i), **{name: i for name, _ in EXAM_COLUMNS}, "st_depression": 0.0, "age": 0} for i in range(4)]
     sentinels = encode.literal_rows(spark, extra, records.schema)
     padded = encode.pad(records, sentinels)
     return encode.positive(encode.append_by_position(padded, sentinels))
@@ -305,11 +316,9 @@ def merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts into a bucketed table: a first load, then changes and new rows."""
+    """Two upserts into a keyed table: a first load, then changes and new rows."""
     target, source = _order_sides(spark, sf_dir)
-    stored = merge.KeyedTable(
-        spark, scratch_dir(spark, "orders"), 8, ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)
-    ).create()
+    stored = merge.KeyedTable(spark, scratch_dir(spark, "orders"), ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
     stored.upsert(target)
     stored.upsert(source)
     return stored.read()
@@ -317,15 +326,27 @@ def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Create a catalog table over an upserted location and scan it."""
-    place = scratch_dir(spark, "ddl")
-    stored = merge.KeyedTable(spark, place, 8, ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
+    """Create a catalog table over a compacted location, scan it and drop the entry."""
+    stored = merge.KeyedTable(spark, scratch_dir(spark, "ddl"), ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
     stored.upsert(table(spark, sf_dir, "orders").select(*ORDER_SCHEMA.names))
-    name = create_table(
-        spark, "riskflow_checks", place.rsplit("/", 1)[-1].replace("-", "_"), place, ORDER_SCHEMA, [("bucket", "int")]
-    )
-    refresh_table(spark, name)
-    return read_table(spark, name).drop("bucket")
+    place = stored.compact()
+    name = create_table(spark, "riskflow_checks", f"orders_{uuid.uuid4().hex}", place, ORDER_SCHEMA)
+    found = read_table(spark, name)
+    spark.sql(f"DROP TABLE {name}")  # external: the rows stay, and so does the scan of them
+    return found
+
+
+@query
+def table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two upserts seen through a catalog view."""
+    target, source = _order_sides(spark, sf_dir)
+    stored = merge.KeyedTable(spark, scratch_dir(spark, "view"), ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
+    stored.upsert(target)
+    stored.upsert(source)
+    name = create_view(spark, "riskflow_checks", f"orders_{uuid.uuid4().hex}", stored.sql())
+    found = read_table(spark, name)
+    spark.sql(f"DROP VIEW {name}")
+    return found
 
 
 @query
@@ -333,13 +354,8 @@ def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exam rows written as CSV with a header, read back and renamed by position."""
     place = scratch_dir(spark, "csv")
     exams = exam_records(spark, sf_dir, BY_EVENT, f"{TARGET} AS target").drop(KEY)
-    exams.write.option("header", True).csv(place)
-    named = encode.rename_by_position(read_csv(spark, place), TRAINING_NAMES)
-    return named.groupBy("age", LABEL).agg(
-        F.count(F.lit(1)).alias("records"),
-        F.sum("cholesterol").alias("cholesterol"),
-        F.round(F.sum("st_depression"), 3).alias("st_depression"),
-    )
+    encode.rename_by_position(exams, CSV_SCHEMA.names).write.option("header", True).csv(place)
+    return encode.rename_by_position(read_csv(spark, place), TRAINING_NAMES)
 
 
 # Split, weights, folds
@@ -376,6 +392,26 @@ def strat_folds_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return split.with_folds(events, "event_type", "event_id")
 
 
+def _some_without_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "event_type")
+    return events.withColumn("key", F.when(F.col("event_id") % 7 != 0, F.col("event_id")))
+
+
+@query
+def hash_split_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The two sides of a split in which one key in seven is NULL: together all rows."""
+    train, test = split.split(_some_without_key(spark, sf_dir), "key")
+    sides = train.withColumn("side", F.lit("train")).unionByName(test.withColumn("side", F.lit("test")))
+    return sides.groupBy("side").agg(F.count(F.lit(1)).alias("events"), F.count_if(F.col("key").isNull()).alias("without_key"))
+
+
+@query
+def strat_folds_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fold sizes per class when one key in seven is NULL: exact, and together all rows."""
+    folded = split.with_folds(_some_without_key(spark, sf_dir), "event_type", "key")
+    return folded.groupBy("event_type", "fold").agg(F.count(F.lit(1)).alias("events"))
+
+
 # Metrics
 
 
@@ -496,7 +532,7 @@ def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("events"))
     )
     grid = search.grid_rows(spark)
-    return rounded(scores.join(F.broadcast(grid), "candidate"), "mean")
+    return rounded(scores.join(grid, "candidate"), "mean")
 
 
 # Runs and registry
@@ -520,6 +556,18 @@ def metric_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_metrics(spark, place, "*/*/*", r"run=([^/]+)/metric=([^/]+)/[^/]+$")
 
 
+@query
+def value_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One parameter per run and name, each in a text file of its own, scanned by path."""
+    place = scratch_dir(spark, "values")
+    values = table(spark, sf_dir, "events").groupBy(
+        F.concat(F.lit("run"), (F.col("user_id") % 20).cast("string")).alias("run"), F.col("event_type").alias("param")
+    )
+    lines = values.agg(F.count(F.lit(1)).cast("string").alias("text"))
+    lines.repartition("run", "param").write.partitionBy("run", "param").text(place)
+    return scan_values(spark, place, glob="*/*/*", pattern=r"run=([^/]+)/param=([^/]+)/[^/]+$")
+
+
 @query
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Params and metrics appended to the run tables in two batches, read back joined."""
@@ -529,8 +577,9 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = events.groupBy(run.alias("run_id"), F.col("event_type").alias("metric")).agg(
         F.min("event_id").alias("ts"), F.round(F.avg("value"), DIGITS).alias("value")
     )
-    for kind in ("click", "view"):
-        log.append_metrics(measured.where(F.col("metric") == kind).withColumn("step", F.lit(0).cast("long")))
+    clicks = F.coalesce(F.col("metric") == "click", F.lit(False))
+    for part in (clicks, ~clicks):
+        log.append_metrics(measured.where(part).withColumn("step", F.lit(0).cast("long")))
     log.append_params(
         events.groupBy(run.alias("run_id")).agg(F.count(F.lit(1)).cast("string").alias("value")).withColumn(
             "param", F.lit("events")
@@ -590,7 +639,7 @@ def score_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fit the production forest on the train share, score and evaluate the test share."""
     train, test = split.split(_labelled(spark, sf_dir), KEY)
-    model = fit_forest(train)
+    model = fit_forest(train, key=KEY)
     scorer = model_scorer(model, signature_of(train))
     outcome = (LABEL, "resultado", "probabilidade_Sim")
     scores = written(metrics.score_counts(scorer(test), *outcome), "scores")
@@ -600,32 +649,42 @@ def forest_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def grid_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A small cross-validated search with all metrics; ranks of the candidates."""
-    grid = search.forest_grid({"n_estimators": (5, 10), "max_depth": (3, 5)})
+    grid = search.forest_grid({"n_estimators": (5, 10), "min_samples_split": (2, 200), "max_depth": (3, 5)})
     found = search.grid_search(
         _labelled(spark, sf_dir), grid, scratch_dir(spark, "search"), KEY, folds=3, parallelism=4
     )
     return found.ranks
 
 
-@query
-def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _streamed(spark: SparkSession, sf_dir: str, empty_between: bool) -> DataFrame:
     """Messages streamed into the result table: small events, then, after a restart, large ones."""
     place = scratch_dir(spark, "stream")
     messages = exam_messages(spark, sf_dir, BY_USER, "value")
-    stored = merge.KeyedTable(spark, f"{place}/table", 8).create()
-    large = F.col("value") >= 50
-    for part in (~large, large):
+    stored = merge.KeyedTable(spark, f"{place}/table").create()
+    scorer = python_scorer(logistic_model())
+    large = F.coalesce(F.col("value") >= 50, F.lit(False))  # total: no value is not large
+    for part in (~large, F.lit(False), large) if empty_between else (~large, large):
         messages.where(part).drop("value").write.mode("append").parquet(f"{place}/in")
         stream = open_stream(
             spark, "parquet", {}, f"{place}/in", keep=["event_id"], schema=messages.drop("value").schema
         )
-        running = start_scoring(
-            stream, stored, python_scorer(logistic_model()), f"{place}/checkpoint", AS_OF, availableNow=True
-        )
+        running = start_scoring(stream, stored, scorer, f"{place}/checkpoint", AS_OF, availableNow=True)
         running.awaitTermination()
     return rounded(stored.read(), "probabilidade_Nao", "probabilidade_Sim")
 
 
+@query
+def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with a restart between them."""
+    return _streamed(spark, sf_dir, empty_between=False)
+
+
+@query
+def stream_empty_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with a batch without messages between them."""
+    return _streamed(spark, sf_dir, empty_between=True)
+
+
 @query
 def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The batch form: small events scored first, large ones merged in later, by patient and type."""
@@ -636,17 +695,46 @@ def score_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = score_records(records.where(part), scorer, as_of, keep=["event_id"])
         return merge.latest_per_key(rows, KEY, ["event_id"]).drop("event_id")
 
-    large = F.col("value") >= 150
+    large = F.coalesce(F.col("value") >= 150, F.lit(False))
     return rounded(
         merge.merge(scored(~large, "2024-01-01"), scored(large, AS_OF)), "probabilidade_Nao", "probabilidade_Sim"
     )
 
 
+# Every tree must split on the column that the label is, whatever its sample: so all is known beforehand.
+FORCED = ForestParams(trees=5, depth=3, min_leaf=1, subset="all")
+
+
+def _forced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode.with_indicators(encode.positive(exam_records(spark, sf_dir))).withColumn(LABEL, F.col("sex_male"))
+
+
+@query
+def forest_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fit, register with signature, promote, load by stage, check the signature, score."""
+    train, _ = split.split(_forced(spark, sf_dir), KEY)
+    models = registry.Registry(spark, scratch_dir(spark, "registry"))
+    version = models.register("sex", fit_forest(train, FORCED, key=KEY), signature_of(train))
+    models.transition("sex", version, "Production")
+    scorer = model_scorer(models.load("models:/sex/Production"), models.signature("models:/sex/Production"))
+    return scorer(_forced(spark, sf_dir)).select(KEY, *OUTPUTS)
+
+
+@query
+def search_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Means and ranks of a search whose every fit is right, with the rows of its test folds."""
+    grid = [replace(FORCED, trees=2), replace(FORCED, trees=3), replace(FORCED, trees=3, min_split=4)]
+    rows = _forced(spark, sf_dir)
+    found = search.grid_search(rows, grid, scratch_dir(spark, "search"), KEY, folds=3, parallelism=4)
+    ranks = found.ranks.withColumns({c: F.round(c, DIGITS) + F.lit(0.0) for c in ("mean", "std")})  # no negative zero
+    return ranks.withColumns({"best": F.lit(found.best), "records": F.lit(rows.count()).cast("long")})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages decoded, encoded, scored by a forest and upserted by patient."""
     train, _ = split.split(_labelled(spark, sf_dir), KEY)
-    model = fit_forest(train, ForestParams(trees=25, depth=6))
-    stored = merge.KeyedTable(spark, scratch_dir(spark, "flagship"), 8).create()
+    model = fit_forest(train, ForestParams(trees=25, depth=6), key=KEY)
+    stored = merge.KeyedTable(spark, scratch_dir(spark, "flagship")).create()
     scored = score_bodies(exam_messages(spark, sf_dir), model_scorer(model, signature_of(train)), AS_OF)
     stored.upsert(scored, order_by=["event_id"])
     return stored.read()

@@ -12,26 +12,32 @@ from pyspark.sql import types as T
 from riskflow.functions.bodies import expand_bodies
 from riskflow.operators.encode import positive, with_indicators, with_load_date, with_placeholders
 from riskflow.operators.forest import score
-from riskflow.operators.pymodel import score_with
-from riskflow.schemas import EVENT_SCHEMA, FEATURES, KEY, check_signature
+from riskflow.operators.pymodel import SharedModel, score_from, score_with
+from riskflow.schemas import EVENT_SCHEMA, FEATURES, KEY, conform
 
 Scorer = Callable[[DataFrame], DataFrame]
 
 
 def model_scorer(model: Model, signature: T.StructType | None = None) -> Scorer:
-    """Score with a fitted pipeline, after checking the inputs against its signature."""
+    """Score with a fitted pipeline; given its signature, inputs are checked and cast to it."""
 
     def run(features: DataFrame) -> DataFrame:
-        if signature is not None:
-            check_signature(features, signature)
-        return score(features, model)
+        return score(features if signature is None else conform(features, signature), model)
 
     return run
 
 
-def python_scorer(model: object, features: Sequence[str] = FEATURES) -> Scorer:
-    """Score with any Python model."""
-    return lambda frame: score_with(frame, model, features)
+def python_scorer(
+    model: object = None,
+    features: Sequence[str] = FEATURES,
+    load: Callable[[], object] | None = None,
+) -> Scorer:
+    """Score with any Python model. It is sent once, however many batches are scored;
+    a large one is given as a function that loads it, from a shared path, in each task."""
+    if load is not None:
+        return lambda frame: score_from(frame, load, features)
+    shared = model if isinstance(model, SharedModel) else SharedModel(model)
+    return lambda frame: score_with(frame, shared, features)
 
 
 def score_records(

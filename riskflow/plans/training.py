@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from riskflow.operators.encode import as_categories, decode_strict, one_hot_learned, rename_by_position
 from riskflow.operators.forest import ForestParams, fit_forest, score
-from riskflow.operators.metrics import curve_metrics, score_counts
+from riskflow.operators.metrics import class_report, curve_metrics, score_counts, training_metrics
 from riskflow.operators.registry import Registry
 from riskflow.operators.split import split
 from riskflow.schemas import FEATURES, LABEL, TRAINING_CODES, TRAINING_NAMES, signature_of
@@ -39,6 +39,8 @@ class Trained:
     signature: T.StructType
     auc: float
     version: int | None
+    training: dict[str, float]
+    report: DataFrame
 
 
 def train_model(
@@ -50,20 +52,27 @@ def train_model(
     stage: str | None = "Production",
     runs: RunLog | None = None,
     run_id: str = "train",
+    most_rows: int | None = None,
 ) -> Trained:
-    """Split, fit, measure the held-out AUC, log, register and promote."""
+    """Split, fit, measure on both sides, log, register and promote.
+
+    Logged are the settings, the metrics of the fit on its training rows and the
+    held-out AUC; the class report is of the held-out rows.
+    """
     train, test = split(frame, key)
-    model = fit_forest(train, params)
-    scores = written(score_counts(score(test, model), LABEL, "resultado", "probabilidade_Sim"), "auc")
-    auc = curve_metrics(scores, LABEL, "probabilidade_Sim", weight="rows").first()["roc_auc"]
+    model = fit_forest(train, params, key=key, most_rows=most_rows)
+    outcome = (LABEL, "resultado", "probabilidade_Sim")
+    on_train, on_test = (written(score_counts(score(part, model), *outcome), "scores") for part in (train, test))
+    fitted = training_metrics(on_train, *outcome, weight="rows").collect()
+    training = {r["metric"]: r["value"] for r in fitted if r["value"] is not None}
+    auc = curve_metrics(on_test, LABEL, "probabilidade_Sim", weight="rows").first()["roc_auc"]
     signature = signature_of(train, FEATURES)
     if runs is not None:
         runs.log_params(run_id, params.as_row())
-        if auc is not None:
-            runs.log_metrics(run_id, {"auc": auc})
+        runs.log_metrics(run_id, {**training, **({} if auc is None else {"auc": auc})})
     version = None
     if registry is not None:
         version = registry.register(name, model, signature)
         if stage:
             registry.transition(name, version, stage)
-    return Trained(model, signature, auc, version)
+    return Trained(model, signature, auc, version, training, class_report(on_test, *outcome[:2], weight="rows"))

@@ -7,6 +7,7 @@ from types import MappingProxyType
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KEY = "pacienteId"
@@ -172,8 +173,18 @@ def signature_of(df: DataFrame, features: Sequence[str] = FEATURES) -> T.StructT
     return T.StructType([T.StructField(f.name, f.dataType) for f in df.select(*_quoted(features)).schema])
 
 
+NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+OUTPUT_SIGNATURE = struct_of([c for c in RESULT_COLUMNS if c[0] in OUTPUTS])
+
+
+def _widens(have: T.DataType, want: T.DataType) -> bool:
+    if have == want:
+        return True
+    return type(have) in NUMBERS and type(want) in NUMBERS and NUMBERS.index(type(have)) <= NUMBERS.index(type(want))
+
+
 def check_signature(df: DataFrame, signature: T.StructType) -> None:
-    """Fail before scoring when an input is missing or cannot be cast to its type.
+    """Fail before scoring when an input is missing or its type cannot be widened to the signature's.
 
     Order needs no check: columns are always taken by name, in signature order.
     """
@@ -184,12 +195,19 @@ def check_signature(df: DataFrame, signature: T.StructType) -> None:
     wrong = [
         f"{f.name}: {have[f.name].simpleString()} for {f.dataType.simpleString()}"
         for f in signature
-        if not (have[f.name] == f.dataType or isinstance(have[f.name], T.NumericType))
+        if not _widens(have[f.name], f.dataType)
     ]
     if wrong:
         raise TypeError(f"model inputs with unusable types: {wrong}")
 
 
+def conform(df: DataFrame, signature: T.StructType) -> DataFrame:
+    """The frame with its model inputs checked and cast to the signature's types."""
+    check_signature(df, signature)
+    wanted = {f.name: f.dataType for f in signature}
+    return df.select(*[F.col(quoted(c)).cast(wanted[c]).alias(c) if c in wanted else F.col(quoted(c)) for c in df.columns])
+
+
 def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

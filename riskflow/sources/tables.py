@@ -11,8 +11,11 @@ from riskflow.schemas import CSV_SCHEMA, RESULT_SCHEMA, quoted
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = CSV_SCHEMA) -> DataFrame:
-    """CSV with a header; a schema saves the inference pass over the file."""
-    reader = spark.read.option("header", True)
+    """CSV with a header; a schema saves the inference pass over the file.
+
+    The header must have the schema's names in its order, else reading fails.
+    """
+    reader = spark.read.option("header", True).option("enforceSchema", False)
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -44,6 +47,14 @@ def create_table(
     return name
 
 
+def create_view(spark: SparkSession, database: str, view: str, query: str) -> str:
+    """Create the database if needed, then the view anew."""
+    name = f"{quoted(database)}.{quoted(view)}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(database)}")
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
+    return name
+
+
 def refresh_table(spark: SparkSession, name: str, partitioned: bool = True) -> None:
     """Make files written by path visible through the catalog."""
     if partitioned:

@@ -2,35 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-from typing import Callable, Iterable, TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
-Item = TypeVar("Item")
-_LOCAL_ROOTS: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
-    """The cluster's shared folder; a temporary one only in local mode."""
+    """The folder that the cluster shares: `spark.checkpoint.dir`, or else, where it is
+    not set, a folder in the warehouse, which is shared too."""
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not shared:
         shared = context.getCheckpointDir()
-    if shared:
-        return shared.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="riskflow-")
-    return _LOCAL_ROOTS[app]
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+    return shared.rstrip("/")
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path of its own under the shared folder, removed when the application ends."""
+    folder = f"{scratch_root(spark)}/riskflow-{spark.sparkContext.applicationId}"
+    files = Files(spark, folder)
+    if not files.exists(folder):
+        files.make_dir(folder)
+        files.delete_on_exit(folder)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -44,6 +40,7 @@ class Files:
     """Hadoop file system calls, so that any storage Spark can write to works."""
 
     def __init__(self, spark: SparkSession, root: str):
+        self._spark = spark
         self._path = spark._jvm.org.apache.hadoop.fs.Path
         self._fs = self._path(root).getFileSystem(spark._jsc.hadoopConfiguration())
 
@@ -58,6 +55,9 @@ class Files:
             return []
         return sorted(s.getPath().getName() for s in self._fs.listStatus(self._path(path)))
 
+    def delete_on_exit(self, path: str) -> None:
+        self._fs.deleteOnExit(self._path(path))
+
     def delete(self, path: str) -> None:
         self._fs.delete(self._path(path), True)
 
@@ -65,6 +65,11 @@ class Files:
         if not self._fs.rename(self._path(source), self._path(target)):
             raise OSError(f"could not move {source} to {target}")
 
+    def copy(self, source: str, target: str) -> None:
+        util, conf = self._spark._jvm.org.apache.hadoop.fs.FileUtil, self._fs.getConf()
+        if not util.copy(self._fs, self._path(source), self._fs, self._path(target), False, conf):
+            raise OSError(f"could not copy {source} to {target}")
+
     def write_text(self, path: str, text: str) -> None:
         """Write whole, then rename, so that the file is there entirely or not at all."""
         folder, _, _ = path.rpartition("/")
@@ -84,10 +89,3 @@ class Files:
             return bytes(stream.readAllBytes()).decode("utf-8")
         finally:
             stream.close()
-
-
-def in_parallel(action: Callable[[Item], None], items: Iterable[Item], width: int = 32) -> None:
-    """Run file-system calls side by side; the first failure is raised."""
-    with ThreadPoolExecutor(max_workers=width) as pool:
-        for _ in pool.map(action, items):
-            pass

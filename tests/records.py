@@ -5,24 +5,11 @@ from __future__ import annotations
 import json
 from typing import Any
 
-from riskflow.schemas import EVENT_SCHEMA, KEY, RESULT_COLUMNS
-
-BASE: dict[str, Any] = {
-    KEY: "a",
-    "age": 50,
-    "sex": 1,
-    "chest_pain_type": 2,
-    "resting_blood_pressure": 130,
-    "cholesterol": 240,
-    "fasting_blood_sugar": 0,
-    "rest_ecg": 1,
-    "max_heart_rate_achieved": 150,
-    "exercise_induced_angina": 0,
-    "st_depression": 1.5,
-    "st_slope": 2,
-    "num_major_vessels": 0,
-    "thalassemia": 2,
-}
+from riskflow.schemas import EVENT_SCHEMA, EXAM_COLUMNS, KEY, RESULT_COLUMNS
+
+# a value for each column of an exam record, in the schema's order
+VALUES = (50, 1, 2, 130, 240, 0, 1, 150, 0, 1.5, 2, 0, 2)
+BASE: dict[str, Any] = {KEY: "a", **{name: value for (name, _), value in zip(EXAM_COLUMNS, VALUES, strict=True)}}
 
 
 def exam(**changes: Any) -> dict[str, Any]:

@@ -5,6 +5,7 @@ import itertools
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from riskflow.functions.codes import indicator
 from riskflow.operators import encode
@@ -18,6 +19,7 @@ from riskflow.schemas import (
     TRAINING_CODES,
     TRAINING_NAMES,
     check_signature,
+    conform,
     signature_of,
 )
 from tests.records import as_dicts, exam, frame
@@ -155,6 +157,28 @@ def test_signature(spark):
         check_signature(features.withColumn("age", F.lit("x")), signature)
 
 
+def test_inputs_are_cast_to_the_signature(spark):
+    features = encode.exam_features(frame(spark, [exam()]))
+    wide = T.StructType([T.StructField(f.name, T.DoubleType()) for f in signature_of(features)])
+    cast = conform(features, wide)
+    assert cast.columns == features.columns and {f.dataType for f in cast.schema if f.name in FEATURES} == {T.DoubleType()}
+    with pytest.raises(TypeError, match="double for int"):
+        conform(cast, signature_of(features))
+
+
+def test_sparse_one_hot(spark):
+    """A place for every level, NULL last; as many levels as there are rows."""
+    df = spark.range(3000).select("id", F.when(F.col("id") % 10 != 0, F.concat(F.lit("level "), "id")).alias("c"))
+    found = encode.one_hot_sparse(df.repartition(7), "c", "v")
+    assert found.columns == ["id", "c", "v"]
+    vectors = {r["id"]: r["v"] for r in found.collect()}
+    assert all(v.size == 2701 and list(v.values) == [1.0] for v in vectors.values())
+    assert {vectors[i].indices[0] for i in range(0, 3000, 10)} == {2700}
+    assert sorted(vectors[i].indices[0] for i in range(3000) if i % 10) == list(range(2700))
+    again = {r["id"]: r["v"] for r in encode.one_hot_sparse(df, "c", "v").collect()}
+    assert again == vectors
+
+
 def test_features_are_one_projection(spark):
     """No shuffle, and the filter reaches the scan."""
     plan = encode.exam_features(frame(spark, [exam()]))._jdf.queryExecution().executedPlan().toString()

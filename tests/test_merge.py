@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -15,8 +16,8 @@ def rows(spark, *changes):
     return frame(spark, [exam(**c) for c in changes])
 
 
-def keyed(spark, place, **options):
-    return KeyedTable(spark, f"{place}/table", **{"buckets": 4, **options}).create()
+def keyed(spark, place):
+    return KeyedTable(spark, f"{place}/table").create()
 
 
 TARGET = (
@@ -64,10 +65,10 @@ def test_upsert_is_idempotent(spark, place):
     check_merged(as_dicts(table.read()))
 
 
-@pytest.mark.parametrize("broadcast_bytes", [0, 64 << 20])
-def test_upserts_equal_frame_merges(spark, place, broadcast_bytes):
+@pytest.mark.parametrize("compacted", [(), (1,), (0, 2)])
+def test_upserts_equal_frame_merges(spark, place, compacted):
     rng = random.Random(3)
-    table = keyed(spark, place, max_files=3, broadcast_bytes=broadcast_bytes)
+    table = keyed(spark, place)
     expected = frame(spark, [])
     for step in range(4):
         batch = rows(
@@ -78,67 +79,64 @@ def test_upserts_equal_frame_merges(spark, place, broadcast_bytes):
             ],
         )
         table.upsert(batch)
+        if step in compacted:
+            table.compact()
+            table.clean()
         expected = frame(spark, [r.asDict() for r in merge(expected, latest_per_key(batch)).collect()])
         assert sorted(table.read().collect(), key=repr) == sorted(expected.collect(), key=repr)
+        assert sorted(spark.sql(table.sql()).collect(), key=repr) == sorted(expected.collect(), key=repr)
 
 
-def files_per_bucket(table):
-    files = Files(table.spark, table.path)
-    return {
-        name: sum(f.endswith(".parquet") for f in files.names(f"{table.path}/{name}"))
-        for name in files.names(table.path)
-        if name.startswith("bucket=")
-    }
-
-
-def test_new_keys_only_append(spark, place):
-    table = keyed(spark, place, buckets=1)
-    assert table.upsert(rows(spark, {KEY: "a"})) == {"rows": 1, "rewritten": 0, "appended": 1}
-    assert table.upsert(rows(spark, {KEY: "b"})) == {"rows": 1, "rewritten": 0, "appended": 1}
-    assert files_per_bucket(table) == {"bucket=0": 2}
-    assert table.upsert(rows(spark, {KEY: "b"}, {KEY: "c"})) == {"rows": 2, "rewritten": 1, "appended": 0}
-    assert files_per_bucket(table) == {"bucket=0": 1}
-
+def folders(table):
+    return [p.name.split("-")[0] for p in table._parts()]
 
-def test_many_small_files_are_compacted(spark, place):
-    table = keyed(spark, place, buckets=1, max_files=3)
-    for i in range(4):
-        table.upsert(rows(spark, {KEY: str(i)}))
-    assert files_per_bucket(table) == {"bucket=0": 1} and table.read().count() == 4
 
+def stored_bytes(table):
+    size = 0
+    for folder, _, names in os.walk(table.path):
+        size += sum(os.path.getsize(f"{folder}/{n}") for n in names if n.endswith(".parquet"))
+    return size
 
-def test_rewritten_buckets_are_one_file_each(spark, place):
-    """Spark's exchange on the key puts exactly one bucket in a task."""
-    table = keyed(spark, place, buckets=8)
-    many = [{KEY: f"k{i}"} for i in range(400)]
-    table.upsert(rows(spark, *many))
-    table.upsert(rows(spark, *many))
-    assert files_per_bucket(table) == {f"bucket={b}": 1 for b in range(8)}
 
-
-def test_tasks_hold_whole_buckets(spark, place):
-    table = keyed(spark, place, buckets=60)
-    assert [table._tasks(n) for n in (1, 4, 7, 11, 31, 60, 200)] == [1, 4, 10, 12, 60, 60, 60]
-    many = [{KEY: f"k{i}"} for i in range(300)]
-    table.upsert(rows(spark, *many))
-    table.upsert(rows(spark, *many[:3]))
-    assert set(files_per_bucket(table).values()) == {1} and table.read().count() == 300
+def test_a_batch_writes_itself_only(spark, place):
+    """Two per cent of the rows are about two per cent of the bytes, and no file changes."""
+    table = keyed(spark, place)
+    many = spark.range(50_000).select(
+        F.concat(F.lit("k"), F.col("id").cast("string")).alias(KEY),
+        *[(F.xxhash64("id", F.lit(i)) % 2_000_000_000).cast(f.dataType).alias(f.name) for i, f in enumerate(EVENT_SCHEMA[1:])],
+    )
+    table.upsert(many)
+    before, files = stored_bytes(table), {p.name for p in table._parts()}
+    table.upsert(many.where("substr(pacienteId, 2) % 50 = 0"))
+    assert (stored_bytes(table) - before) / before < 0.03
+    assert files < {p.name for p in table._parts()} and table.read().count() == 50_000
 
 
-def test_untouched_buckets_keep_their_files(spark, place):
-    table = keyed(spark, place, buckets=8)
-    table.upsert(rows(spark, *[{KEY: f"k{i}"} for i in range(100)]))
-    files = Files(spark, table.path)
-    before = {b: files.names(f"{table.path}/{b}") for b in files_per_bucket(table)}
-    table.upsert(rows(spark, {KEY: "k1"}))
-    after = {b: files.names(f"{table.path}/{b}") for b in files_per_bucket(table)}
-    assert sum(before[b] != after[b] for b in before) == 1
+def test_compaction(spark, place):
+    table = keyed(spark, place)
+    for i in range(3):
+        table.upsert(rows(spark, {KEY: str(i)}, {KEY: "x", "resultado": i}))
+    expected = sorted(table.read().collect())
+    reader = table.read()
+    table.compact()
+    assert folders(table) == ["batch"] * 3 + ["base"]
+    assert sorted(reader.collect()) == expected == sorted(table.read().collect())
+    assert "Aggregate" not in table.read()._jdf.queryExecution().executedPlan().toString()
+    table.clean()
+    assert folders(table) == ["base"] and sorted(table.read().collect()) == expected
+    assert table.compact().endswith(table._parts()[0].name)  # nothing new: nothing written
 
 
 def test_empty_batch_changes_nothing(spark, place):
     table = keyed(spark, place)
-    assert table.upsert(frame(spark, [])) == {"rows": 0, "rewritten": 0, "appended": 0}
-    assert files_per_bucket(table) == {}
+    assert table.upsert(frame(spark, [])) == 0 and folders(table) == [] and table.read().count() == 0
+    assert spark.sql(table.sql()).collect() == [] and table.compact() and table.read().count() == 0
+
+
+def test_null_keys_stay_on_both_sides(spark):
+    target = spark.createDataFrame([(None, 1), (None, 2), ("a", 3)], "pacienteId string, resultado int")
+    found = sorted(merge(target, target, refreshed=("resultado",)).collect(), key=repr)
+    assert [r["resultado"] for r in found if r[KEY] is None] == [1, 1, 2, 2] and len(found) == 5
 
 
 def test_a_hot_key_becomes_one_row(spark, place):
@@ -186,56 +184,73 @@ def test_layout_is_checked(spark, place):
     keyed(spark, place)
     keyed(spark, place)
     with pytest.raises(ValueError, match="layout"):
-        keyed(spark, place, buckets=8)
+        KeyedTable(spark, f"{place}/table", key="age").create()
 
 
 class Crash(Exception):
     pass
 
 
-def crash_while_publishing(monkeypatch, table, batch, after):
-    """Run a batch whose publication dies after `after` file moves."""
-    real, done = Files.move, []
+def crash(monkeypatch, place, act):
+    """Run until a file whose path contains `place` would be written."""
+    real = Files.write_text
 
-    def move(self, source, target):
-        if "/rewrite/" in source or "/batch/" in source:
-            if len(done) >= after:
-                raise Crash
-            done.append(source)
-        real(self, source, target)
+    def write_text(self, path, text):
+        if place in path:
+            raise Crash
+        real(self, path, text)
 
-    monkeypatch.setattr(Files, "move", move)
+    monkeypatch.setattr(Files, "write_text", write_text)
     with pytest.raises(Crash):
-        table.upsert(batch, 7, "run")
+        act()
     monkeypatch.undo()
 
 
-@pytest.mark.parametrize("after", [0, 1, 2])
-def test_replay_after_a_crash_finishes_the_batch(spark, place, monkeypatch, after):
-    table = keyed(spark, place)
-    first = [{KEY: f"k{i}", "age": i + 1, "data": "1"} for i in range(20)]
-    second = [{KEY: f"k{i}", "age": 99, "resultado": 5, "data": "2"} for i in range(10, 30)]
-    table.upsert(rows(spark, *first))
-    expected = sorted(merge(rows(spark, *first), rows(spark, *second)).collect())
-    crash_while_publishing(monkeypatch, table, rows(spark, *second), after)
-    table.upsert(rows(spark, *second), 7, "run")
-    assert sorted(table.read().collect()) == expected
-    # A further replay of the same batch does nothing, even with other rows.
-    table.upsert(rows(spark, {KEY: "z"}), 7, "run")
-    assert sorted(table.read().collect()) == expected
+FIRST = [{KEY: f"k{i}", "age": i + 1, "data": "1"} for i in range(20)]
+SECOND = [{KEY: f"k{i}", "age": 99, "resultado": 5, "data": "2"} for i in range(10, 30)]
 
 
-def test_another_writer_first_finishes_the_crashed_batch(spark, place, monkeypatch):
+def test_readers_see_all_of_a_batch_or_nothing(spark, place, monkeypatch):
+    """At every point of an upsert and of a compaction at which the writer may die."""
+    table = keyed(spark, place)
+    table.upsert(rows(spark, *FIRST))
+    old = sorted(table.read().collect())
+    crash(monkeypatch, "/batch-", lambda: table.upsert(rows(spark, *SECOND), 7, "run"))  # files are there, the marker is not
+    assert sorted(table.read().collect()) == old == sorted(spark.sql(table.sql()).collect())
+    broken = table._parts()[-1]
+    for name in os.listdir(f"{table.path}/{broken.name}")[::2]:  # some of the files only
+        os.remove(f"{table.path}/{broken.name}/{name}")
+    assert not broken.done and sorted(table.read().collect()) == old
+    table.upsert(rows(spark, *SECOND), 7, "run")
+    new = sorted(table.read().collect())
+    assert new == sorted(merge(rows(spark, *FIRST), rows(spark, *SECOND)).collect()) and folders(table) == ["batch"] * 2
+    crash(monkeypatch, "/base-", table.compact)
+    assert sorted(table.read().collect()) == new
+    table.compact()
+    assert sorted(table.read().collect()) == new
+    table.clean()
+    assert folders(table) == ["base"] and sorted(table.read().collect()) == new
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_a_replayed_batch_is_applied_once(spark, place, compacted):
     table = keyed(spark, place)
-    first = [{KEY: f"k{i}", "age": i + 1} for i in range(20)]
-    table.upsert(rows(spark, *first))
-    crash_while_publishing(monkeypatch, table, rows(spark, *first), 1)
-    table.upsert(rows(spark, {KEY: "new"}))
-    assert set(as_dicts(table.read())) == {f"k{i}" for i in range(20)} | {"new"}
+    table.upsert(rows(spark, *FIRST), 3, "run")
+    table.upsert(rows(spark, *SECOND), 4, "run")
+    table.upsert(rows(spark, {KEY: "other"}), 0, "another")
+    if compacted:
+        table.compact()
+        table.clean()
+    expected = sorted(table.read().collect())
+    for batch in (3, 4):
+        assert table.upsert(rows(spark, {KEY: "z"}), batch, "run") == 0
+    assert sorted(table.read().collect()) == expected
+    assert table.upsert(rows(spark, {KEY: "z"}), 5, "run") == 1
 
 
-def test_a_half_prepared_stage_is_discarded(spark, place):
+def test_a_crashed_batch_comes_after_those_written_since(spark, place, monkeypatch):
     table = keyed(spark, place)
-    rows(spark, {KEY: "ghost"}).write.parquet(f"{table.path}/_stage/run/3/batch/bucket=0")
-    table.upsert(rows(spark, {KEY: "a"}), 3, "run")
-    assert set(as_dicts(table.read())) == {"a"}
+    crash(monkeypatch, "/batch-", lambda: table.upsert(rows(spark, {KEY: "a", "resultado": 2}), 0, "run"))
+    table.upsert(rows(spark, {KEY: "a", "resultado": 1}))
+    table.upsert(rows(spark, {KEY: "a", "resultado": 2}), 0, "run")
+    assert as_dicts(table.read())["a"]["resultado"] == 2

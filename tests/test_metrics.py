@@ -126,6 +126,7 @@ def test_class_report(spark):
     assert found["macro avg"]["recall"] == pytest.approx(0.5)
     assert found["weighted avg"]["recall"] == pytest.approx(0.5)
     assert found["macro avg"]["support"] == 4
+    assert {found["accuracy"][c] for c in ("precision", "recall", "f1")} == {0.5} and found["accuracy"]["support"] == 4
 
 
 def test_training_metrics_of_a_perfect_fit(spark):

@@ -1,12 +1,14 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from riskflow.operators import search
 from riskflow.operators.encode import with_indicators
-from riskflow.operators.forest import ForestParams, fit_forest, score, spread_small
+from riskflow.operators.forest import ROWS_PER_PARTITION, ForestParams, bounded_sample, fit_forest, fit_partitions, pruned, score
 from riskflow.operators.metrics import curve_metrics
 from riskflow.operators.pymodel import score_from, score_with
 from riskflow.operators.registry import Registry, current_stages, newest_in_stage
@@ -76,10 +78,46 @@ def test_scoring_is_narrow(features, model):
     assert "Exchange" not in score(features, model)._jdf.queryExecution().executedPlan().toString()
 
 
-def test_only_small_inputs_are_spread(spark):
-    df = spark.range(10, numPartitions=1)
-    assert spread_small(df).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread_small(df, limit=1) is df
+def test_partitions_follow_from_the_rows(spark):
+    few, many = (fit_partitions(spark.range(n, numPartitions=3), ["id"]) for n in (10, ROWS_PER_PARTITION * 3))
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == 4
+
+
+def test_forest_does_not_depend_on_the_layout(features, model):
+    """Rows in other partitions and another order: the same trees."""
+    moved = features.repartition(13, "cholesterol").sortWithinPartitions(F.desc("age"))
+    again = fit_forest(moved, SMALL)
+    trees = lambda fitted: fitted.stages[-1].toDebugString.partition("\n")[2]  # noqa: E731  after the line with its name
+    assert trees(again) == trees(model) != ""
+
+
+def test_bounded_fit(features):
+    assert bounded_sample(features, KEY, None) is features and bounded_sample(features, KEY, 10_000) is features
+    assert 60 < bounded_sample(features, KEY, 100).count() < 140
+
+
+def test_minimum_split_size(features):
+    whole, least = (fit_forest(features, replace(SMALL, min_split=n)).stages[-1] for n in (2, 40))
+    assert whole.numFeatures == least.numFeatures and whole.getNumTrees == least.getNumTrees
+    assert least.totalNumNodes < whole.totalNumNodes
+    assert score(features, fit_forest(features, replace(SMALL, min_split=40))).count() == 300
+
+
+def test_pruned_equals_a_forest_cut_by_hand(spark, features, place):
+    """No node below the minimum is split any more, and all other nodes are as they were."""
+    model = fit_forest(features, SMALL).stages[-1]
+    model.write().save(f"{place}/whole")
+    pruned(model, 40).write().save(f"{place}/cut")
+    node = next(f.name for f in spark.read.parquet(f"{place}/whole/data").schema if f.name.startswith("node"))
+    nodes = {
+        part: {(r["treeID"], r[node]["id"]): r[node] for r in spark.read.parquet(f"{place}/{part}/data").collect()}
+        for part in ("whole", "cut")
+    }
+    assert all(n["rawCount"] >= 40 for n in nodes["cut"].values() if n["leftChild"] >= 0)
+    splits = {t: [n["rawCount"] for (tree, _), n in nodes["whole"].items() if tree == t and n["leftChild"] >= 0] for t, _ in nodes["whole"]}
+    for tree, counts in splits.items():
+        kept = sum(1 for (t, _), n in nodes["cut"].items() if t == tree and n["leftChild"] >= 0)
+        assert kept == sum(c >= 40 for c in counts)
 
 
 def test_no_rows_give_no_scores(spark, model):
@@ -156,7 +194,11 @@ def test_file_to_promoted_model(spark, labelled, place):
     trained = train_model(training, params=SMALL, registry=registry, name="risk", runs=runs, run_id="r1")
     assert trained.auc > 0.6 and trained.version == 1
     assert trained.signature.names == list(FEATURES)
-    assert runs.metrics().first()["value"] == trained.auc
+    logged = {r["metric"]: r["value"] for r in runs.metrics().collect()}
+    assert logged == {**trained.training, "auc": trained.auc} and len(trained.training) == 6
+    report = {r["class"]: r for r in trained.report.collect()}
+    assert set(report) == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+    assert registry.signature("models:/risk/1", "outputs").names == list(OUTPUTS)
     assert {r["param"]: r["value"] for r in runs.params().collect()}["trees"] == "10"
     scorer = model_scorer(registry.load("models:/risk/Production"), registry.signature("models:/risk/Production"))
     assert score_records(labelled.drop(LABEL), scorer, "2024-01-01").count() == 300
@@ -165,8 +207,11 @@ def test_file_to_promoted_model(spark, labelled, place):
 def test_grid():
     grid = search.param_grid()
     assert len(grid) == 600 and grid[1]["max_depth"] == 10 and grid[1]["n_estimators"] == 50
-    assert len(search.forest_grid()) == 120
-    assert search.forest_grid({"n_estimators": (3,), "min_samples_split": (2, 4)}) == [ForestParams(trees=3)]
+    assert len(search.forest_grid()) == len(set(search.forest_grid())) == 600
+    levels = {"n_estimators": (3,), "min_samples_split": (2, 4)}
+    assert search.forest_grid(levels) == [ForestParams(trees=3), ForestParams(trees=3, min_split=4)]
+    with pytest.raises(ValueError, match="n_trees"):
+        search.forest_grid({"n_trees": (3,)})
 
 
 def test_search_resumes_and_refits(spark, features, place, monkeypatch):
@@ -188,9 +233,39 @@ def test_search_resumes_and_refits(spark, features, place, monkeypatch):
     assert logged[f"s/{found.best}", "rank_test_f1"] == 1.0
     assert len({run for run, _ in logged}) == 3
     assert {"std_train_roc_auc", "mean_fit_time", "rank_test_neg_log_loss"} <= {m for _, m in logged}
+    assert all(r["metric"] in search.POINT_METRICS + search.CURVE_METRICS for r in found.ranks.collect())
+    assert logged["s", "training_accuracy_score"] > 0.5
     # A second start on the same folder fits nothing but the refit.
     fits = []
     real = search.forest
     monkeypatch.setattr(search, "forest", lambda *a: fits.append(a) or real(*a))
     again = search.grid_search(features, grid, f"{place}/work", KEY, folds=3)
     assert fits == [] and again.best == found.best
+
+
+def test_search_refuses_a_folder_of_another_search(spark, features, place):
+    grid = search.forest_grid({"n_estimators": (2, 3)}, ForestParams(min_leaf=1, depth=2))
+    start = lambda candidates=grid, rows=features, **changes: search.grid_search(
+        rows, candidates, f"{place}/work", KEY, **{"folds": 2, **changes}
+    )
+    first = start()
+    for changed in ({"folds": 3}, {"seed": 11}, {"candidates": grid[:1]}, {"candidates": grid[::-1]}, {"rows": features.where("age > 40")}):
+        with pytest.raises(ValueError, match="other settings or data"):
+            start(**changed)
+    assert start().best == first.best
+    with pytest.raises(ValueError, match="metric"):
+        start(refit="fit_time")
+
+
+def test_search_over_split_sizes(spark, features, place, monkeypatch):
+    """Candidates that differ in the split size alone share a fit; rows without a label are left out."""
+    fits = []
+    real = search.forest
+    monkeypatch.setattr(search, "forest", lambda *a: fits.append(a) or real(*a))
+    grid = search.forest_grid({"n_estimators": (3,), "min_samples_split": (2, 60)}, ForestParams(min_leaf=1))
+    unlabelled = features.limit(5).withColumn(LABEL, F.lit(None).cast("int"))
+    found = search.grid_search(features.union(unlabelled), grid, f"{place}/work", KEY, folds=2, test=features)
+    assert len(fits) == 2 and found.fold_metrics.select("candidate").distinct().count() == 2
+    train = {r["candidate"]: r["mean"] for r in found.summary.where("split = 'train' AND metric = 'accuracy'").collect()}
+    assert train[0] > train[1]
+    assert {r["class"] for r in found.report.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import os
 
+import pytest
+
 from riskflow.operators.merge import KeyedTable
 from riskflow.schemas import CSV_SCHEMA, EVENT_SCHEMA, KEY
 from riskflow.sources.runs import RunLog, scan_metrics, scan_values
-from riskflow.sources.tables import create_table, read_csv, read_table, refresh_table
+from riskflow.sources.tables import create_table, create_view, read_csv, read_table
 from tests.records import exam, frame
 
 HEADER = ",".join(CSV_SCHEMA.names)
@@ -21,20 +23,26 @@ def test_csv_with_bom_and_crlf(spark, place):
         assert sorted(r["target"] for r in df.collect()) == [0, 1]
 
 
-def test_table_over_upserts(spark, place):
-    stored = KeyedTable(spark, f"{place}/t", 4).create()
+def test_table_and_view_over_upserts(spark, place):
+    stored = KeyedTable(spark, f"{place}/t").create()
     stored.upsert(frame(spark, [exam(**{KEY: f"k{i}"}) for i in range(9)]))
-    name = create_table(spark, "checks", "scored", stored.path, partitioned_by=[("bucket", "int")])
-    refresh_table(spark, name)
-    assert read_table(spark, name).drop("bucket").columns == EVENT_SCHEMA.names
-    assert spark.sql(f"select * from {name}").count() == 9
+    name = create_table(spark, "checks", "scored", stored.compact())
+    assert read_table(spark, name).columns == EVENT_SCHEMA.names and spark.sql(f"select * from {name}").count() == 9
     stored.upsert(frame(spark, [exam(**{KEY: f"k{i}"}) for i in range(5, 20)]))
-    refresh_table(spark, name)
-    assert read_table(spark, name).count() == 20
-    # Creating it anew drops the entry, not the files.
-    create_table(spark, "checks", "scored", stored.path, partitioned_by=[("bucket", "int")])
-    refresh_table(spark, name)
+    view = create_view(spark, "checks", "scored_now", stored.sql())
+    assert sorted(read_table(spark, view).collect()) == sorted(stored.read().collect()) and read_table(spark, view).count() == 20
+    # Creating the table anew over the next base drops the entry, not the files.
+    create_table(spark, "checks", "scored", stored.compact())
     assert read_table(spark, name).count() == 20
+    spark.sql("DROP DATABASE checks CASCADE")
+
+
+def test_csv_header_is_checked(spark, place):
+    """Columns in another order than the schema's are refused instead of read wrongly."""
+    names = [*CSV_SCHEMA.names[1:], CSV_SCHEMA.names[0]]
+    write(f"{place}/b.csv", ",".join(names) + "\n" + ",".join("1" for _ in names) + "\n")
+    with pytest.raises(Exception, match="header"):
+        read_csv(spark, f"{place}/b.csv").collect()
 
 
 def test_plain_table(spark, place):

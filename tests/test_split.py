@@ -61,3 +61,26 @@ def test_many_classes_are_joined_instead(spark):
     joined = with_class_weights(labels, "label", max_classes=1)
     literal = with_class_weights(labels, "label")
     assert sorted(joined.select("id", "weight").collect()) == sorted(literal.select("id", "weight").collect())
+
+
+def _without_some_keys(spark):
+    return _labelled(spark).withColumn("key", F.when(F.col("id") % 5 != 0, F.col("id")))
+
+
+def test_rows_without_a_key_are_kept(spark):
+    data = _without_some_keys(spark)
+    train, test = split(data, "key")
+    assert train.count() + test.count() == 2003
+    assert train.where("key IS NULL").count() == 401 and test.where("key IS NULL").count() == 0
+    folded = with_folds(data, "label", "key", folds=10)
+    sizes = Counter((r["label"], r["fold"]) for r in folded.collect())
+    assert sum(sizes.values()) == 2003
+    for label in ("rare", "common"):
+        counts = [sizes[label, f] for f in range(10)]
+        assert max(counts) - min(counts) <= 1
+
+
+def test_class_weights_are_equal_to_the_last_digit(spark):
+    data = spark.range(1000).select("id", F.concat(F.lit("c"), (F.col("id") % 7 % 3).cast("string")).alias("label"))
+    joined, literal = (with_class_weights(data, "label", max_classes=n).select("id", "weight").collect() for n in (1, 1000))
+    assert sorted(joined) == sorted(literal)

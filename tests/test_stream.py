@@ -22,7 +22,7 @@ SCHEMA = "offset long, body binary"
 class Stream:
     def __init__(self, spark, place):
         self.spark, self.place = spark, place
-        self.table = KeyedTable(spark, f"{place}/table", 4).create()
+        self.table = KeyedTable(spark, f"{place}/table").create()
         self.sent = 0
 
     def send(self, *bodies):
@@ -110,7 +110,7 @@ def test_batches_without_usable_rows(stream):
 
 
 def test_empty_batch_returns_before_any_work(spark, place):
-    table = KeyedTable(spark, f"{place}/t", 4).create()
+    table = KeyedTable(spark, f"{place}/t").create()
     process = batch_processor(table, lambda df: 1 / 0, lambda: 1 / 0)
     process(messages(spark, []), 0)
     assert table.read().count() == 0
@@ -122,27 +122,49 @@ def test_duplicates_can_stop_the_stream(stream):
         stream.run(on_duplicate="error")
 
 
-def test_replayed_batch_after_a_crash(stream, monkeypatch):
-    """The batch dies half published; the restarted query runs it again."""
+@pytest.mark.parametrize("before_marker", [True, False])
+def test_replayed_batch_after_a_crash(stream, monkeypatch, before_marker):
+    """The batch dies just before or just after it counts; the restarted query runs it again."""
     stream.send(*BODIES)
-    real, moved = Files.move, []
+    real = Files.write_text
 
-    def move(self, source, target):
-        if "/batch/" in source:
-            moved.append(source)
-            if len(moved) > 1:
-                raise OSError("lost")
-        real(self, source, target)
+    def write_text(self, path, text):
+        marker = path.endswith("/_done")
+        if marker and before_marker:
+            raise OSError("lost")
+        real(self, path, text)
+        if marker:
+            raise OSError("lost")
 
-    monkeypatch.setattr(Files, "move", move)
+    monkeypatch.setattr(Files, "write_text", write_text)
     with pytest.raises(Exception, match="lost"):
         stream.run()
     monkeypatch.undo()
-    assert 0 < len(stream.rows()) < 8
+    assert len(stream.rows()) == (0 if before_marker else 8)
+    stream.run()
+    assert len(stream.rows()) == 8 and len(stream.table._parts()) == 1
+
+
+def test_empty_batch_in_the_middle(stream):
+    stream.send(*BODIES[:4])
+    stream.send()
+    stream.send(*BODIES[4:])
     stream.run()
     assert len(stream.rows()) == 8
 
 
+def test_model_is_sent_once(spark, stream, monkeypatch):
+    from pyspark import SparkContext
+
+    sent = []
+    real = SparkContext.broadcast
+    monkeypatch.setattr(SparkContext, "broadcast", lambda self, value: sent.append(value) or real(self, value))
+    stream.send(*BODIES[:4])
+    stream.send(*BODIES[4:])
+    stream.run()
+    assert len(sent) == 1 and len(stream.rows()) == 8
+
+
 def test_new_checkpoint_applies_its_own_batches(stream):
     """Batch numbers restart with a new checkpoint at the same path."""
     stream.send(*BODIES[:2])
