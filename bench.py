@@ -84,7 +84,7 @@ def main() -> None:
     grid = [ForestParams(seed=i) for i in range(SEARCH_CANDIDATES)]
     took = seconds(
         lambda: grid_search(
-            train, grid, scratch_dir(spark, "bench"), KEY, folds=SEARCH_FOLDS, parallelism=int(CPUS)
+            train, grid, scratch_dir(spark, "bench"), KEY, folds=SEARCH_FOLDS, parallelism=2 * int(CPUS)
         )
     )
     print(

@@ -61,11 +61,16 @@ class Forest(RandomForestClassifier):
         return ForestModel(java_model)
 
 
-def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: str | None = WEIGHT) -> Forest:
+def forest(
+    params: ForestParams = ForestParams(),
+    label: str = LABEL,
+    weight: str | None = WEIGHT,
+    cache_nodes: bool = True,
+) -> Forest:
     """A gini forest with bootstrap samples and per-node feature subsets.
 
     Node ids are cached and checkpointed: on deep trees that replaces a walk from
-    the root for every row and level. 512 MB of split statistics per pass lets
+    the root for every row and level, and is not worth its jobs on a few rows. 512 MB of split statistics per pass lets
     many nodes be split in each scan of the data.
     """
     estimator = Forest(
@@ -79,7 +84,7 @@ def forest(params: ForestParams = ForestParams(), label: str = LABEL, weight: st
         maxBins=params.bins,
         bootstrap=True,
         seed=params.seed,
-        cacheNodeIds=True,
+        cacheNodeIds=cache_nodes,
         maxMemoryInMB=512,
     )
     return estimator.setWeightCol(weight) if weight else estimator

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators.encode import assembler
 from riskflow.operators.forest import (
+    ROWS_PER_PARTITION,
     VECTOR,
     WEIGHT,
     ForestParams,
@@ -126,6 +127,7 @@ def grid_search(
     # dealt once: every fit and every scan below has the same rows in the same partitions
     data = fit_partitions(spark.read.parquet(f"{work_dir}/folds"), [key]).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = data.groupBy("fold", label).count().collect()
+    many = sum(row["count"] for row in sizes) > ROWS_PER_PARTITION
     grown: dict[ForestParams, list[int]] = {}
     for number, params in enumerate(candidates):
         grown.setdefault(replace(params, min_split=2), []).append(number)
@@ -141,7 +143,7 @@ def grid_search(
                 counts[row[label]] = counts.get(row[label], 0) + row["count"]
         part = data.where(F.col("fold") != fold).withColumn(WEIGHT, balanced_weight(F.col(label), counts))
         started = time.monotonic()
-        model = forest(params, label).fit(part)
+        model = forest(params, label, WEIGHT, many).fit(part)
         fitted = time.monotonic() - started
         for candidate in missing:
             started = time.monotonic()
