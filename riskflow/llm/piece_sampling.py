@@ -20,8 +20,8 @@ from riskflow.llm.common import Batches, map_rows
 from riskflow.llm.pieces import CHUNK, Lattice, Vocabulary, load, spelt_out
 
 SEED, TEMPERATURE = 17, 1.0
-GROUP = 1 << 21  # characters sampled together
-HELD = 1 << 22  # edges of known chunks that a task keeps
+GROUP = 1 << 19  # characters sampled together
+HELD = 5 << 20  # edges of known chunks that a task keeps, 16 bytes each
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -45,7 +45,7 @@ class Sampler:
         self.last, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
         self.head = np.zeros(1, np.int64)  # first edge of each node
         self.below = np.empty(0)  # share of the edges before and with this one
-        self.source, self.piece = np.empty(0, np.int64), np.empty(0, np.int64)
+        self.source, self.piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
     def _learn(self, chunks: list[str]) -> None:
         lattice = Lattice(self.vocabulary, chunks)
@@ -59,15 +59,15 @@ class Sampler:
         self.first = np.concatenate([self.first, lattice.first + nodes])
         self.head = np.concatenate([self.head[:-1], head + edges])
         self.below = np.concatenate([self.below, below])
-        self.source = np.concatenate([self.source, lattice.source + nodes])
-        self.piece = np.concatenate([self.piece, lattice.piece])
+        self.source = np.concatenate([self.source, (lattice.source + nodes).astype(np.int32)])
+        self.piece = np.concatenate([self.piece, lattice.piece.astype(np.int32)])
 
     def sample(self, chunks: list[str], row: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all chunks' pieces in order, and how many each chunk has. `row` and
         `place` are each chunk's row seed and number in its row."""
         if len(self.piece) > HELD:
             self._forget()
-        new = list(dict.fromkeys(c for c in chunks if c not in self.number))
+        new = list(set(chunks).difference(self.number))
         if new:
             known = len(self.number)
             self.number.update(zip(new, range(known, known + len(new))))
