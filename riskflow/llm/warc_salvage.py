@@ -3,7 +3,11 @@
 The reader checks each record (version line, header, length, end, digest; in compressed
 archives also the member's checksum). Where a check fails it searches byte by byte for
 the next place at which a whole record or member can be read, goes on from there, and
-logs the bytes in between as a gap. Nothing behind a damaged place is lost.
+logs the bytes in between as a gap. The content of a member is searched in the same way,
+also what a broken member yields up to the place where it cannot be inflated further; a
+record in there is trusted as one in a plain archive is. No whole record before or
+behind a damaged place is lost, but for those that only lost bytes of their own member
+would inflate.
 """
 
 from __future__ import annotations
@@ -127,15 +131,34 @@ def write(pages: DataFrame, path: str, compress: bool = False, records_per_file:
 
 
 class Damaged(Exception):
-    """A check failed."""
+    """A check failed; the bytes up to `end`, if known, hold no record."""
+
+    def __init__(self, reason: str, end: int | None = None):
+        super().__init__(reason)
+        self.end = end
 
 
 @dataclass(frozen=True)
 class Record:
+    """Offset and length are those of the member, if the record is in one, and the inner
+    ones are places in the member's content."""
+
     offset: int
     length: int
     headers: dict[str, str]
     payload: bytes
+    inner_offset: int | None = None
+    inner_length: int | None = None
+
+
+@dataclass(frozen=True)
+class InnerGap:
+    """Bytes of a member's content that are in no record, while others of it are."""
+
+    offset: int
+    length: int
+    inner_offset: int
+    inner_length: int
 
 
 def parse_record(raw: bytes, at: int) -> tuple[dict[str, str], bytes, int]:
@@ -183,29 +206,109 @@ def parse_member(raw: bytes, at: int) -> tuple[bytes, int]:
     return b"".join(out), fed - len(reader.unused_data)
 
 
-def read_at(raw: bytes, at: int) -> tuple[list[Record], int]:
-    """The record, or the member with its records, at a place, and where it ends."""
+def bytewise(raw: bytes, at: int, fed: int, most: int | None = None) -> tuple[bytes, int]:
+    """What the broken member at a place yields, and how far it was read.
+
+    Up to `fed` it is known to inflate; from there on one byte at a time is given to zlib,
+    which keeps back what it makes of input that it refuses. Stops at `most` bytes.
+    """
+    reader = zlib.decompressobj(31)
+    out = [reader.decompress(raw[at:fed])]
+    size = len(out[0])
+    try:
+        while fed < len(raw) and not reader.eof and (most is None or size < most):
+            out.append(reader.decompress(raw[fed : fed + 1]))
+            size += len(out[-1])
+            fed += 1
+    except zlib.error:
+        pass
+    return b"".join(out), fed
+
+
+def broken_member(raw: bytes, at: int) -> bytes:
+    """The content of a member that is cut off or fails a check, as far as it inflates."""
+    reader, fed = zlib.decompressobj(31), at
+    try:
+        while fed < len(raw):
+            reader.decompress(raw[fed : fed + FEED])
+            fed += FEED
+    except zlib.error:
+        pass
+    return bytewise(raw, at, min(fed, len(raw)))[0]
+
+
+def place_of(raw: bytes, at: int, size: int) -> int:
+    """Where so many bytes of the content of the member at a place have been read."""
+    reader, fed, made = zlib.decompressobj(31), at, 0
+    try:
+        while made < size and fed < len(raw):
+            made += len(reader.decompress(raw[fed : fed + FEED]))
+            fed += FEED
+        fed -= FEED
+    except zlib.error:
+        pass
+    return bytewise(raw, at, fed, size)[1]
+
+
+def read_content(content: bytes) -> Iterator[tuple[int, int, dict[str, str] | None, bytes | None]]:
+    """Start and end of each record, with headers and payload, and of each gap, without."""
+    at, gap = 0, None
+    while at < len(content):
+        try:
+            headers, payload, end = parse_record(content, at)
+        except Damaged:
+            gap = at if gap is None else gap
+            start = VERSION_LINE.search(content, at + 1)
+            at = start.start() if start else len(content)
+            continue
+        if gap is not None:
+            yield gap, at, None, None
+            gap = None
+        yield at, end, headers, payload
+        at = end
+    if gap is not None:
+        yield gap, len(content), None, None
+
+
+def read_at(raw: bytes, at: int) -> tuple[list[Record | InnerGap], int]:
+    """The record, or the member with its records and gaps, at a place, and where it ends;
+    a broken member ends with its last whole record."""
     if raw[at : at + 3] != MAGIC:
         headers, payload, end = parse_record(raw, at)
         return [Record(at, end - at, headers, payload)], end
-    content, end = parse_member(raw, at)
-    found, inner = [], 0
-    while inner < len(content):
-        headers, payload, inner = parse_record(content, inner)
-        found.append(Record(at, end - at, headers, payload))
+    try:
+        content, end = parse_member(raw, at)
+    except Damaged:
+        content, end = broken_member(raw, at), None
+    parts = list(read_content(content))
+    if end is None:
+        if parts and parts[-1][2] is None:  # is in the gap of the bytes behind
+            parts.pop()
+        if not parts:
+            raise Damaged("no whole record in a broken member")
+        end = place_of(raw, at, parts[-1][1])
+    elif parts and all(headers is None for _, _, headers, _ in parts):
+        raise Damaged("no record in a member", end)
+    found: list[Record | InnerGap] = []
+    for start, stop, headers, payload in parts:
+        if headers is None:
+            found.append(InnerGap(at, end - at, start, stop - start))
+        else:
+            found.append(Record(at, end - at, headers, payload, start, stop - start))
     return found, end
 
 
-def salvage(raw: bytes) -> Iterator[Record | tuple[int, int]]:
-    """Records in order, and (start, end) of each gap of bytes that are in none."""
+def salvage(raw: bytes) -> Iterator[Record | InnerGap | tuple[int, int]]:
+    """Records in order, (start, end) of each gap of bytes that are in none, and the gaps
+    inside of members that hold records too."""
     at, gap = 0, None
     while at < len(raw):
         try:
             found, end = read_at(raw, at)
-        except Damaged:
+        except Damaged as damage:
             gap = at if gap is None else gap
-            start = START.search(raw, at + 1)
-            at = start.start() if start else len(raw)
+            start = START.search(raw, at + 1) if damage.end is None else None
+            at = start.start() if start else damage.end or len(raw)
             continue
         if gap is not None:
             yield gap, at
@@ -217,15 +320,18 @@ def salvage(raw: bytes) -> Iterator[Record | tuple[int, int]]:
 
 
 LOG = {
-    "path": "string", "kind": "string", "offset": "long", "length": "long", "record_id": "string", "record_type": "string",
+    "path": "string", "kind": "string", "offset": "long", "length": "long", "inner_offset": "long", "inner_length": "long", "record_id": "string", "record_type": "string",
     "refers_to": "string", "target_uri": "string", "payload_bytes": "long", "payload_digest": "string", "payload": "binary",
 }
 
 
 def _read(with_payload: bool):
-    def row(path: str, item: Record | tuple[int, int]) -> tuple:
-        if not isinstance(item, Record):
-            return (path, "gap", item[0], item[1] - item[0], *[None] * 7)
+    def row(path: str, item: Record | InnerGap | tuple[int, int]) -> tuple:
+        if isinstance(item, tuple):
+            return (path, "gap", item[0], item[1] - item[0], *[None] * 9)
+        place = item.offset, item.length, item.inner_offset, item.inner_length
+        if isinstance(item, InnerGap):
+            return (path, "gap", *place, *[None] * 7)
         h = item.headers
         revisit = h.get("warc-type") == "revisit"
         size, digest = len(item.payload), None
@@ -236,10 +342,10 @@ def _read(with_payload: bool):
         else:
             digest = digest_of(item.payload)
         payload = item.payload if with_payload and not revisit else None
-        return path, "record", item.offset, item.length, h.get("warc-record-id"), h.get("warc-type"), h.get("warc-refers-to"), h.get("warc-target-uri"), size, digest, payload
+        return path, "record", *place, h.get("warc-record-id"), h.get("warc-type"), h.get("warc-refers-to"), h.get("warc-target-uri"), size, digest, payload
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4, pa.int64(), pa.string(), pa.binary()]
+        kinds = [pa.string(), pa.string(), *[pa.int64()] * 4, *[pa.string()] * 4, pa.int64(), pa.string(), pa.binary()]
 
         def batch_of(lines: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*lines), kinds)], list(LOG))
@@ -262,6 +368,9 @@ def _read(with_payload: bool):
 def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFrame:
     """A row per record and per gap (column kind) of all archives in a folder.
 
+    In members, offset and length are the member's; inner_offset and inner_length are
+    places in its content.
+
     An archive is read whole by one task, which needs about four times its size; the
     writer here makes small ones, many to a task.
     """

@@ -4,6 +4,7 @@ import glob
 import gzip
 import os
 import random
+import zlib
 
 import pytest
 
@@ -76,6 +77,82 @@ def test_gap_is_logged_where_it_is():
     assert read(raw) == ([ids[0], ids[2]], [(0, len(junk)), (a, b), (len(raw) - 4, len(raw))])
 
 
+def in_one_member(bad: int, n: int = 40) -> tuple[bytes, list[str], list[bytes]]:
+    """Records in one content, of which one has a wrong byte."""
+    parts, ids = archive(n, False)
+    if bad >= 0:
+        parts[bad] = parts[bad].replace(b"payload", b"PAYLOAD", 1)
+    return b"".join(parts), ids, parts
+
+
+@pytest.mark.parametrize("bad", [0, 17, 39])
+def test_bad_record_in_a_member_costs_itself(bad):
+    content, ids, parts = in_one_member(bad)
+    raw = gzip.compress(content)
+    tail, (last,) = archive(1, True)[0][0], archive(1, True)[1]
+    found, gaps = read(raw + tail)
+    assert found == [i for n, i in enumerate(ids) if n != bad] + [last]
+    assert gaps == [op.InnerGap(0, len(raw), sum(map(len, parts[:bad])), len(parts[bad]))]
+
+
+@pytest.mark.parametrize("level", [0, 9])
+def test_cut_off_member_gives_its_whole_records(level):
+    content, ids, parts = in_one_member(-1)
+    raw = gzip.compress(content, level)
+    for kept in (len(raw) - 1, len(raw) - 9, len(raw) // 2, len(raw) // 7):
+        reader = zlib.decompressobj(31)
+        have = len(reader.decompress(raw[:kept]))
+        whole = [i for n, i in enumerate(ids) if sum(map(len, parts[: n + 1])) <= have]
+        tail, (last,) = archive(1, True)[0][0], archive(1, True)[1]
+        found, gaps = read(raw[:kept] + tail)
+        assert found == whole + [last] and whole
+        assert len(gaps) == 1 and gaps[0][1] == kept
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_damaged_member_of_several_records(seed):
+    """A wrong byte anywhere: all records that end before it come back, and what follows."""
+    rng = random.Random(seed)
+    parts, ids = [], []
+    for i in range(30):
+        payload = rng.randbytes(9000)
+        head = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:page:{i}>\r\nWARC-Payload-Digest: sha1:{op.digest_of(payload)}\r\nContent-Length: {len(payload)}\r\n\r\n"
+        parts.append(head.encode() + payload + b"\r\n\r\n")
+        ids.append(f"<urn:page:{i}>")
+    raw = bytearray(gzip.compress(b"".join(parts)))
+    hit = rng.randrange(len(raw) // 3, len(raw))
+    raw[hit] ^= 0x55
+    before = len(zlib.decompressobj(31).decompress(bytes(raw[:hit])))
+    whole = [i for n, i in enumerate(ids) if sum(map(len, parts[: n + 1])) <= before]
+    tail, (last,) = archive(1, True)[0][0], archive(1, True)[1]
+    found, _ = read(bytes(raw) + tail)
+    assert whole and found[: len(whole)] == whole and found[-1] == last
+    assert len(found) == len(set(found[:-1])) + 1
+
+
+def test_wrong_checksum_of_a_member_costs_no_record():
+    content, ids, _ = in_one_member(-1)
+    raw = bytearray(gzip.compress(content))
+    raw[-6] ^= 1
+    found, gaps = read(bytes(raw))
+    assert found == ids and len(gaps) == 1 and len(raw) - 10 <= gaps[0][0] <= len(raw) - 8 and gaps[0][1] == len(raw)
+
+
+def test_member_without_records_is_one_gap():
+    parts, ids = archive(2, True)
+    text = gzip.compress(b"no record")
+    assert read(parts[0] + text + parts[1]) == (ids, [(len(parts[0]), len(parts[0]) + len(text))])
+
+
+def test_log_of_inner_gaps(spark, place):
+    content, ids, parts = in_one_member(3, 6)
+    os.makedirs(f"{place}/inner")
+    open(f"{place}/inner/a.warc.gz", "wb").write(gzip.compress(content))
+    log = sorted((r.inner_offset, r.kind, r.inner_length, r.record_id) for r in op.read(spark, f"{place}/inner").collect())
+    assert [r[1] for r in log] == ["record"] * 3 + ["gap"] + ["record"] * 2
+    assert log[3] == (sum(map(len, parts[:3])), "gap", len(parts[3]), None)
+
+
 def test_digest_check():
     parts, ids = archive(2, False)
     raw = parts[0].replace(b"payload 0", b"PAYLOAD 0") + parts[1]
