@@ -40,6 +40,8 @@ START = re.compile(rb"WARC/\d\.\d\r\n|\x1f\x8b\x08")
 FEED = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 RECORDS_PER_FILE = 4096
+FILE_BYTES = 128 << 20  # of plain records, unless a single one is larger
+HEADER_BYTES = 1024  # more than a record has besides payload and address
 
 
 def digest_of(payload: bytes) -> str:
@@ -113,19 +115,44 @@ def _members(batches: Batches) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(members, pa.binary())], ["member"])
 
 
-def write(pages: DataFrame, path: str, compress: bool = False, records_per_file: int = RECORDS_PER_FILE, **names: object) -> None:
+def size_class(records_per_file: int, file_bytes: int) -> Column:
+    """0 for records of which `records_per_file` fit into a file, k if a 2**k-th of that
+    number does. From the columns of `records`; sizes are upper bounds."""
+    most = F.col("payload_bytes") + 3 * F.coalesce(F.octet_length("url"), F.lit(0)) + HEADER_BYTES
+    return F.greatest(F.ceil(F.log2(most * records_per_file / file_bytes)), F.lit(0)).cast("int")
+
+
+def write(
+    pages: DataFrame,
+    path: str,
+    compress: bool = False,
+    records_per_file: int = RECORDS_PER_FILE,
+    file_bytes: int = FILE_BYTES,
+    **names: object,
+) -> None:
     """Archives of all pages in a folder, on any file system that Spark writes to.
 
-    Lines of Spark's text files are records here: what ends a line is what ends a record,
+    A file has at most `file_bytes` before compression, or one record: each class of
+    record sizes within a factor of two has files, and a pass, of its own, with as many
+    records to a file as are sure to fit. Lines of Spark's text files are records here: what ends a line is what ends a record,
     or, compressed, an empty member after the record's own, which gzip reads as nothing.
     """
-    texts = records(pages, **names).select(record_text().alias("record"))
-    out = texts.write.option("maxRecordsPerFile", records_per_file)
+    sized = records(pages, **names).withColumn("size_class", size_class(records_per_file, file_bytes))
+    url, html = names.get("url", "url"), names.get("html", "html")
+    bounds = pages.select(F.col(url).alias("url"), F.coalesce(F.octet_length(html), F.lit(0)).cast("long").alias("payload_bytes"))
+    classes = bounds.select(size_class(records_per_file, file_bytes).alias("k")).distinct().collect()
+    for i, k in enumerate(sorted(r["k"] for r in classes) or [0]):
+        of_class = sized.where(F.col("size_class") == k) if len(classes) > 1 else sized
+        _write(of_class.select(record_text().alias("record")), path, compress, max(1, records_per_file >> k), "append" if i else "error")
+
+
+def _write(texts: DataFrame, path: str, compress: bool, records_per_file: int, mode: str) -> None:
+    out = texts.write.mode(mode).option("maxRecordsPerFile", records_per_file)
     if not compress:
         out.option("lineSep", END).text(path)
         return
     packed = map_rows(texts, _members, "member binary").select(F.col("member").cast("string"))
-    packed.write.option("maxRecordsPerFile", records_per_file).option("encoding", "ISO-8859-1").option(
+    packed.write.mode(mode).option("maxRecordsPerFile", records_per_file).option("encoding", "ISO-8859-1").option(
         "lineSep", EMPTY_MEMBER.decode("latin-1")
     ).text(path)
 
@@ -372,7 +399,8 @@ def read(spark: SparkSession, path: str, with_payload: bool = False) -> DataFram
     places in its content.
 
     An archive is read whole by one task, which needs about four times its size; the
-    writer here makes small ones, many to a task.
+    writer here makes small ones, many to a task. Archives of 2 GB and more, from
+    elsewhere, fail.
     """
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return map_rows(files, _read(with_payload), ", ".join(f"{name} {kind}" for name, kind in LOG.items()))

@@ -190,6 +190,19 @@ def test_files_and_payloads(spark, place, compress):
     assert sum(r.kind == "record" for r in log) == 2
 
 
+@pytest.mark.parametrize("compress", [False, True])
+def test_archives_are_bounded_by_bytes(spark, place, compress):
+    """Small and large pages: no file above the limit but for a record that is."""
+    rng = random.Random(1)
+    htmls = [rng.randbytes(size // 2).hex() for size in [200] * 60 + [6_000] * 40 + [30_000] * 12 + [120_000] * 2]
+    op.write(pages_of(spark, htmls).coalesce(1), f"{place}/sized{compress}", compress, records_per_file=64, file_bytes=100_000)
+    sizes = [os.path.getsize(f) for f in glob.glob(f"{place}/sized{compress}/part-*")]
+    assert sum(s > 100_000 for s in sizes) <= 2 and max(sizes) < 125_000
+    found = op.read(spark, f"{place}/sized{compress}")
+    assert {(r.kind, r.payload_digest) for r in found.collect()} == {("record", op.digest_of(h.encode())) for h in htmls}
+    assert found.count() == len(htmls)
+
+
 def test_least_bytes(spark):
     found = op.round_trip(pages_of(spark), least_bytes=5).where("record_type = 'revisit'")
     assert rows(found, "page_id", "refers_to") == [(0, 3)]
