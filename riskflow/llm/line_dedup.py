@@ -2,8 +2,9 @@
 
 A unit's normal form has A-Z in lower case, no ASCII punctuation and single spaces. Of
 the units with one normal form, over all documents, the earliest stays and the others are
-removed. Units of fewer words than `least_words` are always kept: that two texts share a
-short line says little.
+removed. Units of fewer words than `least_words` are kept, as that two texts share a
+short line says little; with `least_chars`, only if they are also shorter than that, so
+that long text without blanks and fixed phrases are compared too.
 
 Only digests and positions are moved for the search. The occurrences of a digest are
 combined to the earliest before they are moved, and meet it in a join, which a skew can
@@ -31,10 +32,15 @@ def normal(unit: str) -> bytes:
     return b" ".join(unit.encode().translate(LOWER, PUNCTUATION).split())
 
 
-def digest_of(unit: str, least_words: int = LEAST_WORDS) -> bytes | None:
-    """128 bits of the normal form's BLAKE2b hash, or None if the unit is too short."""
+def digest_of(unit: str, least_words: int = LEAST_WORDS, least_chars: int | None = None) -> bytes | None:
+    """128 bits of the normal form's BLAKE2b hash, or None if the unit is too short.
+
+    Long enough are `least_words` words or, if given, `least_chars` code points.
+    """
     form = normal(unit)
-    if form.count(b" ") + 1 < least_words or not form:
+    if not form:
+        return None
+    if form.count(b" ") + 1 < least_words and (least_chars is None or len(form.decode()) < least_chars):
         return None
     return hashlib.blake2b(form, digest_size=16).digest()
 
@@ -51,13 +57,13 @@ def cut(text: str, removed: set[int], separator: str) -> tuple[str, list[tuple[i
     return separator.join(kept), spans
 
 
-def _units(separator: str, least_words: int):
+def _units(separator: str, least_words: int, least_chars: int | None):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, places, digests = [], [], []
             for i, text in enumerate(batch.column(2)):
                 for place, unit in enumerate((text.as_py() or "").split(separator)):
-                    digest = digest_of(unit, least_words)
+                    digest = digest_of(unit, least_words, least_chars)
                     if digest is not None:
                         at.append(i)
                         places.append(place)
@@ -69,7 +75,7 @@ def _units(separator: str, least_words: int):
     return rows
 
 
-def _cut(separator: str, least_words: int):
+def _cut(separator: str, least_words: int, least_chars: int | None):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, units, counts, spans = [], [], [], []
@@ -78,7 +84,7 @@ def _cut(separator: str, least_words: int):
                 parts = (whole or "").split(separator)
                 gone = set(removed or ())
                 if copy > 1:  # a repeated row comes after its first copy
-                    gone = {i for i, unit in enumerate(parts) if digest_of(unit, least_words) is not None}
+                    gone = {i for i, unit in enumerate(parts) if digest_of(unit, least_words, least_chars) is not None}
                 clean, cuts = cut(whole, gone, separator) if whole else (whole, [])
                 texts.append(clean)
                 units.append(len(parts) if whole else 0)
@@ -96,6 +102,7 @@ def dedup(
     least_words: int = LEAST_WORDS,
     key: str = "doc_id",
     text: str = "text",
+    least_chars: int | None = None,
 ) -> DataFrame:
     """Columns doc_id, text (what stays), n_units, n_removed and removed_spans
     (start-end in code points of the original, comma-joined), a row per row of `docs`.
@@ -109,7 +116,7 @@ def dedup(
     kind = docs.schema[key].dataType.simpleString()
     hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     keyed = docs.select(F.col(key).alias("key"), hashed.alias("hash"), F.col(text).alias("text"))
-    found = map_rows(keyed, _units(separator, least_words), f"key {kind}, hash long, place int, digest binary")
+    found = map_rows(keyed, _units(separator, least_words, least_chars), f"key {kind}, hash long, place int, digest binary")
     units = stored(found, "units")
 
     rank = F.struct(F.col("key").isNull().alias("last"), "key", "hash", "place")
@@ -124,4 +131,4 @@ def dedup(
     copy = F.row_number().over(Window.partitionBy("key", "hash").orderBy("hash"))
     numbered = joined.select("key", "text", "removed", copy.alias("copy"))
     schema = f"doc_id {kind}, text string, n_units long, n_removed long, removed_spans string"
-    return map_rows(numbered, _cut(separator, least_words), schema)
+    return map_rows(numbered, _cut(separator, least_words, least_chars), schema)

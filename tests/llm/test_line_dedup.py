@@ -47,6 +47,15 @@ def test_same_id_other_text(spark):
     assert sorted(n for (n,) in rows(op.dedup(docs), "n_removed")) == [0, 1, 1, 1]
 
 
+def test_long_units_of_few_words(spark):
+    """With a length in code points, unspaced text and fixed phrases are compared too."""
+    chinese, address, phrase = "所有文件都重复这一段没有空格的文字" * 3, "https://example.org/a/b/c?d=e", "All rights reserved worldwide."
+    assert len(chinese) == 51 and op.digest_of("文" * 19, least_chars=20) is None and op.digest_of("文" * 20, least_chars=20)
+    docs = spark.createDataFrame([(i, f"{chinese}\nyes\n{address}\n{phrase}\n{i}", None, None, None) for i in range(3)], DOCUMENT)
+    found = rows(op.dedup(docs, least_chars=20), "doc_id", "text", "n_removed")
+    assert found == [(0, f"{chinese}\nyes\n{address}\n{phrase}\n0", 0), (1, "yes\n1", 3), (2, "yes\n2", 3)]
+
+
 def test_odd_rows(spark, odd, none):
     found = op.dedup(odd)
     assert found.count() == odd.count()
