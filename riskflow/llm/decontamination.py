@@ -2,7 +2,8 @@
 
 An item that occurs with at most k edits, cut into k + 1 pieces, has at least one piece
 that occurs unchanged (pigeonhole). All pieces of all items are searched at once; around
-each hit the item is aligned by Myers' bit-parallel edit distance.
+each hit the item is aligned by Myers' bit-parallel edit distance. Short items are searched
+in the same pass, without edits and as whole words.
 
 Texts are compared in a normal form: lower case, white space runs as one space.
 """
@@ -21,9 +22,10 @@ from pyspark.sql import functions as F
 from riskflow.llm.common import Batches, map_rows
 
 ERROR_RATE = 0.08  # edits a character of the item
-LEAST_CHARS = 32  # shorter items are too common to be evidence
+LEAST_CHARS = 32  # shorter items are too common to be evidence if edits are allowed
 BLOCK_BYTES = 1 << 20  # item text that is searched in one pass
 WORD = re.compile(r"\S+")
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class Match(NamedTuple):
@@ -78,15 +80,27 @@ def align(masks: dict[str, int], size: int, text: str, anchored: bool = False) -
     return best, end
 
 
+def joined(text: str, at: int) -> bool:
+    """Whether a word goes on over a place; in scripts without spaces none does."""
+    if not 0 < at < len(text):
+        return False
+    return all(c.isalnum() and not UNSPACED.match(c) for c in text[at - 1 : at + 1])
+
+
 class Items:
-    """Search structure over benchmark items (id, text)."""
+    """Search structure over benchmark items (id, text). Items of fewer than `least_chars`
+    characters are pieces with negative numbers, which need no verification."""
 
     def __init__(self, items: list[tuple[int, str]], error_rate: float = ERROR_RATE, least_chars: int = LEAST_CHARS):
-        self.text, self.budget, self.ids = [], [], []
+        self.text, self.budget, self.ids, self.short = [], [], [], []
         pieces: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for key, text in items:
             form = normal(text)
+            if not form:
+                continue
             if len(form) < least_chars:
+                self.short.append(key)
+                pieces[form].append((-len(self.short), len(form)))
                 continue
             budget = int(error_rate * len(form))
             cuts = [i * len(form) // (budget + 1) for i in range(budget + 2)]
@@ -105,13 +119,20 @@ class Items:
     def matches(self, text: str | None) -> list[Match]:
         """The closest occurrence of every item in a text, the first if several are."""
         form = normal(text)
-        if not form or not self.ids:
+        if not form or not len(self.pieces):
             return []
         diagonals: dict[int, set[int]] = defaultdict(set)
+        exact: dict[int, tuple[int, int]] = {}
         for end, where in self.pieces.iter(form):
             for item, offset in where:
-                diagonals[item].add(end + 1 - offset)
+                if item >= 0:
+                    diagonals[item].add(end + 1 - offset)
+                elif item not in exact and not joined(form, end + 1 - offset) and not joined(form, end + 1):
+                    exact[item] = end + 1 - offset, end
         found = []
+        for item, (first, last) in exact.items():
+            start, end = places(text, [first, last])
+            found.append(Match(self.short[-item - 1], 0, start, end + 1))
         for item, starts in diagonals.items():
             near = self._closest(item, sorted(starts), form)
             if near:
@@ -156,26 +177,28 @@ def leaks(
     key: str = "doc_id",
     item_key: str = "item_id",
     text: str = "text",
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """Columns doc_id, item_id, distance, start_char, end_char: for each document row and
     item that occurs in it, the closest occurrence, in code points of the text.
 
     The items are a query set; each block of them goes over all documents in one narrow
     pass, so a block's size bounds what is sent to the tasks. NULL and empty texts match
-    nothing; items of fewer than 32 characters are not searched.
+    nothing; items of fewer than `least_chars` characters have to occur unchanged (in the
+    normal form) and as whole words.
     """
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, distance long, start_char long, end_char long"
     found = None
     for block in item_blocks(items, item_key, text, block_bytes):
-        pass_ = map_rows(docs.select(key, text), _leaks_of(block, error_rate), schema)
+        pass_ = map_rows(docs.select(key, text), _leaks_of(block, error_rate, least_chars), schema)
         found = pass_ if found is None else found.union(pass_)
     return found
 
 
-def _leaks_of(block: list[tuple[int, str]], error_rate: float):
+def _leaks_of(block: list[tuple[int, str]], error_rate: float, least_chars: int):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        search = Items(block, error_rate)
+        search = Items(block, error_rate, least_chars)
         for batch in batches:
             found = [(i, m) for i, t in enumerate(batch.column(1)) for m in search.matches(t.as_py())]
             columns = [batch.column(0).take(pa.array([i for i, _ in found], pa.int64()))]
@@ -192,13 +215,14 @@ def without_leaks(
     block_bytes: int = BLOCK_BYTES,
     item_key: str = "item_id",
     text: str = "text",
+    least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
     """The rows of `docs`, all columns, in which no item occurs. Narrow, a pass a block."""
     place = docs.columns.index(text)
     for block in item_blocks(items, item_key, text, block_bytes):
 
         def rows(batches: Batches, block=block) -> Iterator[pa.RecordBatch]:
-            search = Items(block, error_rate)
+            search = Items(block, error_rate, least_chars)
             for batch in batches:
                 yield batch.filter(pa.array([not search.matches(t.as_py()) for t in batch.column(place)], pa.bool_()))
 

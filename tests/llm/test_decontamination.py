@@ -61,6 +61,17 @@ def test_offsets_in_the_original():
     assert text[match.start : match.end] == ITEM.upper() and match.distance == 0
 
 
+def test_short_items_occur_unchanged_as_whole_words(spark):
+    items = spark.createDataFrame([(1, "Who wrote  Faust?"), (2, "法国的首都是哪里"), (3, "art"), (4, " "), (5, None)], "item_id long, text string")
+    texts = ["x who wrote\nfaust? y", "请问法国的首都是哪里呢", "a start of parts", "modern art.", "who wrote fausts", None, ""]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in enumerate(texts)], DOCUMENT)
+    found = sorted(tuple(r) for r in op.leaks(docs, items).collect())
+    assert found == [(0, 1, 0, 2, 18), (1, 2, 0, 2, 10), (3, 3, 0, 7, 10)]
+    assert sorted(r.doc_id for r in op.without_leaks(docs, items).collect()) == [2, 4, 5, 6]
+    near = [(1, "who wrote fausts?", None, None, None)]
+    assert op.leaks(spark.createDataFrame(near, DOCUMENT), items, least_chars=10).count() == 1
+
+
 def test_short_and_empty_items():
     assert op.Items([(1, ""), (2, "too short")]).ids == []
     assert op.Items([]).matches("any text") == []
