@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm import (
     decontamination,
+    exact_topk,
+    hard_negatives,
     language_id,
     lattice_lm,
     line_dedup,
@@ -67,6 +69,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_salvage.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"), hard_negatives.shifted_label())
+
+
+def op13_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk.search(table(spark, sf_dir, "embeddings"))
+
+
 REGISTERED: dict[str, Query] = {
     "op1_decontamination": op1_decontamination,
     "op2_url_filter": op2_url_filter,
@@ -78,6 +88,8 @@ REGISTERED: dict[str, Query] = {
     "op8_piece_sampling": op8_piece_sampling,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_exact_topk": op13_exact_topk,
 }
 
 ORACLES: dict[str, str] = {}
@@ -201,3 +213,40 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
        CASE WHEN page_id < holder THEN holder END AS refers_to
 FROM held
 """
+
+USABLE = """vec_id IS NOT NULL AND embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
+
+ORACLES["op12_hard_negatives"] = f"""
+WITH whole AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings WHERE label IS NOT NULL AND {USABLE}
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+    FROM whole AS a JOIN whole AS c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id
+),
+near AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       (row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id))::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM near JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+ORACLES["op13_exact_topk"] = f"""
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS v FROM embeddings WHERE {USABLE}
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM whole AS q JOIN whole AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 20
+"""
