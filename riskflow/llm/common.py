@@ -8,6 +8,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from riskflow.storage import scratch_dir
 
@@ -33,6 +34,11 @@ def map_rows(df: DataFrame, rows: Callable[[Batches], Iterator[pa.RecordBatch]],
     return df.mapInArrow(rows, schema)
 
 
+def arrow_schema(ddl: str) -> pa.Schema:
+    """The Arrow form of a schema; worked out on the driver and sent to the tasks."""
+    return to_arrow_schema(T.StructType.fromDDL(ddl))
+
+
 class Stored:
     """A frame written to the shared folder: computed once, safe from lost executors."""
 

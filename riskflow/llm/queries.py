@@ -7,6 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from riskflow.llm import (
+    conversation_repair,
     decontamination,
     exact_topk,
     hard_negatives,
@@ -69,6 +70,11 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_salvage.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(conversations), conversations)
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.mine(table(spark, sf_dir, "embeddings"), hard_negatives.shifted_label())
 
@@ -88,6 +94,7 @@ REGISTERED: dict[str, Query] = {
     "op8_piece_sampling": op8_piece_sampling,
     "op9_simhash": op9_simhash,
     "op10_warc": op10_warc,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_topk": op13_exact_topk,
 }
@@ -214,6 +221,103 @@ SELECT page_id, payload_bytes::BIGINT AS payload_bytes, payload_digest,
 FROM held
 """
 
+
+def _op11() -> str:
+    """A way is its cost in six digits and its audit, so the least text is the best way."""
+
+    def way(of: str, cost: str, edit: str) -> str:
+        return f"lpad((left({of}, 6)::INT + {cost})::VARCHAR, 6, '0') || substr({of}, 7) || '{edit}'"
+
+    def least(*of: str) -> str:
+        return f"least({', '.join(of)})"
+
+    to_user = [way(f"s{i}", "extra", "K") for i in (0, 1, 3)]
+    to_user_anew = [way(f"s{i}", "2 + extra", "R") for i in (0, 1, 3)]
+    return f"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(list_reduce(list_prepend(n, [0, 0, 0, 0, 0, 0, 0, 0]),
+                            lambda c, _: CASE WHEN c % 2 = 1 THEN xor(3988292384, c // 2) ELSE c // 2 END) ORDER BY n) AS crcs
+    FROM (SELECT unnest(range(256))::BIGINT AS n)
+),
+keyed AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS key
+    FROM conversations
+),
+faulty AS (
+    SELECT conv_id, turn, role, text,
+           xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(key, ''), lambda c: ascii(c)::BIGINT)),
+                                       lambda c, b: xor(c // 256, crcs[xor(c, b) % 256 + 1]))) % 20 AS fault
+    FROM keyed, crc_table
+),
+damaged AS (
+    SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+           unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+    FROM faulty WHERE fault <> 0
+),
+placed AS (
+    SELECT conv_id, turn, role, text, row_number() OVER (
+               PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(octet_length(encode(role)) || ':' || role || text)) AS i
+    FROM damaged
+),
+judged AS (
+    SELECT *, NOT regexp_matches(text, '[^\x20\x09-\x0D]') AS blank,
+           row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again,
+           NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') AS unended,
+           left(role, 1) AS initial, left(lag(role) OVER (PARTITION BY conv_id ORDER BY i), 1) || left(role, 1) AS pair
+    FROM placed
+),
+coded AS (SELECT *, blank OR again AS must, (NOT blank AND NOT again AND unended)::INT AS extra FROM judged),
+ways AS (
+    SELECT conv_id, 0::BIGINT AS i, '000000' AS s0, NULL::VARCHAR AS s1, '000002I' AS s2, '000004II' AS s3
+    FROM (SELECT DISTINCT conv_id FROM conversations)
+    UNION ALL
+    SELECT conv_id, i, n0, n1, {least("n2", way("n0", "2", "I"), way("n1", "2", "I"), way("n3", "2", "I"))} AS m2,
+           {least("n3", way("m2", "2", "I"))}
+    FROM (
+        SELECT w.conv_id, c.i, {way("s0", "3", "D")} AS n0,
+               {least(way("s1", "3", "D"), f"CASE WHEN NOT must AND initial = 's' THEN {way('s0', 'extra', 'K')} END")} AS n1,
+               {least(way("s2", "3", "D"), f"CASE WHEN must THEN NULL WHEN initial = 'u' THEN {least(*to_user)} ELSE {least(*to_user_anew)} END")} AS n2,
+               {least(way("s3", "3", "D"), f"CASE WHEN must THEN NULL WHEN initial = 'a' THEN {way('s2', 'extra', 'K')} ELSE {way('s2', '2 + extra', 'R')} END")} AS n3
+        FROM ways AS w JOIN coded AS c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.i = w.i + 1
+    )
+),
+best AS (
+    SELECT conv_id, arg_max(CASE WHEN i = 0 THEN '000000' ELSE least(s0, s3) END, i) AS way FROM ways GROUP BY conv_id
+),
+edits AS (
+    SELECT *, sum((edit <> 'I')::INT) OVER up_to AS i, sum((edit <> 'D')::INT) OVER up_to AS j
+    FROM (SELECT conv_id, unnest(range(1, length(way) - 5)) AS nth, way[nth + 6] AS edit FROM best)
+    WINDOW up_to AS (PARTITION BY conv_id ORDER BY nth)
+),
+rows_of AS (
+    SELECT e.conv_id, e.edit, e.j, c.role, CASE WHEN e.edit = 'I' THEN '' ELSE c.text END AS text,
+           first_value(e.edit = 'K' AND c.initial = 's') OVER (PARTITION BY e.conv_id ORDER BY e.j) AS has_system
+    FROM edits AS e LEFT JOIN coded AS c ON c.conv_id IS NOT DISTINCT FROM e.conv_id AND c.i = e.i
+    WHERE e.edit <> 'D'
+),
+repaired AS (
+    SELECT conv_id, string_agg(CASE WHEN edit = 'K' THEN role WHEN (j - has_system::INT) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                               || ':' || text, chr(10) ORDER BY j) AS lines
+    FROM rows_of GROUP BY conv_id
+),
+figures AS (
+    SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (blank) AS blank,
+           count(*) FILTER (again AND NOT blank) AS duplicate, sum(extra) AS truncated,
+           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM coded GROUP BY conv_id
+)
+SELECT b.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, left(way, 6)::BIGINT AS cost,
+       substr(way, 7) AS audit, sha256(coalesce(lines, '')) AS repaired_sha256
+FROM best AS b LEFT JOIN figures AS f ON f.conv_id IS NOT DISTINCT FROM b.conv_id
+     LEFT JOIN repaired AS r ON r.conv_id IS NOT DISTINCT FROM b.conv_id
+"""
+
+
+ORACLES["op11_conversation_repair"] = _op11()
+
 USABLE = """vec_id IS NOT NULL AND embedding IS NOT NULL
           AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"""
 

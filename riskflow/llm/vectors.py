@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import Batches, map_rows, stored
+from riskflow.llm.common import Batches, arrow_schema, map_rows, stored
 
 PACK = 2048  # rows of a pack
 PACK_BYTES = 8 << 20  # of a pack's matrix as doubles
@@ -114,10 +114,7 @@ def packed(rows: DataFrame, scale: int, label: str, schema: str = PACKED, finish
         for length in sorted(kept):
             yield from made(length, max(1, min(PACK, PACK_BYTES // (8 * max(1, length)))), 0)
 
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
-
-    pack_schema = to_arrow_schema(StructType.fromDDL(schema))
+    pack_schema = arrow_schema(schema)
     whole = rows.select(F.col("id").cast("long"), "vector", F.col(label).cast("int").alias("label"))
     return map_rows(whole.where("id IS NOT NULL AND vector IS NOT NULL AND label IS NOT NULL"), run, schema)
 
