@@ -1,122 +1,221 @@
-"""Substring deduplication by lines or paragraphs.
+"""Substring deduplication by lines, cut at sentence ends.
 
 A unit's normal form has A-Z in lower case, no ASCII punctuation and single spaces. Of
-the units with one normal form, over all documents, the earliest stays and the others are
-removed. Units of fewer words than `least_words` are kept, as that two texts share a
-short line says little; with `least_chars`, only if they are also shorter than that, so
-that long text without blanks and fixed phrases are compared too.
+the units with one normal form, over all documents, the earliest stays; the others are
+repeats. Repeats that follow each other, without an earliest unit between them, are a
+run, and a run that is long enough is removed. So a shared sentence of a few words stays,
+while a passage goes that many short units make up.
+
+A unit has to be found in both copies of a passage, whatever surrounds it. So the cuts
+depend on the text around them alone: units end with a line, and with a sentence of some
+words; longer ones are cut after words that a hash chooses, and at some length.
 
 Only digests and positions are moved for the search. The occurrences of a digest are
 combined to the earliest before they are moved, and meet it in a join, which a skew can
-split; so a line that most documents share gathers nowhere.
+split; so a line that most documents share gathers nowhere. Texts are moved once.
 """
 
 from __future__ import annotations
 
 import hashlib
-from typing import Iterator
+import re
+from functools import lru_cache
+from typing import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+import xxhash
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskflow.llm.common import Batches, map_rows, stored
 
-LEAST_WORDS = 5
-SEPARATORS = {"line": "\n", "paragraph": "\n\n"}
+LEAST_WORDS = 25  # of a run
+SENTENCE, UNCUT, LONGEST, ONE_IN = 6, 16, 20, 10  # words of a sentence that ends a unit; of a unit that is not cut further; of a unit; words that end a unit
+CHARS = 10  # code points that count as a word, for text without blanks
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LOWER = bytes(range(256)).lower()
+ENDS = re.compile("(?<=[.!?])[ \t]+|\n|[。！？]+")
+WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+HASH_DIGITS = 7
+
+Span = tuple[int, int]
 
 
 def normal(unit: str) -> bytes:
     return b" ".join(unit.encode().translate(LOWER, PUNCTUATION).split())
 
 
-def digest_of(unit: str, least_words: int = LEAST_WORDS, least_chars: int | None = None) -> bytes | None:
-    """128 bits of the normal form's BLAKE2b hash, or None if the unit is too short.
+def words_in(text: str) -> int:
+    return len(text.encode().split())
+
+
+def size_of(form: bytes) -> int:
+    """Words of a normal form; text without blanks counts by its length."""
+    return max(form.count(b" ") + 1, len(form.decode()) // CHARS) if form else 0
+
+
+def digest_of(form: bytes) -> int:
+    return xxhash.xxh64_intdigest(form) - (1 << 63)
+
+
+@lru_cache(maxsize=1 << 16)
+def ends_unit(word: str) -> bool:
+    return int(hashlib.md5(normal(word)).hexdigest()[:HASH_DIGITS], 16) % ONE_IN == 0
+
+
+def lines(text: str) -> list[Span]:
+    return _between(text, (m.end() for m in re.finditer("\n", text)))
+
+
+def paragraphs(text: str) -> list[Span]:
+    return _between(text, (m.end() for m in re.finditer("\n\n+", text)))
 
-    Long enough are `least_words` words or, if given, `least_chars` code points.
+
+def _between(text: str, ends) -> list[Span]:
+    cuts = [0, *ends]
+    if cuts[-1] < len(text):
+        cuts.append(len(text))
+    return list(zip(cuts, cuts[1:]))
+
+
+def sentences(text: str) -> list[Span]:
+    """Start and end of each unit; together they are the whole text."""
+    found: list[Span] = []
+    start = before = words = 0
+
+    def add(end: int) -> None:
+        if words <= UNCUT:
+            found.append((start, end))
+            return
+        at, n = start, 0
+        for match in WORD.finditer(text, start, end):
+            n += 1
+            if n == LONGEST or ends_unit(match.group().rstrip()):
+                found.append((at, match.end()))
+                at, n = match.end(), 0
+        if at < end:
+            found.append((at, end))
+
+    for match in ENDS.finditer(text):
+        end = match.end()
+        more = words_in(text[before:end])
+        words, before = words + more, end
+        if more >= SENTENCE or match.group()[0] not in " \t":
+            add(end)
+            start, words = end, 0
+    if start < len(text):
+        words += words_in(text[before:])
+        add(len(text))
+    return found
+
+
+UNITS: dict[str, Callable[[str], list[Span]]] = {"sentence": sentences, "line": lines, "paragraph": paragraphs}
+
+
+def removed_spans(text: str, units: list[Span], repeats: set[int] | None, least_words: int) -> list[Span]:
+    """Runs of repeats (unit numbers; None: all) of so many words, as spans of the text.
+
+    Units without a normal form neither end a run nor start or finish one.
     """
-    form = normal(unit)
-    if not form:
-        return None
-    if form.count(b" ") + 1 < least_words and (least_chars is None or len(form.decode()) < least_chars):
-        return None
-    return hashlib.blake2b(form, digest_size=16).digest()
-
-
-def cut(text: str, removed: set[int], separator: str) -> tuple[str, list[tuple[int, int]]]:
-    """The text without some of its units, and where those were (code points)."""
-    kept, spans, at = [], [], 0
-    for place, unit in enumerate(text.split(separator)):
-        if place in removed:
-            spans.append((at, at + len(unit)))
-        else:
-            kept.append(unit)
-        at += len(unit) + len(separator)
-    return separator.join(kept), spans
-
-
-def _units(separator: str, least_words: int, least_chars: int | None):
+    found: list[Span] = []
+    first = last = None
+    words = 0
+
+    def close() -> None:
+        if first is not None and words >= least_words:
+            found.append((units[first][0], units[last][1]))
+
+    for number, (a, b) in enumerate(units):
+        if repeats is None or number in repeats:
+            size = size_of(normal(text[a:b]))
+            if size:
+                first = number if first is None else first
+                last, words = number, words + size
+        elif first is not None and normal(text[a:b]):
+            close()
+            first, words = None, 0
+    close()
+    return found
+
+
+def _units(cut: Callable[[str], list[Span]]):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at, places, digests = [], [], []
             for i, text in enumerate(batch.column(2)):
-                for place, unit in enumerate((text.as_py() or "").split(separator)):
-                    digest = digest_of(unit, least_words, least_chars)
-                    if digest is not None:
+                whole = text.as_py() or ""
+                for place, (a, b) in enumerate(cut(whole)):
+                    form = normal(whole[a:b])
+                    if form:
                         at.append(i)
                         places.append(place)
-                        digests.append(digest)
+                        digests.append(digest_of(form))
             index = pa.array(at, pa.int64())
-            columns = [batch.column(0).take(index), batch.column(1).take(index), pa.array(places, pa.int32()), pa.array(digests, pa.binary())]
+            columns = [batch.column(0).take(index), batch.column(1).take(index), pa.array(places, pa.int32()), pa.array(digests, pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, ["key", "hash", "place", "digest"])
 
     return rows
 
 
-def _cut(separator: str, least_words: int, least_chars: int | None):
+def _cut(cut: Callable[[str], list[Span]], least_words: int):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, units, counts, spans = [], [], [], []
-            for text, removed, copy in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            at, texts, counts, gone, spans = [], [], [], [], []
+            columns = zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist())
+            for i, (text, repeats, copies) in enumerate(columns):
                 whole = text.as_py()
-                parts = (whole or "").split(separator)
-                gone = set(removed or ())
-                if copy > 1:  # a repeated row comes after its first copy
-                    gone = {i for i, unit in enumerate(parts) if digest_of(unit, least_words, least_chars) is not None}
-                clean, cuts = cut(whole, gone, separator) if whole else (whole, [])
-                texts.append(clean)
-                units.append(len(parts) if whole else 0)
-                counts.append(len(cuts))
-                spans.append(",".join(f"{a}-{b}" for a, b in cuts))
-            columns = [batch.column(0), pa.array(texts, pa.string()), pa.array(units, pa.int64()), pa.array(counts, pa.int64()), pa.array(spans, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_units", "n_removed", "removed_spans"])
+                units = cut(whole or "")
+                for copy in range(copies):  # a repeated row comes after its first copy: all of it is repeats
+                    if copy < 2:
+                        runs = removed_spans(whole or "", units, set(repeats or ()) if copy == 0 else None, least_words)
+                        edges = [0, *(e for run in runs for e in run), len(whole or "")]
+                        clean = whole and "".join(whole[a:b] for a, b in zip(edges[::2], edges[1::2]))
+                        removed = sum(1 for a, b in units if any(x <= a and b <= y for x, y in runs)) if runs else 0
+                    at.append(i)
+                    texts.append(clean)
+                    counts.append(len(units))
+                    gone.append(removed)
+                    spans.append(",".join(f"{a}-{b}" for a, b in runs))
+                    if len(at) >= 10_000:
+                        yield batch_of(batch, at, texts, counts, gone, spans)
+                        at, texts, counts, gone, spans = [], [], [], [], []
+            yield batch_of(batch, at, texts, counts, gone, spans)
+
+    def batch_of(batch: pa.RecordBatch, at, texts, counts, gone, spans) -> pa.RecordBatch:
+        columns = [
+            batch.column(0).take(pa.array(at, pa.int64())),
+            pa.array(texts, pa.string()),
+            pa.array(counts, pa.int64()),
+            pa.array(gone, pa.int64()),
+            pa.array(spans, pa.string()),
+        ]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "text", "n_units", "n_removed", "removed_spans"])
 
     return rows
 
 
-def dedup(
-    docs: DataFrame,
-    unit: str = "line",
-    least_words: int = LEAST_WORDS,
-    key: str = "doc_id",
-    text: str = "text",
-    least_chars: int | None = None,
-) -> DataFrame:
+def dedup(docs: DataFrame, unit: str = "sentence", least_words: int = LEAST_WORDS, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Columns doc_id, text (what stays), n_units, n_removed and removed_spans
     (start-end in code points of the original, comma-joined), a row per row of `docs`.
 
-    Documents rank by key (NULL last), then by a hash of their text; units by place. A
-    removed unit goes with one separator. Of rows that repeat key and text, one is
-    first and the others lose every unit that is long enough. NULL texts stay NULL. Other
-    columns are ignored.
+    `unit` is what is compared: "sentence", "line" or "paragraph"; what follows a unit up
+    to the next one belongs to it. A run of repeats goes if it has `least_words` words
+    (of text without blanks, CHARS code points count as one).
+
+    Documents rank by key (NULL last), then by a hash of their text; units by place. Of
+    rows that repeat key and text, one is first and all units of the others are repeats.
+    NULL texts stay NULL; empty ones have no unit. A text of any length is cut whole, by
+    the task that reads it. An empty table gives an empty one. Other columns are ignored,
+    whatever their names.
+
+    Digests have 64 bits. Two units of other words that share one count as repeats of
+    each other; as a run takes several units in a row, that removes nothing by itself.
     """
-    separator = SEPARATORS[unit]
+    cut = UNITS[unit]
     kind = docs.schema[key].dataType.simpleString()
-    hashed = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-    keyed = docs.select(F.col(key).alias("key"), hashed.alias("hash"), F.col(text).alias("text"))
-    found = map_rows(keyed, _units(separator, least_words, least_chars), f"key {kind}, hash long, place int, digest binary")
+    hashed = F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit("")), F.col(f"`{text}`").isNull())
+    keyed = docs.select(F.col(f"`{key}`").alias("key"), hashed.alias("hash"), F.col(f"`{text}`").alias("text"))
+    found = map_rows(keyed, _units(cut), f"key {kind}, hash long, place int, digest long")
     units = stored(found, "units")
 
     rank = F.struct(F.col("key").isNull().alias("last"), "key", "hash", "place")
@@ -124,11 +223,11 @@ def dedup(
     # a table of its own: a join right above an aggregate could not be split where it is skewed
     earliest = stored(repeated.select("digest", "first"), "earliest_units")
     later = units.join(earliest, "digest").where(rank != F.col("first"))
-    removed = later.groupBy(F.col("key").alias("of"), F.col("hash").alias("of_hash")).agg(F.collect_set("place").alias("removed"))
+    # key and text by their hashes, which are never NULL: one pair of columns joins and groups
+    removed = later.groupBy(F.xxhash64("key").alias("name"), "hash").agg(F.collect_set("place").alias("removed"))
 
-    same = keyed["key"].eqNullSafe(removed["of"]) & (keyed["hash"] == removed["of_hash"])
-    joined = keyed.join(removed, same, "left")
-    copy = F.row_number().over(Window.partitionBy("key", "hash").orderBy("hash"))
-    numbered = joined.select("key", "text", "removed", copy.alias("copy"))
+    named = keyed.withColumn("name", F.xxhash64("key"))
+    distinct = named.groupBy("name", "hash").agg(F.first("key").alias("key"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies"))
+    joined = distinct.join(removed, ["name", "hash"], "left").select("key", "text", "removed", "copies")
     schema = f"doc_id {kind}, text string, n_units long, n_removed long, removed_spans string"
-    return map_rows(numbered, _cut(separator, least_words, least_chars), schema)
+    return map_rows(joined, _cut(cut, least_words), schema)

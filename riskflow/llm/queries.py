@@ -176,30 +176,75 @@ FROM based
 """
 
 ORACLES["op6_line_dedup"] = r"""
-WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+WITH ended AS (
+    SELECT doc_id, unnest(string_split(marked, chr(57344))) AS piece, unnest(range(len(string_split(marked, chr(57344))))) AS nth
+    FROM (SELECT doc_id, regexp_replace(text, '([.!?][ \t]+|\n|[。！？]+)', '\1' || chr(57344), 'g') AS marked FROM documents)
+),
+pieces AS (
+    SELECT *, len(regexp_extract_all(piece, '[^\x20\x09-\x0D]+')) AS words FROM ended WHERE piece <> ''
+),
+grouped AS (
+    SELECT *, coalesce(sum((words >= 6 OR NOT regexp_matches(piece, '[ \t]$'))::INT) OVER (
+                  PARTITION BY doc_id ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS part
+    FROM pieces
+),
+parts AS (
+    SELECT doc_id, part, string_agg(piece, '' ORDER BY nth) AS whole, sum(words) AS words FROM grouped GROUP BY doc_id, part
+),
+split AS (
+    SELECT doc_id, part, word, nth,
+           len(long) > 0 AND ('0x' || substr(md5(trim(regexp_replace(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'))), 1, 7))::BIGINT % 10 = 0 AS chosen
+    FROM (SELECT doc_id, part, long, unnest(CASE WHEN len(long) > 0 THEN long ELSE [whole] END) AS word,
+                 unnest(range(greatest(len(long), 1))) AS nth
+          FROM (SELECT *, CASE WHEN words > 16 THEN regexp_extract_all(whole, '^[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*')
+                               ELSE [] END AS long FROM parts))
+),
+chunked AS (
+    SELECT *, coalesce(sum(chosen::INT) OVER (PARTITION BY doc_id, part ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk
+    FROM split
+),
+twenties AS (
+    SELECT *, (row_number() OVER (PARTITION BY doc_id, part, chunk ORDER BY nth) - 1) // 20 AS twenty FROM chunked
+),
 units AS (
-    SELECT doc_id, unnest(lines) AS unit, unnest(range(len(lines))) AS place FROM split
+    SELECT doc_id, string_agg(word, '' ORDER BY nth) AS unit,
+           row_number() OVER (PARTITION BY doc_id ORDER BY part, chunk, twenty) AS place
+    FROM twenties GROUP BY doc_id, part, chunk, twenty
 ),
 placed AS (
-    SELECT *, place + coalesce(sum(length(unit)) OVER (
-                  PARTITION BY doc_id ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+    SELECT *, sum(length(unit)) OVER (PARTITION BY doc_id ORDER BY place) AS stop,
            trim(regexp_replace(translate(unit, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~',
                                          'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g')) AS form
     FROM units
 ),
 ranked AS (
-    SELECT *, len(string_split(form, ' ')) >= 5
-              AND row_number() OVER (PARTITION BY form ORDER BY doc_id, place) > 1 AS gone
+    SELECT *, CASE WHEN form = '' THEN 0 ELSE greatest(len(string_split(form, ' ')), length(form) // 10) END AS size,
+           form <> '' AND row_number() OVER (PARTITION BY form ORDER BY doc_id, place) > 1 AS again
     FROM placed
+),
+islands AS (
+    SELECT *, sum((form <> '' AND NOT again)::INT) OVER (PARTITION BY doc_id ORDER BY place) AS island FROM ranked
+),
+runs AS (
+    SELECT doc_id, min(place) AS first, max(place) AS last, min(stop - length(unit)) AS start, max(stop) AS stop
+    FROM islands WHERE again GROUP BY doc_id, island HAVING sum(size) >= 25
+),
+kept AS (
+    SELECT i.doc_id, i.place, i.unit, r.first IS NOT NULL AS gone
+    FROM ranked AS i LEFT JOIN runs AS r ON i.doc_id = r.doc_id AND i.place BETWEEN r.first AND r.last
+),
+texts AS (
+    SELECT doc_id, coalesce(string_agg(unit, '' ORDER BY place) FILTER (NOT gone), '') AS text, count(*) AS n_units,
+           count(*) FILTER (gone) AS n_removed
+    FROM kept GROUP BY doc_id
+),
+spans AS (
+    SELECT doc_id, string_agg(start::BIGINT || '-' || stop::BIGINT, ',' ORDER BY first) AS removed_spans FROM runs GROUP BY doc_id
 )
-SELECT doc_id,
-       coalesce(string_agg(unit, chr(10) ORDER BY place) FILTER (NOT gone), '') AS text,
-       CASE WHEN first(d.text) = '' THEN 0 ELSE count(*) END AS n_units,
-       count(*) FILTER (gone) AS n_removed,
-       coalesce(string_agg(start::BIGINT || '-' || (start + length(unit))::BIGINT, ',' ORDER BY place) FILTER (gone), '')
-           AS removed_spans
-FROM ranked JOIN (SELECT doc_id, text FROM documents) AS d USING (doc_id)
-GROUP BY doc_id
+SELECT d.doc_id, CASE WHEN d.text = '' THEN '' ELSE t.text END AS text, coalesce(n_units, 0) AS n_units,
+       coalesce(n_removed, 0) AS n_removed, coalesce(removed_spans, '') AS removed_spans
+FROM documents AS d LEFT JOIN texts AS t USING (doc_id) LEFT JOIN spans USING (doc_id)
 """
 
 ORACLES["op10_warc"] = """

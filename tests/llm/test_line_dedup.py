@@ -1,65 +1,137 @@
 from __future__ import annotations
 
+import hashlib
+import random
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from riskflow.llm import line_dedup as op
 from tests.llm.conftest import DOCUMENT, rows
 
-LINE = "This line occurs in many documents."
+PASSAGE = (
+    "It was a long passage of several sentences that many documents share. Some of its sentences are short. "
+    "No. Others go on, with commas; and with words enough to be cut where a hash says so, again and again and again, "
+    "until they end at last in a full stop.\nA line more of the same passage ends it for good."
+)
 
 
-def test_normal_form():
-    assert op.normal("  The QUICK,\tbrown -- fox!! É ") == "the quick brown fox É".encode()
-    assert op.digest_of("one two three four") is None and op.digest_of("") is None
-    assert op.digest_of("one two three four five") == op.digest_of("One!! two, three  four... FIVE")
+def table(spark, texts):
+    return spark.createDataFrame([(i, t, None, None, None) for i, t in texts], DOCUMENT)
 
 
-def test_cut_retains_offsets():
-    text = "é1\n\nabc\nlast"
-    clean, spans = op.cut(text, {0, 2}, "\n")
-    assert clean == "\nlast" and [text[a:b] for a, b in spans] == ["é1", "abc"]
+def own(n: int, words: int = 30) -> str:
+    rng = random.Random(n)
+    return " ".join("".join(rng.choices("bcdfgklmnprst", k=5)) for _ in range(words)) + "."
 
 
-def test_earliest_stays(spark):
-    docs = spark.createDataFrame(
-        [
-            (5, f"own words of document number five\n{LINE}", None, None, None),
-            (2, f"{LINE.upper()}\nshort\n{LINE}\nshort", None, None, None),
-            (None, LINE, None, None, None),
-            (9, "x\n\n" + LINE, None, None, None),
-        ],
-        DOCUMENT,
-    )
-    found = {r.doc_id: (r.text, r.n_units, r.n_removed, r.removed_spans) for r in op.dedup(docs).collect()}
-    n = len(LINE)
-    assert found[2] == (f"{LINE.upper()}\nshort\nshort", 4, 1, f"{n + 7}-{2 * n + 7}")
-    assert found[5] == ("own words of document number five", 2, 1, f"34-{34 + n}")
-    assert found[None] == ("", 1, 1, f"0-{n}") and found[9] == ("x\n", 3, 1, f"3-{3 + n}")
+def test_normal_form():
+    assert op.normal("  The QUICK,\tbrown -- fox!! É ") == "the quick brown fox É".encode()
+    assert op.size_of(b"") == 0 and op.size_of(b"one two") == 2
+    assert op.size_of(("文" * 95).encode()) == 9
+
+
+def test_units_of_a_text():
+    text = "One two three four five six. Short one. And then more words than that. Last"
+    assert [text[a:b] for a, b in op.sentences(text)] == ["One two three four five six. ", "Short one. And then more words than that. ", "Last"]
+    text = "a\n\nb\n"
+    assert [text[a:b] for a, b in op.sentences(text)] == ["a\n", "\n", "b\n"]
+    text = "这是一句话。这是另一句！完"
+    assert [text[a:b] for a, b in op.sentences(text)] == ["这是一句话。", "这是另一句！", "完"]
+    assert op.sentences("") == [] and op.lines("a\nb") == [(0, 2), (2, 3)] and op.paragraphs("a\nb\n\nc") == [(0, 5), (5, 6)]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.text(alphabet="ab .!?\n\t\r。é", max_size=300), st.text(alphabet="ab .\n", max_size=40))
+def test_cuts_depend_on_their_surroundings(text, before):
+    """Units are the whole text, and what stands some lines before changes none of them."""
+    found = op.sentences(text)
+    assert "".join(text[a:b] for a, b in found) == text and all(a < b for a, b in found)
+    assert all(op.words_in(text[a:b]) <= max(op.UNCUT, op.LONGEST) for a, b in found)
+    shifted = op.sentences(before + "\n" + text)
+    n = len(before) + 1
+    assert [(a - n, b - n) for a, b in shifted if a >= n] == found
+
+
+def by_hand(texts, least=op.LEAST_WORDS, cut=op.sentences):
+    """The same by plain Python: documents in order, units seen so far."""
+    seen, out = set(), {}
+    for key, text in sorted(texts, key=lambda x: x[0]):
+        units = cut(text)
+        again = []
+        for a, b in units:
+            form = op.normal(text[a:b])
+            again.append(None if not form else hashlib.sha256(form).digest() in seen)
+            seen.add(hashlib.sha256(form).digest())
+        gone, run, n = set(), [], 0
+        for i, flag in enumerate([*again, False]):
+            if flag:
+                run.append(i)
+                n += op.size_of(op.normal(text[units[i][0] : units[i][1]]))
+            elif flag is False:
+                if n >= least:
+                    gone |= set(range(run[0], run[-1] + 1))
+                run, n = [], 0
+        out[key] = ("".join(text[a:b] for i, (a, b) in enumerate(units) if i not in gone), len(units), len(gone))
+    return out
+
+
+def test_passages_go_and_short_lines_stay(spark):
+    line = "All rights reserved by its owners.\n"
+    texts = [(i, f"{own(i)}\n{line}{own(100 + i)} {PASSAGE if i % 2 else ''} {own(200 + i)}") for i in range(9)]
+    texts.append((20, f"{own(20)} {PASSAGE.upper()} {own(21)}"))
+    texts.append((21, PASSAGE.replace("several", "many") + "\n" + own(22)))
+    found = {r.doc_id: (r.text, r.n_units, r.n_removed) for r in op.dedup(table(spark, texts)).collect()}
+    assert found == by_hand(texts)
+    assert "hash says so" in found[1][0] and all("hash says" not in found[i][0] for i in (3, 5, 7, 21)) and "HASH" not in found[20][0]
+    assert all(line in found[i][0] for i in range(9)) and all(own(i) in found[i][0] for i in range(9))
+
+
+def test_offsets(spark):
+    """What is removed stands at the spans given, in code points of the original."""
+    texts = [(1, f"é {PASSAGE}\n{own(1)}"), (2, f"\U0001f600 ü{own(2)}\n{PASSAGE}\n{own(3)}\n{PASSAGE}")]
+    (row,) = op.dedup(table(spark, texts)).where("doc_id = 2").collect()
+    text = texts[1][1]
+    spans = [tuple(map(int, s.split("-"))) for s in row.removed_spans.split(",")]
+    assert len(spans) == 2 and all(text[a:b].strip().endswith("for good.") for a, b in spans)
+    left = "".join(text[a:b] for a, b in zip([0] + [b for _, b in spans], [a for a, _ in spans] + [len(text)]))
+    assert row.text == left and row.n_removed >= 4
+
+
+@pytest.mark.parametrize("unit, cut", [("line", op.lines), ("paragraph", op.paragraphs)])
+def test_other_units(spark, unit, cut):
+    paragraph = "A paragraph of\nseveral words on two lines.\n\n"
+    texts = [(i, f"start {i}\n\n{paragraph}end\n") for i in range(3)]
+    found = {r.doc_id: (r.text, r.n_units, r.n_removed) for r in op.dedup(table(spark, texts), unit=unit, least_words=1).collect()}
+    assert found == by_hand(texts, 1, cut)
+    assert found[2][0] == "start 2\n\n"
 
 
-def test_paragraphs(spark):
-    paragraph = "A paragraph of\nseveral words on two lines."
-    docs = spark.createDataFrame([(i, f"start {i}\n\n{paragraph}", None, None, None) for i in range(3)], DOCUMENT)
-    assert rows(op.dedup(docs, unit="paragraph"), "doc_id", "text") == [(0, f"start 0\n\n{paragraph}"), (1, "start 1"), (2, "start 2")]
+def test_same_id_other_text(spark):
+    """Rows with one id are ranked by a hash of their text: exactly one keeps the passage."""
+    docs = table(spark, [(1, f"{own(i)}\n{PASSAGE}") for i in range(4)])
+    assert sorted(n > 0 for (n,) in rows(op.dedup(docs), "n_removed")) == [False, True, True, True]
 
 
-def test_same_id_other_text(spark):
-    """Rows with one id are ranked by a hash of their text: exactly one keeps the line."""
-    docs = spark.createDataFrame([(1, f"{LINE}\n{i}", None, None, None) for i in range(4)], DOCUMENT)
-    assert sorted(n for (n,) in rows(op.dedup(docs), "n_removed")) == [0, 1, 1, 1]
+def test_text_without_blanks(spark):
+    chinese = "所有文件都重复这一段没有空格的文字" * 20
+    found = rows(op.dedup(table(spark, [(i, f"{chinese}\n{own(i)}") for i in range(3)])), "doc_id", "text")
+    assert found == [(0, f"{chinese}\n{own(0)}"), (1, own(1)), (2, own(2))]
 
 
-def test_long_units_of_few_words(spark):
-    """With a length in code points, unspaced text and fixed phrases are compared too."""
-    chinese, address, phrase = "所有文件都重复这一段没有空格的文字" * 3, "https://example.org/a/b/c?d=e", "All rights reserved worldwide."
-    assert len(chinese) == 51 and op.digest_of("文" * 19, least_chars=20) is None and op.digest_of("文" * 20, least_chars=20)
-    docs = spark.createDataFrame([(i, f"{chinese}\nyes\n{address}\n{phrase}\n{i}", None, None, None) for i in range(3)], DOCUMENT)
-    found = rows(op.dedup(docs, least_chars=20), "doc_id", "text", "n_removed")
-    assert found == [(0, f"{chinese}\nyes\n{address}\n{phrase}\n0", 0), (1, "yes\n1", 3), (2, "yes\n2", 3)]
+def test_copies(spark):
+    """Rows that repeat one another: the first stays, the others lose all, if that is enough."""
+    docs = table(spark, [(1, PASSAGE)] * 3 + [(2, "short text")] * 2 + [(None, PASSAGE)] * 2)
+    found = rows(op.dedup(docs), "doc_id", "text")
+    assert found == [(None, ""), (None, ""), (1, ""), (1, ""), (1, PASSAGE), (2, "short text"), (2, "short text")]
 
 
 def test_odd_rows(spark, odd, none):
     found = op.dedup(odd)
     assert found.count() == odd.count()
-    assert rows(found.where("doc_id IN (1, 2)"), "doc_id", "n_removed") == [(1, 0), (1, 1), (2, 1)]
+    assert rows(found.where("doc_id IN (1, 2)"), "doc_id", "n_removed") == [(1, 0), (1, 0), (2, 0)]
+    assert rows(op.dedup(odd, least_words=5).where("doc_id IN (1, 2)"), "doc_id", "n_removed") == [(1, 0), (1, 1), (2, 1)]
     assert rows(found.where("doc_id = 3"), "text", "n_units", "removed_spans") == [(None, 0, "")]
     assert rows(found.where("doc_id = 4"), "text", "n_units", "removed_spans") == [("", 0, "")]
     assert op.dedup(none).count() == 0
