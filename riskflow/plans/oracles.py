@@ -146,7 +146,15 @@ def curves(by: str = "") -> str:
         sum(pos * (tp / (tp + fp)::DOUBLE)) / sum(pos) AS average_precision FROM steps {tail})"""
 
 
-RUN_SCORES = """SELECT user_id % 20 AS candidate, event_type AS metric, event_id % 10 AS fold, avg(value) AS value
+
+
+def whole_mean(digits: int) -> str:
+    """The mean of events in units of 10^-digits, half up, from sums of whole cents."""
+    total, rows = "sum(round(value * 100)::BIGINT)", "count(value)"
+    return f"((2 * {10**digits} * {total} + 100 * {rows}) // nullif(200 * {rows}, 0))::DOUBLE"
+
+
+RUN_SCORES = f"""SELECT user_id % 20 AS candidate, event_type AS metric, event_id % 10 AS fold, {whole_mean(2)} AS value
     FROM events GROUP BY ALL"""
 SUMMARY = f"""SELECT candidate, metric, round(avg(value), 0) AS mean, stddev_pop(value) AS std
     FROM ({RUN_SCORES}) GROUP BY ALL"""
@@ -303,19 +311,19 @@ ORACLES = {
     "fold_summary": f"""SELECT candidate, metric, round(avg(value), 6) AS mean, round(stddev_pop(value), 6) AS std
         FROM ({RUN_SCORES}) GROUP BY ALL""",
     "rank_runs": f"SELECT candidate, metric, mean, round(std, 6) AS std, rank FROM ({RANKED})",
-    "rank_users": """SELECT *, CAST(rank() OVER (PARTITION BY metric ORDER BY mean DESC) AS INT) AS rank FROM
-        (SELECT user_id AS candidate, event_type AS metric, round(avg(value), 0) AS mean FROM events GROUP BY ALL)""",
+    "rank_users": f"""SELECT *, CAST(rank() OVER (PARTITION BY metric ORDER BY mean DESC) AS INT) AS rank FROM
+        (SELECT user_id AS candidate, event_type AS metric, {whole_mean(0)} AS mean FROM events GROUP BY ALL)""",
     "best_run": f"""SELECT metric, candidate, mean FROM ({RANKED})
         QUALIFY row_number() OVER (PARTITION BY metric ORDER BY rank, candidate) = 1""",
     "top5_runs": f"""SELECT candidate, metric, mean, round(std, 6) AS std, rank FROM ({RANKED})
         WHERE metric = 'purchase' ORDER BY rank, candidate LIMIT 5""",
-    "grid_scores": """WITH grid AS (SELECT CAST(row_number() OVER (ORDER BY a, b, c, d) - 1 AS BIGINT) AS candidate,
+    "grid_scores": f"""WITH grid AS (SELECT CAST(row_number() OVER (ORDER BY a, b, c, d) - 1 AS BIGINT) AS candidate,
             a AS n_estimators, b AS min_samples_split, c AS min_samples_leaf, d AS max_depth
             FROM (SELECT unnest([50, 75, 100, 125, 150, 175])::BIGINT AS a)
             CROSS JOIN (SELECT unnest([2, 4, 6, 8, 10])::BIGINT AS b)
             CROSS JOIN (SELECT unnest([1, 2, 3, 4])::BIGINT AS c)
             CROSS JOIN (SELECT unnest([5, 10, 15, 20, 25])::BIGINT AS d)),
-        scores AS (SELECT event_id % 600 AS candidate, round(avg(value), 6) AS mean, count(*) AS events
+        scores AS (SELECT event_id % 600 AS candidate, {whole_mean(6)} / 1000000 AS mean, count(*) AS events
             FROM events GROUP BY ALL)
         SELECT candidate, mean, events, n_estimators, min_samples_split, min_samples_leaf, max_depth
         FROM scores JOIN grid USING (candidate)""",
@@ -323,8 +331,8 @@ ORACLES = {
         round(avg(value), 4) AS value, CAST(0 AS BIGINT) AS step FROM ({RUN_SCORES}) GROUP BY candidate, metric""",
     "value_scan": """SELECT 'run' || user_id % 20 AS run_id, event_type AS param, CAST(count(*) AS VARCHAR) AS value
         FROM events GROUP BY ALL""",
-    "run_log": """SELECT run_id, metric, ts, value, events FROM (SELECT 'run' || user_id AS run_id,
-            event_type AS metric, min(event_id) AS ts, round(avg(value), 6) AS value FROM events GROUP BY ALL)
+    "run_log": f"""SELECT run_id, metric, ts, value, events FROM (SELECT 'run' || user_id AS run_id,
+            event_type AS metric, min(event_id) AS ts, {whole_mean(6)} / 1000000 AS value FROM events GROUP BY ALL)
         JOIN (SELECT 'run' || user_id AS run_id, CAST(count(*) AS VARCHAR) AS events FROM events GROUP BY ALL)
         USING (run_id)""",
     "registry_stages": STAGES,

@@ -62,6 +62,16 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(quoted(c), DIGITS) for c in columns})
 
 
+def whole_mean(digits: int) -> Column:
+    """The mean value of events in units of 10^-digits, half up, as a whole number.
+
+    Values have whole cents, so sums of cents and an integer division give the same
+    whatever the order of the rows; a rounded mean of doubles does not where it is a tie.
+    """
+    total, rows = "sum(cast(round(value * 100) AS bigint))", "count(value)"
+    return F.expr(f"(2 * {10**digits} * {total} + 100 * {rows}) div nullif(200 * {rows}, 0)")
+
+
 # JSON messages
 
 
@@ -473,7 +483,7 @@ def training_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fold scores of runs: the mean event value per (run, fold, metric)."""
+    """Fold scores of runs: the mean event value per (run, fold, metric), in whole cents."""
     return (
         table(spark, sf_dir, "events")
         .groupBy(
@@ -481,7 +491,7 @@ def _run_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("event_type").alias("metric"),
             (F.col("event_id") % 10).alias("fold"),
         )
-        .agg(F.avg("value").alias("value"))
+        .agg(whole_mean(2).cast("double").alias("value"))
     )
 
 
@@ -507,7 +517,7 @@ def rank_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     means = (
         table(spark, sf_dir, "events")
         .groupBy(F.col("user_id").alias("candidate"), F.col("event_type").alias("metric"))
-        .agg(F.round(F.avg("value"), 0).alias("mean"))
+        .agg(whole_mean(0).cast("double").alias("mean"))
     )
     return ranking.rank_candidates(means, rows_per_range=50, max_ranges=64)
 
@@ -529,10 +539,9 @@ def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = (
         table(spark, sf_dir, "events")
         .groupBy((F.col("event_id") % 600).alias("candidate"))
-        .agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("events"))
+        .agg((whole_mean(DIGITS) / 10**DIGITS).alias("mean"), F.count(F.lit(1)).alias("events"))
     )
-    grid = search.grid_rows(spark)
-    return rounded(scores.join(grid, "candidate"), "mean")
+    return scores.join(search.grid_rows(spark), "candidate")
 
 
 # Runs and registry
@@ -575,7 +584,7 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     run = F.concat(F.lit("run"), F.col("user_id").cast("string"))
     measured = events.groupBy(run.alias("run_id"), F.col("event_type").alias("metric")).agg(
-        F.min("event_id").alias("ts"), F.round(F.avg("value"), DIGITS).alias("value")
+        F.min("event_id").alias("ts"), (whole_mean(DIGITS) / 10**DIGITS).alias("value")
     )
     clicks = F.coalesce(F.col("metric") == "click", F.lit(False))
     for part in (clicks, ~clicks):
