@@ -11,6 +11,7 @@ from typing import Any, Mapping, Sequence
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,11 +24,12 @@ from riskflow.operators.forest import (
     class_probability,
     fit_forest,
     fit_partitions,
+    fit_vectors,
     forest,
-    pruned,
     score,
 )
 from riskflow.operators.metrics import CURVE_METRICS, POINT_METRICS, class_report, evaluate, score_counts, training_metrics
+from riskflow.operators.nested import TEST, TRAIN, Setting, counted_scores, nodes_of
 from riskflow.operators.ranking import best_candidate, fold_summary, rank_candidates, top_candidates
 from riskflow.operators.split import balanced_weight, with_folds
 from riskflow.schemas import FEATURES, LABEL, OUTPUTS, quoted
@@ -47,7 +49,7 @@ FOREST_FIELDS = {
     "min_samples_leaf": "min_leaf",
     "max_depth": "depth",
 }
-TIMES = "fit_time double, score_time double, candidate int, fold int"
+TIMES = "candidate int, fit_time double, score_time double, fit int, fold int"
 
 
 def param_grid(levels: Mapping[str, Sequence[Any]] = GRID) -> list[dict[str, Any]]:
@@ -107,8 +109,9 @@ def grid_search(
     The folded vectors are written once and every fit reads them from there, so a
     lost executor costs a re-read of its files, not the encoding. A fit leaves
     behind its scores counted by (split, label, prediction, p1), from which all
-    metrics follow exactly. Candidates that differ in the minimum split size alone
-    share one fit. A search started again on the same folder skips the fits that
+    metrics follow exactly. Candidates that differ in depth, trees or minimum split size
+    alone share one fit, of which each takes its part (see `nested`); their fit time is
+    that fit's, their score time an equal share. A search started again on the same folder skips the fits that
     finished; one with other settings or other data is refused there. `parallelism`
     fits run side by side. Rows without a label are left out. The result has the
     metrics of the refitted model on its training rows and, given `test` rows, their
@@ -130,37 +133,48 @@ def grid_search(
     many = sum(row["count"] for row in sizes) > ROWS_PER_PARTITION
     grown: dict[ForestParams, list[int]] = {}
     for number, params in enumerate(candidates):
-        grown.setdefault(replace(params, min_split=2), []).append(number)
+        grown.setdefault(replace(params, min_split=2, depth=0, trees=0), []).append(number)
 
-    def run(job: tuple[ForestParams, int]) -> None:
-        params, fold = job
-        missing = [c for c in grown[params] if not files.exists(f"{work_dir}/times/candidate={c}/fold={fold}/times.json")]
-        if not missing:
+    def run(job: tuple[int, list[int], int]) -> None:
+        fit, members, fold = job
+        place = f"fit={fit}/fold={fold}"
+        if files.exists(f"{work_dir}/times/{place}/times.json"):
             return
         counts: dict[Any, int] = {}
         for row in sizes:
             if row["fold"] != fold:
                 counts[row[label]] = counts.get(row[label], 0) + row["count"]
         part = data.where(F.col("fold") != fold).withColumn(WEIGHT, balanced_weight(F.col(label), counts))
-        started = time.monotonic()
-        model = forest(params, label, WEIGHT, many).fit(part)
-        fitted = time.monotonic() - started
-        for candidate in missing:
+        is_test = F.col("fold") == fold
+
+        def fitted(params: ForestParams) -> tuple[RandomForestClassificationModel, float]:
             started = time.monotonic()
-            least = candidates[candidate].min_split
-            scores = (pruned(model, least) if least > 2 else model).transform(data).select(
-                F.when(F.col("fold") == fold, "test").otherwise("train").alias("split"),
-                F.col(label).cast("int").alias("label"),
-                F.col("prediction").cast("int").alias("prediction"),
-                class_probability(1).alias("p1"),
-            )
-            place = f"candidate={candidate}/fold={fold}"
-            score_counts(scores, by=["split"]).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
-            files.make_dir(f"{work_dir}/times/{place}")
-            times = {"fit_time": fitted, "score_time": time.monotonic() - started}
-            files.write_text(f"{work_dir}/times/{place}/times.json", json.dumps(times))
+            return forest(params, label, WEIGHT, many).fit(part), time.monotonic() - started
 
-    jobs = list(itertools.product(grown, range(folds)))
+        of = [candidates[c] for c in members]
+        model, fit_time = fitted(replace(of[0], min_split=2, depth=max(p.depth for p in of), trees=max(p.trees for p in of)))
+        started = time.monotonic()
+        nodes = nodes_of(model)
+        if nodes is not None:
+            settings = [Setting(c, p.trees, p.depth, p.min_split) for c, p in zip(members, of)]
+            counted_scores(data, nodes, settings, VECTOR, label, is_test).write.mode("overwrite").parquet(f"{work_dir}/scores/{place}")
+        else:  # too large to send, or no such forest: each candidate is fitted by itself
+            for number, (c, p) in enumerate(zip(members, of)):
+                scores = fit_vectors(part, p, label).transform(data).select(
+                    F.lit(c).alias("candidate"),
+                    F.when(is_test, TEST).otherwise(TRAIN).alias("split"),
+                    F.col(label).cast("int").alias("label"),
+                    F.col("prediction").cast("int").alias("prediction"),
+                    class_probability(1).alias("p1"),
+                )
+                mode = "append" if number else "overwrite"
+                score_counts(scores, by=["candidate", "split"]).write.mode(mode).parquet(f"{work_dir}/scores/{place}")
+        files.make_dir(f"{work_dir}/times/{place}")
+        each = {"fit_time": fit_time, "score_time": (time.monotonic() - started) / len(members)}
+        lines = "\n".join(json.dumps({"candidate": c, **each}) for c in members)
+        files.write_text(f"{work_dir}/times/{place}/times.json", lines)
+
+    jobs = [(fit, members, fold) for (fit, members), fold in itertools.product(enumerate(grown.values()), range(folds))]
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             for _ in pool.map(inheritable_thread_target(spark)(run), jobs):
@@ -232,9 +246,9 @@ def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1
 def _fold_metrics(spark: SparkSession, work_dir: str) -> DataFrame:
     """Long table (candidate, fold, split, metric, value), written once."""
     by = ("candidate", "fold", "split")
-    scores = spark.read.parquet(f"{work_dir}/scores")
+    scores = spark.read.parquet(f"{work_dir}/scores").drop("fit")
     quality = evaluate(scores, by=by, weight="rows")
-    times = spark.read.schema(TIMES).json(f"{work_dir}/times").withColumn("split", F.lit("test"))
+    times = spark.read.schema(TIMES).json(f"{work_dir}/times").drop("fit").withColumn("split", F.lit(TEST))
     long_times = times.unpivot(list(by), ["fit_time", "score_time"], "metric", "value")
     quality.unionByName(long_times).write.mode("overwrite").parquet(f"{work_dir}/metrics")
     return spark.read.parquet(f"{work_dir}/metrics")
