@@ -8,7 +8,7 @@ while a passage goes that many short units make up.
 
 A unit has to be found in both copies of a passage, whatever surrounds it. So the cuts
 depend on the text around them alone: units end with a line, and with a sentence of some
-words; longer ones are cut after words that a hash chooses, and at some length.
+words; longer ones are cut after words that their letters choose, and at some length.
 
 Only digests and positions are moved for the search. The occurrences of a digest are
 combined to the earliest before they are moved, and meet it in a join, which a skew can
@@ -17,11 +17,10 @@ split; so a line that most documents share gathers nowhere. Texts are moved once
 
 from __future__ import annotations
 
-import hashlib
 import re
-from functools import lru_cache
 from typing import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -34,9 +33,9 @@ SENTENCE, UNCUT, LONGEST, ONE_IN = 6, 16, 20, 10  # words of a sentence that end
 CHARS = 10  # code points that count as a word, for text without blanks
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LOWER = bytes(range(256)).lower()
-ENDS = re.compile("(?<=[.!?])[ \t]+|\n|[。！？]+")
-WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
-HASH_DIGITS = 7
+LETTER, MARK, DOT, WIDE, SPACE, BLANK, NEWLINE = range(7)  # kinds of code points; from SPACE on white space
+OF_KIND = {MARK: PUNCTUATION, DOT: b".!?", SPACE: b"\x0b\x0c\r", BLANK: b" \t", NEWLINE: b"\n"}
+KINDS = bytes({c: kind for kind, found in OF_KIND.items() for c in found}.get(c, LETTER) for c in range(256))
 
 Span = tuple[int, int]
 
@@ -45,10 +44,6 @@ def normal(unit: str) -> bytes:
     return b" ".join(unit.encode().translate(LOWER, PUNCTUATION).split())
 
 
-def words_in(text: str) -> int:
-    return len(text.encode().split())
-
-
 def size_of(form: bytes) -> int:
     """Words of a normal form; text without blanks counts by its length."""
     return max(form.count(b" ") + 1, len(form.decode()) // CHARS) if form else 0
@@ -58,11 +53,6 @@ def digest_of(form: bytes) -> int:
     return xxhash.xxh64_intdigest(form) - (1 << 63)
 
 
-@lru_cache(maxsize=1 << 16)
-def ends_unit(word: str) -> bool:
-    return int(hashlib.md5(normal(word)).hexdigest()[:HASH_DIGITS], 16) % ONE_IN == 0
-
-
 def lines(text: str) -> list[Span]:
     return _between(text, (m.end() for m in re.finditer("\n", text)))
 
@@ -79,34 +69,73 @@ def _between(text: str, ends) -> list[Span]:
 
 
 def sentences(text: str) -> list[Span]:
-    """Start and end of each unit; together they are the whole text."""
-    found: list[Span] = []
-    start = before = words = 0
-
-    def add(end: int) -> None:
-        if words <= UNCUT:
-            found.append((start, end))
-            return
-        at, n = start, 0
-        for match in WORD.finditer(text, start, end):
-            n += 1
-            if n == LONGEST or ends_unit(match.group().rstrip()):
-                found.append((at, match.end()))
-                at, n = match.end(), 0
-        if at < end:
-            found.append((at, end))
-
-    for match in ENDS.finditer(text):
-        end = match.end()
-        more = words_in(text[before:end])
-        words, before = words + more, end
-        if more >= SENTENCE or match.group()[0] not in " \t":
-            add(end)
-            start, words = end, 0
-    if start < len(text):
-        words += words_in(text[before:])
-        add(len(text))
-    return found
+    """Start and end of each unit; together they are the whole text.
+
+    Worked out on arrays of code points: words by their starts, sentence ends among them.
+    """
+    n = len(text)
+    if not n:
+        return []
+    plain = text.encode("ascii", "replace")
+    kind = np.frombuffer(plain.translate(KINDS), np.int8)
+    if text.isascii():
+        point = np.frombuffer(plain, np.uint8)
+    else:
+        point, kind = np.frombuffer(text.encode("utf-32-le"), np.uint32), kind.copy()
+        kind[point > 127] = LETTER
+        kind[(point == 0x3002) | (point == 0xFF01) | (point == 0xFF1F)] = WIDE
+    space = kind >= SPACE
+    before = np.concatenate([[NEWLINE], kind[:-1]])
+
+    # sentences end after blanks that follow a stop, after a newline, and after full-width stops
+    edge = np.flatnonzero((kind != BLANK) & (before == BLANK))
+    if kind[-1] == BLANK:
+        edge = np.append(edge, n)
+    starts = np.flatnonzero((kind == BLANK) & (before != BLANK))
+    weak = edge[before[starts] == DOT]
+    wide = np.flatnonzero((kind != WIDE) & (before == WIDE))
+    if kind[-1] == WIDE:
+        wide = np.append(wide, n)
+    strong = np.concatenate([np.flatnonzero(kind == NEWLINE) + 1, wide])
+    cut_word = np.zeros(n + 1, bool)
+    cut_word[wide] = True
+    first = np.flatnonzero(~space & ((before >= SPACE) | cut_word[:-1]))  # of each word
+    bounds = np.concatenate([[0], weak, strong, [n]])
+    firm = np.concatenate([[True], np.zeros(len(weak), bool), np.ones(len(strong) + 1, bool)])
+    order = np.argsort(bounds, kind="stable")
+    bounds, firm = bounds[order], firm[order]
+    words = np.searchsorted(first, bounds)
+    firm[1:] |= np.diff(words) >= SENTENCE
+    bounds, words = bounds[firm], words[firm]
+
+    long = np.diff(words) > UNCUT
+    if long.any():
+        last = np.flatnonzero(~space & np.concatenate([space[1:] | cut_word[1:-1], [True]]))
+        number = np.arange(len(first))
+        fresh = np.concatenate([[False], _chosen(point, kind, first, last)[:-1]])  # starts a unit, if the one it is in is long
+        fresh[words[:-1][long]] = True
+        since = number - np.maximum.accumulate(np.where(fresh, number, 0))
+        inside = np.repeat(long, np.diff(words))
+        opens = inside & (since % LONGEST == 0)
+        opens[words[:-1][long]] = False  # where the long unit itself begins
+        bounds = np.concatenate([bounds, first[opens]])
+    bounds = np.unique(bounds).tolist()
+    return list(zip(bounds, bounds[1:]))
+
+
+def _chosen(point: np.ndarray, kind: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """Whether a unit may end with a word: by its first and last character and its length,
+    ASCII punctuation around it left out and A-Z taken as a-z."""
+    on_from, up_to = first.copy(), last.copy()
+    for end, step in ((on_from, 1), (up_to, -1)):
+        loose = np.flatnonzero((kind[end] == MARK) | (kind[end] == DOT))
+        while len(loose):  # one more mark at the end of these words
+            loose = loose[on_from[loose] < up_to[loose]]
+            end[loose] += step
+            loose = loose[(kind[end[loose]] == MARK) | (kind[end[loose]] == DOT)]
+    word = (kind[on_from] == LETTER) | (kind[on_from] == WIDE)
+    a, b = (x + 32 * ((x >= 65) & (x <= 90)) for x in (point[on_from].astype(np.int64), point[up_to].astype(np.int64)))
+    return word & ((131 * a + 31 * b + 7 * (up_to - on_from)) % ONE_IN == 0)
 
 
 UNITS: dict[str, Callable[[str], list[Span]]] = {"sentence": sentences, "line": lines, "paragraph": paragraphs}

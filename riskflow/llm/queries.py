@@ -193,12 +193,13 @@ parts AS (
 ),
 split AS (
     SELECT doc_id, part, word, nth,
-           len(long) > 0 AND ('0x' || substr(md5(trim(regexp_replace(translate(word, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~',
-               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'))), 1, 7))::BIGINT % 10 = 0 AS chosen
+           len(long) > 0 AND letters <> '' AND (131 * unicode(left(letters, 1)) + 31 * unicode(right(letters, 1)) + 7 * (length(letters) - 1)) % 10 = 0 AS chosen
+    FROM (SELECT *, trim(translate(regexp_replace(word, '[\x20\x09-\x0D]+', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                         '!"#$%&''()*+,-./:;<=>?@[\]^_`{|}~') AS letters
     FROM (SELECT doc_id, part, long, unnest(CASE WHEN len(long) > 0 THEN long ELSE [whole] END) AS word,
                  unnest(range(greatest(len(long), 1))) AS nth
           FROM (SELECT *, CASE WHEN words > 16 THEN regexp_extract_all(whole, '^[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*|[^\x20\x09-\x0D]+[\x20\x09-\x0D]*')
-                               ELSE [] END AS long FROM parts))
+                               ELSE [] END AS long FROM parts)))
 ),
 chunked AS (
     SELECT *, coalesce(sum(chosen::INT) OVER (PARTITION BY doc_id, part ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS chunk

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -48,12 +49,54 @@ def test_cuts_depend_on_their_surroundings(text, before):
     """Units are the whole text, and what stands some lines before changes none of them."""
     found = op.sentences(text)
     assert "".join(text[a:b] for a, b in found) == text and all(a < b for a, b in found)
-    assert all(op.words_in(text[a:b]) <= max(op.UNCUT, op.LONGEST) for a, b in found)
+    assert all(len(text[a:b].encode().split()) <= max(op.UNCUT, op.LONGEST) for a, b in found)
     shifted = op.sentences(before + "\n" + text)
     n = len(before) + 1
     assert [(a - n, b - n) for a, b in shifted if a >= n] == found
 
 
+ENDS = re.compile("(?<=[.!?])[ \t]+|\n|[。！？]+")
+WORD = re.compile(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*")
+
+
+def chosen(word):
+    letters = word.strip(op.PUNCTUATION.decode()).encode().lower().decode()
+    return letters != "" and (131 * ord(letters[0]) + 31 * ord(letters[-1]) + 7 * (len(letters) - 1)) % op.ONE_IN == 0
+
+
+def units_by_hand(text):
+    """The cuts, sentence by sentence and word by word."""
+    parts, start, before = [], 0, 0
+    for match in ENDS.finditer(text):
+        end = match.end()
+        if len(text[before:end].encode().split()) >= op.SENTENCE or match.group()[0] not in " \t":
+            parts.append((start, end))
+            start = end
+        before = end
+    if start < len(text):
+        parts.append((start, len(text)))
+    found = []
+    for a, b in parts:
+        if len(text[a:b].encode().split()) <= op.UNCUT:
+            found.append((a, b))
+            continue
+        n, at = 0, a
+        for match in WORD.finditer(text, a, b):
+            n += 1
+            if n == op.LONGEST or chosen(match.group().rstrip(" \t\n\r\x0b\x0c")):
+                found.append((at, match.end()))
+                n, at = 0, match.end()
+        if at < b:
+            found.append((at, b))
+    return found
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from(["a", "and", "Word", "é,", "--", "!", ".", " ", "  ", "\t", "\n", "\r", "。", "文", "x y z ", "one two three four five six seven "]), max_size=60).map("".join))
+def test_arrays_cut_as_by_hand(text):
+    assert op.sentences(text) == units_by_hand(text)
+
+
 def by_hand(texts, least=op.LEAST_WORDS, cut=op.sentences):
     """The same by plain Python: documents in order, units seen so far."""
     seen, out = set(), {}
