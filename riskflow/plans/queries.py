@@ -326,10 +326,11 @@ def merge_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts into a keyed table: a first load, then changes and new rows."""
+    """Two upserts into a keyed table: a first load, compacted, then changes and new rows."""
     target, source = _order_sides(spark, sf_dir)
     stored = merge.KeyedTable(spark, scratch_dir(spark, "orders"), ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
     stored.upsert(target)
+    stored.compact()
     stored.upsert(source)
     return stored.read()
 
@@ -348,12 +349,13 @@ def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two upserts seen through a catalog view."""
+    """A load, compacted, and a later upsert, seen through a catalog view made before it."""
     target, source = _order_sides(spark, sf_dir)
     stored = merge.KeyedTable(spark, scratch_dir(spark, "view"), ORDER_SCHEMA, "o_orderkey", ("o_totalprice",)).create()
     stored.upsert(target)
+    stored.compact()
+    name = stored.publish("riskflow_checks", f"orders_{uuid.uuid4().hex}")
     stored.upsert(source)
-    name = create_view(spark, "riskflow_checks", f"orders_{uuid.uuid4().hex}", stored.sql())
     found = read_table(spark, name)
     spark.sql(f"DROP VIEW {name}")
     return found

@@ -13,6 +13,7 @@ from riskflow.plans.scoring import Scorer, score_bodies
 from riskflow.storage import Files
 
 Batch = Callable[[DataFrame, int], None]
+COMPACT_EVERY = 50  # batches
 
 
 def batch_processor(
@@ -22,6 +23,7 @@ def batch_processor(
     as_of: str | None = None,
     on_missing: str = "default",
     on_duplicate: str = "latest",
+    compact_every: int | None = COMPACT_EVERY,
 ) -> Batch:
     """The per-batch function: guard, decode, encode, score, upsert.
 
@@ -34,7 +36,7 @@ def batch_processor(
             return
         order: Sequence[str] = [c for c in batch.columns if c != "body"]
         scored = score_bodies(batch, scorer, as_of, on_missing)
-        table.upsert(scored, batch_id, run_id(), order, on_duplicate)
+        table.upsert(scored, batch_id, run_id(), order, on_duplicate, compact_every)
 
     return process
 
@@ -47,12 +49,15 @@ def start_scoring(
     as_of: str | None = None,
     on_missing: str = "default",
     on_duplicate: str = "latest",
+    compact_every: int | None = COMPACT_EVERY,
     **trigger: object,
 ) -> StreamingQuery:
     """Start the query; `trigger` takes the keywords of `DataStreamWriter.trigger`.
 
     The checkpoint makes it restartable. A batch replayed after a crash finds its
-    own stage by query id and batch number, so it is applied once in effect.
+    own folder by query id and batch number, so it is applied once in effect. After every
+    `compact_every` batches they become part of the table's base, and their folders are
+    deleted with the next batch (None: never).
     """
 
     def run_id() -> str:
@@ -61,7 +66,7 @@ def start_scoring(
 
     writer = (
         messages.writeStream.foreachBatch(
-            batch_processor(table, scorer, run_id, as_of, on_missing, on_duplicate)
+            batch_processor(table, scorer, run_id, as_of, on_missing, on_duplicate, compact_every)
         )
         .outputMode("update")
         .option("checkpointLocation", checkpoint)

@@ -254,3 +254,90 @@ def test_a_crashed_batch_comes_after_those_written_since(spark, place, monkeypat
     table.upsert(rows(spark, {KEY: "a", "resultado": 1}))
     table.upsert(rows(spark, {KEY: "a", "resultado": 2}), 0, "run")
     assert as_dicts(table.read())["a"]["resultado"] == 2
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_base_is_neither_shuffled_nor_sorted(spark, place):
+    """Above the scan of the base stands the join, in buckets; only batches are moved."""
+    table = KeyedTable(spark, f"{place}/table", rows_per_bucket=10).create()
+    table.upsert(rows(spark, *FIRST, *[{KEY: f"x{i}"} for i in range(40)]))
+    table.compact()
+    table.upsert(rows(spark, *SECOND))
+    lines = plan_of(table.read()).split("\n")
+    scan = next(i for i, line in enumerate(lines) if "SelectedBucketsCount" in line or "Bucketed: true" in line)
+    depth = lines[scan].index("Scan") if "Scan" in lines[scan] else 0
+    assert "FileScan" in lines[scan] and "SelectedBucketsCount: 6 out of 6" in lines[scan]
+    above = []  # the operators on the way up from the scan
+    for line in lines[scan::-1]:
+        at = len(line) - len(line.lstrip(" :+-"))
+        if at < depth:
+            above.append(line.strip(" :+-"))
+            depth = at
+    assert any("SortMergeJoin" in line for line in above)
+    assert not any(line.startswith(("Exchange", "Sort ", "Sort[")) or "Sort [" in line or "Aggregate" in line for line in above), above
+    assert len([line for line in lines if "Exchange" in line]) == 1
+    expected = merge(rows(spark, *FIRST, *[{KEY: f"x{i}"} for i in range(40)]), rows(spark, *SECOND))
+    assert sorted(table.read().collect(), key=repr) == sorted(expected.collect(), key=repr)
+
+
+def test_a_base_is_read_by_a_session_that_did_not_write_it(spark, place):
+    """The catalog entry of a base is made anew where it is missing."""
+    table = KeyedTable(spark, f"{place}/table", rows_per_bucket=5).create()
+    table.upsert(rows(spark, *FIRST))
+    table.compact()
+    expected = sorted(table.read().collect())
+    (base,) = [p for p in table._parts() if p.kind == "base"]
+    spark.sql(f"DROP TABLE {table._name(base)}")
+    again = KeyedTable(spark, f"{place}/table").create()
+    assert sorted(again.read().collect()) == expected and again._buckets(base) == 4
+
+
+def test_a_view_follows_upserts_and_compactions(spark, place):
+    table = KeyedTable(spark, f"{place}/table").create()
+    name = table.publish("checks", "followed")
+    assert spark.table(name).count() == 0
+    for step, act in enumerate((lambda: table.upsert(rows(spark, *FIRST)), table.compact, lambda: table.upsert(rows(spark, *SECOND)), table.compact, table.clean)):
+        act()
+        assert sorted(spark.table(name).collect(), key=repr) == sorted(table.read().collect(), key=repr), step
+    spark.sql(f"DROP VIEW {name}")
+
+
+def test_batches_without_end_leave_few_folders(spark, place, monkeypatch):
+    """Many small batches: as many folders as allowed, and a constant number of file system calls."""
+    table, most, n = keyed(spark, place), 20, 70
+    calls = []
+    for name in ("exists", "names", "read_text", "write_text", "delete", "make_dir"):
+        real = getattr(Files, name)
+        monkeypatch.setattr(Files, name, lambda self, *a, real=real: calls.append(1) or real(self, *a))
+    per_batch, folders_seen = [], 0
+    for i in range(n):
+        calls.clear()
+        table.upsert(rows(spark, {KEY: f"k{i % 7}", "age": i + 1, "resultado": i}), i, "run", compact_every=most)
+        per_batch.append(len(calls))
+        folders_seen = max(folders_seen, len(table._parts()))
+    assert folders_seen <= most + 2
+    plain = [calls for i, calls in enumerate(per_batch) if (i + 1) % most and i % most]
+    assert max(plain) <= min(plain) + 1 and max(per_batch) <= min(plain) + 2 * most + 12
+    found = as_dicts(table.read())
+    assert {k: (r["age"], r["resultado"]) for k, r in found.items()} == {f"k{j}": (j + 1, max(i for i in range(n) if i % 7 == j)) for j in range(7)}
+
+
+@pytest.mark.parametrize("point", ["/_done/batch-", "/_done/base-"])
+def test_a_crash_at_any_point_of_a_compacting_writer(spark, place, monkeypatch, point):
+    table = keyed(spark, place)
+    expected = frame(spark, [])
+    for i in range(6):
+        batch = rows(spark, {KEY: f"k{i % 3}", "age": i + 1, "resultado": i}, {KEY: f"n{i}", "age": 9})
+        if i in (2, 3):
+            try:
+                crash(monkeypatch, point, lambda: table.upsert(batch, i, "run", compact_every=3))
+            except BaseException as failed:  # noqa: BLE001  no such file was to be written by this batch
+                assert "DID NOT RAISE" in str(failed)
+                monkeypatch.undo()
+        table.upsert(batch, i, "run", compact_every=3)
+        expected = frame(spark, [r.asDict() for r in merge(expected, latest_per_key(batch)).collect()])
+        assert sorted(table.read().collect(), key=repr) == sorted(expected.collect(), key=repr)
+        assert len(table._parts()) <= 6
