@@ -139,6 +139,10 @@ class KeyedTable:
         """All rows as they are now, in table column order."""
         return self._rows(self._current(self._parts()))
 
+    def applied(self, batch_id: int, run_id: str) -> bool:
+        """Whether a batch of a run is in the table."""
+        return self._applied(self._parts()).get(run_id, -1) >= batch_id
+
     def upsert(
         self,
         source: DataFrame,

@@ -217,13 +217,13 @@ def _is_time() -> Column:
 
 def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1", children: int = 5) -> None:
     """Log the best parameters, score and training metrics, and the top candidates as
-    child runs `<run_id>/<candidate>`."""
-    runs.log_params(run_id, found.best_params().as_row())
+    child runs `<run_id>/<candidate>`. Logged again, a search replaces what it logged."""
+    runs.log_params(run_id, found.best_params().as_row(), f"{run_id} params")
     fitted = {r["metric"]: r["value"] for r in found.training.collect() if r["value"] is not None}
-    runs.log_metrics(run_id, {"best score": found.best_score, **fitted})
+    runs.log_metrics(run_id, {"best score": found.best_score, **fitted}, key=f"{run_id} metrics")
     top = [r["candidate"] for r in found.top(metric, children).collect()]
     for candidate in top:
-        runs.log_params(f"{run_id}/{candidate}", {**found.candidates[candidate].as_row(), "parent": run_id})
+        runs.log_params(f"{run_id}/{candidate}", {**found.candidates[candidate].as_row(), "parent": run_id}, f"{run_id}/{candidate} params")
     child = F.concat(F.lit(f"{run_id}/"), F.col("candidate").cast("string")).alias("run_id")
     name = F.when(_is_time(), F.col("metric")).otherwise(F.concat_ws("_", "split", "metric"))
     chosen = F.col("candidate").isin(top)
@@ -240,7 +240,7 @@ def log_search(found: SearchResult, runs: RunLog, run_id: str, metric: str = "f1
     )
     now = F.lit(int(time.time() * 1000))
     rows = values.unionByName(ranks).withColumns({"ts": now, "step": F.lit(0).cast("long")})
-    runs.append_metrics(rows)
+    runs.append_metrics(rows, f"{run_id} candidates")
 
 
 def _fold_metrics(spark: SparkSession, work_dir: str) -> DataFrame:

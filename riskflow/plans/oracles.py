@@ -207,6 +207,10 @@ ORACLES = {
         CASE WHEN event_id % 6 = 0 THEN 40 END AS age,
         CASE WHEN event_id % 6 = 0 THEN CAST(3.0 AS DOUBLE) END AS st_depression,
         CAST(event_id % 6 = 0 AS INT) AS kept FROM events""",
+    "json_rejects": """SELECT CASE event_id % 8 WHEN 0 THEN 'kept' WHEN 1 THEN 'not_positive' WHEN 3 THEN 'no_key'
+            WHEN 4 THEN 'no_key' WHEN 5 THEN CASE WHEN floor(value) > 0 THEN 'kept' ELSE 'not_positive' END
+            ELSE 'unparsable' END AS reason, count(*) AS messages, sum(event_id)::BIGINT AS event_ids
+        FROM events GROUP BY reason""",
     "json_documents": """SELECT lang, count(*) AS messages,
         count(*) FILTER (CASE WHEN json_valid(text) THEN try_cast(json_extract_string(text, '$.age') AS INT) > 0 END)
         AS kept
@@ -329,6 +333,8 @@ ORACLES = {
         FROM scores JOIN grid USING (candidate)""",
     "metric_scan": f"""SELECT 'run' || candidate AS run_id, metric, 1700000000000 AS ts,
         round(avg(value), 4) AS value, CAST(0 AS BIGINT) AS step FROM ({RUN_SCORES}) GROUP BY candidate, metric""",
+    "metric_follow": f"""SELECT 'run' || candidate AS run_id, metric, 1700000000000 AS ts,
+        round(avg(value), 4) AS value, CAST(0 AS BIGINT) AS step FROM ({RUN_SCORES}) GROUP BY candidate, metric""",
     "value_scan": """SELECT 'run' || user_id % 20 AS run_id, event_type AS param, CAST(count(*) AS VARCHAR) AS value
         FROM events GROUP BY ALL""",
     "run_log": f"""SELECT run_id, metric, ts, value, events FROM (SELECT 'run' || user_id AS run_id,

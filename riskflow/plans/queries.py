@@ -26,7 +26,7 @@ from riskflow.plans.inputs import (
     logistic_model,
     table,
 )
-from riskflow.plans.scoring import model_scorer, python_scorer, score_bodies, score_records
+from riskflow.plans.scoring import judged, model_scorer, python_scorer, score_bodies, score_records
 from riskflow.plans.training import training_frame
 from riskflow.schemas import (
     CSV_SCHEMA,
@@ -41,9 +41,9 @@ from riskflow.schemas import (
     quoted,
     signature_of,
 )
-from riskflow.sources.runs import RunLog, scan_metrics, scan_values
+from riskflow.sources.runs import RunLog, follow_metrics, scan_metrics, scan_values
 from riskflow.sources.streams import open_stream, publish
-from riskflow.sources.tables import create_table, create_view, read_csv, read_table
+from riskflow.sources.tables import create_table, read_csv, read_table
 from riskflow.storage import scratch_dir, written
 from riskflow.streaming.scoring import start_scoring
 
@@ -123,6 +123,28 @@ def json_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parsed.select("event_id", KEY, "age", "st_depression", kept.cast("int").alias("kept"))
 
 
+def _dirty_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kind = F.col("event_id") % 8
+    number = F.col("event_id").cast("string")
+    body = (
+        F.when(kind == 0, F.concat(F.lit('{"pacienteId":"p'), number, F.lit('","age":40,"sex":"odd"}')))
+        .when(kind == 1, F.concat(F.lit('{"pacienteId":'), number, F.lit(',"age":"63"}')))
+        .when(kind == 2, F.concat(F.lit("not json "), number))
+        .when(kind == 3, F.lit("{}"))
+        .when(kind == 4, F.lit('{"age":7}'))
+        .when(kind == 5, F.concat(F.lit('{"pacienteId":"q'), number, F.lit('","age":'), F.floor("value").cast("string"), F.lit("}")))
+        .when(kind == 6, F.concat(F.lit('{"pacienteId":"r'), number, F.lit('"')))
+    )
+    return table(spark, sf_dir, "events").select("event_id", body.cast("binary").alias("body"))
+
+
+@query
+def json_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages by the reason for which they are not scored; together they are all messages."""
+    found = judged(_dirty_bodies(spark, sf_dir)).groupBy(F.coalesce("reject", F.lit("kept")).alias("reason"))
+    return found.agg(F.count(F.lit(1)).alias("messages"), F.sum("event_id").alias("event_ids"))
+
+
 @query
 def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole prose texts taken for messages: every document parses to NULLs."""
@@ -553,8 +575,28 @@ def grid_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def metric_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores written as one text file per run and metric, then scanned by path."""
     place = scratch_dir(spark, "runs")
+    _metric_files(spark, sf_dir, place, F.lit(True))
+    return scan_metrics(spark, place, *METRIC_TREE)
+
+
+@query
+def metric_follow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same in two parts: the second scan reads what has come since the first."""
+    place, log = scratch_dir(spark, "tree"), RunLog(spark, scratch_dir(spark, "followed"))
+    checkpoint, small = scratch_dir(spark, "follow"), F.col("candidate") % 3 == 0
+    for part in (small, ~small):
+        _metric_files(spark, sf_dir, place, part)
+        follow_metrics(spark, place, log, checkpoint, *METRIC_TREE).awaitTermination()
+    return log.metrics()
+
+
+METRIC_TREE = ("*/*/*", r"run=([^/]+)/metric=([^/]+)/[^/]+$")
+
+
+def _metric_files(spark: SparkSession, sf_dir: str, place: str, part: Column) -> None:
     lines = (
         _run_scores(spark, sf_dir)
+        .where(part)
         .groupBy("candidate", "metric")
         .agg(F.round(F.avg("value"), 4).alias("value"))
         .select(
@@ -563,8 +605,7 @@ def metric_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.format_string("1700000000000 %.4f 0", "value").alias("text"),
         )
     )
-    lines.repartition("run", "metric").write.partitionBy("run", "metric").text(place)
-    return scan_metrics(spark, place, "*/*/*", r"run=([^/]+)/metric=([^/]+)/[^/]+$")
+    lines.repartition("run", "metric").write.mode("append").partitionBy("run", "metric").text(place)
 
 
 @query
@@ -581,7 +622,7 @@ def value_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Params and metrics appended to the run tables in two batches, read back joined."""
+    """Params and metrics appended to the run tables in two batches, one of them twice, read back joined."""
     log = RunLog(spark, scratch_dir(spark, "runlog"))
     events = table(spark, sf_dir, "events")
     run = F.concat(F.lit("run"), F.col("user_id").cast("string"))
@@ -589,8 +630,8 @@ def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.min("event_id").alias("ts"), (whole_mean(DIGITS) / 10**DIGITS).alias("value")
     )
     clicks = F.coalesce(F.col("metric") == "click", F.lit(False))
-    for part in (clicks, ~clicks):
-        log.append_metrics(measured.where(part).withColumn("step", F.lit(0).cast("long")))
+    for key, part in (("clicks", clicks), ("others", ~clicks), ("clicks", clicks)):
+        log.append_metrics(measured.where(part).withColumn("step", F.lit(0).cast("long")), key)
     log.append_params(
         events.groupBy(run.alias("run_id")).agg(F.count(F.lit(1)).cast("string").alias("value")).withColumn(
             "param", F.lit("events")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskflow.functions.bodies import expand_bodies
+from riskflow.functions.bodies import expand_bodies, judged_bodies
 from riskflow.operators.encode import positive, with_indicators, with_load_date, with_placeholders
 from riskflow.operators.forest import score
 from riskflow.operators.pymodel import SharedModel, score_from, score_with
@@ -57,6 +57,12 @@ def score_records(
     return with_load_date(scored, as_of).select(*EVENT_SCHEMA.names, *keep)
 
 
+def judged(messages: DataFrame) -> DataFrame:
+    """Messages (`body`, optional order columns) as exam records, with the reason `reject`
+    of those that cannot be scored."""
+    return judged_bodies(messages, EVENT_SCHEMA, KEY, "age")
+
+
 def score_bodies(
     messages: DataFrame,
     scorer: Scorer,

@@ -6,7 +6,7 @@ import pytest
 
 from riskflow.operators.merge import KeyedTable
 from riskflow.schemas import CSV_SCHEMA, EVENT_SCHEMA, KEY
-from riskflow.sources.runs import RunLog, scan_metrics, scan_values
+from riskflow.sources.runs import RunLog, follow_metrics, scan_metrics, scan_values
 from riskflow.sources.tables import create_table, create_view, read_csv, read_table
 from tests.records import exam, frame
 
@@ -81,3 +81,37 @@ def test_run_log(spark, place):
     log.log_metrics("r2", {"auc": 0.8}, step=3)
     assert {tuple(r) for r in log.params().collect()} == {("r1", "trees", "125"), ("r1", "depth", "10")}
     assert {(r["run_id"], r["value"], r["step"]) for r in log.metrics().collect()} == {("r1", 0.9, 0), ("r2", 0.8, 3)}
+
+
+def test_followed_files_are_read_once(spark, place):
+    """A second scan reads new files alone: the old ones may be gone."""
+    runs, tree = RunLog(spark, f"{place}/log"), f"{place}/tree"
+
+    def put(run, metric, text):
+        os.makedirs(f"{tree}/0/{run}/metrics", exist_ok=True)
+        with open(f"{tree}/0/{run}/metrics/{metric}", "w") as f:
+            f.write(text)
+
+    put("a", "f1", "5 0.5 0\n6 0.6 1\n")
+    first = follow_metrics(spark, tree, runs, f"{place}/checkpoint")
+    first.awaitTermination()
+    assert sorted(runs.metrics().collect()) == [("a", "f1", 5, 0.5, 0), ("a", "f1", 6, 0.6, 1)]
+    os.remove(f"{tree}/0/a/metrics/f1")
+    put("b", "auc", "7 0.7\n")
+    second = follow_metrics(spark, tree, runs, f"{place}/checkpoint")
+    second.awaitTermination()
+    assert second.recentProgress[-1]["numInputRows"] == 1
+    assert sorted(runs.metrics().collect()) == [("a", "f1", 5, 0.5, 0), ("a", "f1", 6, 0.6, 1), ("b", "auc", 7, 0.7, 0)]
+    follow_metrics(spark, tree, runs, f"{place}/checkpoint").awaitTermination()
+    assert runs.metrics().count() == 3
+
+
+def test_a_write_under_its_key_is_written_once(spark, place):
+    runs = RunLog(spark, f"{place}/log")
+    for value in (1, 2):
+        runs.log_metrics("r", {"m": value}, key="same")
+        runs.log_params("r", {"p": value}, key="same / other?")
+    assert [r["value"] for r in runs.metrics().collect()] == [2.0] and [r["value"] for r in runs.params().collect()] == ["2"]
+    runs.log_metrics("r", {"m": 3})
+    runs.log_metrics("r", {"m": 3})
+    assert runs.metrics().count() == 3

@@ -12,7 +12,7 @@ from riskflow.plans.scoring import python_scorer, score_bodies
 from riskflow.schemas import EVENT_SCHEMA, KEY
 from riskflow.sources.streams import open_stream
 from riskflow.storage import Files
-from riskflow.streaming.scoring import batch_processor, start_scoring
+from riskflow.streaming.scoring import RejectLog, batch_processor, start_scoring
 from tests.records import as_dicts, body, messages
 
 AS_OF = "2024-01-02"
@@ -189,3 +189,41 @@ def test_scores_match_the_columns(spark):
     scored = score_bodies(messages(spark, BODIES), python_scorer(logistic_model()), AS_OF)
     assert scored.columns == [*EVENT_SCHEMA.names, "offset"]
     assert scored.select(KEY, F.col("data")).distinct().count() == 8
+
+
+DIRTY = (body(pacienteId="ok"), "not json", "{}", None, body(pacienteId="zero", age=0), body(pacienteId=None), body(pacienteId="text", age="x"))
+REASONED = {"messages": 7, "kept": 1, "unparsable": 2, "no_key": 2, "not_positive": 2}
+
+
+def test_rejects_are_counted_per_batch(spark, stream, place):
+    """What is not scored is counted by reason, in the pass that scores the rest."""
+    log = RejectLog(spark, f"{place}/rejects", batches_per_file=2)
+    assert log.read().count() == 0
+    for _ in range(3):
+        stream.send(*DIRTY)
+    stream.send(*BODIES)
+    stream.run(rejects=log)
+    found = {}
+    for r in log.read().collect():
+        found.setdefault(r["batch"], {})[r["reason"]] = r["messages"]
+    assert sorted(map(str, found.values())) == sorted(map(str, [REASONED] * 3 + [{"messages": 8, "kept": 8, "unparsable": 0, "no_key": 0, "not_positive": 0}]))
+    assert len(os.listdir(log.path)) >= 2 and len(stream.rows()) == 9
+
+
+def test_counts_of_a_replayed_batch(spark, place):
+    """A batch that was applied before its counts were written is counted when it is run again."""
+    table, log = KeyedTable(spark, f"{place}/t").create(), RejectLog(spark, f"{place}/rejects")
+    batch, scorer = messages(spark, DIRTY), python_scorer(logistic_model())
+    batch_processor(table, scorer, lambda: "run", AS_OF)(batch, 0)
+    for _ in range(2):
+        batch_processor(table, scorer, lambda: "run", AS_OF, rejects=log)(batch, 0)
+        assert {r["reason"]: r["messages"] for r in log.read().collect()} == REASONED
+
+
+def test_the_stream_compacts(spark, stream):
+    """Folders stay few, and rows as they are without compaction."""
+    for i in range(7):
+        stream.send(body(pacienteId="a", age=20 + i), body(pacienteId=f"n{i}", age=30))
+    stream.run(compact_every=3)
+    assert len(stream.table._parts()) <= 5 and any(p.kind == "base" for p in stream.table._parts())
+    assert len(stream.rows()) == 8 and as_dicts(stream.table.read())["a"]["age"] in range(20, 27)
