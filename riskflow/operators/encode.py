@@ -120,31 +120,56 @@ def learn_levels(df: DataFrame, columns: Sequence[str], max_levels: int = 1000)
     return {c: sorted(known, key=_level_order) for c, known in levels.items()}
 
 
-def level_index(df: DataFrame, column: str, seed: int = 10) -> DataFrame:
-    """(level, index): every non-NULL level of a column and its number from 0.
+def level_index(df: DataFrame, columns: Sequence[str], seed: int = 10) -> DataFrame:
+    """(column, level, index): every non-NULL level of the columns, numbered from 0 in each column.
 
-    Numbers follow the levels' hashes, so that they are dealt in parallel; the
-    dictionary is a table and may be as large as it likes.
+    Numbers follow the levels' hashes, so that they are dealt in parallel; the dictionary
+    is one table for all columns and may be as large as it likes.
     """
-    levels = df.where(F.col(quoted(column)).isNotNull()).select(F.col(quoted(column)).cast("string").alias("level")).distinct()
-    return numbered(levels, key_hash(F.col("level"), seed), ["level"], "index")
+    levels = _cells(df, columns).where(F.col("level").isNotNull()).distinct()
+    return numbered(levels, key_hash(F.col("level"), seed), ["level"], "index", by="column")
 
 
-def one_hot_sparse(df: DataFrame, column: str, vector: str) -> DataFrame:
-    """Append a sparse 0/1 vector with a place for every level of a column, however many.
+def _cells(df: DataFrame, columns: Sequence[str], *keep: str) -> DataFrame:
+    """A row per row and column: `keep`, column and level (as text)."""
+    cells = [F.struct(F.lit(c).alias("column"), F.col(quoted(c)).cast("string").alias("level")) for c in columns]
+    return df.select(*keep, F.explode(F.array(*cells)).alias("cell")).select(*keep, "cell.column", "cell.level")
 
-    Rows meet their level's number in a join, which a skew can split. NULL has a
-    place of its own, the last; nothing but the vector's size reaches the driver.
+
+def one_hot_sparse(df: DataFrame, columns: str | Sequence[str], vector: str) -> DataFrame:
+    """Append one sparse 0/1 vector with a place for every level of each column, however many.
+
+    The columns' places follow one another; in each, NULL has the last. Rows are taken
+    apart to (row, column, level) once and meet the dictionary in one join, which a skew
+    can split; what they find is gathered by row. So the number of columns changes neither
+    the number of joins nor that of exchanges. Rows that repeat one another are worked on
+    once. Nothing but the dictionary's sizes reaches the driver.
     """
-    index = level_index(df, column).withColumnRenamed("level", "_level")
-    size = index.count()
-    joined = df.join(index, F.col(quoted(column)).cast("string") == F.col("_level"), "left")
-    placed = joined.withColumn("_place", F.coalesce(F.col("index"), F.lit(size)).cast("double")).drop("_level", "index")
-    # the encoder takes its size from the column's metadata instead of a pass over the rows
-    values = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
-    nominal = placed.withColumn("_place", F.col("_place").alias("_place", metadata=values))
-    encoder = OneHotEncoder(inputCols=["_place"], outputCols=[vector], dropLast=False)
-    return encoder.fit(nominal).transform(nominal).drop("_place")
+    names = [columns] if isinstance(columns, str) else list(columns)
+    index = level_index(df, names)
+    found = {r["column"]: r["count"] for r in index.groupBy("column").count().collect()}
+    sizes = [found.get(c, 0) for c in names]
+    # a row is known by two hashes of all its columns
+    every = [x for c in df.columns for x in (F.col(quoted(c)), F.col(quoted(c)).isNull())]
+    marked = df.withColumns({"_one": F.xxhash64(*every), "_two": F.xxhash64(*reversed(every))})
+    rows = marked.groupBy("_one", "_two").agg(
+        *[F.first(F.col(quoted(c))).alias(c) for c in df.columns], F.count(F.lit(1)).alias("_copies")
+    )
+    cells = _cells(marked.select("_one", "_two", *[quoted(c) for c in names]).distinct(), names, "_one", "_two")
+    placed = cells.join(index.hint("merge"), ["column", "level"])
+    places = [F.max(F.when(F.col("column") == c, F.col("index"))).alias(f"_place{i}") for i, c in enumerate(names)]
+    gathered = placed.groupBy("_one", "_two").agg(*places)
+    joined = rows.join(gathered, ["_one", "_two"], "left").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
+    for i, size in enumerate(sizes):
+        # the encoder takes its size from the column's metadata instead of a pass over the rows
+        values = {"ml_attr": {"type": "nominal", "num_vals": size + 1}}
+        place = F.coalesce(F.col(f"_place{i}"), F.lit(size)).cast("double")
+        joined = joined.withColumn(f"_place{i}", place).withColumn(f"_place{i}", F.col(f"_place{i}").alias(f"_place{i}", metadata=values))
+    inputs, parts = [f"_place{i}" for i in range(len(names))], [f"_part{i}" for i in range(len(names))]
+    encoder = OneHotEncoder(inputCols=inputs, outputCols=parts, dropLast=False)
+    encoded = encoder.fit(joined).transform(joined)
+    whole = VectorAssembler(inputCols=parts, outputCol=vector).transform(encoded)
+    return whole.select(*[quoted(c) for c in df.columns], quoted(vector))
 
 
 def one_hot_learned(df: DataFrame, columns: Sequence[str], drop_first: bool = True, max_levels: int = 1000) -> DataFrame:

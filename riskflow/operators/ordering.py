@@ -133,16 +133,18 @@ def _join_above(local: DataFrame, higher: DataFrame) -> DataFrame:
     )
 
 
-def numbered(df: DataFrame, hashed: Column, ties: Sequence[str], number: str, ranges: int = 4096) -> DataFrame:
-    """Append 0, 1, 2... in the order of a 32-bit hash, then of the `ties` columns.
+def numbered(df: DataFrame, hashed: Column, ties: Sequence[str], number: str, ranges: int = 4096, by: str | None = None) -> DataFrame:
+    """Append 0, 1, 2... in the order of a 32-bit hash, then of the `ties` columns; for
+    each value of the column `by`, if given.
 
     Rows are numbered within slices of the hash space and shifted by the rows of the
     slices before; those totals are at most `ranges` rows.
     """
-    sliced = df.withColumn("_hash", hashed).withColumn("_slice", hash_range(F.col("_hash"), ranges))
-    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy("_slice").orderBy("_hash", *ties)))
-    totals = sliced.groupBy(F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = totals.select("_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
-    joined = local.join(shifts, local["_slice"] == shifts["_of"])
+    group = F.lit("") if by is None else F.col(by)
+    sliced = df.withColumns({"_hash": hashed, "_by": group}).withColumn("_slice", hash_range(F.col("_hash"), ranges))
+    local = sliced.withColumn("_local", F.row_number().over(Window.partitionBy("_by", "_slice").orderBy("_hash", *ties)))
+    totals = sliced.groupBy(F.col("_by").alias("_of_by"), F.col("_slice").alias("_of")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.partitionBy("_of_by").orderBy("_of").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select("_of_by", "_of", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift"))
+    joined = local.join(shifts, (local["_slice"] == shifts["_of"]) & (local["_by"] == shifts["_of_by"]))
     return joined.select(*df.columns, (F.col("_shift") + F.col("_local") - 1).alias(number))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pickle
+import uuid
 from typing import Any, Callable, Iterator, Sequence
 
 import pandas as pd
@@ -18,6 +19,17 @@ MAX_BROADCAST = 512 << 20
 SCORES = T.StructType([T.StructField(name, kind) for name, kind in zip(OUTPUTS, (T.IntegerType(), T.DoubleType(), T.DoubleType()))])
 
 
+_loaded: dict[str, Any] = {}  # of a Python worker, which outlives its tasks
+
+
+def loaded(name: str, pickled: bytes) -> Any:
+    """The model of that name, unpickled once per worker; one model is held at a time."""
+    if name not in _loaded:
+        _loaded.clear()
+        _loaded[name] = pickle.loads(pickled)
+    return _loaded[name]
+
+
 class SharedModel:
     """A model that is pickled and sent to the executors once, when it is first used.
 
@@ -25,7 +37,7 @@ class SharedModel:
     """
 
     def __init__(self, model: Any, max_bytes: int = MAX_BROADCAST):
-        self.model, self.max_bytes = model, max_bytes
+        self.model, self.max_bytes, self.name = model, max_bytes, uuid.uuid4().hex
         self._sent: Broadcast | None = None
 
     def sent(self, spark: SparkSession) -> Broadcast:
@@ -46,8 +58,9 @@ class SharedModel:
 def score_with(df: DataFrame, model: Any, features: Sequence[str], max_bytes: int = MAX_BROADCAST) -> DataFrame:
     """Append class and probabilities of a model, or of a `SharedModel` that many frames use."""
     shared = model if isinstance(model, SharedModel) else SharedModel(model, max_bytes)
-    sent = shared.sent(df.sparkSession)
-    return _score(df, lambda: pickle.loads(sent.value), features)
+    sent, name = shared.sent(df.sparkSession), shared.name
+    # called by its name in the module, so that the worker's own table of models is meant
+    return _score(df, lambda: loaded(name, sent.value), features)
 
 
 def score_from(df: DataFrame, load: Callable[[], Any], features: Sequence[str]) -> DataFrame:

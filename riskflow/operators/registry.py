@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -26,10 +27,11 @@ LOG_SCHEMA = (
 
 
 def current_stages(log: DataFrame) -> DataFrame:
-    """Latest stage and path of every (name, version)."""
+    """Latest stage and path of every (name, version); of entries of one instant, the
+    greatest stage, then path."""
     return (
         log.groupBy("name", "version")
-        .agg(F.max_by(F.struct("stage", "path", "ts"), "ts").alias("_last"))
+        .agg(F.max(F.struct("ts", "stage", "path")).alias("_last"))
         .select("name", "version", "_last.stage", "_last.path", "_last.ts")
     )
 
@@ -48,7 +50,9 @@ def newest_in_stage(log: DataFrame, stage: str) -> DataFrame:
 class Registry:
     """Models saved under `root/models/<name>/<version>`, addressed as models:/<name>/<stage>.
 
-    One writer at a time: a version number is the last one plus one.
+    Any number of writers: a version belongs to the one that creates its claim, a file
+    that only one can create; the others take the next. Every log entry is a folder of its
+    own. A writer that dies leaves a number that is not used.
     """
 
     spark: SparkSession
@@ -58,7 +62,7 @@ class Registry:
         path = f"{self.root}/log"
         if not Files(self.spark, self.root).exists(path):
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        return self.spark.read.schema(LOG_SCHEMA).parquet(path)
+        return self.spark.read.schema(LOG_SCHEMA).parquet(path).select(*LOG_SCHEMA.names)
 
     def register(
         self,
@@ -68,8 +72,7 @@ class Registry:
         outputs: T.StructType = OUTPUT_SIGNATURE,
     ) -> int:
         """Save a model with its input and output signature as a new version; returns the version."""
-        last = self.log().where(F.col("name") == name).agg(F.max("version")).first()[0]
-        version = (last or 0) + 1
+        version = self._claimed(name)
         path = f"{self.root}/models/{name}/{version}"
         model.write().overwrite().save(f"{path}/model")
         if signature is not None:
@@ -113,7 +116,16 @@ class Registry:
             return None
         return T.StructType.fromJson(json.loads(files.read_text(path))[side])
 
+    def _claimed(self, name: str) -> int:
+        files, folder = Files(self.spark, self.root), f"{self.root}/claims/{name}"
+        last = self.log().where(F.col("name") == name).agg(F.max("version")).first()[0] or 0
+        version = 1 + max([last, *(int(n) for n in files.names(folder) if n.isdigit())])
+        files.make_dir(folder)
+        while not files.claim(f"{folder}/{version}"):
+            version += 1
+        return version
+
     def _append(self, name: str, version: int, stage: str, path: str) -> None:
         row = (name, version, stage, path, dt.datetime.now())
         entry = self.spark.createDataFrame([row], LOG_SCHEMA).coalesce(1)
-        entry.write.mode("append").parquet(f"{self.root}/log")
+        entry.write.parquet(f"{self.root}/log/entry={uuid.uuid4().hex}")

@@ -241,10 +241,15 @@ ORACLES = {
         CASE WHEN c_mktsegment = 'MACHINERY' THEN 1 ELSE 0 END AS "c_mktsegment_MACHINERY" FROM customer""",
     "onehot_long": """SELECT p_partkey, 'p_brand' AS "column", p_brand AS level FROM part WHERE p_brand IS NOT NULL
         UNION ALL SELECT p_partkey, 'p_size', CAST(p_size AS VARCHAR) FROM part WHERE p_size IS NOT NULL""",
-    "onehot_sparse": f"""SELECT p_partkey, CAST((SELECT count(DISTINCT p_name) + 1 FROM part) AS INT) AS size,
-        CAST(place AS INT) AS position, CAST(1.0 AS DOUBLE) AS value FROM part
-        JOIN (SELECT p_name, row_number() OVER (ORDER BY {hashed('p_name')}, p_name) - 1 AS place
-              FROM (SELECT DISTINCT p_name FROM part)) USING (p_name)""",
+    "onehot_sparse": f"""WITH cells AS (
+            SELECT p_partkey, unnest([1, 2, 3]) AS nth, unnest([p_name, p_brand, p_size::VARCHAR]) AS level FROM part),
+        levels AS (SELECT nth, level, row_number() OVER (PARTITION BY nth ORDER BY {hashed('level')}, level) - 1 AS place
+            FROM (SELECT DISTINCT nth, level FROM cells WHERE level IS NOT NULL)),
+        sizes AS (SELECT c AS nth, count(level) + 1 AS size, sum(count(level) + 1) OVER (ORDER BY c) AS upto
+            FROM range(1, 4) AS r(c) LEFT JOIN levels ON nth = c GROUP BY c)
+        SELECT p_partkey, CAST((SELECT sum(size) FROM sizes) AS INT) AS size,
+            CAST(upto - size + coalesce(place, size - 1) AS INT) AS position, CAST(1.0 AS DOUBLE) AS value
+        FROM cells JOIN sizes USING (nth) LEFT JOIN levels USING (nth, level)""",
     "exam_features": f'SELECT "pacienteId", {INPUTS} FROM ({exams(BY_EVENT)}) WHERE age > 0',
     "training_features": f"""SELECT target, count(*) AS records,
         {", ".join(f'count(*) FILTER ({test}) AS "{name}"' for name, test in TRAINING_INDICATORS.items())}

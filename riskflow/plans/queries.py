@@ -257,9 +257,9 @@ def onehot_long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def onehot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A place in a sparse vector for every name, unpacked: the vector's size, the place, the value."""
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name")
-    encoded = encode.one_hot_sparse(parts, "p_name", "names").select("p_partkey", F.unwrap_udt("names").alias("v"))
+    """One sparse vector with places for every name, brand and size, unpacked: its size, the places, the values."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_size")
+    encoded = encode.one_hot_sparse(parts, ["p_name", "p_brand", "p_size"], "levels").select("p_partkey", F.unwrap_udt("levels").alias("v"))
     return encoded.select(
         "p_partkey",
         F.col("v.size").alias("size"),

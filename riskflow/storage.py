@@ -4,18 +4,25 @@ from __future__ import annotations
 
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder that the cluster shares: `spark.checkpoint.dir`, or else, where it is
-    not set, a folder in the warehouse, which is shared too."""
+    not set, a folder in the warehouse.
+
+    A warehouse on a machine's own disk serves a session that runs on that machine alone;
+    on a cluster, executors and driver would not see each other's files, so it is refused.
+    """
     context = spark.sparkContext
     shared = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get("spark.checkpoint.dir")
     if not shared:
         shared = context.getCheckpointDir()
     if not shared:
         shared = f"{spark.conf.get('spark.sql.warehouse.dir')}/scratch"
+        if not context.master.startswith("local") and shared.startswith(("file:", "/")):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that all machines share; {shared} is on each one's own disk")
     return shared.rstrip("/")
 
 
@@ -83,6 +90,17 @@ class Files:
             self.delete(path)
         self.move(draft, path)
 
+    def claim(self, path: str) -> bool:
+        """Create an empty file; False if it is there, whoever made it."""
+        exists = self._spark._jvm.org.apache.hadoop.fs.FileAlreadyExistsException
+        try:
+            self._fs.create(self._path(path), False).close()
+        except Py4JJavaError as failed:
+            if self.exists(path) or failed.java_exception.getClass().getName() == exists._fqn:
+                return False
+            raise
+        return True
+
     def read_text(self, path: str) -> str:
         stream = self._fs.open(self._path(path))
         try:

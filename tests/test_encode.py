@@ -179,6 +179,30 @@ def test_sparse_one_hot(spark):
     assert again == vectors
 
 
+def test_several_wide_columns_at_once(spark):
+    """As many exchanges for four columns as for two; rows that repeat stay as often as they were."""
+    df = spark.range(400).selectExpr("id % 150 AS a", "concat('x', id % 7) AS b", "id % 2 AS c", "if(id % 5 = 0, NULL, id % 11) AS d").union(
+        spark.createDataFrame([(None, None, 0, None)] * 3, "a long, b string, c long, d long")
+    )
+    found = encode.one_hot_sparse(df, ["a", "b", "d"], "v")
+    assert found.columns == ["a", "b", "c", "d", "v"] and found.count() == 403
+    rows = found.collect()
+    assert {r["v"].size for r in rows} == {150 + 1 + 7 + 1 + 11 + 1}
+    places = {}
+    for r in rows:
+        assert len(r["v"].indices) == 3 and r["v"].indices[0] <= 150 < r["v"].indices[1] <= 158 < r["v"].indices[2]
+        for name, place in zip("abd", r["v"].indices):
+            assert places.setdefault((name, r[name]), place) == place
+    assert len(set(places.values())) == len(places) == 151 + 8 + 12
+    assert sorted((tuple(r)[:4] for r in rows), key=repr) == sorted((tuple(r) for r in df.collect()), key=repr)
+
+    def exchanges(*columns):
+        plan = encode.one_hot_sparse(df, columns, "v")._jdf.queryExecution().executedPlan().toString()
+        return plan.count("Exchange hashpartitioning")
+
+    assert exchanges("a", "b") == exchanges("a", "b", "c", "d")
+
+
 def test_features_are_one_projection(spark):
     """No shuffle, and the filter reaches the scan."""
     plan = encode.exam_features(frame(spark, [exam()]))._jdf.queryExecution().executedPlan().toString()

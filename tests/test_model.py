@@ -1,16 +1,20 @@
 from __future__ import annotations
 
+import os
+import sys
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
 import numpy as np
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from riskflow.operators import search
 from riskflow.operators.encode import with_indicators
 from riskflow.operators.forest import ROWS_PER_PARTITION, ForestParams, bounded_sample, fit_forest, fit_partitions, pruned, score
 from riskflow.operators.metrics import curve_metrics
-from riskflow.operators.pymodel import score_from, score_with
+from riskflow.operators.pymodel import SharedModel, score_from, score_with
 from riskflow.operators.registry import Registry, current_stages, newest_in_stage
 from riskflow.plans.inputs import logistic_model
 from riskflow.plans.scoring import model_scorer, python_scorer, score_records
@@ -269,3 +273,61 @@ def test_search_over_split_sizes(spark, features, place, monkeypatch):
     train = {r["candidate"]: r["mean"] for r in found.summary.where("split = 'train' AND metric = 'accuracy'").collect()}
     assert train[0] > train[1]
     assert {r["class"] for r in found.report.collect()} == {"0", "1", "accuracy", "macro avg", "weighted avg"}
+
+
+class Counting:
+    """A model that leaves a line in a file each time it is unpickled."""
+
+    def __init__(self, place):
+        self.place = place
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        with open(self.place, "a") as file:
+            file.write("x\n")
+
+    def predict(self, inputs):
+        return [0] * len(inputs)
+
+    def predict_proba(self, inputs):
+        return np.full((len(inputs), 2), 0.5)
+
+
+def test_a_model_is_unpickled_once_per_worker(spark, place):
+    """Tasks of one worker share it: no more loads than workers, over many more tasks."""
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    rows = spark.range(0, 4000, 1, 80).selectExpr("id", "double(id) AS x")
+    model = SharedModel(Counting(f"{place}/loads"))
+    for _ in range(2):
+        assert len(score_with(rows, model, ["x"]).collect()) == 4000
+    with open(f"{place}/loads") as file:
+        assert 1 <= len(file.readlines()) <= 16
+    assert len(score_with(rows, SharedModel(Counting(f"{place}/other")), ["x"]).collect()) == 4000 and os.path.exists(f"{place}/other")
+
+
+class Saved:
+    """As much of a model as the registry writes."""
+
+    def write(self):
+        return self
+
+    def overwrite(self):
+        return self
+
+    def save(self, path):
+        os.makedirs(path)
+
+
+def test_two_writers_register_at_once(spark, place):
+    """Every version is given once, whoever comes first."""
+    def register(_):
+        models = Registry(spark, f"{place}/registry")
+        return [models.register("m", Saved()) for _ in range(8)]
+
+    with ThreadPoolExecutor(2) as pool:
+        found = [v for versions in pool.map(register, range(2)) for v in versions]
+    assert sorted(found) == list(range(1, 17))
+    models = Registry(spark, f"{place}/registry")
+    assert sorted(r["version"] for r in models.log().collect()) == list(range(1, 17))
+    models.transition("m", 5, "Production")
+    assert models.resolve("models:/m/Production")[0] == 5
