@@ -39,6 +39,14 @@ def arrow_schema(ddl: str) -> pa.Schema:
     return to_arrow_schema(T.StructType.fromDDL(ddl))
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """The name, with underscores until no column has it, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 class Stored:
     """A frame written to the shared folder: computed once, safe from lost executors."""
 

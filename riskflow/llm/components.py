@@ -9,18 +9,28 @@ from riskflow.llm.common import Stored
 from riskflow.storage import Files
 
 
+SALTS = 16  # tasks that share the links of a hub
+
+
+def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
+    """Links joined to the least neighbour of their node, which is there once per salt."""
+    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(SALTS)).cast("int"))
+    copies = least.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, ["a", "salt"])
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Every node ties its larger neighbours to the smallest node it knows."""
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("least"))
-    return both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    return _with_least(both.where("b > a"), least).select(F.col("b").alias("a"), F.col("least").alias("b"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node ties itself and its smaller neighbours to the smallest of them."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("least"))
-    moved = down.join(least, "a").where("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
+    moved = _with_least(down, least).where("b > least").select(F.col("b").alias("a"), F.col("least").alias("b"))
     return moved.union(least.select("a", F.col("least").alias("b")))
 
 
@@ -34,8 +44,8 @@ def components(edges: DataFrame) -> DataFrame:
     linked to a smaller one.
 
     `edges` has columns a and b of one comparable type; direction, repeats and loops do
-    not matter. A round is two star operations; their hubs are joined to one row per
-    key, which a skewed join can split. Rounds grow with the logarithm of the longest
+    not matter. A round is two star operations; a hub's links meet the one row of its least
+    neighbour in several tasks, by salt. Rounds grow with the logarithm of the longest
     chain. Each round is a table in the shared folder and the one before is removed.
     """
     spark = edges.sparkSession
