@@ -17,7 +17,7 @@ from riskflow.llm.decontamination import without_leaks
 from riskflow.llm.language_id import UNKNOWN, identified
 from riskflow.llm.piece_sampling import encode
 from riskflow.llm.secret_scan import redact, train
-from riskflow.llm.simhash_dedup import near_duplicates
+from riskflow.llm.simhash_dedup import one_of_each
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 LEAST_SCORE = 0.25  # of a document's match with the nearest language profile
@@ -31,15 +31,13 @@ def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document whose id names its group; one row of those that repeat it.
+    """Of documents with nearly the same text keep the one with the smallest id.
 
-    Documents without an id cannot name a group and stay.
+    Texts under one id are documents of their own; of those in one group the smallest
+    hash of the row stays, and of rows that repeat one another, one. Documents without an
+    id stay. NULL and empty texts are one group; an empty table stays empty.
     """
-    groups = near_duplicates(docs)
-    keepers = groups.where("doc_id = component_id").select("doc_id")
-    # the semi join leaves equal ids in one task and in order, so the next step moves nothing
-    kept = docs.join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.select(*COLUMNS).union(docs.where("doc_id IS NULL").select(*COLUMNS))
+    return one_of_each(docs.select(*COLUMNS))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
