@@ -20,7 +20,7 @@ from riskflow.llm.common import Batches, map_rows
 from riskflow.llm.pieces import CHUNK, Lattice, Vocabulary, load, spelt_out
 
 SEED, TEMPERATURE = 17, 1.0
-GROUP = 1 << 19  # characters sampled together
+GROUP = 1 << 18  # characters sampled together
 HELD = 5 << 20  # edges of known chunks that a task keeps, 16 bytes each
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -150,13 +150,17 @@ def encode(
     temperature: float = TEMPERATURE,
     key: str = "doc_id",
     text: str = "text",
+    check: bool = False,
 ) -> DataFrame:
-    """Columns `key` and piece_ids (array of int), a row per row of `docs`.
+    """Columns `key` and piece_ids (array of int), a row per row of `docs`; with `check`
+    also `lossless`, whether the ids, decoded in the same pass, give the text back.
 
     NULL texts have NULL, empty texts no ids. Rows of equal key and text are cut alike,
-    so are rows whose key is NULL. Other columns are ignored.
+    so are rows whose key is NULL. A very long text is cut whole, in parts. An empty table
+    gives an empty one. Other columns are ignored, whatever their names.
     """
     weights = tempered(vocabulary or load(), temperature)
+    names = ["key", "piece_ids", *(["lossless"] if check else [])]
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         sampler = Sampler(weights)
@@ -172,12 +176,24 @@ def encode(
                 ids, sizes = encode_batch(sampler, texts.to_pylist(), seeds[at:upto])
                 offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32(), mask=np.append(texts.is_null().to_numpy(False), False))
                 lists = pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32()))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, upto - at), lists], ["key", "piece_ids"])
+                columns = [batch.column(0).slice(at, upto - at), lists]
+                if check:
+                    columns.append(pa.array(given_back(ids, sizes, texts.to_pylist(), weights), pa.bool_()))
+                yield pa.RecordBatch.from_arrays(columns, names)
                 at = upto
 
     kind = docs.schema[key].dataType.simpleString()
     seeded = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), F.xxhash64(F.lit(seed), key).alias("seed"))
-    return map_rows(seeded, rows, f"key {kind}, piece_ids array<int>").withColumnRenamed("key", key)
+    schema = f"key {kind}, piece_ids array<int>" + (", lossless boolean" if check else "")
+    return map_rows(seeded, rows, schema).withColumnRenamed("key", key)
+
+
+def given_back(ids: np.ndarray, sizes: np.ndarray, texts: list[str | None], vocabulary: Vocabulary) -> list[bool | None]:
+    """For each text whether its ids decode to it; None for None."""
+    pieces = list(map(vocabulary.raw.__getitem__, ids.tolist()))
+    ends = np.cumsum(sizes).tolist()
+    starts = [0, *ends[:-1]]
+    return [None if t is None else b"".join(pieces[a:b]) == t.encode() for t, a, b in zip(texts, starts, ends)]
 
 
 def decoded(encoded: DataFrame, vocabulary: Vocabulary | None = None, key: str = "doc_id", ids: str = "piece_ids") -> DataFrame:

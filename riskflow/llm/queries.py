@@ -59,7 +59,7 @@ def op7_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return piece_sampling.encode(table(spark, sf_dir, "documents"))
+    return piece_sampling.encode(table(spark, sf_dir, "documents"), check=True)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

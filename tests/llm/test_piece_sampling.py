@@ -63,6 +63,16 @@ def test_query_round_trip(spark):
     assert rows(encoded) != rows(op.encode(docs, seed=op.SEED + 1))
 
 
+def test_losslessness_is_checked(spark, odd):
+    """The query's own column, and what it says where ids are not the text's."""
+    found = op.encode(odd, check=True)
+    assert found.columns == ["doc_id", "piece_ids", "lossless"]
+    assert found.where("lossless").count() == odd.where("text IS NOT NULL").count() and found.where("lossless IS NULL").count() == 2
+    ids, sizes = op.encode_batch(op.Sampler(VOCABULARY), ["one text", "two"], np.arange(2, dtype=np.uint64))
+    assert op.given_back(ids, sizes, ["one text", "two"], VOCABULARY) == [True, True]
+    assert op.given_back(ids, sizes, ["one text.", "two"], VOCABULARY) == [False, True]
+
+
 def test_odd_rows(spark, odd, none):
     encoded = op.encode(odd)
     assert rows(op.decoded(encoded)) == rows(odd, "doc_id", "text")
