@@ -20,12 +20,16 @@ from riskflow.llm.secret_scan import redact, train
 from riskflow.llm.simhash_dedup import one_of_each
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-LEAST_SCORE = 0.25  # of a document's match with the nearest language profile
+LEAST_SCORE = 0.25  # of a match with the nearest language profile; what scores less is no text in a learned language
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def in_known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents without a letter and those far from every language's profile."""
+    """Drop documents without a letter and those far from every language's profile.
+
+    NULL and empty texts have no letter and go. Texts are read whole, rows that repeat one
+    another stay or go together, an empty table stays empty; other columns go.
+    """
     found = identified(docs.select(*COLUMNS))
     return found.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
@@ -41,19 +45,31 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in which a benchmark item occurs."""
+    """Drop documents in which a benchmark item occurs.
+
+    Texts are searched whole; NULL and empty ones hold none and stay. Rows that repeat one
+    another stay or go together, an empty table stays empty; other columns go.
+    """
     return without_leaks(docs.select(*COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Mask secrets; n_chars follows the text."""
+    """Mask secrets; n_chars follows the text.
+
+    Every row stays. NULL and empty texts stay as they are, n_chars with them; texts are
+    searched whole; an empty table stays empty; other columns go.
+    """
     masked = redact(docs.select(*COLUMNS), train(docs))
     size = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return masked.withColumn("n_chars", size)
 
 
 def in_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id and piece_ids, from which the text can be decoded without loss."""
+    """doc_id and piece_ids, from which the text can be decoded without loss.
+
+    A row per row. A NULL text has NULL, an empty one no ids; texts are cut whole, equal
+    rows alike; an empty table stays empty; other columns go.
+    """
     return encode(docs)
 
 
