@@ -185,7 +185,9 @@ def leaks(
     The items are a query set; each block of them goes over all documents in one narrow
     pass, so a block's size bounds what is sent to the tasks. NULL and empty texts match
     nothing; items of fewer than `least_chars` characters have to occur unchanged (in the
-    normal form) and as whole words.
+    normal form) and as whole words. A text of any length is searched whole. Rows that
+    repeat one another, of either table, are found each; empty tables give none. Other
+    columns are ignored, whatever their names.
     """
     kind, item_kind = docs.schema[key].dataType.simpleString(), items.schema[item_key].dataType.simpleString()
     schema = f"doc_id {kind}, item_id {item_kind}, distance long, start_char long, end_char long"
@@ -217,7 +219,11 @@ def without_leaks(
     text: str = "text",
     least_chars: int = LEAST_CHARS,
 ) -> DataFrame:
-    """The rows of `docs`, all columns, in which no item occurs. Narrow, a pass a block."""
+    """The rows of `docs`, all columns, in which no item occurs. Narrow, a pass a block.
+
+    Rules as in `leaks`. Rows with NULL and empty texts stay, repeated rows stay or go
+    together, and without items all rows stay.
+    """
     place = docs.columns.index(text)
     for block in item_blocks(items, item_key, text, block_bytes):
 

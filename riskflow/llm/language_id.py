@@ -171,13 +171,18 @@ def held_out(key: Column, folds: int = 3, fold: int = 1) -> Column:
 
 def identified(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """All rows and columns with lang_pred and score: learned from the rows that are not
-    held out and have a language, predicted for all rows."""
+    held out and have a language, predicted for all rows.
+
+    Rules as in `identify`; columns of those two names are replaced."""
     return predict(docs, train(docs.where(~held_out(F.col(key))), lang, text), text)
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Columns doc_id, held_out, lang_pred, score, a row per row of `docs`. Repeated rows
-    count and are predicted one by one; other columns are ignored."""
+    count and are predicted one by one; other columns are ignored, whatever their names.
+    Texts of any length are read whole; NULL, empty ones and those without a letter are
+    `und`. A NULL key is learned from. An empty table gives an empty one; without a row to
+    learn from, all texts are `und`."""
     plain = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     profiles = train(plain.where(~held_out(F.col("doc_id"))))
     found = predict(plain.select("doc_id", "text"), profiles)
