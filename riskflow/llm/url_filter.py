@@ -22,13 +22,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskflow.llm.common import Batches, map_rows, stored
+from riskflow.llm.common import Batches, map_rows, stored, unused
+from riskflow.schemas import quoted
 
 SHARD_KEYS = 1 << 16  # keys of the universe in a shard, on average
 BITS_PER_KEY = 8
 HASHES = 3
 BROADCAST_BYTES = 32 << 20  # cascades up to this size go to every task, else they are joined
-SALTS = 16
+GROUP_ROWS = 500_000  # of a shard that one task judges at once
 ALLOW, BLOCK = "allow", "block"
 
 
@@ -203,17 +204,19 @@ class UrlList:
         built = keys.withColumn("shard", shard).groupBy("shard").applyInPandas(build, "shard int, cascade binary")
         return cls(stored(built, "url_cascades"), shards)
 
-    def mark(self, df: DataFrame, key: str, out: str = "listed", broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    def mark(self, df: DataFrame, key: str, out: str = "listed", broadcast_bytes: int = BROADCAST_BYTES, group_rows: int = GROUP_ROWS) -> DataFrame:
         """All rows and columns of `df` and whether the key is listed (NULL: not).
 
-        `df` must not have columns `_shard` and `_salt`. Small cascades (measured) are
-        sent to the tasks and rows are not moved; larger ones meet the rows of their
-        shard, in groups salted so that a key with very many rows has many tasks.
+        Small cascades (measured) are sent to the tasks and rows are not moved; larger ones
+        meet the rows of their shard. A shard's rows are counted first and dealt, by a hash
+        of the row, to as many groups of about GROUP_ROWS as that takes; so a key with very
+        many rows has many tasks, and a task that is run again has the same rows.
         """
         names = [c for c in df.columns if c != out]
+        of_shard, salt = unused(df, "_shard"), unused(df, "_salt")
         if self.bytes <= broadcast_bytes:
             packed = {r["shard"]: bytes(r["cascade"]) for r in self.cascades.collect()}
-            sharded = df.select(*names, self.shard(F.col(key)).alias("_shard"))
+            sharded = df.select(*names, self.shard(F.col(key)).alias(of_shard))
             place, schema = names.index(key), df.select(*names).withColumn(out, F.lit(False)).schema
 
             def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -230,8 +233,16 @@ class UrlList:
 
             return map_rows(sharded, rows, schema)
 
-        salted = df.select(*names, self.shard(F.col(key)).alias("_shard"), (F.rand(1) * SALTS).cast("int").alias("_salt"))
-        copies = self.cascades.select(F.col("shard").alias("_shard"), "cascade", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"))
+        sharded = df.select(*names, self.shard(F.col(key)).alias(of_shard))
+        counts = sharded.groupBy(of_shard).agg(F.ceil(F.count(F.lit(1)) / group_rows).alias("groups"))
+        sizes = stored(counts.select(F.col(of_shard).alias("shard"), F.col("groups").cast("int").alias("groups")), "url_shard_sizes")
+        groups = unused(df, "groups")
+        of_row = F.xxhash64(*[x for c in names for x in (F.col(quoted(c)), F.col(quoted(c)).isNull())])
+        dealt = sharded.withColumn(salt, of_row).join(sizes.select(F.col("shard").alias(of_shard), F.col("groups").alias(groups)), of_shard)
+        salted = dealt.select(*[quoted(c) for c in names], of_shard, F.pmod(F.col(salt), F.col(groups)).cast("int").alias(salt))
+        copies = self.cascades.join(sizes, "shard").select(
+            F.col("shard").alias(of_shard), "cascade", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias(salt)
+        )
 
         def judge(rows: pd.DataFrame, cascade: pd.DataFrame) -> pd.DataFrame:
             listed = np.zeros(len(rows), bool)
@@ -241,14 +252,17 @@ class UrlList:
             return rows[names].assign(**{out: listed})
 
         schema = df.select(*names).withColumn(out, F.lit(False)).schema
-        return salted.groupBy("_shard", "_salt").cogroup(copies.groupBy("_shard", "_salt")).applyInPandas(judge, schema)
+        return salted.groupBy(of_shard, salt).cogroup(copies.groupBy(of_shard, salt)).applyInPandas(judge, schema)
 
 
 def judge(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RULES, key: str = "page_id", url: str = "url") -> DataFrame:
     """Columns page_id, host, path, rule, verdict, listed, a row per row of `pages`.
 
     `listed` has the blocked keys (column key: host and path). The longest rule that fits
-    decides; where none does, a listed key is blocked. Other columns are ignored.
+    decides; where none does, a listed key is blocked. A NULL or empty url, and one without
+    `://`, has an empty host and path. A url of any length is read whole. Rows that repeat
+    one another are judged each; an empty table gives an empty one, an empty list lists
+    nothing. Other columns are ignored, whatever their names.
     """
     parted = parts(pages, key, url)
     keyed = parted.withColumn("key", F.concat("host", "path"))

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from riskflow.llm import url_filter as op
 from tests.llm.conftest import rows
@@ -80,3 +82,18 @@ def test_odd_rows(spark):
     found = rows(op.judge(pages, op.keys_of_names(pages)), "page_id", "verdict")
     assert found == [(None, "block"), (None, "block"), (1, "allow"), (2, "allow")]
     assert op.judge(pages.limit(0), op.keys_of_names(pages.limit(0))).count() == 0
+
+
+@pytest.mark.parametrize("size", [1 << 20, -1])
+def test_names_and_hot_keys_of_marked_frames(spark, size):
+    """Columns may have any names, and a key that most rows have is dealt to several groups."""
+    listed = [f"bad{i}.com/" for i in range(20)]
+    frame = spark.range(300).select(
+        F.when(F.col("id") % 3 > 0, "bad7.com/").otherwise(F.concat(F.lit("good"), "id", F.lit(".com/"))).alias("key"),
+        F.col("id").alias("_shard"), F.lit("x").alias("_salt"), F.lit("y").alias("groups"), F.lit("z").alias("shard"),
+    )
+    keys = spark.createDataFrame([(k,) for k in listed], "key string")
+    filter_ = op.UrlList.build(frame.select("key").union(keys), keys)
+    found = filter_.mark(frame, "key", broadcast_bytes=size, group_rows=50)
+    assert found.columns == [*frame.columns, "listed"]
+    assert sorted((r["_shard"], r["listed"]) for r in found.collect()) == [(i, i % 3 > 0) for i in range(300)]
