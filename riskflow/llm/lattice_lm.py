@@ -229,7 +229,8 @@ def scores(
     kind = docs.schema[key].dataType.simpleString()
     schema = f"row long, key {kind}, word string, n long, n_tokens long, n_known long, base double, score double"
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-    parts = map_rows(numbered, _scored(model, common), schema)
+    # a table: rows that are numbered again, in other tasks, would get other numbers
+    parts = stored(map_rows(numbered, _scored(model, common), schema), "word_parts")
     joined = parts.join(words, "word", "left")
     seen = F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.distinct + 1)))
     more = lambda value, nothing: F.when(F.col("n") > 0, F.col("n") * value).otherwise(nothing)
