@@ -51,6 +51,8 @@ def judged_bodies(df: DataFrame, schema: T.StructType, key: str, positive: str,
     return rows.select(*others, *schema.names, reject.alias("reject"))
 
 
-def as_body(df: DataFrame, body: str = "body") -> DataFrame:
-    """One JSON text per row; NULL fields are left out."""
-    return df.select(F.to_json(F.struct("*")).alias(body))
+def as_body(df: DataFrame, body: str = "body", key: str | None = None) -> DataFrame:
+    """One JSON text per row; NULL fields are left out. With `key`, that column as text comes
+    with it, as the message's key."""
+    message = F.to_json(F.struct("*")).alias(body)
+    return df.select(message) if key is None else df.select(F.col(key).cast("string").alias("key"), message)

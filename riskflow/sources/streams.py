@@ -33,7 +33,18 @@ def open_stream(
     return loaded.select(F.col(payload).alias("body"), *keep)
 
 
-def publish(df: DataFrame, fmt: str, options: Mapping[str, str], path: str | None = None, payload: str = "body") -> None:
-    """Send every row as one JSON message ("value" as `payload` for Kafka)."""
-    writer = as_body(df, payload).write.format(fmt).options(**options).mode("append")
+def publish(
+    df: DataFrame,
+    fmt: str,
+    options: Mapping[str, str],
+    path: str | None = None,
+    payload: str = "body",
+    key: str | None = None,
+) -> None:
+    """Send every row as one JSON message ("value" as `payload` for Kafka).
+
+    `key` names a column that goes along as the message's key, so that a partitioned hub
+    keeps the messages of one key in one partition and in order.
+    """
+    writer = as_body(df, payload, key).write.format(fmt).options(**options).mode("append")
     writer.save(path) if path else writer.save()

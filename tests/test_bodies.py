@@ -68,3 +68,13 @@ def test_publish_names_the_payload(spark, place):
     publish(spark.range(3), "json", {}, f"{place}/out", payload="value")
     values = {r["value"] for r in spark.read.json(f"{place}/out").collect()}
     assert values == {'{"id":0}', '{"id":1}', '{"id":2}'}
+
+
+def test_messages_with_a_key(spark, place):
+    """The key goes along as text, and stays a field of the message."""
+    rows = spark.createDataFrame([(1, "a"), (2, None), (None, "c")], "id long, v string")
+    publish(rows, "parquet", {}, f"{place}/sent", payload="value", key="id")
+    found = sorted(spark.read.parquet(f"{place}/sent").collect(), key=str)
+    assert [tuple(r) for r in found] == [("1", '{"id":1,"v":"a"}'), ("2", '{"id":2}'), (None, '{"v":"c"}')]
+    publish(rows, "parquet", {}, f"{place}/plain")
+    assert spark.read.parquet(f"{place}/plain").columns == ["body"]
