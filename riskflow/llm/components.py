@@ -9,7 +9,7 @@ from riskflow.llm.common import Stored
 from riskflow.storage import Files
 
 
-SALTS = 16  # tasks that share the links of a hub
+SALTS = 8  # tasks that share the links of a hub
 
 
 def _with_least(edges: DataFrame, least: DataFrame) -> DataFrame:
