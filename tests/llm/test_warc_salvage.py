@@ -170,6 +170,25 @@ def test_round_trip(spark, compress):
     assert found == expected
 
 
+@pytest.mark.parametrize("compress", [False, True])
+def test_a_damaged_archive_of_the_round_trip_is_no_silent_loss(spark, place, monkeypatch, compress):
+    """If what was written cannot be read back whole, the query fails and says where."""
+    real = op.write
+
+    def write(pages, path, *a, **b):
+        real(pages, path, *a, **b)
+        file = max(glob.glob(f"{path}/part-*"), key=os.path.getsize)
+        raw = bytearray(open(file, "rb").read())
+        raw[len(raw) // 2] ^= 0xFF
+        os.remove(os.path.join(os.path.dirname(file), f".{os.path.basename(file)}.crc"))
+        open(file, "wb").write(raw)
+
+    monkeypatch.setattr(op, "write", write)
+    monkeypatch.setattr(op, "scratch_dir", lambda session, label: f"{place}/{label}{compress}")
+    with pytest.raises(Exception, match="damaged archive: .*part-"):
+        op.round_trip(pages_of(spark).coalesce(1), compress=compress).collect()
+
+
 @pytest.mark.parametrize("compress", [False, True])
 def test_files_and_payloads(spark, place, compress):
     op.write(pages_of(spark).coalesce(1), f"{place}/out", compress, records_per_file=3)
