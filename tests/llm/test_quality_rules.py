@@ -68,3 +68,15 @@ def test_odd_rows(spark, odd, none):
     assert rows(found.where("doc_id = 3"))[0][1:] == (0, 0, 0, 0, 0, True, False)
     assert not found.where("kept AND base_failed").count()
     assert op.judge(none, op.plan(none)).count() == 0 and op.plan(none) == list(op.RULES)
+
+
+def test_cost_is_what_a_rule_adds():
+    """Figures that every document needs are worked out before, and no rule pays for another."""
+    import pyarrow as pa
+
+    text = " ".join(f"word{i} of{i % 50} many\n" for i in range(6000))
+    batch = pa.RecordBatch.from_arrays([pa.array([text, "too short", None])], ["text"])
+    (found,) = list(op._measured(op.RULES)([batch]))
+    assert found.column(1).to_pylist() == [1]  # what fails the base never gets to the rules
+    spent = dict(zip((r.name for r in op.RULES), found.column(2)[0].as_py()))
+    assert spent["words_without_letter"] > 20 * max(spent["repeated_words"], spent["word_length"], spent["symbols"])
