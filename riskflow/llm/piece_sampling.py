@@ -21,7 +21,7 @@ from riskflow.llm.pieces import CHUNK, Lattice, Vocabulary, load, spelt_out
 
 SEED, TEMPERATURE = 17, 1.0
 GROUP = 1 << 18  # characters sampled together
-HELD = 5 << 20  # edges of known chunks that a task keeps, 16 bytes each
+HELD = 1 << 20  # edges of known chunks that a task keeps, 16 bytes each, and half as much again while more are added
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 

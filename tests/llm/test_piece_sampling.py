@@ -80,3 +80,13 @@ def test_odd_rows(spark, odd, none):
     assert first == second and encoded.where("doc_id = 2").first().piece_ids != []
     assert encoded.where("piece_ids IS NULL").count() == 2 and encoded.where("doc_id = 4").first().piece_ids == []
     assert op.encode(none).count() == op.decoded(op.encode(none)).count() == 0
+
+
+def test_a_task_keeps_little_between_groups():
+    """Chunks that never come again: what is kept of them stays under 32 MB."""
+    sampler, most = op.Sampler(VOCABULARY), 0
+    for group in range(12):
+        texts = [" ".join(f"wordlike{group:02d}{i:05d}and" for i in range(at, at + 1000)) for at in range(0, 12000, 1000)]
+        op.encode_batch(sampler, texts, np.arange(len(texts), dtype=np.uint64))
+        most = max(most, sum(x.nbytes for x in (sampler.last, sampler.first, sampler.head, sampler.below, sampler.source, sampler.piece)))
+    assert most < 32 << 20
