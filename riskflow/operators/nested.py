@@ -89,36 +89,59 @@ def nodes_of(model: RandomForestClassificationModel, most: int = MOST_NODES) ->
     )
 
 
+def stops(nodes: Nodes, least: int) -> np.ndarray:
+    """For each node where a walk to it ends if nodes of fewer rows than `least` are leaves:
+    the first such node on the way from its root, or itself."""
+    ends = np.arange(len(nodes.left), dtype=np.int32)
+    at = nodes.roots
+    while len(at):
+        at = at[nodes.left[at] >= 0]
+        above = ends[at]
+        cut = (above != at) | (nodes.rows[at] < least)
+        for child in (nodes.left[at], nodes.right[at]):
+            ends[child] = np.where(cut, above, child)
+        at = np.concatenate([nodes.left[at], nodes.right[at]])
+    return ends
+
+
+class Walker:
+    """What all walks through a forest share, worked out once: the next node by side, leaves
+    leading to themselves, and for each split size the nodes that walks end at."""
+
+    def __init__(self, nodes: Nodes, settings: Sequence[Setting]):
+        self.nodes, inner, own = nodes, nodes.left >= 0, np.arange(len(nodes.left), dtype=np.int32)
+        self.next = np.stack([np.where(inner, nodes.right, own), np.where(inner, nodes.left, own)], axis=1).reshape(-1)
+        self.depths = sorted({s.depth for s in settings})
+        self.sizes = sorted({s.min_split for s in settings})
+        self.stops = [stops(nodes, least) for least in self.sizes]
+        self.by_trees: dict[int, list[Setting]] = {}
+        for s in settings:
+            self.by_trees.setdefault(s.trees, []).append(s)
+
+    def walk(self, inputs: np.ndarray) -> Iterator[tuple[Setting, np.ndarray]]:
+        """For each setting the votes for both classes of each row: the class shares of the
+        leaves, summed over its trees in their order."""
+        nodes, flat = self.nodes, np.ascontiguousarray(inputs).reshape(-1)
+        start = np.arange(len(inputs)) * inputs.shape[1]
+        votes = np.zeros((len(self.depths), len(self.sizes), len(inputs), 2))
+        for number, root in enumerate(nodes.roots[: max(self.by_trees)], start=1):
+            at, level = np.full(len(inputs), root), 0
+            for d, depth in enumerate(self.depths):
+                while level < depth:
+                    goes_left = flat.take(start + nodes.feature.take(at)) <= nodes.threshold.take(at)
+                    below = self.next.take(2 * at + goes_left)
+                    if (below == at).all():
+                        level = depth
+                        break
+                    at, level = below.astype(np.int64), level + 1
+                for i, ends in enumerate(self.stops):
+                    votes[d, i] += nodes.share.take(ends.take(at), axis=0)
+            for s in self.by_trees.get(number, ()):
+                yield s, votes[self.depths.index(s.depth), self.sizes.index(s.min_split)].copy()
+
+
 def walk(nodes: Nodes, inputs: np.ndarray, settings: Sequence[Setting]) -> Iterator[tuple[Setting, np.ndarray]]:
-    """For each setting the votes for both classes of each row: the class shares of the
-    leaves, summed over its trees in their order."""
-    depths = sorted({s.depth for s in settings})
-    sizes = sorted({s.min_split for s in settings})
-    by_trees: dict[int, list[Setting]] = {}
-    for s in settings:
-        by_trees.setdefault(s.trees, []).append(s)
-    votes = np.zeros((len(depths), len(sizes), len(inputs), 2))
-    every = np.arange(len(inputs))
-    for number, root in enumerate(nodes.roots[: max(by_trees)], start=1):
-        at = np.full(len(inputs), root)
-        ended = np.full((len(sizes), len(inputs)), -1)  # where a row's walk ends, by split size
-        level = 0
-        for d, depth in enumerate(depths):
-            while level < depth:
-                inner = nodes.left[at] >= 0
-                for i, least in enumerate(sizes):
-                    ends = (ended[i] < 0) & (~inner | (nodes.rows[at] < least))
-                    ended[i, ends] = at[ends]
-                if not inner.any():
-                    level = depth
-                    break
-                goes_left = inputs[every, nodes.feature[at]] <= nodes.threshold[at]
-                at = np.where(inner, np.where(goes_left, nodes.left[at], nodes.right[at]), at)
-                level += 1
-            for i in range(len(sizes)):
-                votes[d, i] += nodes.share[np.where(ended[i] >= 0, ended[i], at)]
-        for s in by_trees.get(number, ()):
-            yield s, votes[depths.index(s.depth), sizes.index(s.min_split)].copy()
+    return Walker(nodes, settings).walk(inputs)
 
 
 def counted_scores(
@@ -138,7 +161,7 @@ def counted_scores(
     sent = data.sparkSession.sparkContext.broadcast(nodes)
 
     def run(batches) -> Iterator[pa.RecordBatch]:
-        forest = sent.value
+        walker = Walker(sent.value, settings)
         for batch in batches:
             width = len(batch.column(0).slice(0, 1).flatten()) if batch.num_rows else 0
             inputs = np.asarray(batch.column(0).flatten()).reshape(-1, width)
@@ -146,7 +169,7 @@ def counted_scores(
             tested = np.asarray(batch.column(2).cast(pa.int8())).astype(np.int64)
             for start in range(0, batch.num_rows, ROWS):
                 part = slice(start, start + ROWS)
-                for setting, votes in walk(forest, inputs[part], settings):
+                for setting, votes in walker.walk(inputs[part]):
                     p1 = votes[:, 1] / (votes[:, 0] + votes[:, 1])
                     prediction = votes.argmax(axis=1)
                     kind = tested[part] * 4 + labels[part] * 2 + prediction

@@ -114,3 +114,25 @@ def test_one_fit_serves_depths_trees_and_split_sizes(spark, features, place, mon
 def test_forests_that_are_not_sent(features):  # noqa: F811
     model = fit_forest(features, replace(LARGE, trees=2)).stages[-1]
     assert nested.nodes_of(model, most=3) is None and nested.nodes_of(model) is not None
+
+
+def test_walk_is_worked_out_once(monkeypatch):
+    """Where walks end by split size follows from the forest alone, not anew for each batch of rows."""
+    leaf = -1
+    nodes = nested.Nodes(
+        np.array([0]),
+        np.array([1, 2, leaf, leaf, leaf], np.int32),
+        np.array([4, 3, leaf, leaf, leaf], np.int32),
+        np.array([0, 1, 0, 0, 0], np.int32),
+        np.array([0.5, 0.5, 0.0, 0.0, 0.0]),
+        np.array([10, 6, 4, 2, 4]),
+        np.array([[0.5, 0.5], [0.4, 0.6], [0.3, 0.7], [0.2, 0.8], [0.1, 0.9]]),
+    )
+    assert nested.stops(nodes, 2).tolist() == [0, 1, 2, 3, 4]
+    assert nested.stops(nodes, 7).tolist() == [0, 1, 1, 1, 4]
+    assert nested.stops(nodes, 11).tolist() == [0] * 5
+    walker = nested.Walker(nodes, [nested.Setting(0, 1, 1, 2), nested.Setting(1, 1, 2, 2), nested.Setting(2, 1, 2, 7), nested.Setting(3, 1, 2, 11)])
+    monkeypatch.setattr(nested, "stops", None)
+    for _ in range(2):
+        votes = {s.candidate: v[:, 1].tolist() for s, v in walker.walk(np.array([[0.0, 0.0], [0.0, 1.0], [1.0, 0.0]]))}
+        assert votes == {0: [0.6, 0.6, 0.9], 1: [0.7, 0.8, 0.9], 2: [0.6, 0.6, 0.9], 3: [0.5] * 3}
