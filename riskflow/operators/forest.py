@@ -25,6 +25,8 @@ from riskflow.storage import Files, scratch_dir, written
 VECTOR = "features"
 WEIGHT = "weight"
 ROWS_PER_PARTITION = 10_000
+FEW_PARTITIONS = 24  # beyond these a partition has more rows
+MANY_ROWS = 100_000
 MAX_PARTITIONS = 512
 
 
@@ -90,15 +92,22 @@ def forest(
     return estimator.setWeightCol(weight) if weight else estimator
 
 
+def partition_count(rows: int) -> int:
+    """Partitions of 10,000 rows, up to 24; then as many rows in each, up to 100,000; then more of those."""
+    few = min(FEW_PARTITIONS, 1 + rows // ROWS_PER_PARTITION)
+    return min(MAX_PARTITIONS, max(few, 1 + rows // MANY_ROWS))
+
+
 def fit_partitions(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows dealt by the hash of their keys into a number of partitions that follows from
     their count, in key order.
 
     Bootstrap samples are drawn per partition, so this makes a forest depend on its rows
-    and seed alone, not on the cluster. The number is bounded because every partition
-    sends the split statistics of a level, up to `maxMemoryInMB`.
+    and seed alone, not on the cluster. Every partition sets up and sends the split
+    statistics of all nodes of a level, up to `maxMemoryInMB`, however few its rows are:
+    beyond the first partitions, each has ten times the rows, and the number is bounded.
     """
-    count = min(MAX_PARTITIONS, 1 + df.count() // ROWS_PER_PARTITION)
+    count = partition_count(df.count())
     names = [quoted(k) for k in keys]
     return df.repartition(count, *names).sortWithinPartitions(*names)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from riskflow.operators import search
 from riskflow.operators.encode import with_indicators
-from riskflow.operators.forest import ROWS_PER_PARTITION, ForestParams, bounded_sample, fit_forest, fit_partitions, pruned, score
+from riskflow.operators.forest import ROWS_PER_PARTITION, ForestParams, bounded_sample, fit_forest, fit_partitions, partition_count, pruned, score
 from riskflow.operators.metrics import curve_metrics
 from riskflow.operators.pymodel import SharedModel, score_from, score_with
 from riskflow.operators.registry import Registry, current_stages, newest_in_stage
@@ -331,3 +331,11 @@ def test_two_writers_register_at_once(spark, place):
     assert sorted(r["version"] for r in models.log().collect()) == list(range(1, 17))
     models.transition("m", 5, "Production")
     assert models.resolve("models:/m/Production")[0] == 5
+
+
+def test_partitions_grow_slower_than_small_ones_would():
+    """As before on few rows; beyond, each sets up and sends a level's statistics for ten times the rows."""
+    assert [partition_count(n) for n in (0, 9_999, 10_000, 80_000, 230_000)] == [1, 1, 2, 9, 24]
+    assert partition_count(480_000) == partition_count(2_300_000) == 24
+    assert partition_count(4_800_000) == 49 and partition_count(28_800_000) == 289
+    assert partition_count(10**9) == 512
