@@ -9,10 +9,12 @@ the row's key and the position in the row alone, so a row is cut the same way ev
 
 from __future__ import annotations
 
+from itertools import islice
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,43 +23,79 @@ from riskflow.llm.pieces import CHUNK, Lattice, Vocabulary, load, spelt_out
 
 SEED, TEMPERATURE = 17, 1.0
 GROUP = 1 << 18  # characters sampled together
-HELD = 1 << 20  # edges of known chunks that a task keeps, 16 bytes each, and half as much again while more are added
+HELD = 1 << 20  # edges of known chunks that a task keeps, 16 bytes each, and half as much again while more are added; beyond, the half seen most often
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
-def uniform(row: np.ndarray, chunk: np.ndarray, step: int) -> np.ndarray:
-    """Numbers in [0, 1) for (row seed, chunk number, step), by splitmix64."""
-    x = row + GOLDEN * (chunk.astype(np.uint64) * np.uint64(1 << 20) + np.uint64(step + 1))
+def uniform(seed: np.ndarray, step: int) -> np.ndarray:
+    """Numbers in [0, 1) for (seed, step), by splitmix64."""
+    x = seed + GOLDEN * np.array([step + 1], np.uint64)
     x = (x ^ (x >> np.uint64(30))) * MIX1
     x = (x ^ (x >> np.uint64(27))) * MIX2
     return ((x ^ (x >> np.uint64(31))) >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
+def ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers from each start on, as many as its size."""
+    stop = np.cumsum(size)
+    return np.repeat(start - (stop - size), size) + np.arange(int(stop[-1]) if len(stop) else 0)
+
+
+class Numbers(dict):
+    """Chunks numbered in the order in which they are first looked up."""
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        return number
+
+
 class Sampler:
     """Draws segmentations; the lattices of chunks seen before are kept up to a bound."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self._forget()
-
-    def _forget(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = Numbers()
+        self.used = np.empty(0, np.int64)  # how often each chunk was seen, halved whenever some are forgotten
         self.last, self.first = np.empty(0, np.int64), np.empty(0, np.int64)
         self.head = np.zeros(1, np.int64)  # first edge of each node
         self.below = np.empty(0)  # share of the edges before and with this one
         self.source, self.piece = np.empty(0, np.int32), np.empty(0, np.int32)
 
+    def _forget(self) -> None:
+        """Keep the chunks seen most often, as far as their edges are half of HELD."""
+        edges = self.head[self.last + 1] - self.head[self.first]
+        order = np.argsort(-self.used, kind="stable")
+        kept = np.sort(order[np.cumsum(edges[order]) <= HELD // 2])
+        names = list(self.number)
+        self.number = Numbers(zip(map(names.__getitem__, kept.tolist()), range(len(kept))))
+        edges, first, nodes = edges[kept], self.first[kept], self.last[kept] - self.first[kept] + 1
+        at = ranges(first, nodes)
+        many = self.head[at + 1] - self.head[at]
+        place = ranges(self.head[first], edges)
+        self.used = self.used[kept] // 2
+        self.last = np.cumsum(nodes) - 1
+        self.first = self.last - nodes + 1
+        self.head = np.concatenate([[0], np.cumsum(many)])
+        self.below, self.piece = self.below[place], self.piece[place]
+        self.source = self.source[place] + np.repeat((self.first - first).astype(np.int32), edges)
+
     def _learn(self, chunks: list[str]) -> None:
         lattice = Lattice(self.vocabulary, chunks)
-        share = lattice.share(lattice.forward())
+        below = lattice.share(lattice.forward())
+        stop = lattice.head[1:]
+        edge = lattice.head[:-1] + 1
+        while True:  # node by node, so that a chunk's shares do not depend on the others
+            more = np.flatnonzero(edge < stop)
+            if not len(more):
+                break
+            edge, stop = edge[more], stop[more]
+            below[edge] += below[edge - 1]
+            edge += 1
+        below[lattice.head[1:][np.diff(lattice.head) > 0] - 1] = 1.0
         nodes, edges = len(self.head) - 1, len(self.piece)
-        head = np.searchsorted(lattice.target, np.arange(lattice.nodes + 1))
-        running = np.concatenate([[0.0], np.cumsum(share)])
-        below = running[1:] - running[head[lattice.target]]
-        below[head[lattice.target + 1] - 1 == np.arange(len(below))] = 1.0
         self.last = np.concatenate([self.last, lattice.last + nodes])
         self.first = np.concatenate([self.first, lattice.first + nodes])
-        self.head = np.concatenate([self.head[:-1], head + edges])
+        self.head = np.concatenate([self.head[:-1], lattice.head + edges])
         self.below = np.concatenate([self.below, below])
         self.source = np.concatenate([self.source, (lattice.source + nodes).astype(np.int32)])
         self.piece = np.concatenate([self.piece, lattice.piece.astype(np.int32)])
@@ -67,17 +105,19 @@ class Sampler:
         `place` are each chunk's row seed and number in its row."""
         if len(self.piece) > HELD:
             self._forget()
-        new = list(set(chunks).difference(self.number))
-        if new:
-            known = len(self.number)
-            self.number.update(zip(new, range(known, known + len(new))))
-            self._learn(new)
+        known = len(self.number)
         which = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+        if len(self.number) > known:
+            self._learn(list(islice(self.number, known, None)))
+        seen = np.bincount(which, minlength=len(self.number))
+        seen[: len(self.used)] += self.used
+        self.used = seen
+        seed = row + GOLDEN * (place.astype(np.uint64) << np.uint64(20))
         node, start = self.last[which], self.first[which]
         active, drawn, steps = np.arange(len(chunks)), [], np.zeros(len(chunks), np.int64)
         step = 0
         while len(active):
-            u = uniform(row[active], place[active], step)
+            u = uniform(seed[active], step)
             edge = self.head[node]
             late = np.flatnonzero(self.below[edge] <= u)
             while len(late):
@@ -166,7 +206,7 @@ def encode(
         sampler = Sampler(weights)
         for batch in batches:
             seeds = batch.column(2).to_numpy().view(np.uint64)
-            size, at = [len(t.as_py() or "") for t in batch.column(1)], 0
+            size, at = pc.utf8_length(batch.column(1)).fill_null(0).to_pylist(), 0
             while at < batch.num_rows:  # a batch goes on as soon as a group is done
                 upto, chars = at, 0
                 while upto < batch.num_rows and (upto == at or chars + size[upto] <= GROUP):
@@ -190,10 +230,11 @@ def encode(
 
 def given_back(ids: np.ndarray, sizes: np.ndarray, texts: list[str | None], vocabulary: Vocabulary) -> list[bool | None]:
     """For each text whether its ids decode to it; None for None."""
-    pieces = list(map(vocabulary.raw.__getitem__, ids.tolist()))
-    ends = np.cumsum(sizes).tolist()
-    starts = [0, *ends[:-1]]
-    return [None if t is None else b"".join(pieces[a:b]) == t.encode() for t, a, b in zip(texts, starts, ends)]
+    pieces = pa.array(vocabulary.raw, pa.large_binary()).take(pa.array(ids))
+    _, offsets, data = pieces.buffers()
+    ends = np.frombuffer(offsets, np.int64)[: len(ids) + 1][np.concatenate([[0], np.cumsum(sizes)])]
+    found = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(texts), [None, pa.py_buffer(ends), data])
+    return pc.equal(found, pa.array(texts, pa.large_string()).cast(pa.large_binary())).to_pylist()
 
 
 def decoded(encoded: DataFrame, vocabulary: Vocabulary | None = None, key: str = "doc_id", ids: str = "piece_ids") -> DataFrame:

@@ -8,6 +8,7 @@ was. A character that is no piece is written as the pieces of its UTF-8 bytes.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from dataclasses import dataclass, replace
 from typing import Sequence
 
@@ -18,7 +19,6 @@ MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 WORD_START = "▁"
 UNUSED = -1e8  # scores below mark pieces that are never chosen
 ZIPF_SHIFT = 2.7
-POINT = np.int64(21)  # bits of a code point
 CHUNK = re.compile(r" *[^ \n]+| +|\n")
 
 
@@ -26,15 +26,18 @@ CHUNK = re.compile(r" *[^ \n]+| +|\n")
 class Vocabulary:
     """Pieces by id and their log-probabilities (natural; -inf: never chosen).
 
-    codes, after and piece describe a trie: from state s the character c leads to
-    after[i] where codes[i] = s << 21 | c; piece[state] is the id that ends there.
+    kind, row, owner and piece describe a trie from state 0: from state s a character of
+    kind k leads to the state row[s] + k if that one's owner is s; piece[state] is the id
+    that ends there. kind is by code point, the last one stands for all that follow;
+    0: in no piece.
     """
 
     raw: tuple[bytes, ...]
     logs: np.ndarray
     bytes_: np.ndarray
-    codes: np.ndarray
-    after: np.ndarray
+    kind: np.ndarray
+    row: np.ndarray
+    owner: np.ndarray
     piece: np.ndarray
     longest: int
 
@@ -76,19 +79,43 @@ def load(path: str = MODEL, ranked: bool = True) -> Vocabulary:
         scores -= np.log(np.exp(scores).sum())
     elif not np.isfinite(scores[bytes_]).all():
         scores[bytes_] = np.where(np.isfinite(scores[bytes_]), scores[bytes_], scores[np.isfinite(scores)].min())
-    steps, piece_at = {}, [-1]
-    for text, i in usable.items():
-        state = 0
-        for c in text:
-            code = state << 21 | ord(c)
-            if code not in steps:
-                steps[code] = len(piece_at)
-                piece_at.append(-1)
-            state = steps[code]
-        piece_at[state] = i
-    codes = np.array(sorted(steps), np.int64)
-    after = np.array([steps[c] for c in codes.tolist()], np.int64)
-    return Vocabulary(tuple(raw), scores, bytes_, codes, after, np.array(piece_at, np.int64), max(map(len, usable)))
+    return Vocabulary(tuple(raw), scores, bytes_, *_trie(usable), max(map(len, usable)))
+
+
+def _trie(pieces: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """kind, row, owner and piece of a Vocabulary: rows of next states, laid into each other's gaps."""
+    letters = Counter(c for text in pieces for c in text)
+    letter = ["", *(c for c, _ in letters.most_common())]
+    kinds = {c: k for k, c in enumerate(letter) if k}
+    kind = np.zeros(max(map(ord, kinds)) + 2, np.int64)
+    for c, k in kinds.items():
+        kind[ord(c)] = k
+    after: dict[str, list[int]] = {}  # kinds that follow a prefix
+    for prefix in {text[:n] for text in pieces for n in range(1, len(text) + 1)}:
+        after.setdefault(prefix[:-1], []).append(kinds[prefix[-1]])
+    rows, taken, end, tried = {}, bytearray([1]), 1, Counter()
+    for prefix in sorted(after, key=lambda x: (x != "", -len(after[x]), x)):  # the root's row begins at 0
+        next_ = sorted(after[prefix])
+        if len(taken) < end + 2 * len(letter):
+            taken.extend(bytes(end + 2 * len(letter)))
+        at = taken.index(0, max(tried[len(next_)], next_[0]))
+        while any(taken[at - next_[0] + k] for k in next_):
+            at = taken.index(0, at + 1)
+        rows[prefix], tried[len(next_)] = at - next_[0], at
+        for k in next_:
+            taken[rows[prefix] + k] = 1
+        end = max(end, rows[prefix] + next_[-1] + 1)
+    size = max(rows.values()) + len(kinds) + 1
+    row, owner, piece = np.zeros(size, np.int64), np.full(size, -1), np.full(size, -1)
+    state = {"": 0}
+    for prefix in sorted(after, key=len):
+        row[state[prefix]] = rows[prefix]
+        for k in after[prefix]:
+            owner[rows[prefix] + k] = state[prefix]
+            state[prefix + letter[k]] = rows[prefix] + k
+    for text, i in pieces.items():
+        piece[state[text]] = i
+    return kind, row, owner, piece
 
 
 class Lattice:
@@ -97,68 +124,72 @@ class Lattice:
     Chunk k of n characters has n + 1 nodes, from first[k] to last[k]. An edge is a
     piece from node `source` to node `target`; `piece` is its id, or -1 - c for the
     character c written as bytes. Edges are in the order of their targets, longest
-    first; bound[t] to bound[t + 1] end t characters after the chunk's start, through
-    `turn`.
+    first; those of node t are head[t] to head[t + 1]. Taken in the order `turn`,
+    bound[t] to bound[t + 1] end t characters after the chunk's start.
     """
 
     def __init__(self, vocabulary: Vocabulary, chunks: Sequence[str]):
         v = vocabulary
         sizes = np.fromiter(map(len, chunks), np.int64, len(chunks))
-        points = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4").astype(np.int64)
-        chunk = np.repeat(np.arange(len(chunks)), sizes)
-        stop = np.cumsum(sizes)
-        self.first = stop - sizes + np.arange(len(chunks))
-        self.last = stop + np.arange(len(chunks))
-        end_of = stop[chunk]
-        at, state = np.arange(len(points)), np.zeros(len(points), np.int64)
-        single = np.zeros(len(points), bool)
+        points = np.frombuffer("\n".join([*chunks, ""]).encode("utf-32-le"), "<u4").astype(np.int64)
+        self.last = np.cumsum(sizes + 1) - 1
+        self.first = self.last - sizes
+        self.nodes = len(points)
+        kind = v.kind[np.minimum(points, len(v.kind) - 1)]
+        kind[self.last] = 0  # no piece goes beyond its chunk
+        inner, single = np.ones(self.nodes, bool), np.zeros(self.nodes, bool)
+        inner[self.last] = False
+        at, state = np.arange(self.nodes), np.zeros(self.nodes, np.int64)
         found = []
         for n in range(1, v.longest + 1):
-            code = state << POINT | points[at + (n - 1)]
-            i = np.minimum(np.searchsorted(v.codes, code), len(v.codes) - 1)
-            hit = v.codes[i] == code
-            at, state = at[hit], v.after[i[hit]]
+            after = v.row[state] + kind[at + (n - 1)]
+            hit = np.flatnonzero(v.owner[after] == state)
+            if not len(hit):
+                break
+            at, state = at[hit], after[hit]
             piece = v.piece[state]
-            ends = piece >= 0
-            found.append((at[ends], np.full(int(ends.sum()), n), piece[ends]))
+            ends = np.flatnonzero(piece >= 0)
+            found.append((at[ends], n, piece[ends]))
             if n == 1:
                 single[at[ends]] = True
-            on = at + n < end_of[at]
-            at, state = at[on], state[on]
-            if not len(at):
-                break
-        other = np.flatnonzero(~single)
-        found.append((other, np.ones(len(other), np.int64), -1 - points[other]))
-        at, n, self.piece = (np.concatenate([f[j] for f in reversed(found)]) for j in range(3))
-        self.source = at + chunk[at]
-        self.target = self.source + n
-        order = np.argsort(self.target, kind="stable")
-        self.source, self.target, self.piece = self.source[order], self.target[order], self.piece[order]
-        self.nodes = len(points) + len(chunks)
-        owner = np.repeat(np.arange(len(chunks)), sizes + 1)
-        depth = self.target - self.first[owner[self.target]]
-        self.turn = np.argsort(depth, kind="stable")
-        self.bound = np.concatenate([[0], np.cumsum(np.bincount(depth))])
-        self.weight = np.empty(len(self.piece))
-        plain = self.piece >= 0
-        self.weight[plain] = v.logs[self.piece[plain]]
-        spelt, place = np.unique(self.piece[~plain], return_inverse=True)
-        self.weight[~plain] = np.array([v.logs[v.bytes_[list(chr(-1 - c).encode())]].sum() for c in spelt.tolist()])[place]
+        other = np.flatnonzero(inner & ~single)
+        found.append((other, 1, -1 - points[other]))
+        many = np.zeros(self.nodes, np.int64)
+        for at, n, _ in found:
+            many[at + n] += 1
+        self.head = np.concatenate([[0], np.cumsum(many)])
+        self.target = np.repeat(np.arange(self.nodes), many)
+        self.source, self.piece = np.empty_like(self.target), np.empty_like(self.target)
+        free = self.head[:-1].copy()
+        for at, n, piece in reversed(found):
+            place = free[at + n]
+            self.source[place], self.piece[place] = at, piece
+            free[at + n] = place + 1
+        depth = np.arange(self.nodes) - np.repeat(self.first, sizes + 1)
+        deepest = int(sizes.max(initial=0))
+        by_depth = np.argsort(depth.astype(np.uint16) if deepest < 1 << 16 else depth, kind="stable")
+        self.level = np.concatenate([[0], np.cumsum(np.bincount(depth))])  # bounds of equal depth in by_depth
+        self.by_depth, self.size = by_depth, many[by_depth]
+        stop = np.cumsum(self.size)
+        self.turn = np.repeat(self.head[by_depth] - (stop - self.size), self.size) + np.arange(len(self.piece))
+        self.bound = np.concatenate([[0], stop])[self.level]
+        self.weight = v.logs[np.maximum(self.piece, 0)]
+        low = np.flatnonzero(self.piece < 0)
+        spelt, place = np.unique(self.piece[low], return_inverse=True)
+        self.weight[low] = np.array([v.logs[v.bytes_[list(chr(-1 - c).encode())]].sum() for c in spelt.tolist()])[place]
 
     def forward(self) -> np.ndarray:
         """Log of the total weight of all paths from a chunk's start to each node."""
         total = np.full(self.nodes, -np.inf)
         total[self.first] = 0.0
+        source, weight = self.source[self.turn], self.weight[self.turn]
         for t in range(1, len(self.bound) - 1):
-            edges = self.turn[self.bound[t] : self.bound[t + 1]]
-            if not len(edges):
-                continue
-            value = total[self.source[edges]] + self.weight[edges]
-            target = self.target[edges]
-            head = np.flatnonzero(np.diff(target, prepend=-1))
+            start, stop = self.bound[t], self.bound[t + 1]
+            nodes, size = self.by_depth[self.level[t] : self.level[t + 1]], self.size[self.level[t] : self.level[t + 1]]
+            value = total[source[start:stop]] + weight[start:stop]
+            head = np.cumsum(size) - size
             most = np.maximum.reduceat(value, head)
-            size = np.diff(np.append(head, len(target)))
-            total[target[head]] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, size)), head))
+            total[nodes] = most + np.log(np.add.reduceat(np.exp(value - np.repeat(most, size)), head))
         return total
 
     def share(self, total: np.ndarray) -> np.ndarray:

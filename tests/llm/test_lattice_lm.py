@@ -6,6 +6,8 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from riskflow.llm import lattice_lm as op
 from riskflow.llm import pieces
@@ -44,6 +46,23 @@ def test_vocabulary(vocabulary):
     assert (vocabulary.bytes_ >= 0).all()
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.sets(st.text("abcé\U0001f600", min_size=1, max_size=6), min_size=1, max_size=60))
+def test_trie_holds_the_pieces_and_no_others(texts):
+    found = {text: i for i, text in enumerate(sorted(texts))}
+    kind, row, owner, piece = pieces._trie(found)
+    inside = {text[:n] for text in texts for n in range(1, len(text) + 1)}
+    for prefix in ["", *inside]:
+        for c in "abcdé\U0001f600\U0010ffff":
+            state = 0
+            for x in prefix:
+                state = row[state] + kind[ord(x)]
+            after = row[state] + kind[min(ord(c), len(kind) - 1)]
+            assert (owner[after] == state) == (prefix + c in inside)
+            if owner[after] == state:
+                assert piece[after] == found.get(prefix + c, -1)
+
+
 def test_lattice_sums_all_segmentations(vocabulary):
     known = table_of(vocabulary)
     lattice = pieces.Lattice(vocabulary, CHUNKS)

@@ -90,3 +90,40 @@ def test_a_task_keeps_little_between_groups():
         op.encode_batch(sampler, texts, np.arange(len(texts), dtype=np.uint64))
         most = max(most, sum(x.nbytes for x in (sampler.last, sampler.first, sampler.head, sampler.below, sampler.source, sampler.piece)))
     assert most < 32 << 20
+
+
+def test_frequent_chunks_are_worked_out_once(monkeypatch):
+    """Among chunks that never come again, those that always do outlast the bound."""
+    learnt = Counter()
+
+    class Noted(op.Lattice):
+        def __init__(self, vocabulary, chunks):
+            learnt.update(chunks)
+            super().__init__(vocabulary, chunks)
+
+    monkeypatch.setattr(op, "Lattice", Noted)
+    monkeypatch.setattr(op, "HELD", 2000)
+    sampler, frequent = op.Sampler(VOCABULARY), [" the", " of", " retition", " ñandú", "\n"]
+    for group in range(20):
+        chunks = [c for i in range(50) for c in (f" w{group}x{i}", *frequent)]
+        ids, _ = sampler.sample(chunks, np.full(len(chunks), 5, np.uint64), np.arange(len(chunks)))
+        assert op.decode(ids.tolist(), VOCABULARY) == "".join(chunks)
+    assert sampler.used.sum() < 20 * len(chunks)  # some were forgotten
+    assert [learnt[c] for c in frequent] == [1] * len(frequent)
+
+
+def test_shares_do_not_depend_on_what_is_learnt_together():
+    chunks = [f" retition{i}ñ\U0001f600" for i in range(3000)]
+    whole = op.Sampler(VOCABULARY)
+    whole._learn(chunks)
+    for i in (0, 1500, 2999):
+        alone = op.Sampler(VOCABULARY)
+        alone._learn([chunks[i]])
+        at = whole.head[whole.first[i]], whole.head[whole.last[i] + 1]
+        assert whole.below[slice(*at)].tolist() == alone.below.tolist()
+
+
+@pytest.mark.parametrize("texts", [[], [None], ["", None, ""], [None, "a\x00é", "", "\U0001f600"]])
+def test_few_or_no_ids_are_given_back(texts):
+    ids, sizes = op.encode_batch(op.Sampler(VOCABULARY), texts, np.arange(len(texts), dtype=np.uint64))
+    assert op.given_back(ids, sizes, texts, VOCABULARY) == [None if t is None else True for t in texts]
