@@ -22,6 +22,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +33,9 @@ PRIOR = 10_000.0  # pieces that the vocabulary's own weights count for
 COMMON = 200_000  # words whose counts every task gets: at most 200,000 x 64 bytes
 COMMON_BYTES = 64
 FLUSH = 1 << 18  # distinct words a task holds
-TOGETHER = 1 << 15  # words whose lattices are built at once
-NAMES = ["row", "key", "word", "n", "n_tokens", "n_known", "base", "score"]
+TOGETHER = 1 << 18  # characters of the words whose lattices are built at once
+COPIES = 10_000  # equal rows written out from one array
+NAMES = ["id", "id2", "key", "word", "n", "n_tokens", "n_known", "base", "score"]
 
 
 def _counted(batches: Batches) -> Iterator[pa.RecordBatch]:
@@ -63,14 +65,24 @@ def word_counts(docs: DataFrame, learns: Column, text: str = "text") -> DataFram
     return partial.groupBy("word").agg(F.sum("c").alias("c"))
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts whose words have up to TOGETHER characters, or one word."""
+    ends = np.cumsum(pc.utf8_length(batch.column(0)).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        before = ends[at - 1] if at else 0
+        upto = max(at + 1, int(np.searchsorted(ends, before + TOGETHER, "right")))
+        yield batch.slice(at, upto - at)
+        at = upto
+
+
 def _expected(vocabulary: Vocabulary):
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         taken = np.zeros(len(vocabulary.raw))
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                words = batch.column(0).slice(at, TOGETHER).to_pylist()
-                lattice = Lattice(vocabulary, [f" {w}" for w in words])
-                copies = batch.column(1).slice(at, TOGETHER).to_numpy().astype(float)
+            for part in _portions(batch):
+                lattice = Lattice(vocabulary, [f" {w}" for w in part.column(0).to_pylist()])
+                copies = part.column(1).to_numpy().astype(float)
                 weight = lattice.expected(lattice.forward(), copies)
                 ids, size = spelt_out(lattice.piece, vocabulary)
                 taken += np.bincount(ids, np.repeat(weight, size), len(taken))
@@ -119,8 +131,7 @@ def _weighed(vocabulary: Vocabulary):
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, TOGETHER):
-                part = batch.slice(at, TOGETHER)
+            for part in _portions(batch):
                 lattice = Lattice(vocabulary, [f" {w}" for w in part.column(0).to_pylist()])
                 logs = lattice.forward()[lattice.last] / math.log(10)
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(logs)], ["word", "c", "log"])
@@ -128,21 +139,21 @@ def _weighed(vocabulary: Vocabulary):
     return rows
 
 
-def common_of(words: DataFrame, most: int) -> list:
-    """The rows of the most frequent words, at most `most` and of at most COMMON_BYTES.
+def is_common(counts: DataFrame, most: int) -> Column:
+    """Whether a word is one of the most frequent, at most `most` and of at most COMMON_BYTES.
 
-    Words are counted by the logarithm of their count first; what comes to the driver is
-    that short table, and the words from the count on at which they are few enough.
+    Words are counted by the logarithm of their count; what comes to the driver is that
+    short table. The words are those from the count on at which they are few enough.
     """
-    short = words.where((F.col("c") > 0) & (F.octet_length("word") <= COMMON_BYTES))
+    short = (F.col("c") > 0) & (F.octet_length("word") <= COMMON_BYTES)
     level = F.floor(F.log2("c") * 8)
     least = None
-    for row in sorted(short.groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
+    for row in sorted(counts.where(short).groupBy(level.alias("level")).count().collect(), key=lambda r: -r["level"]):
         most -= row["count"]
         if most < 0:
             break
         least = row["level"]
-    return [] if least is None else short.where(level >= least).collect()
+    return F.lit(False) if least is None else short & (level >= least)
 
 
 def _scored(model: Model, common: dict[bytes, tuple[float, float]]):
@@ -150,28 +161,35 @@ def _scored(model: Model, common: dict[bytes, tuple[float, float]]):
     end = model.base_log(model.ends)
 
     def rows(batches: Batches) -> Iterator[pa.RecordBatch]:
-        def texts_of(rows_: list, keys: pa.Array, lines: list[tuple]) -> pa.RecordBatch:
+        def texts_of(batch: pa.RecordBatch, lines: list[tuple]) -> pa.RecordBatch:
             # a word has no space, so these are no words; they spread the rows
-            names = pa.array([f" {row}" for row in rows_], pa.string())
+            names = pa.array([f" {i}" for i in batch.column(0).to_pylist()], pa.string())
             tokens, known, base, score = zip(*lines)
             figures = [pa.array(tokens, pa.int64()), pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(score, pa.float64())]
-            return pa.RecordBatch.from_arrays([pa.array(rows_, pa.int64()), keys, names, pa.array(np.zeros(len(rows_), np.int64)), *figures], NAMES)
+            return pa.RecordBatch.from_arrays([*batch.columns[:3], names, pa.array(np.zeros(len(lines), np.int64)), *figures], NAMES)
 
-        def words_of_texts(rows_: list[int], words: list[bytes], counts: list[int], kind: pa.DataType) -> pa.RecordBatch:
+        def words_of_texts(batch: pa.RecordBatch, rows_: list[int], words: list[bytes], counts: list[int]) -> pa.RecordBatch:
             n = len(words)
             zero, nothing = pa.array(np.zeros(n, np.int64)), pa.array(np.zeros(n))
+            at = pa.array(rows_, pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.array(rows_, pa.int64()), pa.nulls(n, kind), pa.array(words, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), zero, zero, nothing, nothing],
+                [
+                    batch.column(0).take(at),
+                    batch.column(1).take(at),
+                    pa.nulls(n, batch.column(2).type),
+                    pa.array(words, pa.binary()).cast(pa.string()),
+                    pa.array(counts, pa.int64()),
+                    *(zero, zero, nothing, nothing),
+                ],
                 NAMES,
             )
 
         for batch in batches:
-            numbers = batch.column(0).to_pylist()
             lines: list[tuple] = []
             rare_row: list[int] = []
             rare_word: list[bytes] = []
             rare_count: list[int] = []
-            for row, text in zip(numbers, batch.column(2)):
+            for row, text in enumerate(batch.column(3)):
                 words = Counter(words_of(text.as_py()))
                 base, known, score = end, int(model.ends > 0), model.log_end / math.log(10)
                 before = len(rare_word)
@@ -187,12 +205,12 @@ def _scored(model: Model, common: dict[bytes, tuple[float, float]]):
                 rare_row.extend([row] * (len(rare_word) - before))
                 lines.append((words.total() + 1, known, base, score))
                 if len(rare_word) > FLUSH:
-                    yield words_of_texts(rare_row, rare_word, rare_count, batch.column(1).type)
+                    yield words_of_texts(batch, rare_row, rare_word, rare_count)
                     rare_row, rare_word, rare_count = [], [], []
             if rare_word:
-                yield words_of_texts(rare_row, rare_word, rare_count, batch.column(1).type)
-            if numbers:
-                yield texts_of(numbers, batch.column(1), lines)
+                yield words_of_texts(batch, rare_row, rare_word, rare_count)
+            if lines:
+                yield texts_of(batch, lines)
 
     return rows
 
@@ -215,32 +233,41 @@ def scores(
     theirs in a join. So no word that many texts share is ever moved, and results do not
     depend on `common_words`.
 
-    NULL texts are empty ones: one token, the end. Repeated rows count and are scored one
-    by one. Without training rows no token is known. Other columns are ignored.
+    NULL texts are empty ones: one token, the end. Repeated rows count one by one; what
+    equal rows have in all is divided among them, so rows are told apart by a hash of key
+    and text, of 128 bits, which another run of a lost task gives again. Without training
+    rows no token is known. Other columns are ignored.
+
+    Only the word counts are written to the shared folder. The scores themselves are
+    worked out whenever the result is read.
     """
     vocabulary = vocabulary or load()
     if learns is None:
         learns = F.coalesce(remainder(F.col(key), 7) != 2, F.lit(True))
     counts = stored(word_counts(docs, learns, text), "word_counts")
     model = fit(counts, docs.where(learns).count(), vocabulary, prior)
-    words = stored(map_rows(counts, _weighed(model.vocabulary), "word string, c long, log double"), "words")
-    common = {r["word"].encode(): (model.base_log(r["c"]), r["log"]) for r in common_of(words, common_words)}
+    weighed = lambda words: map_rows(words, _weighed(model.vocabulary), "word string, c long, log double")
+    often = is_common(counts, common_words)
+    common = {r["word"].encode(): (model.base_log(r["c"]), r["log"]) for r in weighed(counts.where(often)).collect()}
 
     kind = docs.schema[key].dataType.simpleString()
-    schema = f"row long, key {kind}, word string, n long, n_tokens long, n_known long, base double, score double"
-    numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
-    # a table: rows that are numbered again, in other tasks, would get other numbers
-    parts = stored(map_rows(numbered, _scored(model, common), schema), "word_parts")
-    joined = parts.join(words, "word", "left")
+    schema = f"id long, id2 long, key {kind}, word string, n long, n_tokens long, n_known long, base double, score double"
+    ids = [F.xxhash64(F.lit(i), F.col(key).isNull(), F.col(key), F.col(text)).alias(name) for i, name in enumerate(NAMES[:2])]
+    parts = map_rows(docs.select(*ids, F.col(key).alias("key"), F.col(text).alias("text")), _scored(model, common), schema)
+    joined = parts.join(weighed(counts.where(~often)), "word", "left")
     seen = F.log10((F.col("c") + 1) / F.lit(float(model.tokens + model.distinct + 1)))
     more = lambda value, nothing: F.when(F.col("n") > 0, F.col("n") * value).otherwise(nothing)
-    summed = joined.groupBy("row").agg(
+    copies = F.count_if(F.col("n") == 0)  # a text's own row; those of its words have counts
+    summed = joined.groupBy("id", "id2").agg(
         F.max("key").alias("doc_id"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("n")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + more(seen, 0.0)).alias("base_score"),
-        F.sum(F.col("score") + more(F.col("log"), 0.0)).alias("score"),
+        (F.sum("n_tokens") / copies).cast("long").alias("n_tokens"),
+        (F.sum(F.col("n_known") + F.when(F.col("c") > 0, F.col("n")).otherwise(0)) / copies).cast("long").alias("n_known"),
+        (F.sum(F.col("base") + more(seen, 0.0)) / copies).alias("base_score"),
+        (F.sum(F.col("score") + more(F.col("log"), 0.0)) / copies).alias("score"),
+        copies.alias("copies"),
     )
+    summed = summed.withColumn("before", F.explode(F.sequence(F.lit(0), F.col("copies") - 1, F.lit(COPIES))))
+    summed = summed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("copies") - F.col("before"), F.lit(COPIES)))))
     held_out = F.coalesce(remainder(F.col("doc_id"), 7) == 2, F.lit(False))
     return summed.select(
         "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score"

@@ -5,12 +5,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from riskflow.llm import common, pieces
 from riskflow.llm import lattice_lm as op
-from riskflow.llm import pieces
+from riskflow.storage import scratch_dir
 from tests.llm.conftest import DOCUMENT, rows
 
 
@@ -136,3 +138,48 @@ def test_odd_rows(spark, odd, none):
     assert op.scores(none).count() == 0
     unseen = op.scores(docs_of(spark, ["a b"]), learns=__import__("pyspark").sql.functions.lit(False))
     assert rows(unseen, "n_tokens", "n_known", "train_tokens", "base_score") == [(3, 0, 0, 0.0)]
+
+
+def test_lattices_of_long_words_are_built_apart(vocabulary, monkeypatch):
+    words = [f"{'abcdefgh' * 250}{i}" for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(words), pa.array([1] * len(words), pa.int64())], ["word", "c"])
+    sizes = []
+
+    class Watched(pieces.Lattice):
+        def __init__(self, vocabulary, chunks):
+            sizes.append(sum(map(len, chunks)))
+            super().__init__(vocabulary, chunks)
+
+    monkeypatch.setattr(op, "Lattice", Watched)
+    taken = pa.Table.from_batches(op._expected(vocabulary)([batch])).to_pydict()
+    logs = pa.Table.from_batches(op._weighed(vocabulary)([batch])).to_pydict()
+    assert max(sizes) <= (1 << 18) + len(words)
+    assert logs["word"] == words
+    alone = pieces.Lattice(vocabulary, [f" {words[7]}"])
+    assert math.isclose(logs["log"][7], alone.forward()[-1] / math.log(10), rel_tol=1e-9)
+    chars = sum(n * len(vocabulary.raw[i]) for i, n in zip(taken["piece"], taken["n"]))
+    assert math.isclose(chars, sum(len(w) + 1 for w in words), rel_tol=1e-9)
+
+
+def test_only_the_counts_are_written(spark):
+    written = []
+    path = lambda label: written.append(label) or scratch_dir(spark, label)
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(common, "scratch_dir", lambda _, label: path(label))
+        assert op.scores(docs_of(spark, ["a b a", "rare words here"]), common_words=0).count() == 2
+    assert written == ["word_counts"]
+
+
+@pytest.mark.parametrize("common_words", [0, op.COMMON])
+def test_rows_of_equal_key_or_text(spark, monkeypatch, common_words):
+    monkeypatch.setattr(op, "COPIES", 2)
+    given = [(None, "a b")] * 5 + [(None, "a c c"), (None, None), (None, ""), (7, "a b"), (7, "a b"), (7, "c"), (7, None), (7, ""), (8, "a b")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in given], DOCUMENT)
+    found = op.scores(docs, common_words=common_words).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in found) == Counter((i, len((t or "").split()) + 1) for i, t in given)
+    by_text = {}
+    for r in found:
+        by_text.setdefault((r.n_tokens, r.n_known), []).append((r.base_score, r.score))
+    assert all(np.allclose(x, x[0], rtol=1e-12) for x in by_text.values())
+    counts = Counter(w for i, t in given if i is None or zlib.crc32(str(i).encode()) % 7 != 2 for w in (t or "").split())
+    assert {(r.n_known == r.n_tokens) for r in found} == {True} and counts["a"] >= 6
